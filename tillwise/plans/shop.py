@@ -113,9 +113,19 @@ def revenue_report(tx: DataFrame, wanted: Mapping[str, Sequence[str]] = SUBCATEG
 # --- incremental run over a landing folder --------------------------------------------------
 
 #: fixed layout of the customer change feed
-USER_CHANGE_SCHEMA = T.StructType.fromDDL(
-    "user_id string, name string, age int, gender string, email string, region string, "
-    "registration_date string, email_opt_in string, last_updated timestamp, operation string"
+USER_CHANGE_SCHEMA = T.StructType(
+    [
+        T.StructField("user_id", T.StringType()),
+        T.StructField("name", T.StringType()),
+        T.StructField("age", T.IntegerType()),
+        T.StructField("gender", T.StringType()),
+        T.StructField("email", T.StringType()),
+        T.StructField("region", T.StringType()),
+        T.StructField("registration_date", T.StringType()),
+        T.StructField("email_opt_in", T.StringType()),
+        T.StructField("last_updated", T.TimestampType()),
+        T.StructField("operation", T.StringType()),
+    ]
 )
 
 

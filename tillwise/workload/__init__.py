@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import basics  # noqa: F401
+from . import basics, grouping, quality  # noqa: F401
 from .registry import QUERIES, SQL
 
 

@@ -108,6 +108,66 @@ class Data:
         heads = self.order_times.select("order_id", "user_id", "order_datetime")
         return lines.join(heads, "order_id").join(self.r_items, "item_id", "left").join(self.r_stores, "store_id", "left")
 
+    # --- raw landing tables: all text, as delivered --------------------------------
+
+    @cached_property
+    def bz_users(self) -> DataFrame:
+        return self.customer.selectExpr(
+            "concat('U', lpad(CAST(c_custkey AS STRING), 8, '0')) AS user_id", "c_name AS name",
+            "IF(c_custkey % 3 = 0, 'M', 'F') AS gender",
+            "IF(c_mktsegment = 'BUILDING', 'n/a', CAST(date_add(DATE'1950-01-01', CAST(c_custkey % 18000 AS INT)) AS STRING)) AS birth_date",
+            "CASE c_mktsegment WHEN 'HOUSEHOLD' THEN '' WHEN 'MACHINERY' THEN NULL ELSE c_mktsegment END AS pref",
+            "concat('090-', lpad(CAST(c_custkey % 10000 AS STRING), 4, '0'), '-0000') AS phone_number",
+            "concat(c_name, '@example.com') AS email", "IF(c_custkey % 4 = 0, 'True', 'False') AS email_permission_flg",
+            "CAST(date_add(DATE'1995-01-01', CAST(c_custkey % 700 AS INT)) AS STRING) AS registration_date",
+            "IF(c_acctbal < 1000, 'inactive', 'active') AS status",
+            "IF(c_acctbal < 0, NULL, concat('2001-07-', lpad(CAST(c_custkey % 28 + 1 AS STRING), 2, '0'), ' 10:30:00')) AS last_login_at",
+        )
+
+    @cached_property
+    def bz_items(self) -> DataFrame:
+        flag = "IF({}, 'True', 'False')"
+        return self.part.selectExpr(
+            "CAST(p_partkey AS STRING) AS item_id", "CAST(p_size * 100 AS STRING) AS category_id", "p_name AS item_name",
+            "p_type AS category_name", "CAST(CAST(floor(p_retailprice) AS BIGINT) AS STRING) AS price",
+            "IF(p_size > 45, '', '2001-12-31') AS expiration_date", "'2001-01-15' AS arrival_date",
+            f"{flag.format('p_size % 3 = 0')} AS is_organic", f"{flag.format('p_size <= 25')} AS is_discount_target",
+            f"{flag.format('p_size > 30')} AS is_ready_to_eat", f"{flag.format('p_retailprice >= 950')} AS is_premium",
+        )
+
+    @cached_property
+    def bz_stores(self) -> DataFrame:
+        return self.supplier.join(self.nation, F.col("s_nationkey") == F.col("n_nationkey")).selectExpr(
+            "CAST(s_suppkey AS STRING) AS store_id", "s_name AS store_name", "n_name AS store_area",
+            "concat('street ', s_suppkey) AS address", "lpad(CAST(s_suppkey AS STRING), 7, '0') AS postal_code",
+            "n_name AS prefecture", "concat('city ', s_nationkey) AS city", "'03-0000-0000' AS phone_number",
+            "concat(s_name, '@example.com') AS email", "'9:00-21:00' AS business_hours", "CAST(NULL AS STRING) AS closed_days",
+            "IF(s_acctbal < 0, 'none', CAST(s_suppkey * 10 AS STRING)) AS manager_id",
+            "CAST(date_add(DATE'1990-01-01', CAST(s_suppkey % 3000 AS INT)) AS STRING) AS opening_date",
+            "IF(s_acctbal < 0, 'INACTIVE', 'ACTIVE') AS status",
+        )
+
+    @cached_property
+    def bz_orders(self) -> DataFrame:
+        return self.order_times.selectExpr(
+            "CAST(order_id AS STRING) AS order_id", "CAST(user_id AS STRING) AS user_id", "CAST(store_id AS STRING) AS store_id",
+            "CAST(order_datetime AS STRING) AS order_datetime", "CAST(CAST(floor(total_amount) AS BIGINT) AS STRING) AS total_amount",
+            "CAST(total_quantity AS STRING) AS total_quantity", "order_status",
+        )
+
+    @cached_property
+    def bz_order_items(self) -> DataFrame:
+        heads = self.order_times.select(F.col("order_id").alias("l_orderkey"), "user_id", "order_datetime")
+        kinds = self.part.selectExpr("p_partkey AS l_partkey", "p_size * 100 AS category_id")
+        return self.lineitem.join(heads, "l_orderkey").join(kinds, "l_partkey").selectExpr(
+            "CAST(l_orderkey * 10 + l_linenumber AS STRING) AS order_item_id", "CAST(user_id AS STRING) AS user_id",
+            "CAST(l_orderkey AS STRING) AS order_id", "CAST(l_suppkey AS STRING) AS store_id", "CAST(l_partkey AS STRING) AS item_id",
+            "CAST(category_id AS STRING) AS category_id", "CAST(CAST(l_quantity AS INT) AS STRING) AS quantity",
+            "CAST(CAST(floor(l_extendedprice / l_quantity) AS BIGINT) AS STRING) AS unit_price",
+            "CAST(CAST(floor(l_extendedprice) AS BIGINT) AS STRING) AS subtotal", "IF(l_returnflag = 'R', 'True', 'False') AS cancel_flg",
+            "CAST(order_datetime AS STRING) AS order_datetime", "l_shipdate AS _ingested_at",
+        )
+
     # --- shop ----------------------------------------------------------------------
 
     @cached_property
