@@ -175,7 +175,7 @@ LEFT JOIN (
       round(avg(CASE WHEN returned THEN 1.0::DOUBLE ELSE 0 END), 4) AS return_rate
     FROM c_orders GROUP BY customer_id) a
   LEFT JOIN (SELECT customer_id, product_category AS top_category, row_number() OVER (PARTITION BY customer_id ORDER BY count(*) DESC, product_category) AS rn
-    FROM c_orders GROUP BY ALL) t ON a.customer_id = t.customer_id AND t.rn = 1
+    FROM c_orders GROUP BY customer_id, product_category) t ON a.customer_id = t.customer_id AND t.rn = 1
   LEFT JOIN (SELECT customer_id, return_reason AS first_return_reason, row_number() OVER (PARTITION BY customer_id ORDER BY order_date, order_id) AS rn
     FROM c_orders WHERE return_reason IS NOT NULL) r ON a.customer_id = r.customer_id AND r.rn = 1
 ) o ON c.customer_id = o.customer_id
@@ -193,9 +193,9 @@ LEFT JOIN (
       CAST(max(CASE WHEN urgency_level = '高' THEN 1 ELSE 0 END) AS INT) AS had_urgency_call,
       round(avg(CASE WHEN resolution_status = '解決' THEN 1.0::DOUBLE ELSE 0 END), 4) AS resolution_rate
     FROM c_calls GROUP BY customer_id) y
-  JOIN (SELECT customer_id, purpose AS v, row_number() OVER (PARTITION BY customer_id ORDER BY count(*) DESC, purpose) AS rn FROM c_calls GROUP BY ALL) p ON y.customer_id = p.customer_id AND p.rn = 1
-  JOIN (SELECT customer_id, trouble_type AS v, row_number() OVER (PARTITION BY customer_id ORDER BY count(*) DESC, trouble_type) AS rn FROM c_calls GROUP BY ALL) q ON y.customer_id = q.customer_id AND q.rn = 1
-  JOIN (SELECT customer_id, urgency_level AS v, row_number() OVER (PARTITION BY customer_id ORDER BY count(*) DESC, urgency_level) AS rn FROM c_calls GROUP BY ALL) u ON y.customer_id = u.customer_id AND u.rn = 1
+  JOIN (SELECT customer_id, purpose AS v, row_number() OVER (PARTITION BY customer_id ORDER BY count(*) DESC, purpose) AS rn FROM c_calls GROUP BY customer_id, purpose) p ON y.customer_id = p.customer_id AND p.rn = 1
+  JOIN (SELECT customer_id, trouble_type AS v, row_number() OVER (PARTITION BY customer_id ORDER BY count(*) DESC, trouble_type) AS rn FROM c_calls GROUP BY customer_id, trouble_type) q ON y.customer_id = q.customer_id AND q.rn = 1
+  JOIN (SELECT customer_id, urgency_level AS v, row_number() OVER (PARTITION BY customer_id ORDER BY count(*) DESC, urgency_level) AS rn FROM c_calls GROUP BY customer_id, urgency_level) u ON y.customer_id = u.customer_id AND u.rn = 1
   JOIN (SELECT customer_id, next_intent AS v, row_number() OVER (PARTITION BY customer_id ORDER BY call_date DESC, call_id DESC) AS rn FROM c_calls) l ON y.customer_id = l.customer_id AND l.rn = 1
 ) k ON c.customer_id = k.customer_id""",
     s_stores="""
@@ -204,7 +204,7 @@ FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
     s_monthly="""
 SELECT store_id, month, sales_amount, customer_count,
   CAST(round((sales_amount::DOUBLE - before::DOUBLE) / before::DOUBLE, 4) AS DECIMAL(12,4)) AS yoy_change,
-  CAST(round(sales_amount::DOUBLE / customer_count, 2) AS DECIMAL(18,2)) AS avg_basket
+  CAST(floor(sales_amount::DOUBLE / customer_count) AS BIGINT) AS avg_basket
 FROM (
   SELECT *, first(sales_amount) OVER (PARTITION BY store_id ORDER BY mi RANGE BETWEEN 12 PRECEDING AND 12 PRECEDING) AS before
   FROM (SELECT l_suppkey AS store_id, CAST(date_trunc('month', l_shipdate) AS DATE) AS month,

@@ -280,7 +280,7 @@ class Data:
         return number.select(
             "store_id", "month", "sales_amount", "customer_count",
             F.round((now - before) / before, 4).cast("decimal(12,4)").alias("yoy_change"),
-            F.round(now / F.col("customer_count"), 2).cast("decimal(18,2)").alias("avg_basket"),
+            F.floor(now / F.col("customer_count")).alias("avg_basket"),
         )
 
     @cached_property
