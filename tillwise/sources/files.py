@@ -100,8 +100,16 @@ def read_csv_by_name(
     return out
 
 
-#: types tried for a text column, narrowest first
-INFERRED_TYPES = ("int", "bigint", "double", "boolean", "date", "timestamp")
+#: types tried for a text column, narrowest first, with the shape their text must have
+#: (a cast alone would take a time stamp for a date and "y" for a boolean)
+INFERRED_TYPES = {
+    "int": r"^[+-]?[0-9]+$",
+    "bigint": r"^[+-]?[0-9]+$",
+    "double": r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$",
+    "boolean": r"^(?i:true|false)$",
+    "date": r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$",
+    "timestamp": r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}[ T][0-9].*$",
+}
 
 
 def infer_types(df: DataFrame, cols: Sequence[str] | None = None) -> dict[str, str]:
@@ -114,8 +122,9 @@ def infer_types(df: DataFrame, cols: Sequence[str] | None = None) -> dict[str, s
     for c in cols:
         text = F.nullif(F.trim(F.col(c)), F.lit(""))
         tests.append(F.count(text).alias(f"{c}|n"))
-        for t in INFERRED_TYPES:
-            tests.append(F.count_if(text.isNotNull() & text.try_cast(t).isNull()).alias(f"{c}|{t}"))
+        for t, shape in INFERRED_TYPES.items():
+            misfit = ~text.rlike(shape) | text.try_cast(t).isNull()
+            tests.append(F.count_if(text.isNotNull() & misfit).alias(f"{c}|{t}"))
     row = df.agg(*tests).first()
     out = {}
     for c in cols:

@@ -22,9 +22,8 @@ def payload_to_rows(df: DataFrame, json_col: str, strict: bool = True) -> DataFr
     keep = [c for c in df.columns if c != json_col]
     parsed = df.select(*keep, names.alias("__names"), rows.alias("__rows"))
     empty = (F.coalesce(F.size("__names"), F.lit(0)) < 1) | (F.coalesce(F.size("__rows"), F.lit(0)) < 1)
-    if strict:
-        checked = F.when(empty, F.raise_error(F.lit("payload has no columns or no rows"))).otherwise(F.col("__rows"))
-        parsed = parsed.withColumn("__rows", checked)
+    missing = F.raise_error(F.lit("payload has no columns or no rows")) if strict else F.lit(None)
+    parsed = parsed.withColumn("__rows", F.when(empty, missing).otherwise(F.col("__rows")))
     return parsed.select(*keep, "__names", F.posexplode("__rows").alias("row", "__row")).select(
         *keep, "row", F.map_from_arrays("__names", "__row").alias("values")
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import basics, grouping, jobs, quality  # noqa: F401
+from . import basics, grouping, jobs, landing, quality  # noqa: F401
 from .registry import QUERIES, SQL
 
 
