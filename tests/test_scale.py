@@ -65,3 +65,15 @@ def test_share_has_no_window(spark, skewed):
 
 def test_top_k_needs_no_sort(skewed):
     assert "TakeOrderedAndProject" in plan(T.top_k(skewed, [F.col("id").desc()], 5))
+
+
+@pytest.mark.parametrize("n", [0, 1, 777, 19_999, 20_000, 30_000])
+def test_exact_sample(skewed, n):
+    from tillwise.operators.sets import sample_exact
+
+    ids = sorted(r["id"] for r in sample_exact(skewed, n, ["id"], seed=3).collect())
+    assert len(ids) == len(set(ids)) == min(n, 20_000)
+    assert ids == sorted(r["id"] for r in sample_exact(skewed.repartition(7), n, ["id"], seed=3).collect())
+    if 0 < n < 20_000:
+        by_hash = skewed.orderBy(F.xxhash64(F.lit(3), "id"), "id").limit(n)
+        assert ids == sorted(r["id"] for r in by_hash.collect())

@@ -64,12 +64,12 @@ def in_year(col: Col, year: int) -> Column:
 
 
 def month_start(col: Col) -> Column:
-    return F.date_trunc("month", _c(col)).cast("date")
+    return F.trunc(_c(col), "month")
 
 
 def week_start(col: Col) -> Column:
     """Monday of the week."""
-    return F.date_trunc("week", _c(col)).cast("date")
+    return F.trunc(_c(col), "week")
 
 
 def fiscal_year(col: Col, start_month: int = 3) -> Column:

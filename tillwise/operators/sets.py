@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -31,11 +32,32 @@ def union_flows(flows: Sequence[DataFrame]) -> DataFrame:
 
 
 def key_difference(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    """Distinct keys of the left table that the right table lacks."""
-    return left.select(left_key).subtract(right.select(F.col(right_key).alias(left_key)))
+    """Distinct keys of the left table that the right table lacks.
+
+    The left keys are made distinct first, so a hot key reaches the join once.
+    """
+    return left.select(left_key).distinct().subtract(right.select(F.col(right_key).alias(left_key)))
+
+
+#: the top bits of the hash that form a bucket of :func:`sample_exact`
+SAMPLE_BUCKET_BITS = 16
 
 
 def sample_exact(df: DataFrame, n: int, key: Sequence[str], seed: int = 0) -> DataFrame:
-    """Exactly ``n`` rows, the same ones on every run: the smallest key hashes."""
-    h = F.xxhash64(F.lit(seed), *[F.col(c) for c in key])
-    return df.orderBy(h, *[F.col(c) for c in key]).limit(n)
+    """Exactly ``n`` rows, the same ones on every run: those with the smallest key hash.
+
+    ``key`` must identify a row.  Hash buckets are counted first (65,536 at most); all
+    buckets below the cut are taken whole where they are, and only the bucket at the
+    cut is sorted.
+    """
+    cols = [F.col(c) for c in key]
+    h = F.xxhash64(F.lit(seed), *cols)
+    bucket = F.shiftright(h, 64 - SAMPLE_BUCKET_BITS)
+    sizes = df.groupBy(bucket.alias("b")).agg(F.count("*").alias("c"))
+    upto = sizes.withColumn("upto", F.sum("c").over(W.orderBy("b")))
+    cut = upto.filter(F.col("upto") >= n).orderBy("b").limit(1).first()
+    if cut is None:
+        return df  # fewer rows than asked for
+    below = df.filter(bucket < cut["b"])
+    rest = n - (cut["upto"] - cut["c"])
+    return below.unionByName(df.filter(bucket == cut["b"]).orderBy(h, *cols).limit(rest))

@@ -6,6 +6,7 @@ model can take their place through :func:`infer_batches`.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
@@ -74,13 +75,28 @@ TRANSCRIPT_RULES: FieldRules = {
 COMPETITOR_PATTERN = "他社|他店|別の店"
 
 
+def matches(text: Col, pattern: str) -> Column:
+    """Whether the pattern occurs anywhere in the text.
+
+    A pattern of plain alternatives becomes byte searches, which scan long texts several
+    times faster than a regular expression and find the same rows.
+    """
+    c, words = _c(text), pattern.split("|")
+    if any(re.search(r"[\\^$.?*+()\[\]{}]", w) or not w for w in words):
+        return c.rlike(pattern)
+    out = c.contains(words[0])
+    for w in words[1:]:
+        out = out | c.contains(w)
+    return out
+
+
 def classify(text: Col, rules: Sequence[tuple[str, str]], default: str | None) -> Column:
     c = _c(text)
-    return ladder([(c.rlike(p), label) for p, label in rules], default)
+    return ladder([(matches(c, p), label) for p, label in rules], default)
 
 
 def mentions(text: Col, pattern: str = COMPETITOR_PATTERN) -> Column:
-    return _c(text).rlike(pattern)
+    return matches(text, pattern)
 
 
 def extract_fields(

@@ -111,20 +111,25 @@ def ingest_files(
     add_columns: bool = True,
     rescued_col: str | None = RESCUED,
     audit: bool = False,
-    max_files: int | None = None,
+    max_files: int = 10_000,
 ) -> int:
     """Load the CSV files of ``src`` that were not loaded before; returns the rows added.
 
     The stream tracks only which files are new.  Each micro-batch reads its files by
     header name, casts them to the stored schema and writes ``target/flow=…/batch=…``;
     a repeated batch replaces its own directory.  Several flows may share a target.
-    With ``add_columns`` a new header column widens the schema, otherwise its values
+    ``max_files`` sets how many file names a micro-batch handles; all files are taken in
+    as many batches as it needs.  With ``add_columns`` a new header column widens the schema, otherwise its values
     are rescued.  ``infer=False`` keeps every column as text.
     """
-    reader = spark.readStream.schema(FILE_SCHEMA).option("recursiveFileLookup", True)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    new_files = reader.format("binaryFile").load(src).select("path")
+    new_files = (
+        spark.readStream.schema(FILE_SCHEMA)
+        .option("recursiveFileLookup", True)
+        .option("maxFilesPerTrigger", max_files)
+        .format("binaryFile")
+        .load(src)
+        .select("path")
+    )
     added: list[int] = []
 
     def load(batch: DataFrame, batch_id: int) -> None:

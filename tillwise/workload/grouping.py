@@ -259,7 +259,7 @@ def _(d: Data) -> DataFrame:
 
 @query("a16_dict_aggregation", "SELECT category_id, sum(subtotal)::DOUBLE AS total_sales, sum(quantity)::BIGINT AS total_qty FROM r_lines GROUP BY 1")
 def _(d: Data) -> DataFrame:
-    lines = d.lineitem.selectExpr("l_partkey AS item_id", "CAST(l_quantity AS INT) AS quantity", "CAST(l_extendedprice AS DECIMAL(18,2)) AS subtotal")
+    lines = d.lineitem.selectExpr("l_partkey AS item_id", "CAST(l_quantity AS INT) AS quantity", "floor(l_extendedprice) AS subtotal")
     kinds = d.r_items.select("item_id", "category_id")
     out = A.dict_agg(lines.join(kinds, "item_id"), ["category_id"], {"subtotal": "sum", "quantity": "sum"}, {"subtotal": "total_sales", "quantity": "total_qty"})
     return out.withColumn("total_sales", c("total_sales").cast("double"))
@@ -464,4 +464,5 @@ def _(d: Data) -> DataFrame:
 
 @query("u05_exact_sample")
 def _(d: Data) -> DataFrame:
-    return U.sample_exact(d.orders, 500, ["o_orderkey"], seed=7)
+    """Five percent of the orders, to the row."""
+    return U.sample_exact(d.orders, d.orders.count() // 20, ["o_orderkey"], seed=7)

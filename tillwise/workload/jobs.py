@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans import campaign, retail, shop, store
+from ..session import stored
 from . import grouping  # noqa: F401  (defines relations used below)
 from .registry import define, query
 from .tables import AS_OF, LIMITS, YEAR, Data
@@ -69,7 +70,7 @@ def _(d: Data) -> DataFrame:
 
 @query(
     "b02_silver_orders",
-    """SELECT order_id, CAST(user_id AS VARCHAR) AS user_id, store_id, store_name, store_area, order_datetime, CAST(floor(total_amount) AS BIGINT) AS total_amount, total_quantity, order_status FROM r_orders""",
+    """SELECT order_id, CAST(user_id AS VARCHAR) AS user_id, store_id, store_name, store_area, order_datetime, total_amount, total_quantity, order_status FROM r_orders""",
 )
 def _(d: Data) -> DataFrame:
     return retail.silver_orders(d.bz_orders, retail.silver_stores(d.bz_stores), plain(retail.ORDER_TYPES))
@@ -528,8 +529,9 @@ FROM (SELECT *, row_number() OVER (PARTITION BY store_id ORDER BY gap DESC, cate
     LEFT JOIN s_sheet_gaps g ON s.store_id = g.store_id LEFT JOIN s_sheet_near n ON s.store_id = n.store_id LEFT JOIN s_sheet_peers p ON s.store_id = p.store_id LEFT JOIN s_sheet_bench b ON s.store_id = b.store_id""",
 )
 def _(d: Data) -> DataFrame:
-    per_store, near = yearly_categories(d), peers(d)
-    kpis = store.store_kpis(d.s_stores, d.s_monthly, YEAR).select("store_id", "avg_yoy_pct")
+    monthly, per_store = stored(d.s_monthly, "s_monthly"), stored(yearly_categories(d), "s_category_sales")
+    near = store.similar_kpis(d.s_similar, d.s_stores, monthly, YEAR)
+    kpis = store.store_kpis(d.s_stores, monthly, YEAR).select("store_id", "avg_yoy_pct")
     sheet = store.fact_sheet(kpis, store.category_gaps(per_store), d.s_competitors, near, store.benchmark_gaps(per_store, near))
 
     def names(col: str, field: str):
@@ -628,7 +630,7 @@ def _(d: Data) -> DataFrame:
 
 @query("b40_category_ranking", "SELECT category_id, sum(subtotal)::DOUBLE AS total_sales, sum(quantity)::BIGINT AS total_qty FROM r_lines GROUP BY 1")
 def _(d: Data) -> DataFrame:
-    lines = d.lineitem.selectExpr("l_partkey AS item_id", "CAST(l_quantity AS INT) AS quantity", "CAST(l_extendedprice AS DECIMAL(18,2)) AS subtotal")
+    lines = d.lineitem.selectExpr("l_partkey AS item_id", "CAST(l_quantity AS INT) AS quantity", "floor(l_extendedprice) AS subtotal")
     joined = lines.join(d.r_items.select("item_id", "category_id"), "item_id")
     out = joined.groupBy("category_id").agg(F.sum("subtotal").cast("double").alias("total_sales"), F.sum("quantity").alias("total_qty"))
     return out.orderBy(F.desc("total_sales"), "category_id")

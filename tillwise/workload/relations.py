@@ -34,13 +34,13 @@ FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
 SELECT o_orderkey AS order_id, o_custkey AS user_id, o_orderkey % 120 AS store_id,
   o_orderdate + to_hours(CAST(CASE o_custkey % 4 WHEN 0 THEN 16 + o_orderkey % 3 WHEN 1 THEN 19 + o_orderkey % 5
     ELSE 9 + o_orderkey % 12 END AS INT)) AS order_datetime,
-  CAST(o_totalprice AS DECIMAL(18,2)) AS total_amount, CAST(o_orderkey % 15 + 1 AS INT) AS total_quantity,
+  CAST(floor(o_totalprice) AS BIGINT) AS total_amount, CAST(o_orderkey % 15 + 1 AS INT) AS total_quantity,
   o_orderstatus AS order_status
 FROM orders""",
     r_orders="SELECT h.*, s.store_name, s.store_area FROM r_heads h LEFT JOIN r_stores s ON h.store_id = s.store_id",
     r_lines="""
 SELECT l_orderkey * 10 + l_linenumber AS order_item_id, l_orderkey AS order_id, l_suppkey AS store_id,
-  l_partkey AS item_id, CAST(l_quantity AS INT) AS quantity, CAST(l_extendedprice AS DECIMAL(18,2)) AS subtotal,
+  l_partkey AS item_id, CAST(l_quantity AS INT) AS quantity, CAST(floor(l_extendedprice) AS BIGINT) AS subtotal,
   l_returnflag = 'R' AS cancel_flg, h.user_id, h.order_datetime, i.category_id, i.item_name, i.category_name,
   i.is_organic, i.is_discount_target, i.is_ready_to_eat, i.is_premium, s.store_name, s.store_area
 FROM lineitem JOIN r_heads h ON l_orderkey = h.order_id LEFT JOIN r_items i ON l_partkey = i.item_id
@@ -123,7 +123,7 @@ FROM events""",
     c_orders="""
 SELECT o_orderkey AS order_id, o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS order_date,
   o_orderpriority AS product_category, CAST(o_orderkey % 5 + 1 AS INT) AS quantity,
-  CAST((o_orderkey % 4) * 0.05 AS DECIMAL(8,2)) AS discount_applied, CAST(o_totalprice AS DECIMAL(18,2)) AS total_amount,
+  CAST((o_orderkey % 4) * 0.05 AS DECIMAL(8,2)) AS discount_applied, CAST(floor(o_totalprice) AS BIGINT) AS total_amount,
   CASE WHEN o_orderkey % 3 = 0 THEN 'EC' ELSE '店舗' END AS order_channel, o_orderstatus = 'F' AS returned,
   CASE WHEN o_orderstatus <> 'F' THEN NULL WHEN o_orderkey % 4 = 0 THEN '割引条件違い'
     WHEN o_orderkey % 4 = 1 THEN 'サイズ不一致' WHEN o_orderkey % 4 = 2 THEN 'イメージ違い' END AS return_reason
@@ -208,7 +208,7 @@ SELECT store_id, month, sales_amount, customer_count,
 FROM (
   SELECT *, first(sales_amount) OVER (PARTITION BY store_id ORDER BY mi RANGE BETWEEN 12 PRECEDING AND 12 PRECEDING) AS before
   FROM (SELECT l_suppkey AS store_id, CAST(date_trunc('month', l_shipdate) AS DATE) AS month,
-      sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS sales_amount, count(DISTINCT l_orderkey) AS customer_count,
+      sum(CAST(floor(l_extendedprice) AS BIGINT)) AS sales_amount, count(DISTINCT l_orderkey) AS customer_count,
       CAST(year(date_trunc('month', l_shipdate)) * 12 + month(date_trunc('month', l_shipdate)) AS INT) AS mi
     FROM lineitem GROUP BY ALL))""",
     s_yearly="""
@@ -216,7 +216,7 @@ SELECT store_id, CAST(sum(yoy_change) AS DOUBLE) / count(yoy_change) AS yoy, CAS
   CAST(sum(customer_count) AS DOUBLE) / count(*) AS customers, CAST(sum(avg_basket) AS DOUBLE) / count(avg_basket) AS basket, count(*) AS months
 FROM s_monthly WHERE year(month) = 2000 GROUP BY store_id""",
     s_category_sales="""
-SELECT l_suppkey AS store_id, p_type AS category_id, lower(p_type) AS category_name, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS sales
+SELECT l_suppkey AS store_id, p_type AS category_id, lower(p_type) AS category_name, sum(CAST(floor(l_extendedprice) AS BIGINT)) AS sales
 FROM lineitem JOIN part ON l_partkey = p_partkey WHERE year(l_shipdate) = 2000 GROUP BY ALL""",
     s_gaps="""
 SELECT a.store_id, a.category_name, round(a.sales::DOUBLE / 10000, 0) AS store_sales, round(b.avg_sales / 10000, 0) AS avg_sales_man,

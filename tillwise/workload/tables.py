@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ladders import RfmLimits
-from ..functions.scalar import money, month_start
+from ..functions.scalar import month_start
 from ..operators.windows import same_period_last_year
 from ..sources.constants import geo_dim
 
@@ -89,7 +89,7 @@ class Data:
             "o_orderkey AS order_id", "o_custkey AS user_id", "o_orderkey % 120 AS store_id",
             "o_orderdate + make_dt_interval(0, CAST(CASE o_custkey % 4 WHEN 0 THEN 16 + o_orderkey % 3 "
             "WHEN 1 THEN 19 + o_orderkey % 5 ELSE 9 + o_orderkey % 12 END AS INT), 0, 0) AS order_datetime",
-            "CAST(o_totalprice AS DECIMAL(18,2)) AS total_amount",
+            "floor(o_totalprice) AS total_amount",
             "CAST(o_orderkey % 15 + 1 AS INT) AS total_quantity", "o_orderstatus AS order_status",
         )
 
@@ -103,7 +103,7 @@ class Data:
         lines = self.lineitem.selectExpr(
             "l_orderkey * 10 + l_linenumber AS order_item_id", "l_orderkey AS order_id", "l_suppkey AS store_id",
             "l_partkey AS item_id", "CAST(l_quantity AS INT) AS quantity",
-            "CAST(l_extendedprice AS DECIMAL(18,2)) AS subtotal", "l_returnflag = 'R' AS cancel_flg",
+            "floor(l_extendedprice) AS subtotal", "l_returnflag = 'R' AS cancel_flg",
         )
         heads = self.order_times.select("order_id", "user_id", "order_datetime")
         return lines.join(heads, "order_id").join(self.r_items, "item_id", "left").join(self.r_stores, "store_id", "left")
@@ -151,7 +151,7 @@ class Data:
     def bz_orders(self) -> DataFrame:
         return self.order_times.selectExpr(
             "CAST(order_id AS STRING) AS order_id", "CAST(user_id AS STRING) AS user_id", "CAST(store_id AS STRING) AS store_id",
-            "CAST(order_datetime AS STRING) AS order_datetime", "CAST(CAST(floor(total_amount) AS BIGINT) AS STRING) AS total_amount",
+            "CAST(order_datetime AS STRING) AS order_datetime", "CAST(total_amount AS STRING) AS total_amount",
             "CAST(total_quantity AS STRING) AS total_quantity", "order_status",
         )
 
@@ -229,7 +229,7 @@ class Data:
             "o_orderkey AS order_id", "o_custkey AS customer_id", "CAST(o_orderdate AS DATE) AS order_date",
             "o_orderpriority AS product_category", "CAST(o_orderkey % 5 + 1 AS INT) AS quantity",
             "CAST((o_orderkey % 4) * 0.05BD AS DECIMAL(8,2)) AS discount_applied",
-            "CAST(o_totalprice AS DECIMAL(18,2)) AS total_amount", "IF(o_orderkey % 3 = 0, 'EC', '店舗') AS order_channel",
+            "floor(o_totalprice) AS total_amount", "IF(o_orderkey % 3 = 0, 'EC', '店舗') AS order_channel",
             "o_orderstatus = 'F' AS returned",
             "CASE WHEN o_orderstatus <> 'F' THEN NULL WHEN o_orderkey % 4 = 0 THEN '割引条件違い' "
             "WHEN o_orderkey % 4 = 1 THEN 'サイズ不一致' WHEN o_orderkey % 4 = 2 THEN 'イメージ違い' END AS return_reason",
@@ -270,7 +270,7 @@ class Data:
         """Sales per store and month, with the change against the same month a year ago."""
         month = month_start("l_shipdate")
         per = self.lineitem.groupBy(F.col("l_suppkey").alias("store_id"), month.alias("month")).agg(
-            F.sum(money("l_extendedprice")).alias("sales_amount"),
+            F.sum(F.floor("l_extendedprice")).alias("sales_amount"),
             F.count_distinct("l_orderkey").alias("customer_count"),
         )
         # a store has one row per calendar month, so its window stays small
@@ -287,7 +287,7 @@ class Data:
     def s_by_category(self) -> DataFrame:
         kinds = self.part.selectExpr("p_partkey AS l_partkey", "p_type AS category_id")
         return (
-            self.lineitem.select("l_suppkey", "l_partkey", month_start("l_shipdate").alias("month"), money("l_extendedprice").alias("x"))
+            self.lineitem.select("l_suppkey", "l_partkey", month_start("l_shipdate").alias("month"), F.floor("l_extendedprice").alias("x"))
             .join(kinds, "l_partkey")
             .groupBy(F.col("l_suppkey").alias("store_id"), "category_id", "month")
             .agg(F.sum("x").alias("sales_amount"))
