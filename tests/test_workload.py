@@ -10,7 +10,7 @@ from tests.oracle import compare, connect
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
-ROWS_ONLY = {"u05_exact_sample", "s13_audit_columns"}
+ROWS_ONLY = {"u05_exact_sample"}
 
 
 @pytest.fixture(scope="module")

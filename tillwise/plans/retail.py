@@ -193,16 +193,18 @@ def user_segments(
 ) -> DataFrame:
     """One row per user with orders: scores, segment, cluster and first order.
 
-    Everything that comes from the orders is one aggregation, so orders are shuffled
-    once for all of it; order lines are reduced to one row per user before the join.
+    All measures of the orders are one hash aggregation.  The first order needs a
+    struct, which would turn all of it into sorting, so it is aggregated apart; the
+    two meet partitioned by user.  Order lines are reduced to one row per user too.
     """
     per_user = orders.groupBy("user_id").agg(
-        *[c.alias(n) for n, c in rfm_measures(as_of).items()],
-        *order_measures(),
-        F.min(F.struct("order_datetime", "order_id")).alias("first_order"),
+        *[c.alias(n) for n, c in rfm_measures(as_of).items()], *order_measures()
     )
-    joined = with_order_rates(with_scores(per_user, rfm_limits)).join(
-        item_stats(lines, favourites), "user_id", "left"
+    first = orders.groupBy("user_id").agg(F.min(F.struct("order_datetime", "order_id")).alias("first_order"))
+    joined = (
+        with_order_rates(with_scores(per_user, rfm_limits))
+        .join(first, "user_id")
+        .join(item_stats(lines, favourites), "user_id", "left")
     )
     code = L.behavior_cluster(cluster_limits)
     return joined.select(

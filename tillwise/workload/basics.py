@@ -269,6 +269,17 @@ def _(d: Data) -> DataFrame:
     )
 
 
+@query(
+    "g12_churn_report",
+    """SELECT behavior_cluster, CASE WHEN days <= a THEN 'active' WHEN days <= i THEN 'intervention' WHEN days <= c THEN 'critical' ELSE 'churned' END AS band,
+    count(*) AS users, sum(days)::DOUBLE / count(*) AS mean_days
+    FROM (SELECT r.user_id, k.behavior_cluster, r.recency AS days FROM r_rfm r JOIN r_clusters k ON r.user_id = k.user_id)
+    JOIN (VALUES ('1',7,14,21),('2',5,10,14),('3',10,14,21),('4',7,10,14),('5',3,7,10),('',14,21,30)) t(code,a,i,c) ON coalesce(behavior_cluster,'') = code GROUP BY 1, 2""",
+)
+def _(d: Data) -> DataFrame:
+    return retail.churn_report(d.order_times, retail.user_clusters(d.order_times, d.r_lines), AS_OF)
+
+
 @query(
     "g13_label_mapping",
     """SELECT facility_name, CASE facility_type WHEN '駅' THEN 'station' WHEN '学校' THEN 'school' WHEN '公園' THEN 'park' WHEN 'コンビニ' THEN 'convenience' ELSE 'other' END AS label
@@ -352,6 +363,17 @@ def _(d: Data) -> DataFrame:
     return d.orders.filter(S.in_year("o_orderdate", 2000)).groupBy(F.month("o_orderdate").alias("m")).agg(F.count("*").alias("n"))
 
 
+@query(
+    "d11_split_time_stamp",
+    "SELECT event_id, CAST(ts AS DATE) AS call_date, strftime(ts, '%H:%M:%S') AS call_time FROM events",
+)
+def _(d: Data) -> DataFrame:
+    from ..plans.campaign import bronze_calls
+
+    raw = d.events.select(F.col("event_id").alias("call_id"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("call_datetime"))
+    return bronze_calls(raw).withColumnRenamed("call_id", "event_id")
+
+
 @query(
     "d12_fiscal_year",
     """SELECT o_orderkey, CAST(fy AS INT) AS fy, make_date(fy, 3, 1) AS fy_start, CAST(make_date(fy + 1, 3, 1) - INTERVAL 1 DAY AS DATE) AS fy_end

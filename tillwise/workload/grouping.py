@@ -466,3 +466,10 @@ def _(d: Data) -> DataFrame:
 def _(d: Data) -> DataFrame:
     """Five percent of the orders, to the row."""
     return U.sample_exact(d.orders, d.orders.count() // 20, ["o_orderkey"], seed=7)
+
+
+@query("u05_sample_size", "SELECT count(*) // 20 AS n, count(*) // 20 AS known_orders FROM orders")
+def _(d: Data) -> DataFrame:
+    picked = U.sample_exact(d.orders, d.orders.count() // 20, ["o_orderkey"], seed=7)
+    known = picked.join(d.orders.select("o_orderkey"), "o_orderkey", "left_semi")
+    return known.agg(F.count("*").alias("n"), F.count_distinct("o_orderkey").alias("known_orders"))

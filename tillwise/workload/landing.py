@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import sets as U
+from ..operators.aggregates import counts
 from ..plans import shop
 from ..session import scratch_path
 from ..sinks import tables as K
@@ -157,9 +158,12 @@ def _(d: Data) -> DataFrame:
     return d.spark.read.parquet(f"{base}/out")
 
 
-@query("s13_audit_columns")
+@query("s13_audit_columns", "SELECT o_orderkey, 'orders.parquet' AS file_name, true AS has_load_time FROM orders")
 def _(d: Data) -> DataFrame:
-    return S.with_audit(d.orders)
+    loaded = S.with_audit(d.orders)
+    return loaded.select(
+        "o_orderkey", F.element_at(F.split("_source_file", "/"), -1).alias("file_name"), c("_ingested_at").isNotNull().alias("has_load_time")
+    )
 
 
 @query(
@@ -191,6 +195,47 @@ def _(d: Data) -> DataFrame:
     return d.spark.read.parquet(path)
 
 
+def fresh_database(d: Data) -> str:
+    """An empty database whose tables live in the shared folder."""
+    path = scratch_path(d.spark, "db")
+    name = "tillwise_" + path.rsplit("-", 1)[1]
+    d.spark.sql(f"CREATE DATABASE {name} LOCATION '{path}'")
+    return name
+
+
+@query("k02_replace_table", "SELECT o_orderkey, o_totalprice * 2 AS doubled FROM orders WHERE o_orderstatus = 'F'")
+def _(d: Data) -> DataFrame:
+    """A table replaced by a query over itself, with other columns."""
+    name = f"{fresh_database(d)}.gd_orders"
+    K.overwrite(d.orders, name)
+    again = d.spark.table(name).filter("o_orderstatus = 'F'").selectExpr("o_orderkey", "o_totalprice * 2 AS doubled")
+    K.replace_table(d.spark, name, again)
+    return S.read_table(d.spark, name)
+
+
+@query("k06_reset_layer", "SELECT 'sl_customers' AS table_name, count(*) AS row_count FROM customer")
+def _(d: Data) -> DataFrame:
+    """Only the tables of the other layer are left."""
+    db = fresh_database(d)
+    K.overwrite(d.customer, f"{db}.sl_customers")
+    K.overwrite(d.customer.filter("c_acctbal > 0"), f"{db}.gd_customers")
+    K.overwrite(d.nation, f"{db}.gd_nations")
+    K.reset_layer(d.spark, db, "gd_")
+    left = [r["tableName"] for r in d.spark.sql(f"SHOW TABLES IN {db}").collect()]
+    return counts({t: d.spark.table(f"{db}.{t}") for t in left})
+
+
+@query(
+    "k07_comments",
+    """SELECT * FROM (VALUES ('o_orderkey', 'the order''s id'), ('o_custkey', '顧客ID'), ('o_orderstatus', NULL), ('o_totalprice', NULL), ('o_orderdate', NULL), ('o_orderpriority', NULL)) t(col_name, comment)""",
+)
+def _(d: Data) -> DataFrame:
+    name = f"{fresh_database(d)}.bz_orders"
+    K.overwrite(d.orders, name)
+    K.describe(d.spark, name, "all orders", {"o_orderkey": "the order's id", "o_custkey": "顧客ID"})
+    return d.spark.sql(f"DESCRIBE TABLE {name}").select("col_name", "comment")
+
+
 @query("k03_append_stream", "SELECT event_id, user_id, event_type FROM events")
 def _(d: Data) -> DataFrame:
     stream, base = streamed(d, "k03", d.events.select("event_id", "user_id", "event_type"))
@@ -280,6 +325,44 @@ def _(d: Data) -> DataFrame:
     return R.dedup_events(d.events, ["user_id", "event_type"], "ts").select("user_id", "event_type", "event_id", "ts")
 
 
+@query(
+    "r01_watermark",
+    "SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1",
+)
+def _(d: Data) -> DataFrame:
+    stream, base = streamed(d, "r01", d.events.select("event_id", "ts"))
+    I.append_flow(R.with_event_time(stream, "ts"), f"{base}/out", f"{base}/checkpoint")
+    return d.spark.read.parquet(f"{base}/out").groupBy(F.to_date("ts").alias("day")).agg(F.count("*").alias("n"))
+
+
+@query(
+    "r03_late_rows",
+    """SELECT (SELECT count(*) FROM events WHERE ts >= TIMESTAMP '2024-01-15') AS kept, (SELECT count(*) FROM events WHERE ts < TIMESTAMP '2024-01-14') AS late""",
+)
+def _(d: Data) -> DataFrame:
+    """The second half of the month arrives first; the first half is then too late."""
+    base = scratch_path(d.spark, "r03")
+    rows = d.events.select("event_id", "ts")
+    late = 0
+    for part in ("ts >= TIMESTAMP_NTZ'2024-01-15'", "ts < TIMESTAMP_NTZ'2024-01-14'"):
+        K.append_merged(rows.filter(part), f"{base}/in")
+        once = R.dedup_stream(I.stream_table(d.spark, f"{base}/in", rows.schema), ["event_id"], "ts")
+        late += R.late_rows(I.append_flow(once, f"{base}/out", f"{base}/checkpoint"))
+    return d.spark.read.parquet(f"{base}/out").agg(F.count("*").alias("kept"), F.lit(late).cast("bigint").alias("late"))
+
+
+@query("r04_run_until_caught_up", "SELECT count(*) AS n FROM orders")
+def _(d: Data) -> DataFrame:
+    """Many small micro-batches in one run; a second run finds nothing to do."""
+    base = scratch_path(d.spark, "r04")
+    rows = d.orders.select("o_orderkey", "o_orderdate")
+    K.overwrite(rows.repartition(8, "o_orderkey"), f"{base}/in")
+    for _run in range(2):
+        stream = I.stream_table(d.spark, f"{base}/in", rows.schema, max_files=3)
+        I.append_flow(stream, f"{base}/out", f"{base}/checkpoint")
+    return d.spark.read.parquet(f"{base}/out").agg(F.count("*").alias("n"))
+
+
 @query("r05_stream_projection", "SELECT event_id, strftime(ts, '%Y-%m-%d') AS day, value >= 50 AS valid FROM events")
 def _(d: Data) -> DataFrame:
     stream, base = streamed(d, "r05", d.events.select("event_id", "ts", "value"))
