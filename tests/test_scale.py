@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tillwise.functions.scalar import in_year
-from tillwise.operators import joins as J
+from tillwise.operators import skew as J
 from tillwise.operators import topk as T
 from tillwise.operators import windows as W
 
@@ -77,3 +77,71 @@ def test_exact_sample(skewed, n):
     if 0 < n < 20_000:
         by_hash = skewed.orderBy(F.xxhash64(F.lit(3), "id"), "id").limit(n)
         assert ids == sorted(r["id"] for r in by_hash.collect())
+
+
+@pytest.fixture
+def tiny_skew_limits(spark):
+    """Limits that make a small table count as skewed, and no broadcast joins."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_hot_user_is_split_in_the_order_join(spark, tiny_skew_limits, tmp_path):
+    """A third of the orders belong to one user; the join of orders and segments splits them."""
+    from tillwise.plans import retail
+
+    raw = spark.range(0, 60_000, 1, 6).selectExpr(
+        "id AS order_id", "CASE WHEN id % 3 = 0 THEN 1 ELSE id % 5000 END AS user_id", "id % 7 AS store_id", "CAST(NULL AS STRING) AS store_name",
+        "CAST(NULL AS STRING) AS store_area", "TIMESTAMP_NTZ'2024-01-01 10:00:00' + make_dt_interval(CAST(id % 300 AS INT)) AS order_datetime",
+        "id % 1000 AS total_amount", "1 AS total_quantity", "CAST(xxhash64(id) AS STRING) AS order_status",
+    )
+    raw.write.parquet(str(tmp_path / "orders"))
+    orders = spark.read.parquet(str(tmp_path / "orders"))
+    users = spark.range(5000).selectExpr("id AS user_id", "DATE'2024-01-01' AS registration_date")
+    lines = orders.selectExpr("user_id", "store_id * 100 AS category_id", "true AS is_organic", "false AS is_premium", "false AS is_discount_target", "true AS is_ready_to_eat")
+    out = retail.gold_orders(orders, users, retail.user_segments(orders, lines, dt.date(2025, 1, 1)))
+    assert len(out.collect()) == 60_000
+    assert "skew=true" in plan(out)
+
+
+def hot_joins(spark, fact):
+    """Every operator that joins rows to something grouped by a possibly hot key."""
+    from tillwise.operators import filters, joins
+    from tillwise.operators.cdc import apply_changes
+
+    log = spark.range(5000).selectExpr("id AS k", "id AS seq", "concat('name', id) AS name")
+    dim = apply_changes(log, ["k"], ["seq"])
+    return {
+        "enrich": joins.enrich(fact, dim, "k", ["name"], matched="found"),
+        "join_first": joins.join_first(fact, log, "k", [F.col("seq").asc()], ["name"]),
+        "share": W.share_within(fact, ["k"], "x", "part"),
+        "having": filters.having_entity(fact, "k", F.col("n") > 0, {"n": F.count("*")}),
+    }
+
+
+@pytest.mark.parametrize("name", ["enrich", "join_first", "share", "having"])
+def test_hot_key_is_split(spark, tiny_skew_limits, tmp_path, name):
+    spark.range(0, 60_000, 1, 6).selectExpr(
+        "IF(id % 3 = 0, 1, id % 5000) AS k", "id AS x", "CAST(xxhash64(id) AS STRING) AS pad"
+    ).write.parquet(str(tmp_path / "fact"))
+    out = hot_joins(spark, spark.read.parquet(str(tmp_path / "fact")))[name]
+    assert len(out.collect()) == 60_000
+    assert "skew=true" in plan(out)
+
+
+def test_share_keeps_rows_without_group(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 2.0)], "g string, x double")
+    assert rows(W.share_within(df, ["g"], "x", "s")) == [("a", 2.0, 1.0), (None, 1.0, 0.25), (None, 3.0, 0.75)]

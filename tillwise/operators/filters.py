@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import conjunction
+from .skew import skew_safe_join
 
 
 def apply_filters(
@@ -43,7 +44,7 @@ def having_entity(df: DataFrame, entity: str, condition: Column, aggregates: Map
     The aggregates are reduced to one row per entity before the semi join.
     """
     chosen = df.groupBy(entity).agg(*[c.alias(n) for n, c in aggregates.items()]).filter(condition)
-    return df.join(chosen.select(entity), entity, "left_semi")
+    return skew_safe_join(df, chosen.select(entity), [entity], "left_semi")
 
 
 def flag(pred: Column) -> Column:

@@ -8,6 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .skew import same_bucket, skew_safe_join
 from .windows import first_row
 
 
@@ -24,7 +25,8 @@ def enrich(
 
     ``on`` maps fact key to dimension key.  ``matched`` names a boolean column that
     tells whether the key was found; ``key_type`` casts both keys first, and a key
-    that does not convert finds nothing.
+    that does not convert finds nothing.  Hot fact keys stay splittable, also when the
+    dimension was just grouped by the key.
     """
     pairs = {on: on} if isinstance(on, str) else dict(on)
     tmp = {f: f"__key_{i}" for i, f in enumerate(pairs)}
@@ -34,11 +36,10 @@ def enrich(
     )
     if matched:
         right = right.withColumn(matched, F.lit(True))
-    cond: Column | None = None
-    for f in pairs:
-        left_key = F.col(f).try_cast(key_type) if key_type else F.col(f)
-        eq = left_key == F.col(tmp[f])
-        cond = eq if cond is None else cond & eq
+    left_keys = [F.col(f).try_cast(key_type) if key_type else F.col(f) for f in pairs]
+    cond = same_bucket(*left_keys) == same_bucket(*tmp.values())
+    for key, name in zip(left_keys, tmp.values()):
+        cond = cond & (key == F.col(name))
     out = fact.join(right, cond, "left").drop(*tmp.values())
     if matched:
         out = out.withColumn(matched, F.coalesce(F.col(matched), F.lit(False)))
@@ -50,7 +51,7 @@ def join_first(
 ) -> DataFrame:
     """Left join with only the first right-hand row per key, so rows never multiply."""
     first = first_row(right, [on], order).select(on, *cols)
-    return left.join(first, on, "left")
+    return skew_safe_join(left, first, [on], "left")
 
 
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
@@ -64,40 +65,3 @@ def vs_group(per_entity: DataFrame, on: Sequence[str], value: str, reference: Da
     out = per_entity.join(reference, list(on))
     gap = F.col(value) - F.col(ref_value)
     return out.withColumns({"gap": gap, "gap_ratio": F.try_divide(gap, F.col(ref_value))})
-
-
-def hot_keys(df: DataFrame, key: str, share: int = 1000) -> DataFrame:
-    """Keys holding more than one ``share``-th of the rows.
-
-    At most ``share`` keys can qualify, whatever the size of the data, which makes
-    this set safe to broadcast.
-    """
-    counts = df.groupBy(key).agg(F.count("*").alias("__n"))
-    total = df.agg(F.count("*")).scalar()
-    return counts.filter(F.col("__n") * F.lit(share) > total).select(F.col(key).alias("__hot"))
-
-
-def salted_join(
-    fact: DataFrame, dim: DataFrame, key: str, row_id: Sequence[str], salts: int = 64, share: int = 1000
-) -> DataFrame:
-    """Left join on a key that a few hot values dominate.
-
-    Fact rows of a hot key are spread over ``salts`` buckets by a hash of the row
-    identity and the matching dimension rows repeated once per bucket; every other
-    key keeps bucket zero.  AQE does the like at run time; this form also holds when
-    the join result must stay partitioned by the key.
-    """
-    hot = F.broadcast(hot_keys(fact, key, share))
-    spread = F.pmod(F.xxhash64(*row_id), F.lit(salts)).cast("int")
-    left = (
-        fact.join(hot, F.col(key) == F.col("__hot"), "left")
-        .withColumn("__salt", F.when(F.col("__hot").isNotNull(), spread).otherwise(F.lit(0)))
-        .drop("__hot")
-    )
-    copies = F.when(F.col("__hot").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    right = (
-        dim.join(hot, F.col(key) == F.col("__hot"), "left")
-        .withColumn("__salt", F.explode(copies))
-        .drop("__hot")
-    )
-    return left.join(right, [key, "__salt"], "left").drop("__salt")

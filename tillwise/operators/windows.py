@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scalar import Col, _c
+from .skew import skew_safe_join
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, rank: str | None = None) -> DataFrame:
@@ -124,7 +125,7 @@ def share_within(df: DataFrame, keys: Sequence[str], value: Col, out: str) -> Da
     valued = df.withColumn("__v", _c(value).cast("double"))
     sums = valued.groupBy(*keys).agg(F.sum("__v").alias("__sum"))
     return (
-        valued.join(sums, list(keys))
+        skew_safe_join(valued, sums, keys, "inner", null_safe=True)
         .withColumn(out, F.try_divide(F.col("__v"), F.col("__sum")))
         .drop("__v", "__sum")
     )

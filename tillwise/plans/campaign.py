@@ -13,6 +13,7 @@ from ..functions.ladders import age_group5, ladder, resolution_group
 from ..functions.scalar import month_start, rate, to_date_safe, to_timestamp_safe, week_start
 from ..operators.aggregates import ever, flag_rate, mean, with_share
 from ..operators.filters import apply_filters, flag
+from ..operators.skew import skew_safe_join
 from ..operators.text import TRANSCRIPT_RULES, COMPETITOR_PATTERN, FieldRules, extract_fields, summarize
 from ..operators.topk import top_k
 from ..operators.windows import first_row, mode_by
@@ -113,7 +114,7 @@ def dashboard_fact(
     """
     profile = customer_profile(customers, exposures, calls, geo, place)
     c = F.col
-    return orders.join(profile, "customer_id").select(
+    return skew_safe_join(orders, profile, ["customer_id"], "inner").select(
         "order_id", "order_date",
         month_start("order_date").alias("order_month"),
         week_start("order_date").alias("order_week"),

@@ -19,6 +19,7 @@ from ..functions.scalar import (
 )
 from ..operators.filters import flag
 from ..operators.joins import enrich
+from ..operators.skew import skew_safe_join
 from ..operators.windows import dedup_latest, first_event_flag, first_last_growth
 from ..operators.aggregates import index_to_mean
 
@@ -260,7 +261,7 @@ def gold_orders(orders: DataFrame, users: DataFrame, segments: DataFrame, days:
         F.col("order_id").isNotNull(), F.coalesce(F.col("order_id") == F.col("__first"), F.lit(False))
     )
     return (
-        orders.join(profile, "user_id", "left")
+        skew_safe_join(orders, profile, ["user_id"], "left")
         .withColumns(order_calendar())
         .withColumn("is_first_order", first)
         .select(
@@ -280,8 +281,7 @@ def gold_order_items(
     flags = first_order_flags(orders, users, days)
     profile = segments.select("user_id", "behavior_cluster", *SCORE_COLS)
     return (
-        lines.join(flags, "order_id", "left")
-        .join(profile, "user_id", "left")
+        skew_safe_join(lines.join(flags, "order_id", "left"), profile, ["user_id"], "left")
         .withColumns(order_calendar())
         .select(
             "order_item_id", "order_id", "user_id", "store_id", *STORE_REF, "item_id", "item_name",
