@@ -6,10 +6,11 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.oracle import compare, connect
+from tillwise import workload
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = workload.all_queries(), workload.all_sql()
 ROWS_ONLY = {"u05_exact_sample"}
 
 
@@ -34,6 +35,8 @@ def test_query(spark, con, name):
 
 def test_names():
     assert set(SQL) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(SQL) <= set(entry.oracle_sql())
     assert set(QUERIES) - set(SQL) == ROWS_ONLY
 
 
