@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from . import exact_dedup
+from . import bpe_codec, exact_dedup, token_count
 from .common import table
 
+#: Where the vocabulary files lie; the same on every executor.
+VOCABULARIES = "/opt/tokenizers"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -38,3 +40,13 @@ AZ = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmn
 )
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_exact(table(spark, sf_dir, "documents"), keep="largest")
+
+
+@query("op4_token_counts")
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.count_tokens(table(spark, sf_dir, "documents"), f"{VOCABULARIES}/word_bpe_49k.json")
+
+
+@query("op7_bpe_round_trip")
+def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_codec.round_trip(table(spark, sf_dir, "documents"), f"{VOCABULARIES}/byte_bpe_50k.json")
