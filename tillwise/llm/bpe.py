@@ -17,7 +17,7 @@ from dataclasses import dataclass
 import regex
 
 #: White space as the library's patterns see it (the Unicode property).
-SPACE = r"\t-\r \x85\xa0  -     　"
+SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 #: The word patterns of the two supported kinds of vocabulary.
 BYTE_WORDS = regex.compile(
@@ -125,6 +125,9 @@ class Recent(dict):
         value = self.older.get(key)
         if value is None:
             value = self.compute(key)
+        return self.put(key, value)
+
+    def put(self, key, value):
         if len(self) >= self.limit:
             self.older = dict(self)
             self.clear()

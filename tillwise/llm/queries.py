@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, exact_dedup, token_count
+from . import bpe_codec, exact_dedup, packing, token_count
 from .common import table
 
 #: Where the vocabulary files lie; the same on every executor.
@@ -50,3 +50,8 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_bpe_round_trip")
 def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.round_trip(table(spark, sf_dir, "documents"), f"{VOCABULARIES}/byte_bpe_50k.json")
+
+
+@query("op6_retrieval_packing")
+def op6_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), f"{VOCABULARIES}/word_bpe_49k.json")
