@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe_codec, exact_dedup, packing, token_count
+from . import bpe_codec, exact_dedup, line_dedup, packing, token_count
 from .common import table
 
 #: Where the vocabulary files lie; the same on every executor.
@@ -55,3 +56,27 @@ def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_retrieval_packing")
 def op6_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), f"{VOCABULARIES}/word_bpe_49k.json")
+
+
+@query(
+    "op2_line_dedup",
+    f"""
+    WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+    l AS (
+        SELECT doc_id, i, lines[i] AS line,
+               trim({AZ.format('lines[i]')}, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS key
+        FROM d, unnest(range(1, len(lines) + 1)) AS u(i)
+    ),
+    r AS (
+        SELECT key, min(doc_id) AS first_doc FROM l WHERE length(key) >= 10
+        GROUP BY key HAVING min(doc_id) < max(doc_id)
+    ),
+    m AS (SELECT doc_id, i, line, first_doc IS NOT NULL AND doc_id > first_doc AS gone FROM l LEFT JOIN r USING (key))
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+    FROM m GROUP BY doc_id
+    """,
+)
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
