@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, exact_dedup, line_dedup, packing, token_count, topk
+from . import bpe_codec, exact_dedup, html_text, line_dedup, packing, token_count, topk
 from .common import table
 
 #: Where the vocabulary files lie; the same on every executor.
@@ -100,3 +100,9 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+@query("op3_html_text")
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html_text.extract_text(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
