@@ -47,7 +47,7 @@ WORDS = {"word", "link"}
 LIMITS = ((-2.0, -0.05), (-1.0, 1.0))
 
 #: Weights of what no labelled page shows.
-UNSEEN = {"word": 1.0, "link": -0.5, "tag": -0.3, "aside": -0.3}
+UNSEEN = {"word": 1.0, "link": -0.5, "tag": -0.3, "aside": -0.3, "outside": -1.0}
 
 
 def beside(name: str, attrs: str, within: bool) -> bool:
@@ -169,7 +169,7 @@ def main_text(page: str, weights: dict[str, float]) -> str:
     best, best_at, total, start = 0.0, (0, 0), 0.0, 0
     for n, (text, kind, within) in enumerate(found):
         size = len(text.split()) if kind in WORDS else 1
-        weight = weights.get(feature(text, kind, within, marked), UNSEEN[kind])
+        weight = weights.get(feature(text, kind, within, marked), UNSEEN["outside" if marked and not within else kind])
         total += size * weight
         if total <= 0:
             total, start = 0.0, n + 1
