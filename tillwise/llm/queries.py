@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, exact_dedup, html_text, line_dedup, packing, token_count, topk
+from . import bpe_codec, exact_dedup, html_text, line_dedup, packing, quality, token_count, topk
 from .common import table
 
 #: Where the vocabulary files lie; the same on every executor.
@@ -106,3 +106,85 @@ def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = html_text.extract_text(table(spark, sf_dir, "pages"))
     return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+QUALITY_SQL = r"""
+WITH t AS (
+    SELECT doc_id, coalesce(source, '') AS host, coalesce(lang, '') AS path, coalesce(text, '') AS text,
+           strlen(coalesce(text, '')) + 30 AS n,
+           list_filter(regexp_split_to_array(coalesce(text, ''), '[\x09-\x0D\x20]+'), lambda w: w <> '') AS words
+    FROM documents
+),
+bins AS (
+    SELECT doc_id, host, path, unnest([
+        {'f': 'signs', 'size': 21, 'bin': 20 * strlen(regexp_replace(text, '[^!#$%&*+/<=>@\[\\\]^_{|}~]', '', 'g')) // n},
+        {'f': 'capitals', 'size': 21, 'bin': 20 * strlen(regexp_replace(text, '[^A-Z]', '', 'g')) // n},
+        {'f': 'digits', 'size': 21, 'bin': 20 * strlen(regexp_replace(text, '[^0-9]', '', 'g')) // n},
+        {'f': 'foreign', 'size': 21, 'bin': 20 * strlen(regexp_replace(text, '[\x00-\x7F]', '', 'g')) // n},
+        {'f': 'word_length', 'size': 32, 'bin':
+            least(31, (strlen(regexp_replace(text, '[\x09-\x0D\x20]', '', 'g')) + 30) // (len(words) + 5))},
+        {'f': 'repeats', 'size': 21, 'bin':
+            20 * len(list_filter(range(1, len(words)), lambda i: words[i] = words[i + 1])) // greatest(1, len(words))},
+        {'f': 'variety', 'size': 176, 'bin':
+            11 * least(15, length(bin(greatest(1, len(words)))) - 1) + 10 * len(list_distinct(words)) // greatest(1, len(words))}
+    ]) AS x FROM t
+),
+marks AS (
+    SELECT doc_id, min(CASE WHEN quality > 0 THEN 1 ELSE 0 END) AS good FROM labels WHERE quality IS NOT NULL GROUP BY doc_id
+),
+classes AS (SELECT sum(good) AS good, sum(1 - good) AS bad FROM marks JOIN documents USING (doc_id)),
+counts AS (
+    SELECT x.f AS f, x.bin AS bin, coalesce(sum(m.good), 0) AS good, coalesce(sum(1 - m.good), 0) AS bad
+    FROM bins LEFT JOIN marks m USING (doc_id) GROUP BY ALL
+),
+odds AS (
+    SELECT f, bin, floor(1000 * (
+        ln((c.good + 2 * (k.good + 1) / (k.good + k.bad + 2)) / (k.good + 1))
+        - ln((c.bad + 2 * (k.bad + 1) / (k.good + k.bad + 2)) / (k.bad + 1))) + 0.5)::BIGINT AS odds
+    FROM counts c, classes k
+),
+rows AS (
+    SELECT doc_id, host, path, sum(odds)::BIGINT AS evidence
+    FROM bins b JOIN odds o ON b.x.f = o.f AND b.x.bin = o.bin GROUP BY ALL
+),
+scored AS (
+    SELECT r.*, coalesce(1000 * m.good,
+        floor(1000 / (1 + exp(-(evidence / 1000 + (SELECT ln((good + 1) / (bad + 1)) FROM classes)))) + 0.5)) AS s
+    FROM rows r LEFT JOIN marks m USING (doc_id)
+),
+total AS (SELECT (sum(s) / 1000 + 1) / (count(*) + 2) AS rate FROM scored),
+hosts AS (SELECT host, sum(s) AS s, count(*) AS n FROM scored GROUP BY host),
+host_spread AS (
+    SELECT sum(rate * (1 - rate)) AS chance, count(*) AS k,
+           (sum(n * (s / (1000 * n) - rate) * (s / (1000 * n) - rate)) - sum(rate * (1 - rate))) / sum(n) AS variance
+    FROM hosts, total
+),
+host_drawn AS (
+    SELECT CASE WHEN variance <= 0 THEN 1000 ELSE least(greatest(round(chance / k / variance), 2), 1000) END AS m FROM host_spread
+),
+host_rates AS (SELECT host, (s / 1000 + m * rate) / (n + m) AS host_rate FROM hosts, total, host_drawn),
+paths AS (
+    SELECT host, path, host_rate, s, n
+    FROM (SELECT host, path, sum(s) AS s, count(*) AS n FROM scored GROUP BY host, path) JOIN host_rates USING (host)
+),
+path_spread AS (
+    SELECT sum(host_rate * (1 - host_rate)) AS chance, count(*) AS k,
+           (sum(n * (s / (1000 * n) - host_rate) * (s / (1000 * n) - host_rate)) - sum(host_rate * (1 - host_rate))) / sum(n) AS variance
+    FROM paths
+),
+path_drawn AS (
+    SELECT CASE WHEN variance <= 0 THEN 1000 ELSE least(greatest(round(chance / k / variance), 2), 1000) END AS m FROM path_spread
+),
+sites AS (SELECT host, path, host_rate, (s / 1000 + m * host_rate) / (n + m) AS path_rate FROM paths, path_drawn),
+final AS (
+    SELECT doc_id, evidence, floor(10000 * host_rate + 0.5)::BIGINT AS host_rate, floor(10000 * path_rate + 0.5)::BIGINT AS path_rate,
+           floor(10000 / (1 + exp(-(ln(path_rate / (1 - path_rate)) + evidence / 1000))) + 0.5)::BIGINT AS quality
+    FROM rows JOIN sites USING (host, path)
+)
+SELECT *, quality >= 5000 AS kept FROM final
+"""
+
+
+@query("op1_quality", QUALITY_SQL)
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
