@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, exact_dedup, html_text, line_dedup, packing, quality, token_count, topk
+from . import bpe_codec, exact_dedup, html_text, line_dedup, near_dup, packing, quality, token_count, topk
 from .common import table
 
 #: Where the vocabulary files lie; the same on every executor.
@@ -188,3 +188,39 @@ SELECT *, quality >= 5000 AS kept FROM final
 @query("op1_quality", QUALITY_SQL)
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query(
+    "op5_near_duplicates",
+    f"""
+    WITH RECURSIVE w AS (
+        SELECT doc_id, list_filter(regexp_split_to_array({AZ.format('text')}, '[\\x09-\\x0D\\x20]+'), lambda x: x <> '') AS words
+        FROM documents
+    ),
+    s AS (
+        SELECT doc_id, unnest(list_distinct(CASE
+            WHEN len(words) = 0 THEN []
+            WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+            ELSE list_transform(range(1, len(words) - 1), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2])
+        END)) AS shingle FROM w
+    ),
+    n AS (SELECT doc_id, count(shingle) AS n_shingles FROM w LEFT JOIN s USING (doc_id) GROUP BY doc_id),
+    shared AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k
+        FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+    ),
+    links AS (
+        SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+        WHERE 100 * k >= 85 * (x.n_shingles + y.n_shingles - k)
+    ),
+    sides AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+    reach AS (
+        SELECT doc_id AS a, doc_id AS b FROM documents
+        UNION SELECT reach.a, sides.b FROM reach JOIN sides ON reach.b = sides.a
+    ),
+    c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+    SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM n JOIN c USING (doc_id)
+    """,
+)
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.mark_near(table(spark, sf_dir, "documents"), size=3, percent=85)
