@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, exact_dedup, html_text, line_dedup, near_dup, packing, quality, token_count, topk
+from . import bpe_codec, exact_dedup, html_text, line_dedup, near_dup, packing, quality, sharding, token_count, topk
 from .common import table
 
 #: Where the vocabulary files lie; the same on every executor.
@@ -224,3 +224,8 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.mark_near(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
+@query("op8_hilbert_shards")
+def op8_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_by_curve(table(spark, sf_dir, "documents"))
