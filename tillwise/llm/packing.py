@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import zlib
 from collections.abc import Iterator
@@ -47,14 +48,18 @@ class LibraryEncoder:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         chunks = [t.replace("\n", " ").split(" ") for t in texts]
-        new = set().union(*chunks).difference(self.known, self.known.older)
-        if new:
-            order = sorted(new)
-            for chunk, ids in zip(order, self.encode(order)):
-                self.known.put(chunk, ids)
+        new = [c for c in set().union(*chunks) if c not in self.known and c not in self.known.older]
+        for chunk, ids in zip(new, self.encode(new) if new else ()):
+            self.known.put(chunk, ids)
         return [b"".join(map(self.known.__getitem__, c)) for c in chunks]
 
 
+@functools.lru_cache(maxsize=2)
+def encoder(path: str) -> LibraryEncoder:
+    """One for all tasks that a Python worker runs, so they share what it knows."""
+    return LibraryEncoder(path)
+
+
 class Index:
     """An inverted index of one shard: postings by term, weighted by BM25."""
 
@@ -202,7 +207,7 @@ def pack(
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = LibraryEncoder(vocabulary), pack_ids([end_id])
+        encode, end = encoder(vocabulary), pack_ids([end_id])
         packer = Packer(window, TaskContext.get().partitionId() << 40, query_terms)
         names, held, size, id_type = [], [], 0, pa.null()
 
