@@ -40,6 +40,10 @@ def test_sequence_of_a_hot_entity(spark, skewed):
     assert got.join(plain, "id").filter("seq <> want").count() == 0
 
 
+def test_sequence_narrows_its_buckets(spark, skewed):
+    assert [W._bucket_unit(skewed, "k", "ts", n) for n in (20_000, 1000, 20, 1)] == ["month", "day", "hour", "minute"]
+
+
 def test_sequence_keeps_rows_without_entity(spark):
     df = spark.createDataFrame([(1, None, dt.datetime(2024, 1, 1)), (2, None, dt.datetime(2024, 2, 1)), (3, 5, None)], "id int, k int, ts timestamp_ntz")
     assert rows(W.event_sequence(df, "k", "ts", ["id"]).select("id", "seq")) == [(1, 1), (2, 2), (3, 1)]
@@ -75,7 +79,7 @@ def test_exact_sample(skewed, n):
     assert len(ids) == len(set(ids)) == min(n, 20_000)
     assert ids == sorted(r["id"] for r in sample_exact(skewed.repartition(7), n, ["id"], seed=3).collect())
     if 0 < n < 20_000:
-        by_hash = skewed.orderBy(F.xxhash64(F.lit(3), "id"), "id").limit(n)
+        by_hash = skewed.orderBy(F.md5(F.concat(F.lit("3:"), F.col("id").cast("string"))), "id").limit(n)
         assert ids == sorted(r["id"] for r in by_hash.collect())
 
 
@@ -121,6 +125,7 @@ def hot_joins(spark, fact):
     """Every operator that joins rows to something grouped by a possibly hot key."""
     from tillwise.operators import filters, joins
     from tillwise.operators.cdc import apply_changes
+    from tillwise.plans import store
 
     log = spark.range(5000).selectExpr("id AS k", "id AS seq", "concat('name', id) AS name")
     dim = apply_changes(log, ["k"], ["seq"])
@@ -129,10 +134,20 @@ def hot_joins(spark, fact):
         "join_first": joins.join_first(fact, log, "k", [F.col("seq").asc()], ["name"]),
         "share": W.share_within(fact, ["k"], "x", "part"),
         "having": filters.having_entity(fact, "k", F.col("n") > 0, {"n": F.count("*")}),
+        "vs_group": joins.vs_group(fact, ["k"], "x", fact.groupBy("k").agg(F.avg("x").alias("mean")), "mean"),
+        "category_gaps": store.category_gaps(
+            fact.selectExpr("x AS store_id", "k AS category_id", "pad AS category_name", "x AS sales")
+        ),
+        "similar_kpis": store.similar_kpis(
+            fact.selectExpr("x AS store_id", "k AS similar_store_id", "1 AS similarity_rank", "pad AS similarity_score"),
+            spark.range(5000).selectExpr("id AS store_id", "'s' AS store_name", "'p' AS prefecture"),
+            spark.range(5000).selectExpr("id AS store_id", "DATE'2024-01-01' AS month", "1.0D AS sales_amount", "0.1D AS yoy_change", "1 AS customer_count", "1.0D AS avg_basket"),
+            2024,
+        ),
     }
 
 
-@pytest.mark.parametrize("name", ["enrich", "join_first", "share", "having"])
+@pytest.mark.parametrize("name", ["enrich", "join_first", "share", "having", "vs_group", "category_gaps", "similar_kpis"])
 def test_hot_key_is_split(spark, tiny_skew_limits, tmp_path, name):
     spark.range(0, 60_000, 1, 6).selectExpr(
         "IF(id % 3 = 0, 1, id % 5000) AS k", "id AS x", "CAST(xxhash64(id) AS STRING) AS pad"

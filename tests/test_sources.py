@@ -1,7 +1,9 @@
 import datetime as dt
 import json
+import os
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,14 +35,14 @@ def test_typed_csv_keeps_bad_rows(spark, landing):
 def test_csv_by_name_with_other_order(spark, landing):
     landing("in/a.csv", "order_id,amount", "1,10.5")
     landing("in/b.csv", "discount,order_id,amount", "0.1,2,20")
-    df = S.read_csv_by_name(spark, f"{landing.base}/in", ["order_id", "amount", "discount"])
+    df = S.read_csv_by_name(spark, f"{landing.base}/in", ["order_id", "amount", "discount"]).select("order_id", "amount", "discount")
     assert rows(df) == [("1", "10.5", None), ("2", "20", "0.1")]
 
 
 def test_inferred_types(spark, landing):
     landing("in/a.csv", "store_id,location,latitude,opened,at,ok,big", '1,"Montreal, QC",45.5,2020-01-02,2020-01-02 10:00:00,true,3000000000')
     landing("in/b.csv", "store_id,location,latitude,opened,at,ok,big", "2,Laval,,2021-01-02,2021-01-02 10:00:00,false,4")
-    df = S.read_files_inferred(spark, f"{landing.base}/in").drop("_source_file")
+    df = S.read_files_inferred(spark, f"{landing.base}/in").drop("_rescued_data")
     types = {f.name: f.dataType.simpleString() for f in df.schema}
     assert types == {
         "store_id": "int", "location": "string", "latitude": "double", "opened": "date", "at": "timestamp", "ok": "boolean", "big": "bigint",
@@ -142,7 +144,7 @@ def test_new_column_can_be_rescued(spark, landing, tmp_path):
 def test_small_batches_and_flows(spark, landing, tmp_path):
     t = str(tmp_path / "t")
     for i in range(3):
-        landing(f"east/{i}.csv", "order_id", f"{i}")
+        os.utime(landing(f"east/{i}.csv", "order_id", f"{i}"), (1_700_000_000 + 60 * i,) * 2)
     landing("west/0.csv", "order_id", "9")
     n = I.ingest_files(spark, f"{landing.base}/east", t, str(tmp_path / "e"), flow="east", max_files=1)
     m = I.ingest_files(spark, f"{landing.base}/west", t, str(tmp_path / "w"), flow="west")
@@ -151,14 +153,68 @@ def test_small_batches_and_flows(spark, landing, tmp_path):
     assert rows(df.select("flow", "batch", "order_id")) == [("east", 0, 0), ("east", 1, 1), ("east", 2, 2), ("west", 0, 9)]
 
 
+RAGGED = ["id,v", "1,a", "2,b,EXTRA", "3"]
+
+
+def test_ragged_lines_are_rescued(spark, landing, tmp_path):
+    landing("in/a.csv", *RAGGED)
+    landing("in/b.csv", "v,id,w", "c,4,x")
+    want = [
+        (1, "a", None, None), (2, "b", None, '{"_corrupt_record":"2,b,EXTRA"}'), (3, None, None, '{"_corrupt_record":"3"}'), (4, "c", "x", None),
+    ]
+    assert rows(S.read_files_inferred(spark, f"{landing.base}/in").select("id", "v", "w", "_rescued_data")) == want
+    I.ingest_files(spark, f"{landing.base}/in", str(tmp_path / "t"), str(tmp_path / "cp"))
+    assert rows(S.read_merged(spark, str(tmp_path / "t")).select("id", "v", "w", "_rescued_data")) == want
+
+
+def test_gzip(spark, landing, tmp_path):
+    import gzip
+
+    (tmp_path / "in").mkdir()
+    with gzip.open(tmp_path / "in" / "a.csv.gz", "wt") as f:
+        f.write("\ufeffid,v\n1,a\n\n2,b\n")
+    df = S.read_files_inferred(spark, str(tmp_path / "in"))
+    assert rows(df) == [(1, "a", None), (2, "b", None)] and df.columns == ["id", "v", "_rescued_data"]
+
+
+FIXED = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("v", T.StringType())])
+
+
+def test_fixed_schema_with_misfits(spark, landing, tmp_path):
+    landing("in/a.csv", "v,id,w", "a,1,x", "b,notint,", "c,3,y,z")
+    want = [(1, "a", '{"w":"x"}'), (3, "c", '{"w":"y","_corrupt_record":"c,3,y,z"}'), (None, "b", '{"id":"notint"}')]
+    stream = I.stream_csv_named(spark, f"{landing.base}/in", FIXED, str(tmp_path / "t"), str(tmp_path / "cp"))
+    I.append_flow(stream, str(tmp_path / "out"), str(tmp_path / "cp2"))
+    assert rows(spark.read.parquet(str(tmp_path / "out")).select("id", "v", "_rescued_data")) == want
+    I.ingest_new_files(spark, f"{landing.base}/in", str(tmp_path / "n"), str(tmp_path / "cp3"), schema=FIXED)
+    assert rows(S.read_merged(spark, str(tmp_path / "n")).select("id", "v", "_rescued_data")) == want
+
+
+def test_fixed_order_is_checked(spark, landing, tmp_path):
+    landing("in/a.csv", "v,id", "a,1")
+    with pytest.raises(StreamingQueryException):
+        I.append_flow(I.stream_csv_fixed(spark, f"{landing.base}/in", FIXED), str(tmp_path / "out"), str(tmp_path / "cp"))
+
+
+def test_batch_size_does_not_matter(spark, landing, tmp_path):
+    for i, lines in enumerate([["v", "5"], ["v", "5.5"], ["v,w", "x,1"], ["w", "y"]]):
+        landing(f"in/{i}.csv", *lines)
+    seen = []
+    for n in (1, 10_000):
+        I.ingest_files(spark, f"{landing.base}/in", str(tmp_path / f"t{n}"), str(tmp_path / f"cp{n}"), max_files=n)
+        df = S.read_merged(spark, str(tmp_path / f"t{n}")).select("v", "w", "_rescued_data")
+        seen.append((df.dtypes, rows(df)))
+    assert seen[0] == seen[1]
+
+
 def test_stream_csv_infers_once(spark, landing, tmp_path):
     landing("in/a.csv", "id,price", "1,2.5")
     stream = I.stream_csv(spark, f"{landing.base}/in", str(tmp_path / "schema"))
-    assert dict(stream.dtypes) == {"id": "int", "price": "double"}
+    assert dict(stream.dtypes) == {"id": "int", "price": "double", "_rescued_data": "string"}
     I.append_flow(stream, str(tmp_path / "out"), str(tmp_path / "cp"))
     landing("in/b.csv", "id,price", "2,3")
     I.append_flow(I.stream_csv(spark, f"{landing.base}/in", str(tmp_path / "schema")), str(tmp_path / "out"), str(tmp_path / "cp"))
-    assert rows(spark.read.parquet(str(tmp_path / "out"))) == [(1, 2.5), (2, 3.0)]
+    assert rows(spark.read.parquet(str(tmp_path / "out")).drop("_rescued_data")) == [(1, 2.5), (2, 3.0)]
     landing("in/c.csv", "id,price,x", "2,3,4")
     with pytest.raises(ValueError):
         I.stream_csv(spark, f"{landing.base}/in", str(tmp_path / "other"))

@@ -43,6 +43,21 @@ def test_bounded_state_is_released(spark, tmp_path):
         assert spark.read.parquet(out).filter("order_id = 100").count() == expected
 
 
+def test_late_rows_of_many_batches(spark, tmp_path):
+    """More batches than Spark remembers the progress of."""
+    src, out, cp = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    feed(spark, src, [(0, "2024-02-01 10:00:00")])
+    I.append_flow(R.dedup_stream(I.stream_table(spark, src), ["order_id"], "ts"), out, cp)
+    for i in range(8):
+        feed(spark, src, [(i, "2024-01-01 10:00:00"), (100 + i, "2024-01-02 10:00:00")])
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+    try:
+        q = I.append_flow(R.dedup_stream(I.stream_table(spark, src, max_files=1), ["order_id"], "ts"), out, cp)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert len(q.recentProgress) < 8 and R.late_rows(q) == 16
+
+
 def test_unknown_mode(spark):
     with pytest.raises(ValueError):
         R.dedup_stream(spark.range(1), ["id"], "id", mode="x")
@@ -79,17 +94,23 @@ def test_shop_story(spark, landing, tmp_path, products):
     landing("land/transactions_west/1.csv", TX, "103,,P1,2024-01-02 10:04:00,1,5", "104,U1,P9,2024-01-02 10:04:00,0,5")
     stats = run()
     assert stats["transactions_east"] == 3 and stats["transactions_west"] == 2
+    assert stats["dropped_user_id_is_not_null"] == 1 and stats["dropped_product_id_is_not_null"] == 0
+    assert stats["warned_valid_email_format"] == 1 and stats["warned_valid_date"] == 0 and stats["users_unordered"] == 0
+    assert stats["warned_quantity_is_more_than_1"] == 1 and stats["warned_amount_is_more_than_1"] == 0
     assert rows(table("sl_transactions").select("order_id", "valid")) == [(101, True), (102, True), (104, False)]
     assert rows(table("gd_user").select("user_id", "age_group", "pc_quantity", "peripheral_quantity", "other_quantity")) == [
         ("U1", "若年層", 1, 0, 0), ("U2", "シニア層", 0, 2, 0),
     ]
 
     # a change of region, a new column, a late and a too late order, an unknown user
-    landing("land/users/2.csv", USERS, "U1,Tanaka,30,M,t@x,west,2020-01-01,False,2024-01-03 00:00:00,UPDATE")
+    landing("land/users/2.csv", "operation," + USERS.removesuffix(",operation"),
+            "UPDATE,U1,Tanaka,30,M,t@x,west,2020-01-01,False,2024-01-03 00:00:00",
+            "UPDATE,U2,Sato,60,F,x@x,west,2020-01-01,False,")
     landing("land/transactions_west/2.csv", "discount," + TX, "0.1,203,U4,P2,2024-01-02 10:06:00,1,45")
     landing("land/transactions_east/2.csv", TX, "204,U1,P2,2024-01-02 09:57:00,1,50", "202,U1,P2,2023-12-01 10:00:00,1,50")
     stats = run()
-    assert stats["late_rows"] == 1 and stats["without_user"] == 1
+    assert stats["late_rows"] == 1 and stats["without_user"] == 1 and stats["users_unordered"] == 1
+    assert rows(spark.read.parquet(f"{base}/bz_users/unordered").select("user_id", "email")) == [("U2", "x@x")]
     wide = table("sl_transactions_enriched")
     assert sorted(r["order_id"] for r in wide.collect()) == [101, 102, 104, 203, 204]
     assert rows(wide.filter("order_id IN (101, 203)").select("order_id", "user_name", "region", "discount")) == [

@@ -11,7 +11,6 @@ from tillwise import workload
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 QUERIES, SQL = workload.all_queries(), workload.all_sql()
-ROWS_ONLY = {"u05_exact_sample"}
 
 
 @pytest.fixture(scope="module")
@@ -26,18 +25,15 @@ def test_query(spark, con, name):
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
     assert "BatchEvalPython" not in plan
-    if name in ROWS_ONLY:
-        assert df.count() > 0
-    else:
-        msg = compare(df, con, SQL[name])
-        assert msg is None or msg == "no rows on either side", msg
+    msg = compare(df, con, SQL[name])
+    assert msg is None, msg
 
 
 def test_names():
     assert set(SQL) <= set(QUERIES)
     assert set(QUERIES) <= set(entry.queries())
     assert set(SQL) <= set(entry.oracle_sql())
-    assert set(QUERIES) - set(SQL) == ROWS_ONLY
+    assert set(QUERIES) == set(SQL)
 
 
 def test_entry(spark):

@@ -82,9 +82,9 @@ def rfm_segment(r: Col = "r_score", f: Col = "f_score", m: Col = "m_score") -> C
     )
 
 
-def customer_type(frequency: Col = "frequency") -> Column:
-    """New after exactly one order, existing otherwise."""
-    return ladder([(_c(frequency) == 1, TYPE_NEW)], TYPE_EXISTING)
+def customer_type(frequency: Col = "frequency", new_upto: int = 1) -> Column:
+    """New with one to ``new_upto`` orders (exactly one by default), existing otherwise."""
+    return ladder([(_c(frequency).between(1, new_upto), TYPE_NEW)], TYPE_EXISTING)
 
 
 def order_customer_type(is_first_order: Col = "is_first_order") -> Column:

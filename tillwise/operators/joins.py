@@ -62,6 +62,6 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
 
 def vs_group(per_entity: DataFrame, on: Sequence[str], value: str, reference: DataFrame, ref_value: str) -> DataFrame:
     """Value of every entity next to a reference value: absolute and relative gap."""
-    out = per_entity.join(reference, list(on))
+    out = skew_safe_join(per_entity, reference, on, "inner")
     gap = F.col(value) - F.col(ref_value)
     return out.withColumns({"gap": gap, "gap_ratio": F.try_divide(gap, F.col(ref_value))})

@@ -39,20 +39,22 @@ def key_difference(left: DataFrame, right: DataFrame, left_key: str, right_key:
     return left.select(left_key).distinct().subtract(right.select(F.col(right_key).alias(left_key)))
 
 
-#: the top bits of the hash that form a bucket of :func:`sample_exact`
-SAMPLE_BUCKET_BITS = 16
+#: leading hex digits of the hash that form a bucket of :func:`sample_exact`
+SAMPLE_BUCKET_DIGITS = 4
 
 
 def sample_exact(df: DataFrame, n: int, key: Sequence[str], seed: int = 0) -> DataFrame:
     """Exactly ``n`` rows, the same ones on every run: those with the smallest key hash.
 
-    ``key`` must identify a row.  Hash buckets are counted first (65,536 at most); all
+    The hash is the MD5 of the seed and the key values as text, joined by colons, so any
+    other system finds the same rows.  ``key`` must identify a row.  Hash buckets are counted first (65,536 at most); all
     buckets below the cut are taken whole where they are, and only the bucket at the
     cut is sorted.
     """
     cols = [F.col(c) for c in key]
-    h = F.xxhash64(F.lit(seed), *cols)
-    bucket = F.shiftright(h, 64 - SAMPLE_BUCKET_BITS)
+    text = [F.coalesce(c.cast("string"), F.lit("")) for c in cols]
+    h = F.md5(F.concat_ws(":", F.lit(str(seed)), *text))
+    bucket = F.substring(h, 1, SAMPLE_BUCKET_DIGITS)
     sizes = df.groupBy(bucket.alias("b")).agg(F.count("*").alias("c"))
     upto = sizes.withColumn("upto", F.sum("c").over(W.orderBy("b")))
     cut = upto.filter(F.col("upto") >= n).orderBy("b").limit(1).first()

@@ -48,16 +48,28 @@ def dedup_report(before: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def _bucket_unit(df: DataFrame, entity: str, ts: str, most: int) -> str:
+    for unit in ("month", "day", "hour"):
+        sizes = df.groupBy(entity, F.date_trunc(unit, F.col(ts))).agg(F.count("*").alias("__n"))
+        if (sizes.agg(F.max("__n")).first()[0] or 0) <= most:
+            return unit
+    return "minute"
+
+
 def event_sequence(
-    df: DataFrame, entity: str, ts: str, tie: Sequence[str], out: str = "seq", bucket: Column | None = None
+    df: DataFrame, entity: str, ts: str, tie: Sequence[str], out: str = "seq", bucket: Column | None = None,
+    bucket_rows: int = 1_000_000,
 ) -> DataFrame:
     """Position 1, 2, 3 … of every event of an entity.
 
     The rows of one entity are never gathered in one task: they are numbered within
     (entity, time bucket) and shifted by the count of the earlier buckets.  ``bucket``
-    must grow with ``ts``; by default it is the calendar month.
+    must grow with ``ts``; by default it is the coarsest calendar unit in which no entity
+    has more than ``bucket_rows`` rows, the minute at the finest.
     """
-    bucketed = df.withColumn("__b", F.date_trunc("month", F.col(ts)) if bucket is None else bucket)
+    if bucket is None:
+        bucket = F.date_trunc(_bucket_unit(df, entity, ts, bucket_rows), F.col(ts))
+    bucketed = df.withColumn("__b", bucket)
     sizes = bucketed.groupBy(entity, "__b").agg(F.count("*").alias("__n"))
     earlier = W.partitionBy(entity).orderBy("__b").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select(

@@ -12,17 +12,16 @@ from ..functions.ladders import age_group3
 from ..operators.aggregates import pivot_sums
 from ..operators.joins import enrich
 from ..operators.quality import AMOUNT_RULES, KEY_RULES, MASTER_RULES, Rules, expect_all, keep_valid, with_validity
-from ..operators.sets import union_flows
 from ..sinks.tables import overwrite
 from ..streaming.changes import KeyedTable, read_keyed, stream_apply_changes
-from ..streaming.dedup import dedup_stream
-from ..streaming.ingest import append_flow, ingest_files, stream_csv_fixed, stream_table
+from ..streaming.dedup import dedup_stream, late_rows, observed
+from ..streaming.ingest import append_flow, ingest_files, stream_csv_named, stream_table
 from ..functions.scalar import parse_bool, to_date_safe
 
 # fixed values: subcategories with a column of their own
 SUBCATEGORIES: Mapping[str, Sequence[str]] = {"pc_quantity": ["PC本体"], "peripheral_quantity": ["周辺機器"]}
 OTHER_QUANTITY = "other_quantity"
-#: rules that only warn
+# fixed values: rules that only warn
 WARN_RULES: Rules = {
     "valid_email_format": "email LIKE '%@%'",
     "valid_date": "transaction_date >= '2020-01-01'",
@@ -163,10 +162,16 @@ def refresh_shop(
             rescued_col="_rescued_data_transactions",
         )
     for feed, delete_when in user_feeds.items():
-        changes = user_changes(stream_csv_fixed(spark, f"{landing}/{feed}", USER_CHANGE_SCHEMA))
-        stream_apply_changes(changes, users_table(base), f"{cp}/{feed}", feed, delete_when)
+        raw = stream_csv_named(
+            spark, f"{landing}/{feed}", USER_CHANGE_SCHEMA, f"{base}/bz_user_changes", f"{cp}/{feed}/files", feed,
+            "_rescued_data_users",
+        )
+        query = stream_apply_changes(user_changes(raw), users_table(base), f"{cp}/{feed}", feed, delete_when)
+        stats[f"{feed}_unordered"] = query.unordered
 
-    rows = stream_table(spark, bronze).drop("flow", "batch")
+    rows = stream_table(spark, bronze).drop("flow", "batch").observe(
+        "drop_rules", *(F.count_if(~F.coalesce(F.expr(rule), F.lit(False))).alias(name) for name, rule in KEY_RULES.items())
+    )
     rows = with_validity(keep_valid(rows, KEY_RULES), AMOUNT_RULES)
     query = append_flow(
         dedup_stream(rows, ["order_id"], "transaction_date", delay, dedup_mode).withColumn(
@@ -175,9 +180,8 @@ def refresh_shop(
         f"{base}/sl_transactions",
         f"{cp}/sl_transactions",
     )
-    stats["late_rows"] = sum(
-        op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for op in p["stateOperators"]
-    )
+    stats.update({f"dropped_{name}": observed(query, "drop_rules").get(name, 0) for name in KEY_RULES})
+    stats["late_rows"] = late_rows(query)
     stats.update(refresh_views(spark, base, products))
     return stats
 
@@ -189,19 +193,13 @@ def refresh_views(spark: SparkSession, base: str, products: DataFrame) -> dict[s
     """
     tx = spark.read.option("mergeSchema", True).parquet(f"{base}/sl_transactions")
     users = read_keyed(spark, users_table(base))
-    enriched, seen = expect_all(
-        enrich_transactions(tx, users, products, master_rules=None),
-        {"user_name_is_not_null": "user_name IS NOT NULL"},
-    )
+    warn = {"user_name_is_not_null": "user_name IS NOT NULL", **WARN_RULES, **AMOUNT_RULES}
+    enriched, seen = expect_all(enrich_transactions(tx, users, products, master_rules=None), warn)
     overwrite(enriched, f"{base}/sl_transactions_enriched")
     wide = spark.read.parquet(f"{base}/sl_transactions_enriched")
     overwrite(revenue_by_subcategory(wide), f"{base}/gd_revenue_by_subcategory")
     overwrite(revenue_by_user_segment(wide), f"{base}/gd_revenue_by_user_segment")
     overwrite(user_categories(wide), f"{base}/gd_user")
     overwrite(revenue_report(wide), f"{base}/gd_revenue_report")
-    return {"enriched": seen.get["rows"], "without_user": seen.get["user_name_is_not_null"]}
-
-
-def two_feeds(east: DataFrame, west: DataFrame) -> DataFrame:
-    """Both feeds in one table; a column only one of them has is NULL in the other."""
-    return union_flows([east, west])
+    warned = {f"warned_{name}": seen.get[name] for name in (*WARN_RULES, *AMOUNT_RULES)}
+    return {"enriched": seen.get["rows"], "without_user": seen.get["user_name_is_not_null"], **warned}

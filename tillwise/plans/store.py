@@ -12,6 +12,7 @@ from ..functions.scalar import in_year, percent, rate, scaled, split_list
 from ..operators.aggregates import mean
 from ..operators.filters import apply_filters
 from ..operators.sets import union_tagged
+from ..operators.skew import skew_safe_join
 from ..operators.topk import first_match, top_bottom, topk_per_group
 from ..operators.windows import share_within
 
@@ -143,7 +144,7 @@ def category_gaps(per_store: DataFrame) -> DataFrame:
     )
     sales = F.col("sales").cast("double")
     gap = sales - F.col("avg_sales")
-    return per_store.join(chain, "category_id").select(
+    return skew_safe_join(per_store, chain, ["category_id"], "inner").select(
         "store_id", "category_name",
         scaled(sales, MAN).alias("store_sales"), scaled("avg_sales", MAN).alias("avg_sales_man"),
         scaled(gap, MAN).alias("gap"),
@@ -183,7 +184,7 @@ def similar_kpis(similar: DataFrame, stores: DataFrame, sales: DataFrame, year:
         F.col("store_id").alias("similar_store_id"), "store_name", "prefecture",
         percent("yoy", 1).alias("yoy_pct"), scaled("sales", MAN).alias("sales_man"),
     )
-    return similar.join(peer, "similar_store_id").select(
+    return skew_safe_join(similar, peer, ["similar_store_id"], "inner").select(
         "store_id", "similar_store_id", "store_name", "prefecture", "similarity_rank", "similarity_score",
         "yoy_pct", "sales_man",
     )

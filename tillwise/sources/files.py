@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,33 +46,22 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).option("multiLine", False).json(path)
 
 
-def first_line(spark: SparkSession, file: str) -> str:
-    """First line of one file, read through the session's file system."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
-    stream = path.getFileSystem(conf).open(path)
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        return reader.readLine() or ""
-    finally:
-        stream.close()
+def csv_headers(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """Rows (file, header): the first line that is not blank of every file below ``path``.
 
+    Spark reads the files, compressed ones too; a file gives one row per task.
+    """
+    lines = spark.read.option("recursiveFileLookup", True).text(path)
+    lines = lines.select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
+        F.monotonically_increasing_id().alias("n"), F.ltrim(F.col("value"), F.lit("\ufeff")).alias("line"),
+    )
+    first = lines.filter((F.col("at") == 0) & (F.trim("line") != "")).groupBy("file")
+    return first.agg(F.min_by("line", "n").alias("header"))
 
-def csv_headers(spark: SparkSession, path: str | Sequence[str]) -> dict[tuple[str, ...], list[str]]:
-    """Files below ``path`` grouped by their header.
 
-    One line per file is read, so the cost grows with the number of files and not with
-    their size; the rows themselves are left to the scan.
-    """
-    files = spark.read.option("recursiveFileLookup", True).text(path).inputFiles()
-    with ThreadPoolExecutor(16) as pool:
-        lines = list(pool.map(lambda f: first_line(spark, f), files))
-    out: dict[tuple[str, ...], list[str]] = {}
-    for file, line in sorted(zip(files, lines)):
-        names = next(csv.reader([line.lstrip("\ufeff")]), [])
-        if names:
-            out.setdefault(tuple(n.strip() for n in names), []).append(file)
-    return out
+def header_names(header: str) -> tuple[str, ...]:
+    return tuple(n.strip() for n in next(csv.reader([header])))
 
 
 def read_csv_by_name(
@@ -82,24 +70,41 @@ def read_csv_by_name(
     """CSV files with differing headers, matched by column name, all text.
 
     Each group of files with one header is read with that header; a column a group
-    lacks is NULL for it.  ``_source_file`` holds each row's file.  ``columns`` fixes
-    the result's columns and their order.
+    lacks is NULL for it.  ``_source_file`` holds each row's file and ``_corrupt_record``
+    the whole line where it has more or fewer fields than the header.  ``columns`` fixes
+    the result's columns and their order, those two after them.  The distinct headers
+    come to the driver, file names only where there are several.
     """
+    heads = csv_headers(spark, path)
+    headers = [r["header"] for r in heads.select("header").distinct().collect()]
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for header in headers:
+        groups.setdefault(header_names(header), []).append(header)
     out: DataFrame | None = None
-    for names, files in sorted(csv_headers(spark, path).items()):
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        part = (
-            spark.read.schema(schema).option("header", True).csv(files)
-            .select("*", F.col("_metadata.file_path").alias("_source_file"))
-        )
+    for names, same in sorted(groups.items()):
+        files = path
+        if len(groups) > 1:
+            files = [r["file"] for r in heads.filter(F.col("header").isin(same)).select("file").collect()]
+        part = csv_text(spark.read, names).option("recursiveFileLookup", True).csv(files)
+        part = part.withColumn("_source_file", F.col("_metadata.file_path"))
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     if out is None:
         raise ValueError(f"no CSV files below {path}")
     if columns:
-        out = out.select(*[F.col(c) if c in out.columns else F.lit(None).cast("string").alias(c) for c in columns])
+        cols = [F.col(c) if c in out.columns else F.lit(None).cast("string").alias(c) for c in columns]
+        out = out.select(*cols, CORRUPT, "_source_file")
     return out
 
 
+def csv_text(reader, names: Sequence[str]):
+    """A batch or stream reader of CSV with this header as text; ragged lines are kept whole."""
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
+    return (
+        reader.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False)
+    )
+
+
 #: types tried for a text column, narrowest first, with the shape their text must have
 #: (a cast alone would take a time stamp for a date and "y" for a boolean)
 INFERRED_TYPES = {
@@ -136,8 +141,9 @@ def infer_types(df: DataFrame, cols: Sequence[str] | None = None) -> dict[str, s
 def rescue(df: DataFrame, schema: T.StructType, rescued_col: str = RESCUED) -> DataFrame:
     """Cast text columns to a target schema; keep what does not fit.
 
-    A value that fails its cast and a column the schema does not know go, as text, into
-    one JSON object in ``rescued_col``; it is NULL when nothing was left over.
+    A value that fails its cast, a column the schema does not know and the line of a
+    ragged row go, as text, into one JSON object in ``rescued_col``; it is NULL when
+    nothing was left over.
     """
     known = {f.name: f.dataType for f in schema.fields}
     typed, lost = [], []
@@ -151,9 +157,9 @@ def rescue(df: DataFrame, schema: T.StructType, rescued_col: str = RESCUED) -> D
             present = F.length(F.trim(F.col(name))) > 0
             lost.append(F.when(present & cast.isNull(), F.col(name)).alias(name))
     for name in df.columns:
-        if name not in known and not name.startswith("_"):
+        if name not in known and (name == CORRUPT or not name.startswith("_")):
             lost.append(F.col(name).cast("string").alias(name))
-    passed = [F.col(c) for c in df.columns if c not in known and c.startswith("_")]
+    passed = [F.col(c) for c in df.columns if c not in known and c.startswith("_") and c != CORRUPT]
     if not lost:
         return df.select(*typed, *passed, F.lit(None).cast("string").alias(rescued_col))
     # to_json leaves NULL fields out, so an object without fields means nothing was lost
@@ -162,11 +168,11 @@ def rescue(df: DataFrame, schema: T.StructType, rescued_col: str = RESCUED) -> D
 
 
 def read_files_inferred(spark: SparkSession, path: str) -> DataFrame:
-    """CSV files by name with inferred types."""
+    """CSV files by name with inferred types; ragged lines in ``_rescued_data``."""
     raw = read_csv_by_name(spark, path).drop("_source_file")
-    types = infer_types(raw)
+    types = infer_types(raw, [c for c in raw.columns if c != CORRUPT])
     schema = T.StructType.fromDDL(", ".join(f"`{c}` {t}" for c, t in types.items()))
-    return rescue(raw, schema).drop(RESCUED)
+    return rescue(raw, schema)
 
 
 def with_audit(df: DataFrame, source: str | None = None) -> DataFrame:

@@ -40,18 +40,17 @@ def dedup_events(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
 
 
 def late_rows(query: StreamingQuery) -> int:
-    """Rows that stateful operators dropped as later than the watermark."""
-    return sum(
-        op.get("numRowsDroppedByWatermark", 0)
-        for progress in query.recentProgress
-        for op in progress["stateOperators"]
-    )
+    """Rows that stateful operators dropped as later than the watermark, over all batches.
+
+    For queries run by :mod:`tillwise.streaming.ingest`, which keeps every progress.
+    """
+    return sum(m["late_rows"] for m in progress_metrics(query))
 
 
 def progress_metrics(query: StreamingQuery) -> list[dict]:
     """Per micro-batch: rows read, rows dropped as late, keys held in state."""
     out = []
-    for p in query.recentProgress:
+    for p in query.progress:
         ops = p["stateOperators"]
         out.append(
             {
@@ -62,3 +61,13 @@ def progress_metrics(query: StreamingQuery) -> list[dict]:
             }
         )
     return out
+
+
+def observed(query: StreamingQuery, name: str) -> dict[str, int]:
+    """Sums of the metrics that ``DataFrame.observe(name, …)`` took, over all batches."""
+    out: dict[str, int] = {}
+    for p in query.progress:
+        row = p["observedMetrics"].get(name)
+        for key, value in (row.asDict() if row is not None else {}).items():
+            out[key] = out.get(key, 0) + (value or 0)
+    return out

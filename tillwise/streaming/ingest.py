@@ -13,18 +13,36 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
-from ..sources.files import RESCUED, csv_headers, infer_types, read_csv_by_name, rescue
+from ..sources.files import CORRUPT, RESCUED, csv_headers, csv_text, header_names, infer_types, read_csv_by_name, rescue
 from ..sources.paths import load_schema, save_schema
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
 def stream_csv_fixed(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
-    """Stream of CSV files with a header and a fixed schema (by position)."""
-    reader = spark.readStream.schema(schema).option("header", True)
+    """Stream of CSV files with a header and a fixed schema, in the schema's order.
+
+    A file whose header has another order fails the stream; :func:`stream_csv_named`
+    takes files in any order.  Misfits and ragged lines are in ``_rescued_data``.
+    """
+    reader = csv_text(spark.readStream, schema.fieldNames()).option("enforceSchema", False)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.csv(path)
+    return rescue(reader.csv(path), schema)
+
+
+def stream_csv_named(
+    spark: SparkSession, path: str, schema: T.StructType, target: str, checkpoint: str, flow: str = "main",
+    rescued_col: str = RESCUED,
+) -> DataFrame:
+    """Stream of CSV files matched to a fixed schema by header name.
+
+    New files are first loaded into ``target``, once each; the stream reads that.
+    Columns the schema does not know, misfits and ragged lines are in ``rescued_col``.
+    """
+    ingest_files(spark, path, target, checkpoint, flow, schema, rescued_col=rescued_col)
+    full = T.StructType([*schema.fields, T.StructField(rescued_col, T.StringType())])
+    return stream_table(spark, f"{target}/flow={flow}", full).drop("batch")
 
 
 def stream_csv(spark: SparkSession, path: str, schema_dir: str, max_files: int | None = None) -> DataFrame:
@@ -34,9 +52,10 @@ def stream_csv(spark: SparkSession, path: str, schema_dir: str, max_files: int |
     """
     schema = load_schema(spark, schema_dir)
     if schema is None:
-        if len(csv_headers(spark, path)) != 1:
+        layouts = csv_headers(spark, path).select("header").distinct().limit(2).collect()
+        if len({header_names(r["header"]) for r in layouts}) != 1:
             raise ValueError(f"{path} holds files of more than one layout")
-        raw = read_csv_by_name(spark, path).drop("_source_file")
+        raw = read_csv_by_name(spark, path).drop("_source_file", CORRUPT)
         schema = _ddl_schema(infer_types(raw))
         save_schema(spark, schema, schema_dir)
     return stream_csv_fixed(spark, path, schema, max_files)
@@ -64,8 +83,7 @@ def append_flow(df: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()
-    return query
+    return finish(query)
 
 
 def run_batches(df: DataFrame, checkpoint: str, fn: Callable[[DataFrame, int], None]) -> StreamingQuery:
@@ -76,7 +94,23 @@ def run_batches(df: DataFrame, checkpoint: str, fn: Callable[[DataFrame, int], N
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()
+    return finish(query)
+
+
+def finish(query: StreamingQuery) -> StreamingQuery:
+    """Wait until a query ends and keep the progress of all its batches in ``progress``.
+
+    Spark itself remembers the last ones only (100 by default).
+    """
+    seen = {}
+    ended = False
+    while not ended:
+        ended = query.awaitTermination(0.2)
+        seen.update({(p["batchId"], p["timestamp"]): p for p in query.recentProgress})
+    batches = sorted({b for b, _ in seen})
+    if batches and len(batches) != batches[-1] - batches[0] + 1:
+        raise RuntimeError("batches went by faster than their progress could be read")
+    query.progress = [seen[k] for k in sorted(seen)]
     return query
 
 
@@ -84,17 +118,23 @@ def _ddl_schema(types: dict[str, str]) -> T.StructType:
     return T.StructType.fromDDL(", ".join(f"`{c}` {t}" for c, t in types.items()))
 
 
-def widen(spark: SparkSession, raw: DataFrame, schema_dir: str, infer: bool, add_columns: bool) -> T.StructType:
+def widen(
+    spark: SparkSession, raw: DataFrame, src: str, schema_dir: str, infer: bool, add_columns: bool
+) -> T.StructType:
     """The stored schema, extended by the columns it does not know yet.
 
-    A known column keeps its type: later values that do not fit are rescued.
+    Types come from all files that lie in ``src`` when a column first shows, so they do
+    not depend on how the files fall into batches.  A known column keeps its type: later
+    values that do not fit are rescued.
     """
     stored = load_schema(spark, schema_dir)
     known = [] if stored is None else stored.fieldNames()
     new = [c for c in raw.columns if c not in known and not c.startswith("_")]
     if stored is not None and (not new or not add_columns):
         return stored
-    types = infer_types(raw, new) if infer else {c: "string" for c in new}
+    whole = read_csv_by_name(spark, src)
+    new = sorted({c for c in whole.columns if c not in known and not c.startswith("_")}, key=whole.columns.index)
+    types = infer_types(whole, new) if infer else {c: "string" for c in new}
     schema = T.StructType([*(stored.fields if stored else []), *_ddl_schema(types).fields])
     save_schema(spark, schema, schema_dir)
     return schema
@@ -109,7 +149,7 @@ def ingest_files(
     schema: T.StructType | None = None,
     infer: bool = True,
     add_columns: bool = True,
-    rescued_col: str | None = RESCUED,
+    rescued_col: str = RESCUED,
     audit: bool = False,
     max_files: int = 10_000,
 ) -> int:
@@ -119,8 +159,10 @@ def ingest_files(
     header name, casts them to the stored schema and writes ``target/flow=…/batch=…``;
     a repeated batch replaces its own directory.  Several flows may share a target.
     ``max_files`` sets how many file names a micro-batch handles; all files are taken in
-    as many batches as it needs.  With ``add_columns`` a new header column widens the schema, otherwise its values
-    are rescued.  ``infer=False`` keeps every column as text.
+    as many batches as it needs, with the same rows and types.  With ``add_columns`` a new
+    header column widens the schema, otherwise its values are rescued; with a ``schema``
+    they always are.  Misfits and ragged lines are rescued too, so nothing is lost.
+    ``infer=False`` keeps every column as text.
     """
     new_files = (
         spark.readStream.schema(FILE_SCHEMA)
@@ -138,12 +180,9 @@ def ingest_files(
         if not files:
             return
         raw = read_csv_by_name(session, files)
-        to = schema or widen(session, raw, f"{checkpoint}/schema", infer, add_columns)
+        to = schema or widen(session, raw, src, f"{checkpoint}/schema", infer, add_columns)
         rows = rescue(raw, to, RESCUED)
-        if rescued_col is None:
-            rows = rows.drop(RESCUED)
-        elif rescued_col != RESCUED:
-            rows = rows.withColumnRenamed(RESCUED, rescued_col)
+        rows = rows.withColumnRenamed(RESCUED, rescued_col)
         if audit:
             rows = rows.withColumn("_ingested_at", F.current_timestamp())
         else:
@@ -162,7 +201,5 @@ def ingest_new_files(
     spark: SparkSession, src: str, target: str, checkpoint: str, schema: T.StructType | None = None
 ) -> int:
     """Once-only load of raw CSV: text columns unless a schema is given, with load time
-    and source file; new columns are merged in."""
-    return ingest_files(
-        spark, src, target, checkpoint, schema=schema, infer=False, rescued_col=None, audit=True
-    )
+    and source file; new columns are merged in, what does not fit is rescued."""
+    return ingest_files(spark, src, target, checkpoint, schema=schema, infer=False, audit=True)

@@ -176,13 +176,12 @@ def _(d: Data) -> DataFrame:
 
 @query(
     "g03_customer_type",
-    """SELECT user_id, CASE WHEN count(DISTINCT order_id) = 1 THEN '新規' ELSE '既存' END AS customer_type
-    FROM r_heads WHERE order_datetime >= TIMESTAMP '2001-05-01' GROUP BY user_id""",
+    """SELECT user_id, CASE WHEN count(DISTINCT order_id) <= 5 THEN '新規' ELSE '既存' END AS customer_type
+    FROM r_heads GROUP BY user_id""",
 )
 def _(d: Data) -> DataFrame:
-    recent = d.order_times.filter(F.col("order_datetime") >= F.lit(dt.date(2001, 5, 1)))
-    counted = recent.groupBy("user_id").agg(F.count_distinct("order_id").alias("frequency"))
-    return counted.select("user_id", L.customer_type().alias("customer_type"))
+    counted = d.order_times.groupBy("user_id").agg(F.count_distinct("order_id").alias("frequency"))
+    return counted.select("user_id", L.customer_type(new_upto=5).alias("customer_type"))
 
 
 @query("g04_behavior_cluster", "SELECT user_id, behavior_cluster FROM r_clusters")

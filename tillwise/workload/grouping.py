@@ -40,10 +40,8 @@ def _(d: Data) -> DataFrame:
     people = J.enrich(d.customer, d.nation, {"c_nationkey": "n_nationkey"}, ["n_name"]).selectExpr(
         "c_custkey", "c_name AS name", "c_mktsegment AS segment", "n_name AS nation"
     )
-    out = J.enrich(d.orders, people, {"o_custkey": "c_custkey"}, ["name", "segment"], prefix="cust_")
-    return J.enrich(out, people, {"o_custkey": "c_custkey"}, ["nation"]).select(
-        "o_orderkey", "o_custkey", "cust_name", "cust_segment", "nation"
-    )
+    out = J.enrich(d.orders, people, {"o_custkey": "c_custkey"}, ["name", "segment", "nation"], prefix="cust_")
+    return out.select("o_orderkey", "o_custkey", "cust_name", "cust_segment", c("cust_nation").alias("nation"))
 
 
 @query(
@@ -71,10 +69,10 @@ def _(d: Data) -> DataFrame:
 @query(
     "j06_join_first",
     """SELECT c_custkey, o_orderkey, o_orderdate FROM customer LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn
-    FROM orders WHERE o_orderstatus = 'F') ON c_custkey = o_custkey AND rn = 1""",
+    FROM orders) ON c_custkey = o_custkey AND rn = 1""",
 )
 def _(d: Data) -> DataFrame:
-    right = d.orders.filter("o_orderstatus = 'F'").withColumnRenamed("o_custkey", "c_custkey")
+    right = d.orders.withColumnRenamed("o_custkey", "c_custkey")
     return J.join_first(d.customer.select("c_custkey"), right, "c_custkey", [c("o_orderdate").asc(), c("o_orderkey").asc()], ["o_orderkey", "o_orderdate"])
 
 
@@ -462,7 +460,10 @@ def _(d: Data) -> DataFrame:
     return U.key_difference(d.t_transactions, d.t_users, "user_id", "user_id")
 
 
-@query("u05_exact_sample")
+@query(
+    "u05_exact_sample",
+    "SELECT * FROM orders QUALIFY row_number() OVER (ORDER BY md5('7:' || o_orderkey), o_orderkey) <= (SELECT count(*) // 20 FROM orders)",
+)
 def _(d: Data) -> DataFrame:
     """Five percent of the orders, to the row."""
     return U.sample_exact(d.orders, d.orders.count() // 20, ["o_orderkey"], seed=7)

@@ -585,13 +585,12 @@ def _(d: Data) -> DataFrame:
 @query(
     "b37_customer_sets",
     """SELECT c.customer_id, coalesce(ch.primary_channel, 'なし') AS primary_channel, coalesce(ch.primary_channel = 'LINE', false) AS on_channel,
-    coalesce(ch.primary_channel = 'LINE', false) AND coalesce(o.returns, 0) > 0 AS on_channel_with_return, coalesce(o.avg_amount, 0) > 250000 AS high_spend, coalesce(o.orders, 0) >= 3 AS repeat_buyer,
-    coalesce(o.orders, 0) <= 1 AS low_order FROM c_customers c LEFT JOIN (SELECT customer_id, count(*) AS orders, sum(total_amount)::DOUBLE / count(*) AS avg_amount, sum(CASE WHEN returned THEN 1 ELSE 0 END) AS returns
-    FROM c_orders WHERE order_date >= DATE '2000-09-01' GROUP BY 1) o ON c.customer_id = o.customer_id LEFT JOIN c_channel ch ON c.customer_id = ch.customer_id""",
+    coalesce(ch.primary_channel = 'LINE', false) AND coalesce(o.returns, 0) > 0 AS on_channel_with_return, coalesce(o.avg_amount, 0) > 250000 AS high_spend, coalesce(o.orders, 0) >= 12 AS repeat_buyer,
+    coalesce(o.orders, 0) <= 6 AS low_order FROM c_customers c LEFT JOIN (SELECT customer_id, count(*) AS orders, sum(total_amount)::DOUBLE / count(*) AS avg_amount, sum(CASE WHEN returned THEN 1 ELSE 0 END) AS returns
+    FROM c_orders GROUP BY 1) o ON c.customer_id = o.customer_id LEFT JOIN c_channel ch ON c.customer_id = ch.customer_id""",
 )
 def _(d: Data) -> DataFrame:
-    recent = d.c_orders.filter(c("order_date") >= F.lit(dt.date(2000, 9, 1)))
-    return campaign.customer_sets(d.c_customers, recent, d.c_exposures, "LINE", high_spend=250_000)
+    return campaign.customer_sets(d.c_customers, d.c_orders, d.c_exposures, "LINE", high_spend=250_000, repeat=12, low=6)
 
 
 @query(

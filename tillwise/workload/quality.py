@@ -10,6 +10,7 @@ from ..functions import scalar as S
 from ..operators import cdc as C
 from ..operators import quality as Q
 from ..operators import text as X
+from ..operators.skew import skew_safe_join
 from ..plans import retail, shop
 from .registry import define, query
 from .tables import CALL_COMPETITOR, CALL_RULES, Data
@@ -230,7 +231,7 @@ def _(d: Data) -> DataFrame:
 )
 def _(d: Data) -> DataFrame:
     clusters = retail.user_clusters(d.order_times, d.r_lines)
-    joined = d.order_times.join(clusters, "user_id").withColumn("h", F.hour("order_datetime"))
+    joined = skew_safe_join(d.order_times, clusters, ["user_id"], "inner").withColumn("h", F.hour("order_datetime"))
     shares = {"weekend_share": S.is_weekend("order_datetime"), "big_basket_share": c("total_quantity") >= 10}
     return Q.segment_ranges(joined, "behavior_cluster", "h", shares)
 
