@@ -6,7 +6,7 @@ most ``k`` rows per key, so a hot key costs ``k`` rows per task and no more.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -38,6 +38,18 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], latest: Sequence[str]) -> D
     return first_row(df, keys, order)
 
 
+def dedup_repeated(df: DataFrame, keys: Sequence[str], latest: Sequence[str]) -> DataFrame:
+    """:func:`dedup_latest` for keys that are nearly unique.
+
+    Keys are counted first; rows whose key stands alone pass without being sorted, and
+    only the others are ranked.  A NULL key is a key.
+    """
+    repeated = df.groupBy(*keys).agg(F.count("*").alias("__n")).filter("__n > 1")
+    marked = skew_safe_join(df, repeated, keys, "left", null_safe=True)
+    alone = marked.filter("__n IS NULL").drop("__n")
+    return alone.unionByName(dedup_latest(marked.filter("__n IS NOT NULL").drop("__n"), keys, latest))
+
+
 def dedup_report(before: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows before and after dropping duplicate keys, without building the result."""
     per_key = before.groupBy(*keys).agg(F.count("*").alias("n"))
@@ -121,6 +133,20 @@ def first_event_flag(
     )
 
 
+def modes(df: DataFrame, key: str, values: Mapping[str, str]) -> DataFrame:
+    """Most frequent value per key of several text columns; the smaller value wins a tie.
+
+    ``values`` maps source column to result name.  Values are counted per key in one
+    hash aggregation, so no map of them travels.
+    """
+    pairs = F.explode(F.array(*(F.struct(F.lit(n).alias("name"), F.col(c).alias("value")) for c, n in values.items())))
+    counts = df.select(key, pairs.alias("x")).filter("x.value IS NOT NULL").groupBy(key, "x.name", "x.value").agg(F.count("*").alias("n"))
+    # the largest count, and among equals the smallest value
+    per_name = counts.groupBy(key, "name").agg(F.max("n").alias("most")).withColumnsRenamed({key: "__key", "name": "__name"})
+    best = counts.join(per_name, F.col(key).eqNullSafe(F.col("__key")) & (F.col("name") == F.col("__name")) & (F.col("n") == F.col("most")))
+    return best.groupBy(key).agg(*(F.min(F.when(F.col("name") == n, F.col("value"))).alias(n) for n in values.values()))
+
+
 def mode_by(df: DataFrame, keys: Sequence[str], value: str, out: str | None = None) -> DataFrame:
     """Most frequent value per key; the smaller value wins a tie."""
     counts = df.groupBy(*keys, value).agg(F.count("*").alias("__n"))

@@ -16,7 +16,7 @@ from ..operators.filters import apply_filters, flag
 from ..operators.skew import skew_safe_join
 from ..operators.text import TRANSCRIPT_RULES, COMPETITOR_PATTERN, FieldRules, extract_fields, summarize
 from ..operators.topk import top_k
-from ..operators.windows import first_row, mode_by
+from ..operators.windows import first_row, mode_by, modes
 
 # fixed values: labels the reports look for
 DIRECT = "直接"
@@ -133,45 +133,49 @@ def dashboard_fact(
 # --- customer journey -------------------------------------------------------------------
 
 def order_summary_by_customer(orders: DataFrame) -> DataFrame:
-    at = F.struct("order_date", "order_id")
-    reason_at = F.when(F.col("return_reason").isNotNull(), at)
-    return orders.groupBy("customer_id").agg(
-        F.count_distinct("order_id").alias("order_count"),
+    """Sums, the first return reason and the most frequent category; one row per order id."""
+    sums = orders.groupBy("customer_id").agg(
+        F.count("order_id").alias("order_count"),
         F.sum("total_amount").cast("double").alias("total_spend"),
         mean("total_amount").alias("avg_order_amount"),
         mean("discount_applied").alias("avg_discount"),
         F.sum(flag(F.col("returned"))).alias("return_count"),
         flag_rate(F.col("returned")).alias("return_rate"),
-        F.min_by("return_reason", reason_at).alias("first_return_reason"),
-        F.mode("product_category", True).alias("top_category"),
+    )
+    reasons = first_row(
+        orders.filter("return_reason IS NOT NULL"), ["customer_id"], [F.col("order_date").asc_nulls_first(), F.col("order_id").asc_nulls_first()]
+    ).select("customer_id", F.col("return_reason").alias("primary_return_reason"))
+    return sums.join(reasons, "customer_id", "left").join(
+        modes(orders, "customer_id", {"product_category": "top_category"}), "customer_id", "left"
     )
 
 
 def exposure_summary_by_customer(exposures: DataFrame) -> DataFrame:
-    return exposures.groupBy("customer_id").agg(
-        F.count_distinct("exposure_id").alias("exposure_count"),
+    """Sums and the most frequent channel; one row per exposure id."""
+    sums = exposures.groupBy("customer_id").agg(
+        F.count("exposure_id").alias("exposure_count"),
         F.sum(flag(F.col("clicked"))).alias("click_count"),
         F.sum(flag(F.col("converted"))).alias("conversion_count"),
         flag_rate(F.col("clicked")).alias("click_rate"),
-        F.mode("channel", True).alias("primary_exposure_channel"),
     )
+    return sums.join(modes(exposures, "customer_id", {"channel": "primary_exposure_channel"}), "customer_id", "left")
 
 
 def call_summary_by_customer(calls: DataFrame) -> DataFrame:
-    at = F.struct("call_date", "call_id")
+    """Sums, the most frequent labels and the latest intent; one row per call id."""
     c = F.col
-    return calls.groupBy("customer_id").agg(
-        F.count_distinct("call_id").alias("call_count"),
+    sums = calls.groupBy("customer_id").agg(
+        F.count("call_id").alias("call_count"),
         mean("call_duration_sec").alias("avg_call_duration"),
-        F.mode("purpose", True).alias("primary_call_purpose"),
-        F.mode("trouble_type", True).alias("primary_trouble_type"),
         ever(c("competitor_mention")).alias("had_competitor_mention"),
         ever(c("trouble_type") == DISCOUNT_TROUBLE).alias("had_discount_trouble"),
         ever(c("urgency_level") == URGENT).alias("had_urgency_call"),
-        F.mode("urgency_level", True).alias("primary_urgency_level"),
-        F.max_by(F.struct(c("next_intent").alias("v")), at)["v"].alias("latest_intent"),
         flag_rate(c("resolution_status") == RESOLVED).alias("resolution_rate"),
     )
+    labels = {"purpose": "primary_call_purpose", "trouble_type": "primary_trouble_type", "urgency_level": "primary_urgency_level"}
+    latest = first_row(calls, ["customer_id"], [c("call_date").desc_nulls_last(), c("call_id").desc_nulls_last()])
+    latest = latest.select("customer_id", c("next_intent").alias("latest_intent"))
+    return sums.join(modes(calls, "customer_id", labels), "customer_id", "left").join(latest, "customer_id", "left")
 
 
 ZERO_WHEN_ABSENT = (

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import decimal
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,7 +21,7 @@ from ..functions.scalar import (
 from ..operators.filters import flag
 from ..operators.joins import enrich
 from ..operators.skew import skew_safe_join
-from ..operators.windows import dedup_latest, first_event_flag, first_last_growth
+from ..operators.windows import dedup_repeated, first_event_flag, first_last_growth
 from ..operators.aggregates import index_to_mean
 
 # fixed values: columns of the cleaned tables, and the types that are not text
@@ -93,8 +94,12 @@ def silver_order_items(
     latest: Sequence[str] = ("_ingested_at",),
     types: Mapping[str, str] = LINE_TYPES,
 ) -> DataFrame:
-    """Typed order lines, one per id (the latest), with item and store attributes."""
-    once = cast_columns(dedup_latest(raw, ["order_item_id"], latest), types)
+    """Typed order lines, one per id (the latest), with item and store attributes.
+
+    Lines are cast first, and only ids that occur twice are ranked, so no wide text rows
+    are sorted.
+    """
+    once = dedup_repeated(cast_columns(raw, types), ["order_item_id"], latest)
     wide = enrich(enrich(once, items, "item_id", ITEM_REF), stores, "store_id", STORE_REF)
     return wide.select(
         "order_item_id", "user_id", "order_id", "store_id", *STORE_REF, "item_id", "category_id", *ITEM_REF,
@@ -104,11 +109,12 @@ def silver_order_items(
 
 # --- segments ------------------------------------------------------------------------
 
-def rfm_measures(as_of: dt.date) -> dict[str, Column]:
+def rfm_measures(as_of: dt.date, unique: bool = False) -> dict[str, Column]:
+    """``unique``: an order id stands in one row, so rows are counted."""
     last = F.max(F.to_date("order_datetime"))
     return {
         "last_purchase_date": last,
-        "frequency": F.count_distinct("order_id"),
+        "frequency": F.count("order_id") if unique else F.count_distinct("order_id"),
         "monetary": F.sum("total_amount"),
         "recency": F.datediff(F.lit(as_of), last),
     }
@@ -194,19 +200,18 @@ def user_segments(
 ) -> DataFrame:
     """One row per user with orders: scores, segment, cluster and first order.
 
-    All measures of the orders are one hash aggregation.  The first order needs a
-    struct, which would turn all of it into sorting, so it is aggregated apart; the
-    two meet partitioned by user.  Order lines are reduced to one row per user too.
+    ``orders`` has one row per order id (a whole number from zero up); see
+    :func:`check_orders`.  All measures are one hash aggregation over one scan: the first
+    order is the minimum of one number made of its time and id.  Order lines are reduced
+    to one row per user too.
     """
     per_user = orders.groupBy("user_id").agg(
-        *[c.alias(n) for n, c in rfm_measures(as_of).items()], *order_measures()
-    )
-    first = orders.groupBy("user_id").agg(F.min(F.struct("order_datetime", "order_id")).alias("first_order"))
-    joined = (
-        with_order_rates(with_scores(per_user, rfm_limits))
-        .join(first, "user_id")
-        .join(item_stats(lines, favourites), "user_id", "left")
+        *[c.alias(n) for n, c in rfm_measures(as_of, unique=True).items()], *order_measures(),
+        F.min(F.unix_micros(F.col("order_datetime").cast("timestamp")) * F.lit(ID_SPAN) + F.col("order_id")).alias("__first"),
     )
+    joined = with_order_rates(with_scores(per_user, rfm_limits)).join(item_stats(lines, favourites), "user_id", "left")
+    first_id = F.pmod("__first", F.lit(ID_SPAN))
+    first_time = F.timestamp_micros(((F.col("__first") - first_id) / F.lit(ID_SPAN)).cast("long"))
     code = L.behavior_cluster(cluster_limits)
     return joined.select(
         "user_id",
@@ -214,11 +219,22 @@ def user_segments(
         "rfm_segment", "customer_type",
         code.alias("behavior_cluster"),
         L.cluster_name(code).alias("behavior_cluster_name"),
-        F.col("first_order.order_id").alias("first_order_id"),
-        F.to_date("first_order.order_datetime").alias("first_order_date"),
+        first_id.cast("long").alias("first_order_id"),
+        F.to_date(first_time).alias("first_order_date"),
     )
 
 
+#: one more than the largest order id, as a decimal that leaves room for a time beside it
+ID_SPAN = decimal.Decimal(10) ** 19
+
+
+def check_orders(orders: DataFrame) -> None:
+    """Raise unless every order id is present once, as the segments assume."""
+    bad = orders.groupBy("order_id").agg(F.count("*").alias("n")).filter("n > 1 OR order_id IS NULL OR order_id < 0")
+    if not bad.isEmpty():
+        raise ValueError("order ids are missing, negative or repeated")
+
+
 # --- analytic tables ---------------------------------------------------------------------
 
 def order_calendar() -> dict[str, Column]:
@@ -277,8 +293,15 @@ def gold_order_items(
     lines: DataFrame, orders: DataFrame, users: DataFrame, segments: DataFrame, days: int = 30
 ) -> DataFrame:
     """Every order line with calendar columns, its user's segments and the flag of its
-    order; a line without an order has no flag."""
-    flags = first_order_flags(orders, users, days)
+    order; a line without an order has no flag.
+
+    Orders are read for their ids only; which of them are first is in the segments.
+    """
+    new_user = F.datediff("first_order_date", "registration_date") <= days
+    firsts = segments.join(users.select("user_id", "registration_date"), "user_id").filter(new_user)
+    firsts = firsts.select(F.col("first_order_id").alias("order_id"), F.lit(True).alias("__first"))
+    flags = orders.select("order_id").join(firsts, "order_id", "left")
+    flags = flags.select("order_id", F.coalesce("__first", F.lit(False)).alias("is_first_order"))
     profile = segments.select("user_id", "behavior_cluster", *SCORE_COLS)
     return (
         skew_safe_join(lines.join(flags, "order_id", "left"), profile, ["user_id"], "left")
@@ -302,6 +325,7 @@ def write_gold(
     The segments are written once and read back by all three, so a lost executor does
     not cost their recomputation.
     """
+    check_orders(orders)
     user_segments(orders, lines, as_of, favourites).write.mode("overwrite").parquet(f"{out}/user_segments")
     segments = spark.read.parquet(f"{out}/user_segments")
     gold_users(users, segments).write.mode("overwrite").parquet(f"{out}/gd_users")

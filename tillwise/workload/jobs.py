@@ -81,7 +81,8 @@ def _(d: Data) -> DataFrame:
     CAST(b.item_id AS BIGINT) AS item_id, CAST(b.category_id AS BIGINT) AS category_id, p_name AS item_name, p_type AS category_name, p_size % 3 = 0 AS is_organic,
     p_size <= 25 AS is_discount_target, p_size > 30 AS is_ready_to_eat, p_retailprice >= 950 AS is_premium, CAST(quantity AS INT) AS quantity,
     CAST(unit_price AS BIGINT) AS unit_price, CAST(subtotal AS BIGINT) AS subtotal, cancel_flg = 'True' AS cancel_flg, CAST(b.order_datetime AS TIMESTAMP) AS order_datetime
-    FROM (SELECT *, row_number() OVER (PARTITION BY order_item_id ORDER BY _ingested_at DESC, user_id, order_id, store_id, item_id, category_id, quantity, unit_price, subtotal, cancel_flg, order_datetime) AS rn FROM (
+    FROM (SELECT *, row_number() OVER (PARTITION BY order_item_id ORDER BY _ingested_at DESC, user_id, CAST(order_id AS BIGINT), CAST(store_id AS BIGINT), CAST(item_id AS BIGINT), CAST(category_id AS BIGINT),
+      CAST(quantity AS INT), CAST(unit_price AS BIGINT), CAST(subtotal AS BIGINT), cancel_flg, order_datetime) AS rn FROM (
       SELECT CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) AS order_item_id, CAST(user_id AS VARCHAR) AS user_id, CAST(l_orderkey AS VARCHAR) AS order_id, CAST(l_suppkey AS VARCHAR) AS store_id,
         CAST(l_partkey AS VARCHAR) AS item_id, CAST(p_size * 100 AS VARCHAR) AS category_id, CAST(CAST(l_quantity AS INT) AS VARCHAR) AS quantity,
         CAST(CAST(floor(l_extendedprice / l_quantity) AS BIGINT) AS VARCHAR) AS unit_price, CAST(CAST(floor(l_extendedprice) AS BIGINT) AS VARCHAR) AS subtotal,

@@ -159,7 +159,7 @@ FROM c_orders o JOIN c_customers c ON o.customer_id = c.customer_id
     c_journey="""
 SELECT c.customer_id, c.customer_name, c.age, c.gender, c.prefecture, c.customer_segment,
   coalesce(o.order_count, 0) AS order_count, coalesce(o.total_spend, 0) AS total_spend, o.avg_order_amount, o.avg_discount,
-  coalesce(o.return_count, 0) AS return_count, coalesce(o.return_rate, 0) AS return_rate, o.first_return_reason, o.top_category,
+  coalesce(o.return_count, 0) AS return_count, coalesce(o.return_rate, 0) AS return_rate, o.primary_return_reason, o.top_category,
   coalesce(e.exposure_count, 0) AS exposure_count, coalesce(e.click_count, 0) AS click_count,
   coalesce(e.conversion_count, 0) AS conversion_count, coalesce(e.click_rate, 0) AS click_rate, e.primary_exposure_channel,
   coalesce(k.call_count, 0) AS call_count, k.avg_call_duration, k.primary_call_purpose, k.primary_trouble_type,
@@ -167,7 +167,7 @@ SELECT c.customer_id, c.customer_name, c.age, c.gender, c.prefecture, c.customer
   coalesce(k.had_urgency_call, 0) AS had_urgency_call, k.primary_urgency_level, k.latest_intent, k.resolution_rate
 FROM c_customers c
 LEFT JOIN (
-  SELECT a.*, t.top_category, r.first_return_reason FROM (
+  SELECT a.*, t.top_category, r.primary_return_reason FROM (
     SELECT customer_id, count(DISTINCT order_id) AS order_count, CAST(sum(total_amount) AS DOUBLE) AS total_spend,
       CAST(sum(total_amount) AS DOUBLE) / count(total_amount) AS avg_order_amount,
       CAST(sum(discount_applied) AS DOUBLE) / count(discount_applied) AS avg_discount,
@@ -176,7 +176,7 @@ LEFT JOIN (
     FROM c_orders GROUP BY customer_id) a
   LEFT JOIN (SELECT customer_id, product_category AS top_category, row_number() OVER (PARTITION BY customer_id ORDER BY count(*) DESC, product_category) AS rn
     FROM c_orders GROUP BY customer_id, product_category) t ON a.customer_id = t.customer_id AND t.rn = 1
-  LEFT JOIN (SELECT customer_id, return_reason AS first_return_reason, row_number() OVER (PARTITION BY customer_id ORDER BY order_date, order_id) AS rn
+  LEFT JOIN (SELECT customer_id, return_reason AS primary_return_reason, row_number() OVER (PARTITION BY customer_id ORDER BY order_date, order_id) AS rn
     FROM c_orders WHERE return_reason IS NOT NULL) r ON a.customer_id = r.customer_id AND r.rn = 1
 ) o ON c.customer_id = o.customer_id
 LEFT JOIN (
