@@ -162,9 +162,11 @@ def test_transcript_fields(spark):
     got = {r["call_id"]: r["extracted"].asDict() for r in X.extract_fields(df, "transcript").collect()}
     assert got["C1"] == {
         "purpose": "割引クレーム", "urgency_level": "高", "trouble_type": "割引条件", "next_intent": "検討中", "resolution_status": "解決", "competitor_mention": True,
+        "operator_action": "確認します。",
     }
     assert (got["C2"]["purpose"], got["C2"]["trouble_type"], got["C2"]["next_intent"]) == ("返品交換", "サイズ", "交換依頼")
     assert (got["C3"]["purpose"], got["C3"]["resolution_status"]) == ("請求支払い", "エスカレーション")
+    assert got["C2"]["operator_action"] == "承知しました。" and got["C4"]["operator_action"] == "聞き取れません"
     assert (got["C4"]["purpose"], got["C4"]["trouble_type"], got["C4"]["urgency_level"]) == ("その他", "なし", "低")
     for vocabulary, field in ((X.PURPOSES, "purpose"), (X.URGENCIES, "urgency_level"), (X.TROUBLES, "trouble_type"), (X.INTENTS, "next_intent"), (X.RESOLUTIONS, "resolution_status")):
         steps, default = X.TRANSCRIPT_RULES[field]

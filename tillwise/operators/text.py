@@ -106,9 +106,18 @@ def extract_fields(
     competitor: str = COMPETITOR_PATTERN,
     out: str = "extracted",
 ) -> DataFrame:
-    """Add one struct with a classified value per field and the mention flag."""
+    """Add one struct with a classified value per field, the mention flag and what the operator did."""
     fields = [classify(text, steps, default).alias(name) for name, (steps, default) in rules.items()]
-    return df.withColumn(out, F.struct(*fields, mentions(text, competitor).alias("competitor_mention")))
+    more = [mentions(text, competitor).alias("competitor_mention"), operator_action(text).alias("operator_action")]
+    return df.withColumn(out, F.struct(*fields, *more))
+
+
+def operator_action(text: Col, speaker: str = "オペレーター", n: int = 20, sep: str = "\n") -> Column:
+    """Last line of the operator without the mark, at most ``n`` characters; else the first line."""
+    lines = F.split(_c(text), sep)
+    said = F.filter(lines, lambda x: x.startswith(speaker) & x.contains("："))
+    line = F.coalesce(F.try_element_at(said, F.lit(-1)), F.try_element_at(lines, F.lit(1)))
+    return F.substring(F.regexp_replace(line, "^[^：]*：", ""), 1, n)
 
 
 #: fixed pattern of a transcript line: speaker, full-width colon, text

@@ -28,7 +28,7 @@ URGENCY_ORDER = ("高", "中")
 RESOLVED = "解決"
 
 CALL_FIELDS = (
-    "purpose", "urgency_level", "trouble_type", "competitor_mention", "next_intent", "resolution_status",
+    "purpose", "urgency_level", "trouble_type", "competitor_mention", "next_intent", "resolution_status", "operator_action",
 )
 
 
@@ -56,7 +56,7 @@ def call_analysis(
 ) -> DataFrame:
     """Calls with the fields extracted from their transcript and a short summary."""
     fields = extract_fields(calls, "transcript", rules, competitor)
-    names = [*rules, "competitor_mention"]
+    names = [*rules, "competitor_mention", "operator_action"]
     return fields.select(
         *keep,
         *[F.col(f"extracted.{n}").alias(n) for n in names],
@@ -119,12 +119,12 @@ def dashboard_fact(
         month_start("order_date").alias("order_month"),
         week_start("order_date").alias("order_week"),
         F.dayofweek("order_date").alias("order_dow"),
-        "product_category", "order_channel", "quantity", "discount_applied", "total_amount", "returned",
+        "product_category", "product_name", "size", "unit_price", "order_channel", "quantity", "discount_applied", "total_amount", "returned",
         "return_reason", "customer_id", "customer_name", "age", age_group5("age").alias("age_group"), "gender",
-        place, "customer_segment", "latitude", "longitude",
+        place, "customer_segment", "preferred_channel", "latitude", "longitude",
         F.coalesce("primary_channel", F.lit(DIRECT)).alias("campaign_channel"),
         "call_id", "call_purpose", "urgency_level", "trouble_type", "competitor_mention", "next_intent",
-        "resolution_status",
+        "resolution_status", "operator_action",
         flag(c("trouble_type") == DISCOUNT_TROUBLE).alias("has_discount_trouble"),
         flag(c("competitor_mention")).alias("has_competitor_mention"),
     )

@@ -60,7 +60,7 @@ def store_list(stores: DataFrame, sales: DataFrame, year: int, cols: Sequence[st
 
 
 def monthly_trend(sales: DataFrame) -> DataFrame:
-    return sales.select("store_id", "month", "sales_amount", "yoy_change", "customer_count", "avg_basket").orderBy(
+    return sales.select("store_id", "month", "sales_amount", "yoy_change", "customer_count", "avg_basket").sortWithinPartitions(
         "store_id", "month"
     )
 
@@ -110,7 +110,7 @@ def nearest(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
 def competitors_of(competitors: DataFrame, k: int | None = None) -> DataFrame:
     order = [F.col("distance_km").asc_nulls_last(), F.col("competitor_name").asc()]
     if k is None:
-        return competitors.orderBy("store_id", *order)
+        return competitors.sortWithinPartitions("store_id", *order)
     return nearest(competitors, order, k)
 
 
@@ -119,12 +119,12 @@ def facilities_of(facilities: DataFrame, k: int | None = None, mapping: Mapping[
         "facility_type", facility_label("facility_type", mapping)
     )
     if k is None:
-        return labelled.orderBy("store_id", F.desc_nulls_last("traffic_impact"), "facility_name")
+        return labelled.sortWithinPartitions("store_id", F.desc_nulls_last("traffic_impact"), "facility_name")
     return nearest(labelled, [F.col("distance_km").asc_nulls_last(), F.col("facility_name").asc()], k)
 
 
 def measures_of(measures: DataFrame) -> DataFrame:
-    return measures.withColumn("related_categories", split_list("related_categories")).orderBy(
+    return measures.withColumn("related_categories", split_list("related_categories")).sortWithinPartitions(
         "store_id", F.desc_nulls_last("start_date"), "measure_type"
     )
 

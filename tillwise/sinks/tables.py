@@ -21,14 +21,25 @@ def overwrite(df: DataFrame, target: str, partition_by: Sequence[str] = ()) -> N
 def replace_table(spark: SparkSession, name: str, df: DataFrame) -> None:
     """Create or replace a table from a query that may read the same table.
 
-    The rows are written to a staging table first, which then takes the name; until
-    that moment readers see the old rows.
+    The rows are written to a staging table first; until that is complete readers see
+    the old rows.  Then the old table steps aside and the staging table takes the name;
+    if that fails, the old table gets its name back.  Between the two renames there is
+    no table of that name.
     """
-    staging = f"{name}__staging"
+    staging, aside = f"{name}__staging", f"{name}__old"
     spark.sql(f"DROP TABLE IF EXISTS {staging}")
     df.write.format("parquet").saveAsTable(staging)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
+    if not spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
+        return
+    spark.sql(f"DROP TABLE IF EXISTS {aside}")
+    spark.sql(f"ALTER TABLE {name} RENAME TO {aside}")
+    try:
+        spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
+    except Exception:
+        spark.sql(f"ALTER TABLE {aside} RENAME TO {name}")
+        raise
+    spark.sql(f"DROP TABLE {aside}")
 
 
 def append_merged(df: DataFrame, path: str) -> None:
@@ -82,7 +93,7 @@ def describe(spark: SparkSession, name: str, table_comment: str | None, columns:
         spark.sql(f"ALTER TABLE {name} ALTER COLUMN `{col}` COMMENT {_quoted(text)}")
 
 
-def export(df: DataFrame, path: str, fmt: str = "csv", rows_per_file: int = 1000) -> None:
+def export(df: DataFrame, path: str, fmt: str, rows_per_file: int) -> None:
     """Write CSV (with header) or JSON lines in files of at most ``rows_per_file`` rows."""
     if fmt not in ("csv", "json"):
         raise ValueError(f"unknown format {fmt}")

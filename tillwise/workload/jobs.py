@@ -397,7 +397,7 @@ def _(d: Data) -> DataFrame:
     (c_custkey % 40) / 100.0::DOUBLE AS elderly_rate, (c_custkey % 30) / 100.0::DOUBLE AS young_adult_rate FROM customer""",
 )
 def _(d: Data) -> DataFrame:
-    return d.s_trade_area.orderBy("store_id")
+    return d.s_trade_area
 
 
 @query("b27_competitors", "SELECT store_id, competitor_name, distance_km, size_sqm, open_year, is_new_entry FROM s_competitors")
@@ -455,7 +455,7 @@ def peers(d: Data) -> DataFrame:
 
 @query("b30_similar_stores", "SELECT * FROM s_peers")
 def _(d: Data) -> DataFrame:
-    return peers(d).orderBy("store_id", "similarity_rank")
+    return peers(d)
 
 
 @query("b30_benchmark_gaps", "SELECT * FROM s_benchmark")

@@ -268,7 +268,7 @@ def _(d: Data) -> DataFrame:
 
 @query(
     "e01_extract_fields",
-    "SELECT call_id, purpose, urgency_level, trouble_type, next_intent, resolution_status, competitor_mention FROM c_calls",
+    "SELECT call_id, purpose, urgency_level, trouble_type, next_intent, resolution_status, competitor_mention, operator_action FROM c_calls",
 )
 def _(d: Data) -> DataFrame:
     fields = X.extract_fields(d.c_raw_calls, "transcript", CALL_RULES, CALL_COMPETITOR)

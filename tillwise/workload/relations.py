@@ -113,7 +113,8 @@ FROM t_transactions t LEFT JOIN t_users u ON t.user_id = u.user_id LEFT JOIN t_p
     t_kept="SELECT * FROM t_enriched WHERE has_user AND has_product",
     c_customers="""
 SELECT c_custkey AS customer_id, c_name AS customer_name, CAST(20 + c_custkey % 50 AS INT) AS age,
-  CASE WHEN c_custkey % 3 = 0 THEN 'M' ELSE 'F' END AS gender, n_name AS prefecture, c_mktsegment AS customer_segment
+  CASE WHEN c_custkey % 3 = 0 THEN 'M' ELSE 'F' END AS gender, n_name AS prefecture, c_mktsegment AS customer_segment,
+  CASE WHEN c_custkey % 4 = 0 THEN '店舗' ELSE 'LINE' END AS preferred_channel
 FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     c_exposures="""
 SELECT event_id AS exposure_id, user_id AS customer_id, CAST(ts AS DATE) AS exposure_date,
@@ -123,6 +124,8 @@ FROM events""",
     c_orders="""
 SELECT o_orderkey AS order_id, o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS order_date,
   o_orderpriority AS product_category, CAST(o_orderkey % 5 + 1 AS INT) AS quantity,
+  'product ' || o_orderkey % 100 AS product_name, CASE WHEN o_orderkey % 2 = 0 THEN 'M' ELSE 'L' END AS size,
+  CAST(floor(o_totalprice) AS BIGINT) // (o_orderkey % 5 + 1) AS unit_price,
   CAST((o_orderkey % 4) * 0.05 AS DECIMAL(8,2)) AS discount_applied, CAST(floor(o_totalprice) AS BIGINT) AS total_amount,
   CASE WHEN o_orderkey % 3 = 0 THEN 'EC' ELSE '店舗' END AS order_channel, o_orderstatus = 'F' AS returned,
   CASE WHEN o_orderstatus <> 'F' THEN NULL WHEN o_orderkey % 4 = 0 THEN '割引条件違い'
@@ -132,7 +135,7 @@ FROM orders""",
 SELECT doc_id AS call_id, doc_id // 2 AS customer_id, CAST(DATE '2001-01-01' + CAST(doc_id % 365 AS INT) AS DATE) AS call_date,
   CAST(n_chars % 600 + 60 AS INT) AS call_duration_sec, lang AS inquiry_type, text AS transcript,
   {CALL_CASES},
-  regexp_matches(text, '{CALL_COMPETITOR}') AS competitor_mention
+  regexp_matches(text, '{CALL_COMPETITOR}') AS competitor_mention, left(string_split(text, chr(10))[1], 20) AS operator_action
 FROM documents""",
     c_geo=f"SELECT * FROM (VALUES {GEO_VALUES}) t(prefecture, latitude, longitude)",
     c_channel="""
@@ -142,7 +145,7 @@ SELECT customer_id, channel AS primary_channel FROM (
     c_fact="""
 SELECT o.order_id, o.order_date, CAST(date_trunc('month', o.order_date) AS DATE) AS order_month,
   CAST(date_trunc('week', o.order_date) AS DATE) AS order_week, CAST(dayofweek(o.order_date) + 1 AS INT) AS order_dow,
-  o.product_category, o.order_channel, o.quantity, CAST(o.discount_applied AS DOUBLE) AS discount_applied, o.total_amount, o.returned,
+  o.product_category, o.product_name, o.size, o.unit_price, c.preferred_channel, k.operator_action, o.order_channel, o.quantity, CAST(o.discount_applied AS DOUBLE) AS discount_applied, o.total_amount, o.returned,
   o.return_reason, c.customer_id, c.customer_name, c.age,
   CASE WHEN c.age < 25 THEN '20-24歳' WHEN c.age < 30 THEN '25-29歳' WHEN c.age < 35 THEN '30-34歳' WHEN c.age < 40 THEN '35-39歳'
     WHEN c.age < 45 THEN '40-44歳' WHEN c.age < 50 THEN '45-49歳' WHEN c.age < 55 THEN '50-54歳' WHEN c.age < 60 THEN '55-59歳'
@@ -157,7 +160,7 @@ FROM c_orders o JOIN c_customers c ON o.customer_id = c.customer_id
   LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY call_id) AS rn FROM c_calls) k
     ON o.customer_id = k.customer_id AND k.rn = 1""",
     c_journey="""
-SELECT c.customer_id, c.customer_name, c.age, c.gender, c.prefecture, c.customer_segment,
+SELECT c.customer_id, c.customer_name, c.age, c.gender, c.prefecture, c.customer_segment, c.preferred_channel,
   coalesce(o.order_count, 0) AS order_count, coalesce(o.total_spend, 0) AS total_spend, o.avg_order_amount, o.avg_discount,
   coalesce(o.return_count, 0) AS return_count, coalesce(o.return_rate, 0) AS return_rate, o.primary_return_reason, o.top_category,
   coalesce(e.exposure_count, 0) AS exposure_count, coalesce(e.click_count, 0) AS click_count,

@@ -212,6 +212,7 @@ class Data:
         return self.customer.join(self.nation, F.col("c_nationkey") == F.col("n_nationkey")).selectExpr(
             "c_custkey AS customer_id", "c_name AS customer_name", "CAST(20 + c_custkey % 50 AS INT) AS age",
             "IF(c_custkey % 3 = 0, 'M', 'F') AS gender", "n_name AS prefecture", "c_mktsegment AS customer_segment",
+            "IF(c_custkey % 4 = 0, '店舗', 'LINE') AS preferred_channel",
         )
 
     @cached_property
@@ -228,6 +229,8 @@ class Data:
         return self.orders.selectExpr(
             "o_orderkey AS order_id", "o_custkey AS customer_id", "CAST(o_orderdate AS DATE) AS order_date",
             "o_orderpriority AS product_category", "CAST(o_orderkey % 5 + 1 AS INT) AS quantity",
+            "concat('product ', o_orderkey % 100) AS product_name", "IF(o_orderkey % 2 = 0, 'M', 'L') AS size",
+            "floor(o_totalprice) div (o_orderkey % 5 + 1) AS unit_price",
             "CAST((o_orderkey % 4) * 0.05BD AS DECIMAL(8,2)) AS discount_applied",
             "floor(o_totalprice) AS total_amount", "IF(o_orderkey % 3 = 0, 'EC', '店舗') AS order_channel",
             "o_orderstatus = 'F' AS returned",
