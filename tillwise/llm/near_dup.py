@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from tillwise.operators.skew import skew_safe_join
 
-from .bpe import Recent
 from .common import flag_members, key_bitmap, stored, text_or_empty, without
 from .components import components
 
@@ -37,7 +36,6 @@ class Shingler:
 
     def __init__(self, size: int):
         self.size = size
-        self.words = Recent(xxhash.xxh3_64_intdigest, limit=400_000)
 
     def __call__(self, text: str) -> np.ndarray:
         # bytes lower-case and split at ASCII letters and white space only
@@ -45,7 +43,7 @@ class Shingler:
         if not words:
             return np.empty(0, "uint64")
         size = min(self.size, len(words))
-        hashes = np.fromiter(map(self.words.__getitem__, words), "uint64", len(words))
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), "uint64", len(words))
         n = len(words) - size + 1
         total = np.full(n, size, "uint64")
         for i in range(size):
@@ -154,7 +152,7 @@ def _branch(rows: DataFrame, similarity: float, level: int) -> DataFrame:
 def _compare(rows: DataFrame, reps: DataFrame, least: int) -> DataFrame:
     """Rows (node, rep, side) to clusters of reps whose minwise hashes agree often enough.
 
-    All pairs of a node are compared, but two rows of one ``side`` are not (0: any).
+    All pairs of a node are compared, but those of one ``side`` are known to be joined.
     Returns the members of each cluster of two or more, sorted.
     """
 
@@ -167,7 +165,7 @@ def _compare(rows: DataFrame, reps: DataFrame, least: int) -> DataFrame:
             sets = Sets(len(ids))
             for i in range(len(ids) - 1):
                 alike = (sigs[i + 1 :] == sigs[i]).sum(1) >= least
-                alike &= (side[i] == 0) | (side[i + 1 :] == 0) | (side[i + 1 :] != side[i])
+                alike &= side[i + 1 :] != side[i]
                 for j in np.flatnonzero(alike):
                     sets.join(i, int(i + 1 + j))
             tops = np.array([sets.top(i) for i in range(len(ids))])
@@ -252,10 +250,12 @@ def mark_near(
     agrees in all but five standard deviations of the hashes expected at the threshold
     is confirmed on full sets of 64-bit shingle hashes.
 
-    Nodes that are still larger after ``depth`` levels hold documents which are nearly
-    all alike.  Their members are confirmed against one hub, in blocks of ``leaf``; then
-    the members the hub's component did not take in are compared with every member, in
-    cells of bounded size.  So there is no cap on partners, and no task holds a group.
+    Nodes that are large after the first branch may hold documents which are nearly all
+    alike.  Their members are first confirmed against the hub of each node, in blocks of
+    ``leaf``; from then on nodes whose members are all joined end.  Those still large
+    after ``depth`` levels are compared exhaustively too: members outside the largest
+    component meet every member, in cells of bounded size.  So there is no cap on
+    partners, and no task holds a group.
 
     Words are cut at ASCII white space.  A text without words, NULL included, has the
     empty set and is linked with nothing.  Rows that repeat an id are one document, and
@@ -271,42 +271,31 @@ def mark_near(
     reps = classes.select("rep", "sig")
 
     roots = reps.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(trees - 1).cast("long"))).alias("node"), "rep", "sig")
-    leaves, over = [], None
+    leaves, links, joined, large = [], None, None, None
     for level in range(depth):
         rows = stored(_branch(roots, similarity, level), "near-nodes")
-        sizes = rows.groupBy("node").agg(F.count("*").alias("m")).filter("m > 1")
-        live = stored(skew_safe_join(rows, sizes, ["node"], "inner"), "near-live")
-        leaves.append(live.filter(F.col("m") <= leaf).select("node", "rep"))
+        live = _unsettled(rows, joined)
+        if not level and not (large := live.filter(F.col("m") > leaf)).isEmpty():
+            links = stored(_linked(_stars(large, leaf), reps, least, read, size, percent), "near-links")
+            joined = stored(components(links), "near-components")
+            live = _unsettled(live.select("node", "rep"), joined)
+        leaves.append(live.filter(F.col("m") <= leaf).select("node", "rep", "side"))
         large = live.filter(F.col("m") > leaf)
-        over = large if not large.isEmpty() else None
-        if over is None:
+        if large.isEmpty():
+            large = None
             break
         roots = skew_safe_join(large.select("node", "rep"), reps.dropDuplicates(["rep"]), ["rep"], "inner")
 
     rows = leaves[0]
     for other in leaves[1:]:
         rows = rows.unionByName(other)
-    found = _compare(rows.withColumn("side", F.lit(0).cast("long")), reps, least).distinct()
-    clusters = found.select(F.xxhash64("members").alias("cluster"), F.explode("members").alias("rep"))
-    if over is not None:
-        hubs = over.groupBy("node").agg(F.min(F.struct(F.xxhash64("rep"), "rep")).alias("h")).select("node", F.col("h.rep").alias("hub"))
-        over = stored(skew_safe_join(over, hubs, ["node"], "inner"), "near-over")
-        spokes = over.filter("hub <> rep").select("hub", "rep").distinct()
-        parts = spokes.groupBy("hub").agg(_blocks(F.count("*"), leaf).alias("parts"))
-        placed = skew_safe_join(spokes, parts, ["hub"], "inner").withColumn("part", F.pmod(F.xxhash64("rep"), "parts"))
-        ends = parts.select("hub", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.col("hub").alias("rep"))
-        stars = placed.select("hub", "part", "rep").unionByName(ends)
-        clusters = clusters.unionByName(stars.select(F.xxhash64("hub", "part").alias("cluster"), "rep")).distinct()
-    links = stored(_confirm(stored(clusters, "near-clusters"), read, size, percent), "near-links")
+    more = _linked(rows, reps, least, read, size, percent)
+    links = stored(more if links is None else links.unionByName(more), "near-links")
     joined = stored(components(links), "near-components")
-
-    if over is not None:
-        rest = _unreached(over, joined, leaf)
+    if large is not None:
+        rest = _cells(stored(_unsettled(large.select("node", "rep"), joined), "near-large"), leaf)
         if not rest.isEmpty():
-            found = _compare(rest, reps, least).distinct()
-            clusters = found.select(F.xxhash64("members").alias("cluster"), F.explode("members").alias("rep"))
-            more = _confirm(stored(clusters, "near-clusters"), read, size, percent)
-            links = links.unionByName(more)
+            links = links.unionByName(_linked(rest, reps, least, read, size, percent))
             joined = stored(components(links), "near-components")
 
     known = classes.join(joined.withColumnRenamed("node", "rep"), "rep", "left")
@@ -322,26 +311,60 @@ def mark_near(
     )
 
 
-def _unreached(over: DataFrame, joined: DataFrame, leaf: int) -> DataFrame:
-    """Cells (node, rep, side) that bring together members of large nodes in other components.
+def _unsettled(rows: DataFrame, joined: DataFrame | None) -> DataFrame:
+    """Rows (node, rep) to (node, rep, side, m) of the nodes that hold several components.
+
+    ``side`` tells the components known so far apart, ``m`` is the size of the node.
+    """
+    side = F.col("rep")
+    if joined is not None:
+        rows = skew_safe_join(rows, joined.withColumnRenamed("node", "rep"), ["rep"], "left")
+        side = F.coalesce("component", "rep")
+    rows = rows.select("node", "rep", side.alias("side"))
+    sizes = rows.groupBy("node").agg(F.count("*").alias("m"), F.min("side").alias("low"), F.max("side").alias("high"))
+    return stored(skew_safe_join(rows, sizes.filter("low < high").select("node", "m"), ["node"], "inner"), "near-live")
+
 
-    Members outside the hub's component meet all members of the node, block by block;
-    members of the hub's component need not meet each other.
+def _stars(large: DataFrame, leaf: int) -> DataFrame:
+    """Rows (node, rep, side): each large node's hub with its other members, in blocks.
+
+    Every node draws a hub of its own, so the trees give several to a group.
     """
-    of = joined.withColumnRenamed("node", "rep")
-    rows = skew_safe_join(over.select("node", "rep", "hub"), of, ["rep"], "left")
-    rows = rows.select("node", "rep", "hub", F.coalesce("component", "rep").alias("component"))
-    main = rows.filter("rep = hub").select("node", F.col("component").alias("main"))
-    rows = skew_safe_join(rows, main, ["node"], "inner").withColumn("out", (F.col("component") != F.col("main")).cast("long"))
-    sizes = rows.groupBy("node").agg(F.sum("out").alias("outside"), F.count("*").alias("m")).filter("outside > 0")
-    sizes = sizes.select("node", _blocks(F.col("outside"), leaf).alias("lines"), _blocks(F.col("m"), leaf).alias("parts"))
-    rows = stored(skew_safe_join(rows, sizes, ["node"], "inner"), "near-unreached")
+    hubs = large.groupBy("node").agg(F.min(F.struct(F.xxhash64("rep", "node"), "rep")).alias("h"))
+    spokes = skew_safe_join(large, hubs.select("node", F.col("h.rep").alias("hub")), ["node"], "inner")
+    spokes = spokes.filter("hub <> rep").select("hub", "rep").distinct()
+    parts = spokes.groupBy("hub").agg(_blocks(F.count("*"), leaf).alias("parts"))
+    placed = skew_safe_join(spokes, parts, ["hub"], "inner").withColumn("part", F.pmod(F.xxhash64("rep"), "parts"))
+    ends = parts.select("hub", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.col("hub").alias("rep"))
+    blocks = placed.select("hub", "part", "rep").unionByName(ends)
+    return blocks.select(F.xxhash64("hub", "part").alias("node"), "rep", F.col("rep").alias("side")).distinct()
+
+
+def _cells(rows: DataFrame, leaf: int) -> DataFrame:
+    """Cells (node, rep, side) that bring members outside a node's largest component together with all others.
+
+    Members of the largest component need not meet each other.  Both sides are cut into
+    blocks, so a cell holds about ``leaf`` members of each.
+    """
+    counts = rows.groupBy("node", "side").agg(F.count("*").alias("k"))
+    main = counts.groupBy("node").agg(F.max(F.struct("k", "side")).alias("x"), F.sum("k").alias("m"))
+    main = main.select(
+        "node", F.col("x.side").alias("main"), _blocks(F.col("m") - F.col("x.k"), leaf).alias("lines"), _blocks(F.col("m"), leaf).alias("parts")
+    )
+    rows = stored(skew_safe_join(rows.select("node", "rep", "side"), main, ["node"], "inner"), "near-unreached")
     spread = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     line, part = F.pmod(F.xxhash64("rep"), "lines"), F.pmod(F.xxhash64("rep"), "parts")
-    members = rows.select("node", spread("lines").alias("line"), part.alias("part"), "rep", F.col("component").alias("side"))
-    outside = rows.filter("out = 1").select("node", line.alias("line"), spread("parts").alias("part"), "rep", F.col("component").alias("side"))
+    members = rows.select("node", spread("lines").alias("line"), part.alias("part"), "rep", "side")
+    outside = rows.filter("side <> main").select("node", line.alias("line"), spread("parts").alias("part"), "rep", "side")
     cells = members.unionByName(outside).distinct()
-    return stored(cells.select(F.xxhash64("node", "line", "part").alias("node"), "rep", (F.col("side") + 1).alias("side")), "near-cells")
+    return stored(cells.select(F.xxhash64("node", "line", "part").alias("node"), "rep", "side"), "near-cells")
+
+
+def _linked(rows: DataFrame, reps: DataFrame, least: int, read: DataFrame, size: int, percent: int) -> DataFrame:
+    """Rows (node, rep, side) to confirmed links between different sides."""
+    found = _compare(rows, reps, least).distinct()
+    clusters = found.select(F.xxhash64("members").alias("cluster"), F.explode("members").alias("rep"))
+    return _confirm(stored(clusters, "near-clusters"), read, size, percent)
 
 
 def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
