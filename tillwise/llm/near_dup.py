@@ -343,21 +343,24 @@ def _stars(large: DataFrame, leaf: int) -> DataFrame:
 def _cells(rows: DataFrame, leaf: int) -> DataFrame:
     """Cells (node, rep, side) that bring members outside a node's largest component together with all others.
 
-    Members of the largest component need not meet each other.  Both sides are cut into
-    blocks, so a cell holds about ``leaf`` members of each.
+    Nodes with the same largest component are taken together, as the trees find a group
+    again and again.  Members of that component need not meet each other.  Both sides
+    are cut into blocks, so a cell holds about ``leaf`` members of each.
     """
     counts = rows.groupBy("node", "side").agg(F.count("*").alias("k"))
-    main = counts.groupBy("node").agg(F.max(F.struct("k", "side")).alias("x"), F.sum("k").alias("m"))
-    main = main.select(
-        "node", F.col("x.side").alias("main"), _blocks(F.col("m") - F.col("x.k"), leaf).alias("lines"), _blocks(F.col("m"), leaf).alias("parts")
+    main = counts.groupBy("node").agg(F.max(F.struct("k", "side")).alias("x")).select("node", F.col("x.side").alias("main"))
+    rows = skew_safe_join(rows.select("node", "rep", "side"), main, ["node"], "inner").select("main", "rep", "side").distinct()
+    rows = stored(rows, "near-unreached")
+    sizes = rows.groupBy("main").agg(
+        _blocks(F.count_if(F.col("side") != F.col("main")), leaf).alias("lines"), _blocks(F.count("*"), leaf).alias("parts")
     )
-    rows = stored(skew_safe_join(rows.select("node", "rep", "side"), main, ["node"], "inner"), "near-unreached")
+    rows = skew_safe_join(rows, sizes, ["main"], "inner")
     spread = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     line, part = F.pmod(F.xxhash64("rep"), "lines"), F.pmod(F.xxhash64("rep"), "parts")
-    members = rows.select("node", spread("lines").alias("line"), part.alias("part"), "rep", "side")
-    outside = rows.filter("side <> main").select("node", line.alias("line"), spread("parts").alias("part"), "rep", "side")
+    members = rows.select("main", spread("lines").alias("line"), part.alias("part"), "rep", "side")
+    outside = rows.filter("side <> main").select("main", line.alias("line"), spread("parts").alias("part"), "rep", "side")
     cells = members.unionByName(outside).distinct()
-    return stored(cells.select(F.xxhash64("node", "line", "part").alias("node"), "rep", "side"), "near-cells")
+    return stored(cells.select(F.xxhash64("main", "line", "part").alias("node"), "rep", "side"), "near-cells")
 
 
 def _linked(rows: DataFrame, reps: DataFrame, least: int, read: DataFrame, size: int, percent: int) -> DataFrame:
