@@ -31,7 +31,7 @@ def keep_one_of_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 4096 tokens, each document next to its lexical neighbours."""
-    return packing.pack(docs, VOCABULARY)
+    return packing.pack(docs, VOCABULARY, remembered=250_000)
 
 
 STAGES = [("quality", keep_good), ("exact_dedup", keep_distinct), ("near_dedup", keep_one_of_near), ("packing", pack)]

@@ -28,7 +28,7 @@ class LibraryEncoder:
     For vocabularies that drop white space: chunks between spaces are independent.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = 700_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
@@ -41,7 +41,7 @@ class LibraryEncoder:
             t for c in "abc" for t in self.library.encode(c, add_special_tokens=False).tokens
         ]:
             raise ValueError(f"{path} keeps white space")
-        self.known = Recent(lambda chunk: self.encode([chunk])[0], limit=700_000)
+        self.known = Recent(lambda chunk: self.encode([chunk])[0], limit=remembered)
 
     def encode(self, chunks: list[str]) -> list[bytes]:
         return [pack_ids(e.ids) for e in self.library.encode_batch_fast(chunks, add_special_tokens=False)]
@@ -55,9 +55,9 @@ class LibraryEncoder:
 
 
 @functools.lru_cache(maxsize=2)
-def encoder(path: str) -> LibraryEncoder:
+def encoder(path: str, remembered: int) -> LibraryEncoder:
     """One for all tasks that a Python worker runs, so they share what it knows."""
-    return LibraryEncoder(path)
+    return LibraryEncoder(path, remembered)
 
 
 class Index:
@@ -183,6 +183,7 @@ def pack(
     end_id: int = 2,
     shard_tokens: int = 1 << 21,
     query_terms: int = 24,
+    remembered: int = 700_000,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -198,7 +199,8 @@ def pack(
     last window of a partition is short, and it is cut into sequences whose lengths are
     powers of two, so nothing is padded.
 
-    One pass without a shuffle; memory is bounded by the shard and the longest document.
+    One pass without a shuffle; memory is bounded by the shard, the longest document and
+    the ids of at most twice ``remembered`` chunks that a worker keeps.
     ``sequence_id`` is unique, with the partition in its upper bits; it depends on how
     the input is split.  A NULL or empty text is ``end_id`` alone.  A NULL id stays,
     repeated rows are packed each, other columns are ignored, an empty table gives an
@@ -207,7 +209,7 @@ def pack(
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(vocabulary), pack_ids([end_id])
+        encode, end = encoder(vocabulary, remembered), pack_ids([end_id])
         packer = Packer(window, TaskContext.get().partitionId() << 40, query_terms)
         names, held, size, id_type = [], [], 0, pa.null()
 
