@@ -81,6 +81,35 @@ def test_seed_meets_its_neighbours():
     assert index.neighbours(1, unused & [True, False, True, True, True]).tolist() == [4]
 
 
+def test_packing_meets_neighbours_of_other_partitions(make):
+    rng = np.random.default_rng(5)
+    topics = [[f"{a}{b}" for b in ("bar", "con", "dis", "ful", "ger", "hal", "ing", "lor")] for a in "kmptvwxz"]
+    rows = [(i, " ".join(rng.choice(topics[i % 8], 40))) for i in range(160)]
+    got = packing.pack(make(rows).repartition(4), WORDS, window=512, shard_tokens=4096).collect()
+    together = defaultdict(set)
+    for r in got:
+        together[r.sequence_id].add(r.doc_id % 8)
+    assert len({r.doc_id for r in got}) == 160
+    # a window whose topic has run out takes the next; by arrival most hold several
+    assert np.mean([len(t) for t in together.values()]) <= 2.5
+
+
+def test_packing_knows_all_documents(make):
+    rows = [(i, f"alpha beta {'gamma' if i % 3 else 'delta'}") for i in range(20)] + [(20, None), (21, "alpha alpha")]
+    stored = packing.encoded(make(rows).selectExpr("doc_id id", "coalesce(text, '') text").repartition(3), WORDS, 2, 100)
+    known = packing.statistics(stored)
+    ids = [Tokenizer.from_file(WORDS).encode(t or "", add_special_tokens=False).ids for _, t in rows]
+    want = np.bincount(np.concatenate([np.unique(d) for d in ids]).astype(int))
+    assert known.df.tolist() == want.tolist() and known.mean == sum(map(len, ids)) / 22
+
+
+def test_seed_asks_for_all_its_terms():
+    docs = [np.arange(30).repeat(np.arange(30) + 1), np.array([0, 40]), np.arange(1, 30)]
+    unused = np.array([False, True, True])
+    assert packing.Index(docs).neighbours(0, unused).tolist() == [2, 1]
+    assert packing.Index(docs, 24).neighbours(0, unused).tolist() == [2]
+
+
 def test_curve_steps_to_a_neighbour():
     for dims, bits in ((1, 3), (2, 3), (3, 3), (4, 2)):
         grid = np.array(list(itertools.product(range(1 << bits), repeat=dims))).T

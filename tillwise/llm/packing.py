@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import bisect
 import functools
+import math
 import os
 import zlib
 from collections.abc import Iterator
@@ -14,11 +16,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import Recent, pack_ids
-from .common import text_or_empty
+from .common import stored, text_or_empty
 
 #: BM25's usual constants.
 K1, B = 1.2, 0.75
 
+#: Terms in a lexical key, and documents sampled for each partition.
+KEY_TERMS, SAMPLED = 8, 64
+
 PIECE = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -60,48 +65,70 @@ def encoder(path: str, remembered: int) -> LibraryEncoder:
     return LibraryEncoder(path, remembered)
 
 
+class Statistics:
+    """What BM25 needs to know of all documents: their number, mean length and each term's df."""
+
+    def __init__(self, docs: int, tokens: int, df: np.ndarray):
+        self.mean, self.df = max(tokens / max(docs, 1), 1.0), df
+        self.idf = np.log1p((docs - df + 0.5) / (df + 0.5))
+
+    def weights(self, terms: np.ndarray, tf: np.ndarray, length: np.ndarray | int) -> np.ndarray:
+        return self.idf[terms] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / self.mean))
+
+
 class Index:
-    """An inverted index of one shard: postings by term, weighted by BM25."""
+    """The terms of one shard's documents, weighted by BM25 with the statistics of all documents.
+
+    Without ``statistics`` they are those of the shard.
+    """
 
-    def __init__(self, docs: list[np.ndarray], query_terms: int):
-        self.n, self.query_terms = len(docs), query_terms
-        lengths = np.array([len(d) for d in docs], "float64")
+    def __init__(self, docs: list[np.ndarray], query_terms: int | None = None, statistics: Statistics | None = None):
+        self.query_terms = query_terms
         uniq = [np.unique(d, return_counts=True) for d in docs]
-        sizes = np.array([len(u) for u, _ in uniq])
-        term = np.concatenate([u for u, _ in uniq])
+        sizes = np.array([len(u) for u, _ in uniq], "int64")
+        lengths = np.array([len(d) for d in docs], "int64")
+        self.term = np.concatenate([u for u, _ in uniq]).astype("int64")
+        if statistics is None:
+            statistics = Statistics(len(docs), int(lengths.sum()), np.bincount(self.term))
         tf = np.concatenate([c for _, c in uniq]).astype("float64")
-        doc = np.repeat(np.arange(self.n), sizes)
-        kinds, term, df = np.unique(term, return_inverse=True, return_counts=True)
-        idf = np.log1p((self.n - df + 0.5) / (df + 0.5))
-        norm = K1 * (1 - B + B * lengths / max(lengths.mean(), 1.0))
-        weight = idf[term] * tf * (K1 + 1) / (tf + norm[doc])
-        order = np.argsort(term, kind="stable")
-        self.doc, self.weight = doc[order].astype("int32"), weight[order].astype("float32")
-        self.at = np.concatenate([[0], np.cumsum(df)])
-        self.terms, self.own = np.split(term, np.cumsum(sizes)[:-1]), np.split(weight, np.cumsum(sizes)[:-1])
-        self.df = df
+        self.weight = statistics.weights(self.term, tf, np.repeat(lengths, sizes))
+        self.df = statistics.df
+        self.at = np.concatenate([[0], np.cumsum(sizes)])
+        self.asked = np.zeros(len(self.df))
+        # the documents that can still be found; those without terms never are
+        self.doc = np.flatnonzero(sizes)
+        self.sizes, self.found_term, self.found_weight = sizes[self.doc], self.term, self.weight
+
+    def forget(self, unused: np.ndarray) -> None:
+        """Search only ``unused`` documents from now on, once a good part of the others is used."""
+        keep = unused[self.doc]
+        if keep.sum() < 0.85 * len(keep):
+            rows = np.repeat(keep, self.sizes)
+            self.doc, self.sizes = self.doc[keep], self.sizes[keep]
+            self.found_term, self.found_weight = self.found_term[rows], self.found_weight[rows]
 
     def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
-        """Unused documents sharing one of the seed's heaviest terms, best first."""
-        terms, own = self.terms[seed], self.own[seed]
-        shared = self.df[terms] > 1
-        terms, own = terms[shared], own[shared]
-        if len(terms) > self.query_terms:
-            terms = terms[np.argpartition(-own, self.query_terms)[: self.query_terms]]
-        if not len(terms):
+        """Unused documents sharing one of the seed's terms, best first."""
+        own = slice(self.at[seed], self.at[seed + 1])
+        terms = self.term[own]
+        if self.query_terms is not None and len(terms) > self.query_terms:
+            heavy = np.where(self.df[terms] > 1, self.weight[own], -1.0)
+            terms = terms[np.argpartition(-heavy, self.query_terms)[: self.query_terms]]
+        if not len(terms) or not len(self.doc):
             return np.empty(0, "int64")
-        spans = [slice(self.at[t], self.at[t + 1]) for t in terms]
-        found = np.concatenate([self.doc[s] for s in spans])
-        score = np.bincount(found, np.concatenate([self.weight[s] for s in spans]), self.n) * unused
+        self.asked[terms] = 1.0
+        starts = np.cumsum(self.sizes) - self.sizes
+        score = np.add.reduceat(self.found_weight * self.asked[self.found_term], starts) * unused[self.doc]
+        self.asked[terms] = 0.0
         hits = np.flatnonzero(score)
-        return hits[np.argsort(-score[hits], kind="stable")]
+        return self.doc[hits[np.argsort(-score[hits], kind="stable")]]
 
 
 class Packer:
     """Fills windows from one shard after another; the open window stays open between shards."""
 
-    def __init__(self, window: int, sequence: int, query_terms: int):
-        self.window, self.sequence, self.query_terms = window, sequence, query_terms
+    def __init__(self, window: int, sequence: int, query_terms: int | None, statistics: Statistics):
+        self.window, self.sequence, self.query_terms, self.statistics = window, sequence, query_terms, statistics
         self.open: list[tuple] = []  # (doc id, ids, start, length)
         self.room = window
         self.out: list[tuple] = []
@@ -126,7 +153,7 @@ class Packer:
     def shard(self, names: list, docs: list[bytes]) -> None:
         if not docs:
             return
-        index = Index([np.frombuffer(d, "<u4")[:-1].astype("int64") for d in docs], self.query_terms)
+        index = Index([np.frombuffer(d, "<u4")[:-1].astype("int64") for d in docs], self.query_terms, self.statistics)
         left = np.array([len(d) // 4 for d in docs])
         unused = np.ones(len(docs), bool)
         seed, first = -1, 0
@@ -145,6 +172,7 @@ class Packer:
             best, seed_was, seed = None, seed, -1
             if self.sequence != sequence:
                 continue
+            index.forget(unused)
             for c in index.neighbours(seed_was, unused):
                 if left[c] <= self.room:
                     unused[c] = False
@@ -176,41 +204,144 @@ class Packer:
                     self.close()
 
 
+def unpacked(ids: bytes, n: int) -> np.ndarray:
+    """Stored ids, which take two or four bytes each."""
+    return np.frombuffer(ids, f"<u{len(ids) // n}")
+
+
+def encoded(docs: DataFrame, vocabulary: str, end_id: int, remembered: int) -> DataFrame:
+    """``docs`` (id, text) as (id, ids, n), the ids in two bytes where all of them fit; stored."""
+    kind = docs.schema["id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode, end = encoder(vocabulary, remembered), pack_ids([end_id])
+        for batch in batches:
+            for at in range(0, batch.num_rows, 128):
+                part = batch.slice(at, 128)
+                rows = [np.frombuffer(ids + end, "<u4") for ids in encode(part.column(1).to_pylist())]
+                ids = [(r.astype("<u2") if r.max() < 1 << 16 else r).tobytes() for r in rows]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(ids, pa.binary()), pa.array([len(r) for r in rows], pa.int64())], names=["id", "ids", "n"]
+                )
+
+    return stored(docs.mapInArrow(run, f"id {kind}, ids binary, n long"), "packing-ids")
+
+
+def statistics(rows: DataFrame) -> Statistics:
+    """Document frequencies and mean length over all ``encoded`` documents.
+
+    Every task sends one row per term, so what comes back is bounded by the vocabulary.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df = np.zeros(1 << 16, "int64")
+        for batch in batches:
+            for ids, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                terms = np.unique(unpacked(ids, n)[:-1]).astype("int64")
+                if len(terms) and terms[-1] >= len(df):
+                    df = np.concatenate([df, np.zeros(terms[-1] + 1, "int64")])
+                df[terms] += 1
+        seen = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(df[seen], pa.int64())], names=["term", "df"])
+
+    counted = rows.select("ids", "n").mapInArrow(run, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).collect()
+    size = rows.agg(F.count("n").alias("docs"), F.coalesce(F.sum("n"), F.lit(0)).alias("tokens")).first()
+    df = np.zeros(max((r.term for r in counted), default=0) + 1, "int64")
+    for r in counted:
+        df[r.term] = r.df
+    return Statistics(size.docs, size.tokens - size.docs, df)
+
+
+def lexical_key(ids: np.ndarray, known: Statistics, common: np.ndarray) -> bytes:
+    """A document's heaviest ``common`` terms, heaviest first, then its heaviest others; sorts as bytes."""
+    terms, tf = np.unique(ids, return_counts=True)
+    weight = known.weights(terms, tf, len(ids))
+    order = np.lexsort((terms, -weight, ~common[terms]))
+    return terms[order[:KEY_TERMS]].astype(">u4").tobytes().ljust(4 * KEY_TERMS, b"\0") + zlib.crc32(ids.tobytes()).to_bytes(4)
+
+
+def placed(rows: DataFrame, known: Statistics, shard_tokens: int) -> DataFrame:
+    """``encoded`` rows sorted by lexical key, in partitions of about two shards.
+
+    The partitions' bounds come from the keys of a sample.  Whatever shares a key is cut
+    by the text's CRC, the id and the row's number, so no key is too large for one task.
+    """
+    kind = rows.schema["id"].dataType.simpleString()
+    common = known.df * known.mean >= shard_tokens
+
+    def key_of(name, ids: bytes, n: int, task: int, row: int) -> bytes:
+        key = lexical_key(unpacked(ids, n)[:-1], known, common)
+        return key + zlib.crc32(repr(name).encode()).to_bytes(4) + task.to_bytes(4) + row.to_bytes(8)
+
+    def run(batches: Iterator[pa.RecordBatch], bounds: list[bytes], whole: bool) -> Iterator[pa.RecordBatch]:
+        task, row = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            keys = []
+            for name, ids, n in zip(*(c.to_pylist() for c in batch.columns)):
+                keys.append(key_of(name, ids, n, task, row))
+                row += 1
+            part = [bisect.bisect_right(bounds, k) for k in keys]
+            taken = [*batch.columns, pa.array(part, pa.int32())] if whole else [batch.column(2)]
+            yield pa.RecordBatch.from_arrays(
+                [*taken, pa.array(keys, pa.binary())], names=["id", "ids", "n", "part", "key"] if whole else ["n", "key"]
+            )
+
+    size = rows.agg(F.count("n").alias("docs"), F.coalesce(F.sum("n"), F.lit(0)).alias("tokens")).first()
+    parts = max(1, math.ceil(size.tokens / (2 * shard_tokens)))
+    bounds: list[bytes] = []
+    if parts > 1:
+        seen = rows.sample(min(1.0, SAMPLED * parts / size.docs), 7) if SAMPLED * parts < size.docs else rows
+        taken = sorted((r.key, r.n) for r in seen.mapInArrow(lambda b: run(b, [], False), "n long, key binary").collect())
+        passed = np.cumsum([n for _, n in taken])
+        cuts = np.searchsorted(passed, passed[-1] * np.arange(1, parts) / parts) if len(taken) else []
+        bounds = [bytes(taken[c][0]) for c in cuts]
+    keyed = rows.mapInArrow(lambda b: run(b, bounds, True), f"id {kind}, ids binary, n long, part int, key binary")
+    return keyed.repartitionById(parts, "part").sortWithinPartitions("key")
+
+
 def pack(
     docs: DataFrame,
     vocabulary: str,
     window: int = 4096,
     end_id: int = 2,
     shard_tokens: int = 1 << 21,
-    query_terms: int = 24,
+    query_terms: int | None = None,
     remembered: int = 700_000,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """Pieces of token sequences: id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
-    A document is its ids by the library followed by ``end_id``.  Each input partition is
-    cut into shards of about ``shard_tokens`` tokens (a longer document is a shard of its
-    own), and each shard has an inverted index in memory.  The first unused document is
-    the seed of a window; its unused neighbours, those that share one of its
-    ``query_terms`` heaviest terms, follow by falling BM25 score as far as they fit, and
-    the best one that does not fit is cut to fill the rest and is the next seed.  A
-    window that stays open takes the next seed.  Every token lies in one piece; only the
-    last window of a partition is short, and it is cut into sequences whose lengths are
-    powers of two, so nothing is padded.
-
-    One pass without a shuffle; memory is bounded by the shard, the longest document and
-    the ids of at most twice ``remembered`` chunks that a worker keeps.
-    ``sequence_id`` is unique, with the partition in its upper bits; it depends on how
-    the input is split.  A NULL or empty text is ``end_id`` alone.  A NULL id stays,
-    repeated rows are packed each, other columns are ignored, an empty table gives an
-    empty result.
+    A document is its ids by the library followed by ``end_id``.  The ids are stored once;
+    BM25's document frequencies and mean length are those of all documents.  Documents are
+    sorted by a lexical key, their heaviest terms among those frequent enough to fill a
+    shard, then their heaviest others, and cut into shards of about ``shard_tokens``
+    tokens (a longer document is a shard of its own).  Each shard has an index in memory.
+    The first unused document is the seed of a window; its unused neighbours, those that
+    share one of its terms, follow by falling BM25 score as far as they fit, and the best
+    one that does not fit is cut to fill the rest and is the next seed.  A window that
+    stays open takes the next seed.  ``query_terms`` asks only for a seed's heaviest
+    terms; by default all count.  Every token lies in one piece; only the last window of
+    a partition is short, and it is cut into sequences whose lengths are powers of two,
+    so nothing is padded.
+
+    A seed's candidates are the documents of its shard, that is those nearest to it in key
+    order; a document whose heaviest terms are others lies in another shard and is not one.
+
+    One shuffle, of the ids; memory is bounded by the shard, the longest document, the
+    vocabulary and the ids of at most twice ``remembered`` chunks that a worker keeps.
+    ``sequence_id`` is unique, with the partition in its upper bits.  Documents with one
+    key are ordered by text and id, not by where they arrived; only equal rows, and the
+    bounds of the shards through a sample, depend on that.  A NULL or empty text is
+    ``end_id`` alone.  A NULL id stays, repeated rows are packed each, other columns are
+    ignored, an empty table gives an empty result.
     """
     kind = docs.schema[id_col].dataType.simpleString()
+    rows = encoded(docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text")), vocabulary, end_id, remembered)
+    known = statistics(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(vocabulary, remembered), pack_ids([end_id])
-        packer = Packer(window, TaskContext.get().partitionId() << 40, query_terms)
+        packer = Packer(window, TaskContext.get().partitionId() << 40, query_terms, known)
         names, held, size, id_type = [], [], 0, pa.null()
 
         def emit() -> pa.RecordBatch:
@@ -221,20 +352,18 @@ def pack(
 
         for batch in batches:
             id_type = batch.column(0).type
-            for at in range(0, batch.num_rows, 128):
-                part = batch.slice(at, 128)
-                for name, ids in zip(part.column(0).to_pylist(), encode(part.column(1).to_pylist())):
-                    names.append(name)
-                    held.append(ids + end)
-                    size += len(held[-1]) // 4
-                    if size >= shard_tokens:
-                        packer.shard(names, held)
-                        names, held, size = [], [], 0
-                        yield emit()
+            for name, ids, n in zip(*(c.to_pylist() for c in batch.columns)):
+                names.append(name)
+                held.append(unpacked(ids, n).astype("<u4").tobytes())
+                size += n
+                if size >= shard_tokens:
+                    packer.shard(names, held)
+                    names, held, size = [], [], 0
+                    yield emit()
         packer.shard(names, held)
         packer.finish()
         if packer.out:
             yield emit()
 
-    read = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    return read.mapInArrow(run, f"id {kind}, {PIECE}").withColumnRenamed("id", id_col)
+    ordered = placed(rows, known, shard_tokens).select("id", "ids", "n")
+    return ordered.mapInArrow(run, f"id {kind}, {PIECE}").withColumnRenamed("id", id_col)
