@@ -43,6 +43,17 @@ def test_region_has_the_largest_sum():
     assert html_text.main_text("<p>x</p><div>a</div><div>b</div><p>one two three four</p><p>five</p><div>c</div>", weights) == "one two three four five"
 
 
+def test_mark_is_a_label_only(make):
+    body = "<p>one two three four</p><p>five six seven eight nine</p>"
+    marked = [(i, f"<div><ul><li><a href='/'>menu</a></li></ul></div><article>{body}</article><div>end of page</div>") for i in range(20)]
+    weights = html_text.learn(make(marked, "page_id", "string", "html"))
+    assert not any("inside" in k or "outside" in k for k in weights)
+    hidden = marked[0][1].replace("article>", "section>")
+    assert html_text.main_text(hidden, weights) == html_text.main_text(marked[0][1], weights) == "one two three four five six seven eight nine"
+    teaser = f"<section>{body * 9}</section><article><p>a teaser</p></article>"
+    assert html_text.main_text(teaser, weights).startswith("one two three four five six seven eight nine one")
+
+
 @pytest.mark.parametrize("shard", [30, 1 << 20])
 def test_packing(make, shard):
     rows = [(1, "alpha beta gamma " * 9), (2, None), (3, ""), (4, "beta gamma delta " * 30), (5, "alpha beta"), (None, "words without id"),

@@ -47,40 +47,48 @@ WORDS = {"word", "link"}
 LIMITS = ((-2.0, -0.05), (-1.0, 1.0))
 
 #: Weights of what no labelled page shows.
-UNSEEN = {"word": 1.0, "link": -0.5, "tag": -0.3, "aside": -0.3, "outside": -1.0}
+UNSEEN = {"word": 1.0, "link": -0.5, "tag": -0.3, "aside": -0.3, "aside word": -1.0, "aside word long": 0.25, "aside link": -1.0}
 
 
-def beside(name: str, attrs: str, within: bool) -> bool:
-    """Whether an element is a menu, header, footer, sidebar, notice, advert, form or comments."""
-    if name in ASIDE and not (name == "header" and within):
-        return True
-    if not attrs or name in ("body", "html"):
-        return False
-    parts: set[str] = set()
-    for m in ATTRIBUTE.finditer(attrs):
+def beside(name: str, attrs: str, within: bool) -> str:
+    """``aside`` for a menu, header, footer, sidebar, notice, advert, form or comments, ``hidden`` for what is not shown."""
+    tokens: list[set[str]] = []
+    for m in ATTRIBUTE.finditer(attrs) if attrs and name not in ("body", "html") else ():
         key, value = m["key"].lower(), m["a"] or m["b"] or m["c"] or ""
         if key in ("class", "id", "role"):
-            parts.update(p.lower() for p in PART.findall(value))
+            tokens += [{p.lower() for p in PART.findall(t)} for t in value.split()]
         elif key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none", value):
-            return True
+            return "hidden"
+    if name in ASIDE and not (name == "header" and within):
+        return "aside"
     if name in CONTENT:
-        return bool(parts & READERS)
-    return bool(parts & MARKS or parts & WEAK and not parts & OWN)
+        return "aside" if any(t & READERS for t in tokens) else ""
+    marked = any(t & MARKS for t in tokens) or any(t & WEAK for t in tokens) and not any(t & OWN for t in tokens)
+    return "aside" if marked else ""
 
 
-def items(page: str) -> tuple[list[tuple[str, str, bool]], bool]:
-    """The page as (text or tag name, kind, inside the article) and whether it marks an article.
+def items(page: str) -> tuple[list[tuple[str, str, bool, int]], bool]:
+    """The page as (text or tag, kind, inside the article, aside) and whether it marks an article.
 
-    Kinds are ``word``, ``link`` (words of a link), ``tag``, and ``aside`` for a whole
-    element beside the article.  The text of such elements, of scripts, styles, comments
-    and the like is left out.
+    Kinds are ``word``, ``link`` (words of a link) and ``tag``; an end tag has a slash.
+    ``aside`` is 0, or the number of the element beside the article that an item is in.
+    Text of hidden elements, of scripts, styles, comments and the like is left out.
     """
-    out: list[tuple[str, str, bool]] = []
-    skip, depth, within, link, marked, at = "", 0, 0, False, False, 0
+    out: list[tuple[str, str, bool, int]] = []
+    stack: list[tuple[str, str]] = []  # open elements: name, and what ``beside`` says where it is the outermost such one
+    names: Counter = Counter()
+    state, number, within, link, marked, at = "", 0, 0, False, False, 0
 
     def text_until(end: int) -> None:
-        if end > at and not skip:
-            out.append((page[at:end], "link" if link else "word", within > 0))
+        if end > at and state != "hidden":
+            out.append((page[at:end], "link" if link else "word", within > 0, number if state else 0))
+
+    def close_to(n: int) -> None:
+        nonlocal state
+        while len(stack) > n:
+            closed, said = stack.pop()
+            names[closed] -= 1
+            state = "" if said else state
 
     for m in MARKUP.finditer(page):
         text_until(m.start())
@@ -88,34 +96,68 @@ def items(page: str) -> tuple[list[tuple[str, str, bool]], bool]:
         name = (m["name"] or m["name2"] or "").lower()
         if not name:
             continue
-        ends = bool(m["end"] or m["end2"])
-        if skip:
-            # an element that was never closed ends where the article or the page's end begins
-            opens = not ends and name in CONTENT and skip not in CONTENT and not within
-            if not opens and not (ends and name in ("body", "html")):
-                if name == skip:
-                    depth += -1 if ends else 1
-                    skip = skip if depth else ""
-                continue
-            skip = ""
-        if not ends and name not in VOID and beside(name, m["attrs"] or m["attrs2"] or "", within > 0):
-            skip, depth = name, 1
-            out.append((name, "aside", within > 0))
+        ends, was = bool(m["end"] or m["end2"]), state
+        if ends:
+            if names[name]:
+                n = len(stack) - 1
+                while stack[n][0] != name:
+                    n -= 1
+                close_to(n)
+            elif name in ("body", "html"):
+                close_to(0)
+        else:
+            if name in CONTENT and state and not within:
+                # an element that was never closed ends where the article begins
+                n = next(k for k, (_, said) in enumerate(stack) if said)
+                if stack[n][0] not in CONTENT:
+                    close_to(n)
+            said = "" if state or name in VOID else beside(name, m["attrs"] or m["attrs2"] or "", within > 0)
+            if said:
+                state, number = said, number + 1
+            if name not in VOID and (said or name not in INLINE):
+                stack.append((name, said))
+                names[name] += 1
+        if state == "hidden":
             continue
-        if name in CONTENT:
+        if name in CONTENT and not state and not was:
             within, marked = max(0, within + (-1 if ends else 1)), True
         elif name == "a":
             link = not ends
-        out.append((name, "tag", within > 0))
+        out.append((("/" if ends else "") + name, "tag", within > 0, number if state or was else 0))
     text_until(len(page))
     return out, marked
 
 
-def feature(text: str, kind: str, within: bool, marked: bool) -> str:
-    """What the weight of an item depends on: its kind and place, or the name of a tag."""
-    if marked:
-        return f"{kind} {'inside' if within else 'outside'}"
-    return f"tag {text if text in NAMES else 'other'}" if kind == "tag" else kind
+def feature(text: str, kind: str, aside: int, size: int) -> str:
+    """What the weight of an item depends on: the name of a tag, or a word's element and the words in its block."""
+    if kind == "tag":
+        name = text.removeprefix("/")
+        return f"tag {text if name in NAMES else 'other'}"
+    return f"{'aside ' if aside else ''}{kind} {'short' if size < 4 else 'line' if size < 16 else 'long'}"
+
+
+def wider(name: str) -> str:
+    """The feature that stands in for one that no labelled page shows."""
+    return name.replace("tag /", "tag ") if name.startswith("tag") else name.rpartition(" ")[0]
+
+
+def described(found: list[tuple[str, str, bool, int]]) -> list[tuple[str, int]]:
+    """The feature and the number of words (1 for a tag) of each item."""
+    counts = [len(text.split()) if kind in WORDS else 1 for text, kind, _, _ in found]
+    out: list[tuple[str, int]] = []
+    n = 0
+    while n < len(found):
+        end, size = n, 0
+        while end < len(found) and found[end][3] == found[n][3]:
+            text, kind = found[end][:2]
+            if kind == "tag" and text.removeprefix("/") not in INLINE:
+                break
+            size += counts[end] if kind in WORDS else 0
+            end += 1
+        end = max(end, n + 1)
+        out += [(feature(*found[k][:2], found[k][3], size), counts[k]) for k in range(n, end)]
+        n = end
+    return out
 
 
 #: Names of tags that have a weight of their own; others share one, so weights stay few.
@@ -128,9 +170,9 @@ NAMES = set(
 def learn(pages: DataFrame, html_col: str = "html") -> dict[str, float]:
     """Weights from labelled pages: those that mark one region as their article.
 
-    Counts words and tags inside and outside of it by feature, as the page shows them and
-    as it would without the mark, over all pages, and takes the log odds.  What comes
-    back is one row per feature, of which there are a fixed number.
+    The mark is the label: words and tags are counted inside and outside of it by the
+    features that every page has, over all pages, for the log odds.  What comes back is
+    one row per feature, of which there are a fixed number.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,10 +182,9 @@ def learn(pages: DataFrame, html_col: str = "html") -> dict[str, float]:
                 found, marked = items(page)
                 if not marked:
                     continue
-                for text, kind, within in found:
-                    n = len(text.split()) if kind in WORDS else 1
-                    for seen in (True, False):
-                        counts[feature(text, kind, within, seen), within] += n
+                for (_, _, within, _), (name, n) in zip(found, described(found)):
+                    for seen in {name, wider(name)}:
+                        counts[seen, within] += n
             keys = list(counts)
             yield pa.RecordBatch.from_pydict(
                 {
@@ -158,28 +199,53 @@ def learn(pages: DataFrame, html_col: str = "html") -> dict[str, float]:
     weights = {}
     for r in counts.agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside")).collect():
         odds = math.log((r.inside + 0.5) / (r.outside + 0.5))
-        low, high = LIMITS[r.feature.split()[0] in WORDS]
+        low, high = LIMITS[not r.feature.startswith("tag")]
         weights[r.feature] = min(max(odds, low), high)
     return weights
 
 
+def weigh(name: str, weights: dict[str, float]) -> float:
+    for known in (weights, UNSEEN):
+        for asked in (name, wider(name)):
+            if asked in known:
+                return known[asked]
+    return UNSEEN["tag"]
+
+
 def main_text(page: str, weights: dict[str, float]) -> str:
-    """Text of the contiguous region with the largest sum of weights, found in one scan."""
-    found, marked = items(page)
-    best, best_at, total, start = 0.0, (0, 0), 0.0, 0
-    for n, (text, kind, within) in enumerate(found):
-        size = len(text.split()) if kind in WORDS else 1
-        weight = weights.get(feature(text, kind, within, marked), UNSEEN["outside" if marked and not within else kind])
-        total += size * weight
+    """Text of the contiguous region with the largest sum of weights, found in one scan.
+
+    An element beside the article whose own words sum to less than nothing is left out
+    and weighs as one item; another takes part by its weights.
+    """
+    found, _ = items(page)
+    scores: list[float] = []
+    asides: Counter = Counter()
+    known: dict[str, float] = {}
+    for (_, kind, _, aside), (name, n) in zip(found, described(found)):
+        if name not in known:
+            known[name] = weigh(name, weights)
+        scores.append(n * known[name])
+        if aside and kind in WORDS:
+            asides[aside] += scores[-1]
+    best, best_at, total, start, last = 0.0, (0, 0), 0.0, 0, 0
+    for n, (_, _, _, aside) in enumerate(found):
+        if aside and asides[aside] <= 0:
+            total += UNSEEN["aside"] if aside != last else 0.0
+        else:
+            total += scores[n]
+        last = aside
         if total <= 0:
             total, start = 0.0, n + 1
         elif total > best:
             best, best_at = total, (start, n + 1)
     parts = []
-    for text, kind, _ in found[best_at[0] : best_at[1]]:
-        if kind in WORDS:
+    for text, kind, _, aside in found[best_at[0] : best_at[1]]:
+        if aside and asides[aside] <= 0:
+            parts.append(" ")
+        elif kind in WORDS:
             parts.append(entities.unescape(text))
-        elif text not in INLINE:
+        elif text.removeprefix("/") not in INLINE:
             parts.append(" ")
     return " ".join("".join(parts).split())
 
@@ -189,10 +255,12 @@ def extract_text(
 ) -> DataFrame:
     """``pages`` without the html, with ``text``, the main text of each whole page.
 
-    Words score positive and tags negative by weights that ``learn`` takes from the pages
-    that mark their article, unless ``weights`` are given.  A linear scan finds the best
+    Words and tags are weighed by name and context with weights that ``learn`` takes from
+    the pages that mark their article, unless ``weights`` are given; ``<article>`` and
+    ``<main>`` themselves weigh like any other tag.  A linear scan finds the best
     contiguous region; within it menus, headers, footers, sidebars, notices, adverts,
-    forms and readers' comments are left out.  Character references are decoded, white
+    forms and readers' comments are left out where their words, which weigh less, sum to
+    less than nothing, and hidden elements always.  Character references are decoded, white
     space becomes one space, blocks are joined by one space.  Both passes are without a
     shuffle of pages.
 
