@@ -54,6 +54,26 @@ def test_mark_is_a_label_only(make):
     assert html_text.main_text(teaser, weights).startswith("one two three four five six seven eight nine one")
 
 
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("<div class='entry-content no-sidebar'><p>real text</p></div>", "real text"),
+        ("<article><p>real text</p><section class='related-work'><p>more of it</p></section></article>", "real text more of it"),
+        ("<article class='post comments-open'><p>real text</p></article>", "real text"),
+        ("<article><p class='promo'>ad<p>real text<p>more of it</article>", "real text more of it"),
+        ("<article><ul><li class='ad'>ad<li>real text</ul><p>more of it</p></article>", "real text more of it"),
+        ("<article><table><tr><td class='ad'>ad<td>real text<tr class='promo'><td>ad<tr><td>more</table><p>of it</p></article>", "real text more of it"),
+        ("<div><p class='ad'>ad</div><p>real text</p>", "real text"),
+        ("<article><p>real text</p><div class='cookie-notice site-footer'>we use cookies</div><p>more of it</p></article>", "real text more of it"),
+        ("<article><p>real text</p><div class='promo'><p>" + "whole sentence " * 9 + "</p></div></article>", "real text " + "whole sentence " * 8 + "whole sentence"),
+        ("<article><p>real text</p><p hidden>not shown<p>more of it</article>", "real text more of it"),
+    ],
+)
+def test_article_text_is_kept(page, want):
+    weights = {"word": 1.0, "tag": -0.05, **{f"tag {t}": -0.05 for t in ("other", *html_text.NAMES)}}
+    assert html_text.main_text(page, weights) == want
+
+
 @pytest.mark.parametrize("shard", [30, 1 << 20])
 def test_packing(make, shard):
     rows = [(1, "alpha beta gamma " * 9), (2, None), (3, ""), (4, "beta gamma delta " * 30), (5, "alpha beta"), (None, "words without id"),

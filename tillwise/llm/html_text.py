@@ -40,9 +40,26 @@ MARKS = set(
 WEAK = set("header top bottom side search tags widget".split())
 OWN = set("article entry post content main body story text".split())
 READERS = {"comment", "comments", "reply", "replies", "respond", "disqus"}
+#: Words that may stand beside a mark in one class name: ``site-footer`` is a footer, ``no-sidebar`` is not a sidebar.
+FILLING = set("area bar block box button buttons container global group inner item items left link links list outer page panel primary right row secondary section site slot top unit wrap wrapper".split())
 
 WORDS = {"word", "link"}
 
+#: Open elements that a start tag ends, up to the elements that hold them.
+ENDS = {
+    **dict.fromkeys(["li"], ({"li"}, {"ul", "ol", "menu"})),
+    **dict.fromkeys(["dt", "dd"], ({"dt", "dd"}, {"dl"})),
+    **dict.fromkeys(["td", "th"], ({"td", "th"}, {"table", "tr"})),
+    "tr": ({"tr"}, {"table"}),
+    **dict.fromkeys(["tbody", "thead", "tfoot"], ({"tbody", "thead", "tfoot", "tr"}, {"table"})),
+    "option": ({"option"}, {"select", "datalist"}),
+}
+#: Start tags that end an open paragraph.
+BLOCKS = set(
+    "address article aside blockquote details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr"
+    " main menu nav ol p pre section table ul li dt dd td th tr tbody thead tfoot".split()
+)
+
 #: The weight of one tag and of one word is kept within these limits.
 LIMITS = ((-2.0, -0.05), (-1.0, 1.0))
 
@@ -51,7 +68,10 @@ UNSEEN = {"word": 1.0, "link": -0.5, "tag": -0.3, "aside": -0.3, "aside word": -
 
 
 def beside(name: str, attrs: str, within: bool) -> str:
-    """``aside`` for a menu, header, footer, sidebar, notice, advert, form or comments, ``hidden`` for what is not shown."""
+    """``aside`` for a menu, header, footer, sidebar, notice, advert, form or comments, ``hidden`` for what is not shown.
+
+    A class counts as a whole: each of its parts must be a mark or go with one.
+    """
     tokens: list[set[str]] = []
     for m in ATTRIBUTE.finditer(attrs) if attrs and name not in ("body", "html") else ():
         key, value = m["key"].lower(), m["a"] or m["b"] or m["c"] or ""
@@ -62,8 +82,9 @@ def beside(name: str, attrs: str, within: bool) -> str:
     if name in ASIDE and not (name == "header" and within):
         return "aside"
     if name in CONTENT:
-        return "aside" if any(t & READERS for t in tokens) else ""
-    marked = any(t & MARKS for t in tokens) or any(t & WEAK for t in tokens) and not any(t & OWN for t in tokens)
+        return "aside" if any(t & READERS and t <= READERS | FILLING for t in tokens) else ""
+    own = any(t & OWN and t <= OWN | FILLING for t in tokens)
+    marked = any(t & MARKS and t <= MARKS | WEAK | FILLING or t & WEAK and t <= WEAK | FILLING and not own for t in tokens)
     return "aside" if marked else ""
 
 
@@ -73,6 +94,7 @@ def items(page: str) -> tuple[list[tuple[str, str, bool, int]], bool]:
     Kinds are ``word``, ``link`` (words of a link) and ``tag``; an end tag has a slash.
     ``aside`` is 0, or the number of the element beside the article that an item is in.
     Text of hidden elements, of scripts, styles, comments and the like is left out.
+    Elements whose end tags may be omitted end where the next one or their parent's end is.
     """
     out: list[tuple[str, str, bool, int]] = []
     stack: list[tuple[str, str]] = []  # open elements: name, and what ``beside`` says where it is the outermost such one
@@ -106,6 +128,20 @@ def items(page: str) -> tuple[list[tuple[str, str, bool, int]], bool]:
             elif name in ("body", "html"):
                 close_to(0)
         else:
+            if name in BLOCKS and names["p"]:
+                n = len(stack) - 1
+                while n >= 0 and stack[n][0] in INLINE:
+                    n -= 1
+                if n >= 0 and stack[n][0] == "p":
+                    close_to(n)
+            same, holders = ENDS.get(name, ((), ()))
+            if any(names[x] for x in same):
+                n, found = len(stack) - 1, -1
+                while n >= 0 and stack[n][0] not in holders:
+                    found = n if stack[n][0] in same else found
+                    n -= 1
+                if found >= 0:
+                    close_to(found)
             if name in CONTENT and state and not within:
                 # an element that was never closed ends where the article begins
                 n = next(k for k, (_, said) in enumerate(stack) if said)
