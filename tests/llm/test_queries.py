@@ -21,7 +21,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 
 def test_names():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {"pipeline", *queries.QUERIES} <= set(entry.queries())
     assert set(queries.SQL) <= set(entry.oracle_sql())
 

@@ -7,12 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, exact_dedup, html_text, line_dedup, near_dup, packing, quality, sharding, token_count, topk
+from public_tokenizers import path as vocabulary
+
+from . import (
+    alignment,
+    bpe_codec,
+    exact_dedup,
+    html_text,
+    line_dedup,
+    near_dup,
+    packing,
+    piece_codec,
+    quality,
+    sharding,
+    token_count,
+    topk,
+    whitening,
+)
 from .common import table
 
-#: Where the vocabulary files lie; the same on every executor.
-VOCABULARIES = "/opt/tokenizers"
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -45,17 +58,17 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op4_token_counts")
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_count.count_tokens(table(spark, sf_dir, "documents"), f"{VOCABULARIES}/word_bpe_49k.json")
+    return token_count.count_tokens(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
 @query("op7_bpe_round_trip")
 def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe_codec.round_trip(table(spark, sf_dir, "documents"), f"{VOCABULARIES}/byte_bpe_50k.json")
+    return bpe_codec.round_trip(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
 @query("op6_retrieval_packing")
 def op6_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), f"{VOCABULARIES}/word_bpe_49k.json")
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
 @query(
@@ -229,3 +242,18 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_hilbert_shards")
 def op8_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_curve(table(spark, sf_dir, "documents"))
+
+
+@query("op11_whitening")
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_piece_round_trip")
+def op12_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_codec.round_trip(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+@query("op13_alignment")
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
