@@ -1,6 +1,7 @@
 """Pages, packing, shards, top-k, near duplicates and quality: edge rows against brute force."""
 
 import itertools
+import random
 import zlib
 from collections import defaultdict
 
@@ -106,7 +107,7 @@ def test_packing(make, shard):
 
 def test_seed_meets_its_neighbours():
     docs = [np.array(d) for d in ([1, 2, 3, 3], [7, 8, 9], [3, 3, 1], [1, 5], [7, 7])]
-    index = packing.Index(docs, 8)
+    index = packing.Index(docs)
     unused = np.array([False, True, True, True, True])
     assert index.neighbours(0, unused).tolist() == [2, 3]
     assert index.neighbours(1, unused & [True, False, True, True, True]).tolist() == [4]
@@ -138,7 +139,66 @@ def test_seed_asks_for_all_its_terms():
     docs = [np.arange(30).repeat(np.arange(30) + 1), np.array([0, 40]), np.arange(1, 30)]
     unused = np.array([False, True, True])
     assert packing.Index(docs).neighbours(0, unused).tolist() == [2, 1]
-    assert packing.Index(docs, 24).neighbours(0, unused).tolist() == [2]
+
+
+def brute_bm25(docs, seed, known):
+    """BM25 of every document, by its formula."""
+    asked, out = set(docs[seed].tolist()), []
+    for d in docs:
+        words, score = d.tolist(), 0.0
+        for t in asked & set(words):
+            tf, idf = words.count(t), np.log(1 + (known[0] - known[2][t] + 0.5) / (known[2][t] + 0.5))
+            score += idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(words) / known[1]))
+        out.append(score)
+    return np.array(out)
+
+
+@pytest.mark.parametrize("shape", [(40, 30, 1.2), (60, 400, 1.0), (30, 8, 2.0)])
+def test_index_scores_as_brute_force(shape):
+    n, words, slope = shape
+    rng = np.random.default_rng(n)
+    chance = 1 / np.arange(1, words + 1) ** slope
+    docs = [rng.choice(words, rng.integers(0, 80), p=chance / chance.sum()) for _ in range(n)] + [np.empty(0, "int64")]
+    df = 3 + np.bincount(np.concatenate([np.unique(d) for d in docs]).astype(int), minlength=words)
+    index = packing.Index(docs, packing.Statistics(500, 20_000, df))
+    unused = np.ones(len(docs), bool)
+    for seed in rng.permutation(len(docs)):
+        unused[seed] = False
+        want = brute_bm25(docs, seed, (500, 40.0, df))
+        index.forget(unused)
+        assert np.allclose(index.scores(seed) * unused[index.found], (want * unused)[index.found])
+        assert not unused[np.setdiff1d(np.arange(len(docs)), index.found)].any()
+        near = index.neighbours(seed, unused)
+        assert set(near) == set(np.flatnonzero(want * unused)) and (np.diff(want[near]) <= 1e-9).all()
+
+
+def test_seed_reads_only_its_own_postings():
+    rng = np.random.default_rng(1)
+    docs = [np.array([7])] + [rng.integers(10, 3000, 200) for _ in range(400)] + [np.array([7, 8])] * 3
+    index = packing.Index(docs)
+    index.weight = index.weight.view(Counted)
+    Counted.asked = 0
+    assert index.neighbours(0, np.ones(len(docs), bool)).tolist() == [0, 401, 402, 403]
+    assert Counted.asked == 4 < len(index.weight) // 1000
+
+
+class Counted(np.ndarray):
+    """Counts the entries that are picked."""
+
+    asked = 0
+
+    def __getitem__(self, at):
+        Counted.asked += len(at)
+        return np.asarray(self)[at]
+
+
+def test_library_ids_of_chunks():
+    library, of = Tokenizer.from_file(WORDS), packing.encoder(WORDS, 50)
+    rng = random.Random(3)
+    signs = list("aäB1 .,;:!?\"()'\n") + ["don't", "it's.", "...", "É́", "<|endoftext|>", "ⅷ", "Ⓐ", "ª", "漢字,", "İ!"]
+    texts = ["".join(rng.choices(signs, k=rng.randint(0, 30))) for _ in range(2000)]
+    for text, ids in zip(texts, of(texts)):
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
 def test_curve_steps_to_a_neighbour():

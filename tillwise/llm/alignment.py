@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import os
+from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -30,22 +31,31 @@ def groups(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
     is a group.  The search goes outward from the middle, so a stretch without cuts is
     looked at three times at most: when each of its ends is found, and when none is left.
     """
-    last_a, last_b = [], []
-    todo = [(0, len(a) - 1, 0, len(b) - 1)] if a else []
-    while todo:
-        i, j, p, q = todo.pop()  # tokens i to j and p to q
+    last_a, last_b, todo = [], [], []
+    if not a:
+        return last_a, last_b
+    i, j, p, q = 0, len(a) - 1, 0, len(b) - 1  # tokens i to j and p to q
+    while True:
         if i < j and p < q:
             m = (i + j) >> 1
             at = bisect_left(b, a[m], p, q)
             if b[at] != a[m]:
                 m, at = near_cut(a, b, i, j, p, q, m, at)
             if m >= 0:
-                todo.append((m + 1, j, at + 1, q))
-                todo.append((i, m, p, at))
+                if m == i or at == p:  # the left half is a group
+                    last_a.append(m)
+                    last_b.append(at)
+                    i, p = m + 1, at + 1
+                else:
+                    todo.append((j, q))  # the right half begins where the left one will have ended
+                    j, q = m, at
                 continue
         last_a.append(j)
         last_b.append(q)
-    return last_a, last_b
+        if not todo:
+            return last_a, last_b
+        i, p = j + 1, q + 1
+        j, q = todo.pop()
 
 
 def near_cut(a: list[int], b: list[int], i: int, j: int, p: int, q: int, m: int, at: int) -> tuple[int, int]:
@@ -81,9 +91,7 @@ class Aligner:
     """Texts to the ids and ends of both tokenizers, with the ids of frequent chunks kept.
 
     Both begin a token at a single space between two characters that are no white space,
-    so a text is cut there and the libraries see each chunk once.  A chunk whose tokens
-    don't spell its bytes in both has None, and so has its text: tokens can differ from
-    the text only where a character was replaced, which no neighbour makes up for.
+    so a text is cut there and the libraries see each chunk once.
     """
 
     def __init__(self, vocabulary_a: str, vocabulary_b: str, remembered: int):
@@ -95,46 +103,64 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.a.no_truncation()
         self.a.no_padding()
+        self.a.model._resize_cache(0)  # chunks are kept here
         self.b = sentencepiece.SentencePieceProcessor(model_file=vocabulary_b)
         pieces = bpe.load(vocabulary_a).pieces
         if bpe.load(vocabulary_a).lower or not piece_codec.load(vocabulary_b).words:
             raise ValueError(f"{vocabulary_a} or {vocabulary_b} is of another kind")
-        self.text_a = [pieces.get(i, b"") for i in range(max(pieces) + 1)]
-        self.text_b = piece_codec.load(vocabulary_b).text
-        self.size_a, self.size_b = (np.array([len(t) for t in texts], "int64") for texts in (self.text_a, self.text_b))
+        texts = [pieces.get(i, b"") for i in range(max(pieces) + 1)], piece_codec.load(vocabulary_b).text
+        self.size_a, self.size_b = (np.array([len(t) for t in side], "int64") for side in texts)
         # every token with what follows it in a group: "," and "|" for A, "," and ";" for B
-        self.shown = [b"%d%s" % (i, s) for texts, seps in ((self.text_a, (b",", b"|")), (self.text_b, (b",", b";"))) for i in range(len(texts)) for s in seps]
-        self.known = bpe.Recent(lambda chunk: self.encode([chunk])[0], limit=remembered)
-
-    def encode(self, chunks: list[str]) -> list[tuple[bytes, bytes] | None]:
-        out = []
-        left = self.a.encode_batch_fast([" " + c for c in chunks], add_special_tokens=False)
-        for chunk, e, b in zip(chunks, left, self.b.encode(chunks, num_threads=1)):
-            a, data = e.ids, b" " + chunk.encode()
-            same = data == b"".join(map(self.text_a.__getitem__, a)) == b"".join(map(self.text_b.__getitem__, b))
-            out.append((bpe.pack_ids(a), bpe.pack_ids(b)) if same else None)
-        return out
-
-    def chunks(self, text: str) -> list[str]:
-        if not text:
-            return []
-        parts = text.split(" ")
-        if all(c and not c[0].isspace() and not c[-1].isspace() for c in parts):
-            return parts
-        return bpe.INNER_SPACE.split(text)
-
-    def __call__(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
-        """A ids and B ids of every text, None for a text without tokens."""
-        cut = [self.chunks(t) for t in texts]
-        new = [c for c in set().union(*cut) if c not in self.known and c not in self.known.older]
-        for chunk, ids in zip(new, self.encode(new) if new else ()):
-            self.known.put(chunk, ids)
-        for chunks in cut:
-            found = list(map(self.known.__getitem__, chunks))
-            if not found or None in found:
-                yield None
+        follow = (b",", b"|"), (b",", b";")
+        shown = np.array([b"%d%s" % (i, c) for side, marks in zip(texts, follow) for i in range(len(side)) for c in marks])
+        self.shown = shown.view("u1").reshape(len(shown), -1)
+        self.lone = bpe.Recent(lambda chunk: self.encode([" " + chunk])[0], limit=remembered)
+        self.known = bpe.Recent(lambda chunk: self.encode([chunk])[0], limit=remembered // 8)
+
+    def encode(self, chunks: list[str]) -> list[tuple[bytes, bytes]]:
+        """Ids of chunks that each begin with a space, which the library of B adds itself."""
+        left = self.a.encode_batch_fast(chunks, add_special_tokens=False)
+        right = self.b.encode([c[1:] for c in chunks], num_threads=1)
+        return [(array("I", e.ids).tobytes(), array("I", ids).tobytes()) for e, ids in zip(left, right)]
+
+    def __call__(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """A ids and B ids of every text."""
+        cut = [t.split(" ") if t else [] for t in texts]
+        every, bound, new = list(set().union(*cut)), set(), []
+        found = list(map(self.lone.get, every))
+        for at in [at for at, ids in enumerate(found) if ids is None]:
+            chunk = every[at]
+            if chunk in self.lone.older:
+                found[at] = self.lone[chunk]
+            elif not chunk or chunk[0].isspace() or chunk[-1].isspace():
+                bound.add(chunk)  # can't be looked at alone
+                found[at] = b"", b""
             else:
-                yield tuple(np.frombuffer(b"".join(x), "<u4").astype("int64") for x in zip(*found))
+                new.append(at)
+        for at, ids in zip(new, self.encode([" " + every[at] for at in new]) if new else ()):
+            found[at] = self.lone.put(every[at], ids)
+        # a chunk is joined into its texts by its place among those of all texts at hand
+        place, sides = dict(zip(every, range(len(every)))), [bpe.Lists(list(side)) for side in zip(*found)]
+        for text, chunks in zip(texts, cut):
+            if not chunks:
+                yield np.empty(0, "int64"), np.empty(0, "int64")
+            elif bound.isdisjoint(chunks):
+                rows = np.fromiter(map(place.__getitem__, chunks), "int64", len(chunks))
+                yield tuple(side.joined(rows) for side in sides)
+            else:
+                ids = map(b"".join, zip(*(self.known[" " + c] for c in bpe.INNER_SPACE.split(text))))
+                yield tuple(np.frombuffer(x, "<u4").astype("int64") for x in ids)
+
+    def ends(self, text: str, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        """Byte offsets at which the tokens end; None where there are none or they don't spell a space and the text.
+
+        Both vocabularies have every byte and replace nothing but the mark, so only a mark
+        in the text, or another number of bytes, can make them differ.
+        """
+        if not text or piece_codec.MARK in text:
+            return None
+        a, b, size = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b]), 1 + len(text.encode())
+        return (a, b) if a[-1] == b[-1] == size else None
 
     def spelled(self, a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> bytes:
         """Groups as text: ids of a side by ``,``, the sides by ``|``, groups by ``;``."""
@@ -145,8 +171,9 @@ class Aligner:
         before_a = np.concatenate([[0], last_b + 1])[np.cumsum(ends_a) - ends_a]
         before_b = (last_a + 1)[np.cumsum(ends_b) - ends_b]
         codes[np.arange(len(a)) + before_a] = 2 * a + ends_a
-        codes[np.arange(len(b)) + before_b] = 2 * (len(self.text_a) + b) + ends_b
-        return b"".join(map(self.shown.__getitem__, codes.tolist()))[:-1]
+        codes[np.arange(len(b)) + before_b] = 2 * (len(self.size_a) + b) + ends_b
+        shown = self.shown[codes].ravel()
+        return shown[shown != 0].tobytes()[:-1]
 
 
 @functools.lru_cache(maxsize=2)
@@ -241,17 +268,16 @@ def align(
             if kinds is None:
                 wide = [pa.int64(), id_type, *[pa.int64()] * 4, pa.string(), pa.binary(), pa.binary(), *[pa.list_(pa.int32())] * 4]
                 kinds = pa.schema([pa.field(c.split()[0], t) for c, t in zip(schema.split(", "), wide)])
-            for start in range(0, batch.num_rows, 128):
-                part = batch.slice(start, 128)
-                for name, ids in zip(part.column(0).to_pylist(), of(part.column(1).to_pylist())):
-                    if ids is None:
+            for part in bpe.some(batch):
+                texts = part.column(1).to_pylist()
+                for name, text, (a, b) in zip(part.column(0).to_pylist(), texts, of(texts)):
+                    ends = of.ends(text, a, b)
+                    if ends is None:
                         none = np.empty(0, "int64")
                         block.add((name, 0, 0, 0, 0, ""), none, none)
                     else:
-                        a, b = ids
-                        ends_a, ends_b = np.cumsum(of.size_a[a]), np.cumsum(of.size_b[b])
-                        last_a, last_b = map(np.array, groups(ends_a.tolist(), ends_b.tolist()))
-                        left, right = links(ends_a, ends_b)
+                        last_a, last_b = map(np.array, groups(ends[0].tolist(), ends[1].tolist()))
+                        left, right = links(*ends)
                         sha = hashlib.sha256(of.spelled(a, b, last_a, last_b)).hexdigest()
                         keys, times = np.unique(a[left] << 32 | b[right], return_counts=True)
                         block.add((name, len(a), len(b), len(last_a), len(left), sha), keys, times)

@@ -14,6 +14,9 @@ import unicodedata
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 #: White space as the library's patterns see it (the Unicode property).
@@ -135,6 +138,31 @@ class Recent(dict):
         return value
 
 
+def some(batch: pa.RecordBatch, rows: int = 512, size: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """Slices of at most ``rows`` rows or, where one text is not longer, ``size`` bytes of text (column 1)."""
+    ends, at = np.array(pc.cumulative_sum(pc.binary_length(batch.column(1)).cast(pa.int64()))), 0
+    while at < batch.num_rows:
+        past = ends[at - 1] if at else 0
+        upto = min(at + rows, max(at + 1, int(np.searchsorted(ends, past + size, "right"))))
+        yield batch.slice(at, upto - at)
+        at = upto
+
+
+class Lists:
+    """Packed ids of many chunks, one after another."""
+
+    def __init__(self, packed: list[bytes]):
+        self.values = np.frombuffer(b"".join(packed), "<u4").astype("int64")
+        self.sizes = np.array([len(p) // 4 for p in packed], "int64")
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def joined(self, rows: np.ndarray) -> np.ndarray:
+        """The ids of the chunks at ``rows``, in that order."""
+        sizes = self.sizes[rows]
+        ends = np.cumsum(sizes)
+        return self.values[np.repeat(self.starts[rows] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
+
+
 class LooseSpace(Exception):
     """A chunk begins or ends with white space, so it can't be looked at alone."""
 

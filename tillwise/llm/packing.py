@@ -6,7 +6,9 @@ import bisect
 import functools
 import math
 import os
+import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,14 +17,23 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import Recent, pack_ids
+from .bpe import Recent, byte_letters, some
 from .common import stored, text_or_empty
 
 #: BM25's usual constants.
 K1, B = 1.2, 0.75
 
-#: Terms in a lexical key, and documents sampled for each partition.
-KEY_TERMS, SAMPLED = 8, 64
+#: Terms in a lexical key, documents sampled for each partition, and most partitions:
+#: at most 524,288 keys of 52 bytes reach the driver, whatever the corpus.
+KEY_TERMS, SAMPLED, PARTS = 8, 32, 1 << 14
+
+#: Signs that end a word and begin the next one.
+SIGNS = ".,;:!?\"()"
+
+#: First character after the Latin blocks.
+LATIN = "\u0250"
+
+LETTERS = byte_letters()
 
 PIECE = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -46,17 +57,46 @@ class LibraryEncoder:
             t for c in "abc" for t in self.library.encode(c, add_special_tokens=False).tokens
         ]:
             raise ValueError(f"{path} keeps white space")
+        self.library.model._resize_cache(0)  # chunks are kept here
         self.known = Recent(lambda chunk: self.encode([chunk])[0], limit=remembered)
 
     def encode(self, chunks: list[str]) -> list[bytes]:
-        return [pack_ids(e.ids) for e in self.library.encode_batch_fast(chunks, add_special_tokens=False)]
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        chunks = [t.replace("\n", " ").split(" ") for t in texts]
-        new = [c for c in set().union(*chunks) if c not in self.known and c not in self.known.older]
+        return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(chunks, add_special_tokens=False)]
+
+    def learn(self, chunks: list[str]) -> None:
+        """Know the ids of these different chunks; the library sees those that are new.
+
+        A word ends where signs follow its letters, so such a chunk is its word and its
+        signs, and words are known by more chunks than their own.  A word of Latin letters
+        goes to the library's model at once, as its patterns would leave it whole.
+        """
+        parts, others = {}, set()
+        for chunk, ids in zip(chunks, map(self.known.get, chunks)):
+            if ids is None and chunk not in self.known.older:
+                word = chunk.rstrip(SIGNS)
+                low = word.lower() if word.isascii() else unicodedata.normalize("NFC", word).lower()
+                if low.isalpha() and max(low) < LATIN:
+                    signs = chunk[len(word) :]
+                    parts[chunk] = word, signs
+                    if word not in self.known and word not in self.known.older:
+                        letters = low if low.isascii() else "".join(map(LETTERS.__getitem__, low.encode()))
+                        self.known.put(word, array("I", [t.id for t in self.library.model.tokenize(letters)]).tobytes())
+                    others.add(signs)
+                else:
+                    others.add(chunk)
+        new = [c for c in others if c and c not in self.known and c not in self.known.older]
         for chunk, ids in zip(new, self.encode(new) if new else ()):
             self.known.put(chunk, ids)
-        return [b"".join(map(self.known.__getitem__, c)) for c in chunks]
+        for chunk, (word, signs) in parts.items():
+            if signs:
+                self.known.put(chunk, self.known[word] + self.known[signs])
+
+    def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """Ids of every text."""
+        cut = [t.replace("\n", " ").split(" ") for t in texts]
+        self.learn(list(set().union(*cut)))
+        for chunks in cut:
+            yield np.frombuffer(b"".join(map(self.known.__getitem__, chunks)), "<u4")
 
 
 @functools.lru_cache(maxsize=2)
@@ -77,58 +117,70 @@ class Statistics:
 
 
 class Index:
-    """The terms of one shard's documents, weighted by BM25 with the statistics of all documents.
+    """The inverted index of one shard: postings (document, BM25 weight) by term.
 
-    Without ``statistics`` they are those of the shard.
+    A term that a quarter of the shard holds has its postings as a dense row, the others
+    as lists; a seed touches the rows and lists of its own terms and nothing else.  Used
+    documents leave both once a good part of those listed is used.  ``statistics`` are
+    those of all documents; without them, of the shard.
     """
 
-    def __init__(self, docs: list[np.ndarray], query_terms: int | None = None, statistics: Statistics | None = None):
-        self.query_terms = query_terms
+    def __init__(self, docs: list[np.ndarray], statistics: Statistics | None = None):
         uniq = [np.unique(d, return_counts=True) for d in docs]
         sizes = np.array([len(u) for u, _ in uniq], "int64")
         lengths = np.array([len(d) for d in docs], "int64")
         self.term = np.concatenate([u for u, _ in uniq]).astype("int64")
+        self.at = np.concatenate([[0], np.cumsum(sizes)])
         if statistics is None:
             statistics = Statistics(len(docs), int(lengths.sum()), np.bincount(self.term))
         tf = np.concatenate([c for _, c in uniq]).astype("float64")
-        self.weight = statistics.weights(self.term, tf, np.repeat(lengths, sizes))
-        self.df = statistics.df
-        self.at = np.concatenate([[0], np.cumsum(sizes)])
-        self.asked = np.zeros(len(self.df))
-        # the documents that can still be found; those without terms never are
-        self.doc = np.flatnonzero(sizes)
-        self.sizes, self.found_term, self.found_weight = sizes[self.doc], self.term, self.weight
+        weight = statistics.weights(self.term, tf, np.repeat(lengths, sizes))
+        self.terms, self.local = np.unique(self.term, return_inverse=True)
+        held = np.bincount(self.local, minlength=len(self.terms))
+        self.row = np.where(4 * held >= len(docs), 0, -1)
+        self.row[self.row == 0] = np.arange((self.row == 0).sum())
+        self.found = np.arange(len(docs))  # the documents that can still be found
+        doc = np.repeat(self.found, sizes)
+        dense = self.row[self.local] >= 0
+        self.dense = np.zeros((int(self.row.max(initial=-1)) + 1, len(docs)))
+        self.dense[self.row[self.local[dense]], doc[dense]] = weight[dense]
+        order = np.flatnonzero(~dense)[np.argsort(self.local[~dense], kind="stable")]
+        self.doc, self.weight = doc[order], weight[order]
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(self.local[order], minlength=len(self.terms)))])
 
     def forget(self, unused: np.ndarray) -> None:
         """Search only ``unused`` documents from now on, once a good part of the others is used."""
-        keep = unused[self.doc]
+        keep = unused[self.found]
         if keep.sum() < 0.85 * len(keep):
-            rows = np.repeat(keep, self.sizes)
-            self.doc, self.sizes = self.doc[keep], self.sizes[keep]
-            self.found_term, self.found_weight = self.found_term[rows], self.found_weight[rows]
+            moved = np.cumsum(keep) - 1
+            self.found, self.dense = self.found[keep], np.ascontiguousarray(self.dense[:, keep])
+            left = keep[self.doc]
+            self.first = np.concatenate([[0], np.cumsum(left)])[self.first]
+            self.doc, self.weight = moved[self.doc[left]], self.weight[left]
+
+    def scores(self, seed: int) -> np.ndarray:
+        """BM25 of every document of ``found`` for the terms of ``seed``; 0 where none is shared."""
+        mine = self.local[self.at[seed] : self.at[seed + 1]]
+        out = self.dense[self.row[mine][self.row[mine] >= 0]].sum(0)
+        begin, size = self.first[mine], self.first[mine + 1] - self.first[mine]
+        ends = np.cumsum(size)
+        if len(ends) and ends[-1]:
+            posts = np.repeat(begin - ends + size, size) + np.arange(ends[-1])
+            out = out + np.bincount(self.doc[posts], self.weight[posts], minlength=len(self.found))
+        return out
 
     def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
         """Unused documents sharing one of the seed's terms, best first."""
-        own = slice(self.at[seed], self.at[seed + 1])
-        terms = self.term[own]
-        if self.query_terms is not None and len(terms) > self.query_terms:
-            heavy = np.where(self.df[terms] > 1, self.weight[own], -1.0)
-            terms = terms[np.argpartition(-heavy, self.query_terms)[: self.query_terms]]
-        if not len(terms) or not len(self.doc):
-            return np.empty(0, "int64")
-        self.asked[terms] = 1.0
-        starts = np.cumsum(self.sizes) - self.sizes
-        score = np.add.reduceat(self.found_weight * self.asked[self.found_term], starts) * unused[self.doc]
-        self.asked[terms] = 0.0
+        score = self.scores(seed) * unused[self.found]
         hits = np.flatnonzero(score)
-        return self.doc[hits[np.argsort(-score[hits], kind="stable")]]
+        return self.found[hits[np.argsort(-score[hits], kind="stable")]]
 
 
 class Packer:
     """Fills windows from one shard after another; the open window stays open between shards."""
 
-    def __init__(self, window: int, sequence: int, query_terms: int | None, statistics: Statistics):
-        self.window, self.sequence, self.query_terms, self.statistics = window, sequence, query_terms, statistics
+    def __init__(self, window: int, sequence: int, statistics: Statistics):
+        self.window, self.sequence, self.statistics = window, sequence, statistics
         self.open: list[tuple] = []  # (doc id, ids, start, length)
         self.room = window
         self.out: list[tuple] = []
@@ -153,7 +205,7 @@ class Packer:
     def shard(self, names: list, docs: list[bytes]) -> None:
         if not docs:
             return
-        index = Index([np.frombuffer(d, "<u4")[:-1].astype("int64") for d in docs], self.query_terms, self.statistics)
+        index = Index([np.frombuffer(d, "<u4")[:-1].astype("int64") for d in docs], self.statistics)
         left = np.array([len(d) // 4 for d in docs])
         unused = np.ones(len(docs), bool)
         seed, first = -1, 0
@@ -173,17 +225,18 @@ class Packer:
             if self.sequence != sequence:
                 continue
             index.forget(unused)
-            for c in index.neighbours(seed_was, unused):
-                if left[c] <= self.room:
-                    unused[c] = False
-                    self.place(names[c], docs[c], 0)
-                    if self.sequence != sequence:
-                        break
-                elif best is None:
-                    best = c
-            else:
-                if best is not None:  # cut the best neighbour that is too long
-                    seed, start = int(best), 0
+            near = index.neighbours(seed_was, unused)
+            while len(near) and self.sequence == sequence:
+                fits = np.flatnonzero(left[near] <= self.room)
+                at = int(fits[0]) if len(fits) else len(near)
+                if at and best is None:
+                    best = near[0]
+                if at < len(near):
+                    unused[near[at]] = False
+                    self.place(names[near[at]], docs[near[at]], 0)
+                near = near[at + 1 :]
+            if self.sequence == sequence and best is not None:  # cut the best neighbour that is too long
+                seed, start = int(best), 0
 
     def finish(self) -> None:
         """Cut what is left into sequences whose lengths are powers of two, which need no padding."""
@@ -210,41 +263,45 @@ def unpacked(ids: bytes, n: int) -> np.ndarray:
 
 
 def encoded(docs: DataFrame, vocabulary: str, end_id: int, remembered: int) -> DataFrame:
-    """``docs`` (id, text) as (id, ids, n), the ids in two bytes where all of them fit; stored."""
+    """``docs`` (id, text) as (id, ids, n), the ids in two bytes where all of them fit; stored.
+
+    Beside them, in rows of their own, (term, df): the documents of a task by term, so
+    that ``statistics`` need no second look at the ids.
+    """
     kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(vocabulary, remembered), pack_ids([end_id])
+        encode, df, schema = encoder(vocabulary, remembered), np.zeros(1 << 16, "int64"), None
         for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                part = batch.slice(at, 128)
-                rows = [np.frombuffer(ids + end, "<u4") for ids in encode(part.column(1).to_pylist())]
-                ids = [(r.astype("<u2") if r.max() < 1 << 16 else r).tobytes() for r in rows]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(ids, pa.binary()), pa.array([len(r) for r in rows], pa.int64())], names=["id", "ids", "n"]
-                )
-
-    return stored(docs.mapInArrow(run, f"id {kind}, ids binary, n long"), "packing-ids")
+            if schema is None:
+                kinds = [batch.column(0).type, pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+                schema = pa.schema(list(zip(["id", "ids", "n", "term", "df"], kinds)))
+            for part in some(batch):
+                ids, sizes = [], []
+                for row in encode(part.column(1).to_pylist()):
+                    terms = np.unique(row)
+                    if len(terms) and terms[-1] >= len(df):
+                        df = np.concatenate([df, np.zeros(terms[-1] + 1, "int64")])
+                    df[terms] += 1
+                    row = np.append(row, end_id)
+                    ids.append(row.astype("<u2" if row.max() < 1 << 16 else "<u4").tobytes())
+                    sizes.append(len(row))
+                none = [None] * len(ids)
+                columns = [part.column(0), ids, sizes, none, none]
+                yield pa.RecordBatch.from_arrays([c if c is part.column(0) else pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+        if schema is not None:
+            seen = np.flatnonzero(df)
+            yield pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip([None, None, None, seen, df[seen]], schema)], schema=schema)
+
+    return stored(docs.mapInArrow(run, f"id {kind}, ids binary, n long, term array<long>, df array<long>"), "packing-ids")
 
 
 def statistics(rows: DataFrame) -> Statistics:
     """Document frequencies and mean length over all ``encoded`` documents.
 
-    Every task sends one row per term, so what comes back is bounded by the vocabulary.
+    What comes back has one row a term, so it is bounded by the vocabulary.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df = np.zeros(1 << 16, "int64")
-        for batch in batches:
-            for ids, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                terms = np.unique(unpacked(ids, n)[:-1]).astype("int64")
-                if len(terms) and terms[-1] >= len(df):
-                    df = np.concatenate([df, np.zeros(terms[-1] + 1, "int64")])
-                df[terms] += 1
-        seen = np.flatnonzero(df)
-        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(df[seen], pa.int64())], names=["term", "df"])
-
-    counted = rows.select("ids", "n").mapInArrow(run, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).collect()
+    counted = rows.filter("term IS NOT NULL").select(F.inline(F.arrays_zip("term", "df"))).groupBy("term").agg(F.sum("df").alias("df")).collect()
     size = rows.agg(F.count("n").alias("docs"), F.coalesce(F.sum("n"), F.lit(0)).alias("tokens")).first()
     df = np.zeros(max((r.term for r in counted), default=0) + 1, "int64")
     for r in counted:
@@ -256,15 +313,22 @@ def lexical_key(ids: np.ndarray, known: Statistics, common: np.ndarray) -> bytes
     """A document's heaviest ``common`` terms, heaviest first, then its heaviest others; sorts as bytes."""
     terms, tf = np.unique(ids, return_counts=True)
     weight = known.weights(terms, tf, len(ids))
-    order = np.lexsort((terms, -weight, ~common[terms]))
+    weight += common[terms] * 1e6
+    if len(terms) > KEY_TERMS:  # with all that weigh as much as the last one of the key
+        heavy = np.flatnonzero(weight >= np.partition(weight, -KEY_TERMS)[-KEY_TERMS])
+        terms, weight = terms[heavy], weight[heavy]
+    order = np.lexsort((terms, -weight))
     return terms[order[:KEY_TERMS]].astype(">u4").tobytes().ljust(4 * KEY_TERMS, b"\0") + zlib.crc32(ids.tobytes()).to_bytes(4)
 
 
 def placed(rows: DataFrame, known: Statistics, shard_tokens: int) -> DataFrame:
     """``encoded`` rows sorted by lexical key, in partitions of about two shards.
 
-    The partitions' bounds come from the keys of a sample.  Whatever shares a key is cut
-    by the text's CRC, the id and the row's number, so no key is too large for one task.
+    The partitions' bounds come from the keys of a sample.  There are at most ``PARTS``
+    partitions, so the sample that reaches the driver and the bounds in each task stay
+    below a fixed size; beyond that a partition holds more shards.  Whatever shares a key
+    is cut by the text's CRC, the id and the row's number, so no key is too large for one
+    task.
     """
     kind = rows.schema["id"].dataType.simpleString()
     common = known.df * known.mean >= shard_tokens
@@ -287,7 +351,7 @@ def placed(rows: DataFrame, known: Statistics, shard_tokens: int) -> DataFrame:
             )
 
     size = rows.agg(F.count("n").alias("docs"), F.coalesce(F.sum("n"), F.lit(0)).alias("tokens")).first()
-    parts = max(1, math.ceil(size.tokens / (2 * shard_tokens)))
+    parts = min(PARTS, max(1, math.ceil(size.tokens / (2 * shard_tokens))))
     bounds: list[bytes] = []
     if parts > 1:
         seen = rows.sample(min(1.0, SAMPLED * parts / size.docs), 7) if SAMPLED * parts < size.docs else rows
@@ -305,7 +369,6 @@ def pack(
     window: int = 4096,
     end_id: int = 2,
     shard_tokens: int = 1 << 21,
-    query_terms: int | None = None,
     remembered: int = 700_000,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -316,14 +379,14 @@ def pack(
     BM25's document frequencies and mean length are those of all documents.  Documents are
     sorted by a lexical key, their heaviest terms among those frequent enough to fill a
     shard, then their heaviest others, and cut into shards of about ``shard_tokens``
-    tokens (a longer document is a shard of its own).  Each shard has an index in memory.
+    tokens (a longer document is a shard of its own).  Each shard has an inverted index in
+    memory, of which a seed reads the postings of its own terms.
     The first unused document is the seed of a window; its unused neighbours, those that
     share one of its terms, follow by falling BM25 score as far as they fit, and the best
     one that does not fit is cut to fill the rest and is the next seed.  A window that
-    stays open takes the next seed.  ``query_terms`` asks only for a seed's heaviest
-    terms; by default all count.  Every token lies in one piece; only the last window of
-    a partition is short, and it is cut into sequences whose lengths are powers of two,
-    so nothing is padded.
+    stays open takes the next seed.  Every token lies in one piece; only the last window of a
+    partition is short, and it is cut into sequences whose lengths are powers of two, so
+    nothing is padded.
 
     A seed's candidates are the documents of its shard, that is those nearest to it in key
     order; a document whose heaviest terms are others lies in another shard and is not one.
@@ -339,9 +402,10 @@ def pack(
     kind = docs.schema[id_col].dataType.simpleString()
     rows = encoded(docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text")), vocabulary, end_id, remembered)
     known = statistics(rows)
+    rows = rows.filter("term IS NULL").drop("term", "df")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = Packer(window, TaskContext.get().partitionId() << 40, query_terms, known)
+        packer = Packer(window, TaskContext.get().partitionId() << 40, known)
         names, held, size, id_type = [], [], 0, pa.null()
 
         def emit() -> pa.RecordBatch:
