@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillwise.session import scratch_path
 
@@ -80,3 +81,65 @@ def without(df: DataFrame, dropped: DataFrame, key: str) -> DataFrame:
     kept = flagged.filter(~F.col("__maybe"))
     asked = flagged.filter(F.col("__maybe")).join(dropped.select(key), key, "left_anti")
     return kept.unionByName(asked.select(kept.columns)).select(df.columns)
+
+
+#: Column that names a row where decisions are taken by row.
+ROW = "__row"
+
+
+def named(docs: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame | None]:
+    """``docs`` with the column ``ROW``, and rows (ROW, id) of those whose name is not their id.
+
+    A row whose id no other row has is named by it.  Rows that share an id, or have none,
+    are named by a 64-bit hash of all their columns, so only rows equal in every column
+    share a name.  Where there are no such rows, the second result is None.
+    """
+    kind = docs.schema[id_col].dataType
+    if not isinstance(kind, (T.IntegralType, T.StringType)):
+        raise TypeError(f"{id_col} is neither a whole number nor text")
+    key = F.col(id_col)
+    counts = docs.groupBy(key.alias("__id")).agg(F.count("*").alias("__n"))
+    odd = stored(counts.filter("__n > 1 OR __id IS NULL").select("__id", F.lit(True).alias("__odd")), "odd-ids")
+    n = odd.count()
+    if not n:
+        return docs.withColumn(ROW, key), None
+    flagged = flag_members(docs, key, key_bitmap(odd, F.col("__id"), n), "__maybe")
+    sure = flagged.filter(~F.col("__maybe") & key.isNotNull()).withColumn(ROW, key.cast("long") if isinstance(kind, T.IntegralType) else key)
+    asked = flagged.filter(F.col("__maybe") | key.isNull()).join(odd, key.eqNullSafe(F.col("__id")), "left")
+    digest = F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns))
+    digest = digest if isinstance(kind, T.IntegralType) else F.concat(F.lit("\0"), digest.cast("string"))
+    asked = asked.withColumn(ROW, F.when(F.col("__odd"), digest).otherwise(key))
+    rows = sure.unionByName(asked.drop("__id", "__odd")).drop("__maybe")
+    return rows, stored(asked.filter("__odd").select(ROW, key.alias("__id")), "odd-rows")
+
+
+def losers(groups: DataFrame, odd: DataFrame | None, keep: str = "smallest") -> DataFrame:
+    """Of rows (ROW, group) those that don't stay: in each group the row with the smallest or largest id does.
+
+    A NULL id never wins against another; equal ids go by name.
+    """
+    rows = groups.withColumn("__id", F.col(ROW))
+    if odd is not None:
+        named_apart = odd.distinct().select(ROW, F.struct("__id").alias("__own"))
+        rows = groups.join(named_apart, ROW, "left").withColumn("__id", F.when(F.col("__own").isNull(), F.col(ROW)).otherwise(F.col("__own.__id")))
+    null = F.col("__id").isNull()
+    order = F.struct(null if keep == "smallest" else ~null, "__id", ROW)
+    best = rows.groupBy("group").agg((F.min if keep == "smallest" else F.max)(order).alias("__best"))
+    return rows.join(best, "group").filter(F.col("__best")[ROW] != F.col(ROW)).select(ROW).distinct()
+
+
+def kept_rows(rows: DataFrame, dropped: DataFrame, once: DataFrame | None = None) -> DataFrame:
+    """``named`` rows less those whose name is ``dropped``; of rows named in ``once``, one each."""
+    out = without(rows, dropped, ROW)
+    if once is not None and (n := once.count()):
+        flagged = flag_members(out, F.col(ROW), key_bitmap(once, F.col(ROW), n), "__maybe")
+        asked = flagged.filter("__maybe")
+        single = asked.join(once, ROW, "left_semi").dropDuplicates([ROW]).select(flagged.columns)
+        out = flagged.filter("NOT __maybe").unionByName(single).unionByName(asked.join(once, ROW, "left_anti").select(flagged.columns))
+        out = out.drop("__maybe")
+    return out.drop(ROW)
+
+
+def repeated(odd: DataFrame | None) -> DataFrame | None:
+    """Names that several rows share."""
+    return None if odd is None else stored(odd.groupBy(ROW).agg(F.count("*").alias("n")).filter("n > 1").select(ROW), "odd-repeats")

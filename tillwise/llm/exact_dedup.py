@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tillwise.operators.skew import skew_safe_join
 
-from .common import flag_members, key_bitmap, lower_az, stored, text_or_empty, without
+from .common import ROW, flag_members, kept_rows, key_bitmap, losers, lower_az, named, repeated, stored, text_or_empty
 
 
 def content_hash(text: Column) -> Column:
@@ -73,6 +73,15 @@ def mark_exact(
 
 
 def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest") -> DataFrame:
-    """``docs`` without the rows that ``mark_exact`` does not keep; ids are unique."""
-    marks = mark_exact(docs, id_col, text_col, keep)
-    return without(docs, stored(marks.filter(~F.col("kept")).select(id_col), "exact-dropped"), id_col)
+    """``docs`` with one row of each group of equal texts, the one with the smallest or largest id.
+
+    Rows are dropped, not ids: where rows share an id or have none, each is judged by its
+    own text.  A NULL id never wins against another; of rows equal in every column one stays.
+    """
+    rows, odd = named(docs, id_col)
+    marks = mark_exact(rows, ROW, text_col, keep)
+    if odd is None:
+        dropped = marks.filter(~F.col("kept")).select(ROW)
+    else:
+        dropped = losers(marks.filter("group_size > 1").select(ROW, F.col("keep_id").alias("group")), odd, keep)
+    return kept_rows(rows, stored(dropped, "exact-dropped"), repeated(odd)).select(docs.columns)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tillwise.operators.skew import skew_safe_join
 
-from .common import flag_members, key_bitmap, stored, text_or_empty, without
+from .common import ROW, flag_members, kept_rows, key_bitmap, losers, named, repeated, stored, text_or_empty
 from .components import components
 
 #: Minwise hashes per document.
@@ -371,6 +371,16 @@ def _linked(rows: DataFrame, reps: DataFrame, least: int, read: DataFrame, size:
 
 
 def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of each component, the one with the smallest id."""
-    marks = mark_near(docs, id_col=id_col, text_col=text_col, **options)
-    return without(docs, stored(marks.filter(~F.col("kept")).select(id_col), "near-dropped"), id_col)
+    """``docs`` with one row of each component, the one with the smallest id.
+
+    Rows are dropped, not ids: where rows share an id or have none, each is a document of
+    its own here.  A NULL id never wins against another.  Of rows equal in every column
+    one stays, unless they have no words, as such rows are linked with nothing.
+    """
+    rows, odd = named(docs, id_col)
+    marks = mark_near(rows, id_col=ROW, text_col=text_col, **options)
+    if odd is None:
+        return kept_rows(rows, stored(marks.filter(~F.col("kept")).select(ROW), "near-dropped")).select(docs.columns)
+    marks = stored(marks.select(ROW, "n_shingles", F.col("component_id").alias("group")), "near-marks")
+    worded = odd.join(marks.filter("n_shingles > 0").select(ROW).distinct(), ROW, "left_semi")
+    return kept_rows(rows, stored(losers(marks, odd), "near-dropped"), repeated(worded)).select(docs.columns)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tillwise.operators.skew import skew_safe_join
 
-from .common import stored, text_or_empty, without
+from .common import ROW, kept_rows, named, stored, text_or_empty
 
 #: Signs that are rare in running text.
 SIGNS = b"!#$%&*+/<=>@[\\]^_{|}~"
@@ -177,6 +177,15 @@ def score(
 
 
 def drop_poor(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """``docs`` without the rows that ``score`` rejects; rows with a NULL id stay."""
-    marks = score(docs, labels, id_col=id_col, **options)
-    return without(docs, stored(marks.filter(~F.col("kept")).select(id_col), "quality-dropped"), id_col)
+    """``docs`` without the rows that ``score`` rejects.
+
+    Rows are dropped, not ids: where rows share an id or have none, each is judged by its
+    own text and site.  Rows equal in every column stay or go together.
+    """
+    rows, odd = named(docs, id_col)
+    labels = labels.withColumn(ROW, F.col(id_col))
+    if odd is not None:
+        shared = odd.filter("__id IS NOT NULL").distinct().withColumnRenamed(ROW, "__name")
+        labels = labels.join(shared, F.col(id_col) == F.col("__id"), "left").withColumn(ROW, F.coalesce("__name", ROW))
+    marks = score(rows, labels, id_col=ROW, **options)
+    return kept_rows(rows, stored(marks.filter(~F.col("kept")).select(ROW).distinct(), "quality-dropped")).select(docs.columns)
