@@ -1,18 +1,17 @@
 """From raw documents to packed token sequences, in stages that each read what the last one kept.
 
 Every stage is one operator of ``tillwise.llm`` over the whole table.  The first three
-drop documents and keep their columns; the last returns the pieces of the sequences.
+drop rows, also where ids repeat or are NULL, and keep the columns; the last returns the pieces of the sequences.
 """
 
 from __future__ import annotations
 
+from public_tokenizers import path as vocabulary
 from pyspark.sql import DataFrame, SparkSession
 
 from tillwise.llm import exact_dedup, near_dup, packing, quality
 from tillwise.llm.common import stored, table
 
-VOCABULARY = "/opt/tokenizers/word_bpe_49k.json"
-
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose posterior quality is one half or more."""
@@ -20,18 +19,18 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with equal texts, A-Z lower-cased, the one with the smallest id."""
+    """Of rows with equal texts, A-Z lower-cased, the one with the smallest id."""
     return exact_dedup.drop_exact(docs)
 
 
 def keep_one_of_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by a similarity of 0.8 on five-word shingles, the one with the smallest id."""
+    """Of rows linked by a similarity of 0.8 on five-word shingles, the one with the smallest id."""
     return near_dup.drop_near(docs, size=5, percent=80)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 4096 tokens, each document next to its lexical neighbours."""
-    return packing.pack(docs, VOCABULARY, remembered=250_000)
+    return packing.pack(docs, vocabulary("word_bpe_49k.json"), remembered=250_000)
 
 
 STAGES = [("quality", keep_good), ("exact_dedup", keep_distinct), ("near_dedup", keep_one_of_near), ("packing", pack)]
