@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.ladders import age_group3
 from ..operators.aggregates import pivot_sums
 from ..operators.joins import enrich
-from ..operators.quality import AMOUNT_RULES, KEY_RULES, MASTER_RULES, Rules, expect_all, keep_valid, with_validity
-from ..sinks.tables import overwrite
-from ..streaming.changes import KeyedTable, read_keyed, stream_apply_changes
+from ..operators.quality import AMOUNT_RULES, KEY_RULES, MASTER_RULES, Rules, keep_valid, with_validity
+from ..streaming.changes import KeyedTable, stream_apply_changes
 from ..streaming.dedup import dedup_stream, late_rows, observed
 from ..streaming.ingest import append_flow, ingest_files, stream_csv_named, stream_table
 from ..functions.scalar import parse_bool, to_date_safe
@@ -37,11 +36,13 @@ def enrich_transactions(
     users: DataFrame,
     products: DataFrame,
     master_rules: Rules | None = MASTER_RULES,
+    amount_type: str = "double",
 ) -> DataFrame:
     """Transactions with their user and product and calendar text columns.
 
-    Works on a batch or a stream of transactions.  Rows without a master row are
-    dropped under ``master_rules`` and kept with NULL attributes when it is ``None``.
+    Works on a batch or a stream of transactions, and on sums of them.  Rows without a
+    master row are dropped under ``master_rules`` and kept with NULL attributes when it is
+    ``None``.
     """
     user_cols = [c for c in users.columns if c != "user_id" and not c.startswith("_")]
     product_cols = [c for c in products.columns if c != "product_id" and not c.startswith("_")]
@@ -57,7 +58,7 @@ def enrich_transactions(
                 "transaction_yyyymmdd": F.date_format(when, "yyyy-MM-dd"),
                 "transaction_yyyymm": F.date_format(when, "yyyy-MM"),
                 "transaction_yyyy": F.date_format(when, "yyyy"),
-                "amount": F.col("amount").cast("double"),
+                "amount": F.col("amount").cast(amount_type),
                 "price": F.col("price").cast("double"),
             }
         )
@@ -65,36 +66,48 @@ def enrich_transactions(
     )
 
 
-def revenue_by_subcategory(tx: DataFrame) -> DataFrame:
-    return tx.groupBy("category", "subcategory").agg(
+def revenue_by_subcategory(tx: DataFrame, by: Sequence[str] = (), orders: Column | None = None) -> DataFrame:
+    """Per subcategory; ``tx`` may be sums of transactions, with the number of ``orders`` stated.
+
+    ``by`` adds grouping columns, here and below.
+    """
+    return tx.groupBy(*by, "category", "subcategory").agg(
         F.sum("amount").alias("sum_revenue"), F.sum("quantity").alias("sum_quantity"),
-        F.count("order_id").alias("order_count"),
+        (F.count("order_id") if orders is None else orders).alias("order_count"),
     )
 
 
-def revenue_by_user_segment(tx: DataFrame) -> DataFrame:
-    return tx.groupBy(age_group3("age").alias("age_group"), "gender", "region").agg(
-        F.sum("amount").alias("sum_revenue"), F.count("order_id").alias("order_count")
+def revenue_by_user_segment(tx: DataFrame, by: Sequence[str] = (), orders: Column | None = None) -> DataFrame:
+    return tx.groupBy(*by, age_group3("age").alias("age_group"), "gender", "region").agg(
+        F.sum("amount").alias("sum_revenue"), (F.count("order_id") if orders is None else orders).alias("order_count")
     )
 
 
-def user_categories(tx: DataFrame, wanted: Mapping[str, Sequence[str]] = SUBCATEGORIES, other: str = OTHER_QUANTITY) -> DataFrame:
+def user_categories(
+    tx: DataFrame, wanted: Mapping[str, Sequence[str]] = SUBCATEGORIES, other: str = OTHER_QUANTITY, by: Sequence[str] = ()
+) -> DataFrame:
     """Quantity per user and subcategory, with the age band."""
     return (
-        tx.groupBy("user_id", "age")
+        tx.groupBy(*by, "user_id", "age")
         .agg(*pivot_sums("quantity", "subcategory", wanted, other))
         .withColumn("age_group", age_group3("age"))
     )
 
 
-def revenue_report(tx: DataFrame, wanted: Mapping[str, Sequence[str]] = SUBCATEGORIES, other: str = OTHER_QUANTITY) -> DataFrame:
+def revenue_report(
+    tx: DataFrame,
+    wanted: Mapping[str, Sequence[str]] = SUBCATEGORIES,
+    other: str = OTHER_QUANTITY,
+    by: Sequence[str] = (),
+    orders: Column | None = None,
+) -> DataFrame:
     """Sales, orders, last purchase and quantities per user."""
     last = F.col("last_purchase_timestamp")
     return (
-        tx.groupBy("user_id", "user_name", "gender", "age")
+        tx.groupBy(*by, "user_id", "user_name", "gender", "age")
         .agg(
             F.sum("amount").alias("total_sales"),
-            F.count("order_id").alias("total_orders"),
+            (F.count("order_id") if orders is None else orders).alias("total_orders"),
             F.max("transaction_date").alias("last_purchase_timestamp"),
             *pivot_sums("quantity", "subcategory", wanted, other),
         )
@@ -187,19 +200,12 @@ def refresh_shop(
 
 
 def refresh_views(spark: SparkSession, base: str, products: DataFrame) -> dict[str, int]:
-    """Recompute the enriched table and the revenue tables from the current snapshots.
+    """Bring the enriched table and the revenue tables up to date (:mod:`.shop_views`).
 
-    Attributes that arrived late fill the gaps of earlier rows.
+    Attributes that arrived late fill the gaps of earlier rows; the counts are over all rows.
     """
-    tx = spark.read.option("mergeSchema", True).parquet(f"{base}/sl_transactions")
-    users = read_keyed(spark, users_table(base))
-    warn = {"user_name_is_not_null": "user_name IS NOT NULL", **WARN_RULES, **AMOUNT_RULES}
-    enriched, seen = expect_all(enrich_transactions(tx, users, products, master_rules=None), warn)
-    overwrite(enriched, f"{base}/sl_transactions_enriched")
-    wide = spark.read.parquet(f"{base}/sl_transactions_enriched")
-    overwrite(revenue_by_subcategory(wide), f"{base}/gd_revenue_by_subcategory")
-    overwrite(revenue_by_user_segment(wide), f"{base}/gd_revenue_by_user_segment")
-    overwrite(user_categories(wide), f"{base}/gd_user")
-    overwrite(revenue_report(wide), f"{base}/gd_revenue_report")
-    warned = {f"warned_{name}": seen.get[name] for name in (*WARN_RULES, *AMOUNT_RULES)}
-    return {"enriched": seen.get["rows"], "without_user": seen.get["user_name_is_not_null"], **warned}
+    from . import shop_views
+
+    seen = shop_views.refresh_views(spark, shop_views.ShopViews(base, users_table(base)), products)
+    warned = {f"warned_{name}": seen[name] for name in (*WARN_RULES, *AMOUNT_RULES)}
+    return {"enriched": seen["rows"], "without_user": seen["user_name_is_not_null"], **warned}

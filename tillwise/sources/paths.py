@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
@@ -11,14 +13,26 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p))
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder and what it holds."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def save_text(spark: SparkSession, line: str, path: str) -> None:
+    """Keep one line of text."""
+    spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def load_text(spark: SparkSession, path: str) -> str | None:
+    return spark.read.text(path).first()["value"] if exists(spark, path) else None
+
+
 def save_schema(spark: SparkSession, schema: T.StructType, path: str) -> None:
     """Keep a schema as one line of JSON."""
-    spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    save_text(spark, schema.json(), path)
 
 
 def load_schema(spark: SparkSession, path: str) -> T.StructType | None:
-    if not exists(spark, path):
-        return None
-    import json
-
-    return T.StructType.fromJson(json.loads(spark.read.text(path).first()["value"]))
+    line = load_text(spark, path)
+    return None if line is None else T.StructType.fromJson(json.loads(line))

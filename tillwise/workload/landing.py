@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from ..operators import sets as U
 from ..operators.aggregates import counts
-from ..plans import shop
+from ..plans import shop, shop_views
 from ..session import scratch_path
 from ..sinks import tables as K
 from ..sources import files as S
@@ -456,3 +456,78 @@ def _(d: Data) -> DataFrame:
     enriched = shop.enrich_transactions(stream, d.t_users, d.t_products)
     I.append_flow(enriched.select("order_id", "product_id", "user_id", "user_name", "category", "region"), f"{base}/out", f"{base}/checkpoint")
     return d.spark.read.parquet(f"{base}/out")
+
+
+# --- the shop kept up to date from batches ----------------------------------------------------
+
+
+#: Folder of the finished tables by application and input, as several queries read them.
+FINISHED: dict[tuple[str, str], str] = {}
+
+
+def shop_from_batches(d: Data) -> str:
+    """The shop's tables after three runs: half of the orders with two thirds of the users,
+    then the other orders, then the users that were missing and one third in new versions."""
+    spark, base = d.spark, scratch_path(d.spark, "shop")
+    key = spark.sparkContext.applicationId, d.sf_dir
+    if key in FINISHED:
+        return FINISHED[key]
+    users = C.KeyedTable(f"{base}/bz_users", ["user_id"], ["version"], except_cols=["version"])
+    views = shop_views.ShopViews(base, users, buckets=16)
+    late, old = c("user_id") % 3 == 0, c("user_id") % 3 == 1
+    first = d.t_users.withColumn("version", F.lit(1))
+    outdated = first.withColumns({"region": F.lit("nowhere"), "age": F.lit(1)}).filter(old)
+    runs = [
+        (d.t_transactions.filter(c("order_id") % 20 < 10), first.filter(~late & ~old).unionByName(outdated)),
+        (d.t_transactions.filter(c("order_id") % 20 >= 10), None),
+        (None, first.filter(late).unionByName(first.filter(old).withColumn("version", F.lit(2)))),
+    ]
+    feed = f"{base}/user_feed"
+    for orders, changes in runs:
+        if changes is not None:
+            changes.write.mode("append").parquet(feed)
+            C.stream_apply_changes(I.stream_table(spark, feed), users, f"{base}/_checkpoints/users")
+        if orders is not None:
+            orders.write.mode("append").parquet(f"{base}/sl_transactions")
+        shop_views.refresh_views(spark, views, d.t_products)
+    FINISHED[key] = base
+    return base
+
+
+def gold(d: Data, name: str) -> DataFrame:
+    return d.spark.read.option("mergeSchema", True).parquet(f"{shop_from_batches(d)}/{name}")
+
+
+@query(
+    "c07_healed_from_batches",
+    """SELECT order_id, product_id, user_id, quantity, amount, transaction_date, user_name, age, gender, email, region, category, subcategory, price, strftime(transaction_date, '%Y-%m-%d') AS transaction_yyyymmdd,
+    strftime(transaction_date, '%Y-%m') AS transaction_yyyymm, strftime(transaction_date, '%Y') AS transaction_yyyy FROM t_enriched""",
+)
+def _(d: Data) -> DataFrame:
+    return gold(d, "sl_transactions_enriched").drop("user_bucket", "batch")
+
+
+@query(
+    "b07_from_batches",
+    "SELECT category, subcategory, round(sum(amount), 2) AS sum_revenue, sum(quantity)::BIGINT AS sum_quantity, count(order_id) AS order_count FROM t_enriched GROUP BY 1, 2",
+)
+def _(d: Data) -> DataFrame:
+    return jobs.rounded(gold(d, "gd_revenue_by_subcategory"), "sum_revenue")
+
+
+@query(
+    "b08_from_batches",
+    f"SELECT {jobs.AGE3_SQL} AS age_group, gender, region, round(sum(amount), 2) AS sum_revenue, count(order_id) AS order_count FROM t_enriched GROUP BY 1, 2, 3",
+)
+def _(d: Data) -> DataFrame:
+    return jobs.rounded(gold(d, "gd_revenue_by_user_segment"), "sum_revenue")
+
+
+@query(
+    "b10_from_batches",
+    f"""SELECT user_id, user_name, gender, age, round(sum(amount), 2) AS total_sales, count(order_id) AS total_orders, max(transaction_date) AS last_purchase_timestamp, {jobs.PIVOT_SQL}, {jobs.AGE3_SQL} AS age_group,
+    strftime(max(transaction_date), '%Y-%m-%d') AS last_purchase_date, strftime(max(transaction_date), '%Y-%m') AS last_purchase_month, strftime(max(transaction_date), '%Y') AS last_purchase_year
+    FROM t_enriched GROUP BY user_id, user_name, gender, age""",
+)
+def _(d: Data) -> DataFrame:
+    return jobs.rounded(gold(d, "gd_revenue_report"), "total_sales").drop("user_bucket")
