@@ -58,45 +58,27 @@ class LibraryEncoder:
         ]:
             raise ValueError(f"{path} keeps white space")
         self.library.model._resize_cache(0)  # chunks are kept here
-        self.known = Recent(lambda chunk: self.encode([chunk])[0], limit=remembered)
+        self.known = Recent(self.chunk, limit=remembered)
 
-    def encode(self, chunks: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(chunks, add_special_tokens=False)]
+    def chunk(self, chunk: str) -> bytes:
+        """Ids of what stands between two spaces.
 
-    def learn(self, chunks: list[str]) -> None:
-        """Know the ids of these different chunks; the library sees those that are new.
-
-        A word ends where signs follow its letters, so such a chunk is its word and its
-        signs, and words are known by more chunks than their own.  A word of Latin letters
-        goes to the library's model at once, as its patterns would leave it whole.
+        A word of Latin letters goes to the library's model at once, as its patterns would
+        leave it whole; signs after its letters are a word of their own.
         """
-        parts, others = {}, set()
-        for chunk, ids in zip(chunks, map(self.known.get, chunks)):
-            if ids is None and chunk not in self.known.older:
-                word = chunk.rstrip(SIGNS)
-                low = word.lower() if word.isascii() else unicodedata.normalize("NFC", word).lower()
-                if low.isalpha() and max(low) < LATIN:
-                    signs = chunk[len(word) :]
-                    parts[chunk] = word, signs
-                    if word not in self.known and word not in self.known.older:
-                        letters = low if low.isascii() else "".join(map(LETTERS.__getitem__, low.encode()))
-                        self.known.put(word, array("I", [t.id for t in self.library.model.tokenize(letters)]).tobytes())
-                    others.add(signs)
-                else:
-                    others.add(chunk)
-        new = [c for c in others if c and c not in self.known and c not in self.known.older]
-        for chunk, ids in zip(new, self.encode(new) if new else ()):
-            self.known.put(chunk, ids)
-        for chunk, (word, signs) in parts.items():
-            if signs:
-                self.known.put(chunk, self.known[word] + self.known[signs])
-
-    def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """Ids of every text."""
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
-        self.learn(list(set().union(*cut)))
-        for chunks in cut:
-            yield np.frombuffer(b"".join(map(self.known.__getitem__, chunks)), "<u4")
+        word = chunk.rstrip(SIGNS)
+        low = word.lower() if word.isascii() else unicodedata.normalize("NFC", word).lower()
+        if not (low.isalpha() and max(low) < LATIN):
+            return array("I", self.library.encode(chunk, add_special_tokens=False).ids).tobytes()
+        letters = low if low.isascii() else "".join(map(LETTERS.__getitem__, low.encode()))
+        ids = array("I", [t.id for t in self.library.model.tokenize(letters)]).tobytes()
+        return ids if word == chunk else ids + self.known[chunk[len(word) :]]
+
+    def __call__(self, text: str) -> np.ndarray:
+        """Ids of a text."""
+        text = text.replace("\n", " ")
+        chunks = (text.lower() if text.isascii() and "<|" not in text else text).split(" ")
+        return np.frombuffer(b"".join(map(self.known.__getitem__, chunks)), "<u4")
 
 
 @functools.lru_cache(maxsize=2)
@@ -105,6 +87,15 @@ def encoder(path: str, remembered: int) -> LibraryEncoder:
     return LibraryEncoder(path, remembered)
 
 
+def counted(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The terms of a document, rising, and how often each stands in it."""
+    if not len(ids):
+        return ids, np.empty(0, "int64")
+    ids = np.sort(ids, kind="stable")
+    at = np.concatenate([[0], np.flatnonzero(ids[1:] != ids[:-1]) + 1, [len(ids)]])
+    return ids[at[:-1]], np.diff(at)
+
+
 class Statistics:
     """What BM25 needs to know of all documents: their number, mean length and each term's df."""
 
@@ -126,23 +117,31 @@ class Index:
     """
 
     def __init__(self, docs: list[np.ndarray], statistics: Statistics | None = None):
-        uniq = [np.unique(d, return_counts=True) for d in docs]
+        self._build([counted(d) for d in docs], np.array([len(d) for d in docs], "int64"), statistics)
+
+    @classmethod
+    def of_terms(cls, uniq: list[tuple], lengths: np.ndarray, statistics: Statistics) -> Index:
+        """From each document's terms with their counts, and its length."""
+        index = cls.__new__(cls)
+        index._build(uniq, lengths, statistics)
+        return index
+
+    def _build(self, uniq: list[tuple], lengths: np.ndarray, statistics: Statistics | None) -> None:
         sizes = np.array([len(u) for u, _ in uniq], "int64")
-        lengths = np.array([len(d) for d in docs], "int64")
         self.term = np.concatenate([u for u, _ in uniq]).astype("int64")
         self.at = np.concatenate([[0], np.cumsum(sizes)])
         if statistics is None:
-            statistics = Statistics(len(docs), int(lengths.sum()), np.bincount(self.term))
+            statistics = Statistics(len(uniq), int(lengths.sum()), np.bincount(self.term))
         tf = np.concatenate([c for _, c in uniq]).astype("float64")
         weight = statistics.weights(self.term, tf, np.repeat(lengths, sizes))
         self.terms, self.local = np.unique(self.term, return_inverse=True)
         held = np.bincount(self.local, minlength=len(self.terms))
-        self.row = np.where(4 * held >= len(docs), 0, -1)
+        self.row = np.where(4 * held >= len(uniq), 0, -1)
         self.row[self.row == 0] = np.arange((self.row == 0).sum())
-        self.found = np.arange(len(docs))  # the documents that can still be found
+        self.found = np.arange(len(uniq))  # the documents that can still be found
         doc = np.repeat(self.found, sizes)
         dense = self.row[self.local] >= 0
-        self.dense = np.zeros((int(self.row.max(initial=-1)) + 1, len(docs)))
+        self.dense = np.zeros((int(self.row.max(initial=-1)) + 1, len(uniq)))
         self.dense[self.row[self.local[dense]], doc[dense]] = weight[dense]
         order = np.flatnonzero(~dense)[np.argsort(self.local[~dense], kind="stable")]
         self.doc, self.weight = doc[order], weight[order]
@@ -169,10 +168,18 @@ class Index:
             out = out + np.bincount(self.doc[posts], self.weight[posts], minlength=len(self.found))
         return out
 
-    def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
-        """Unused documents sharing one of the seed's terms, best first."""
+    def neighbours(self, seed: int, unused: np.ndarray, room: int | None = None, left: np.ndarray | None = None) -> np.ndarray:
+        """Unused documents sharing one of the seed's terms, best first.
+
+        With ``room``, those of at most ``room`` tokens ``left``, and of the others the best
+        one, as no other can be placed or cut.
+        """
         score = self.scores(seed) * unused[self.found]
         hits = np.flatnonzero(score)
+        if room is not None and len(hits):
+            fit = left[self.found[hits]] <= room
+            long = hits[~fit]
+            hits = np.sort(np.append(hits[fit], long[score[long].argmax(keepdims=True)])) if len(long) else hits
         return self.found[hits[np.argsort(-score[hits], kind="stable")]]
 
 
@@ -202,11 +209,11 @@ class Packer:
             offset += length
         self.open, self.room, self.sequence = [], self.window, self.sequence + 1
 
-    def shard(self, names: list, docs: list[bytes]) -> None:
+    def shard(self, names: list, docs: list[bytes], terms: list[tuple]) -> None:
         if not docs:
             return
-        index = Index([np.frombuffer(d, "<u4")[:-1].astype("int64") for d in docs], self.statistics)
         left = np.array([len(d) // 4 for d in docs])
+        index = Index.of_terms(terms, left - 1, self.statistics)
         unused = np.ones(len(docs), bool)
         seed, first = -1, 0
         while True:
@@ -225,7 +232,7 @@ class Packer:
             if self.sequence != sequence:
                 continue
             index.forget(unused)
-            near = index.neighbours(seed_was, unused)
+            near = index.neighbours(seed_was, unused, self.room, left)
             while len(near) and self.sequence == sequence:
                 fits = np.flatnonzero(left[near] <= self.room)
                 at = int(fits[0]) if len(fits) else len(near)
@@ -257,16 +264,21 @@ class Packer:
                     self.close()
 
 
-def unpacked(ids: bytes, n: int) -> np.ndarray:
-    """Stored ids, which take two or four bytes each."""
-    return np.frombuffer(ids, f"<u{len(ids) // n}")
+def packed(values: np.ndarray) -> bytes:
+    """Numbers in two or four bytes each."""
+    return values.astype("<u2" if values.max(initial=0) < 1 << 16 else "<u4").tobytes()
+
+
+def unpacked(data: bytes, n: int) -> np.ndarray:
+    """The ``n`` numbers of ``packed``."""
+    return np.frombuffer(data, f"<u{len(data) // n}") if n else np.empty(0, "<u2")
 
 
 def encoded(docs: DataFrame, vocabulary: str, end_id: int, remembered: int) -> DataFrame:
-    """``docs`` (id, text) as (id, ids, n), the ids in two bytes where all of them fit; stored.
+    """``docs`` (id, text) as (id, ids, n, bag, k), stored: the ids, and the ``k`` terms followed by their counts.
 
     Beside them, in rows of their own, (term, df): the documents of a task by term, so
-    that ``statistics`` need no second look at the ids.
+    that nothing looks at the ids again to count.
     """
     kind = docs.schema["id"].dataType.simpleString()
 
@@ -274,26 +286,27 @@ def encoded(docs: DataFrame, vocabulary: str, end_id: int, remembered: int) -> D
         encode, df, schema = encoder(vocabulary, remembered), np.zeros(1 << 16, "int64"), None
         for batch in batches:
             if schema is None:
-                kinds = [batch.column(0).type, pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-                schema = pa.schema(list(zip(["id", "ids", "n", "term", "df"], kinds)))
+                kinds = [batch.column(0).type, pa.binary(), pa.int64(), pa.binary(), pa.int64(), *[pa.list_(pa.int64())] * 2]
+                schema = pa.schema(list(zip(["id", "ids", "n", "bag", "k", "term", "df"], kinds)))
             for part in some(batch):
-                ids, sizes = [], []
-                for row in encode(part.column(1).to_pylist()):
-                    terms = np.unique(row)
+                rows = []
+                for text in part.column(1).to_pylist():
+                    ids = encode(text)
+                    ids = ids.astype("<u2") if ids.max(initial=0) < 1 << 16 else ids
+                    terms, tf = counted(ids)
                     if len(terms) and terms[-1] >= len(df):
-                        df = np.concatenate([df, np.zeros(terms[-1] + 1, "int64")])
+                        df = np.concatenate([df, np.zeros(int(terms[-1]) + 1, "int64")])
                     df[terms] += 1
-                    row = np.append(row, end_id)
-                    ids.append(row.astype("<u2" if row.max() < 1 << 16 else "<u4").tobytes())
-                    sizes.append(len(row))
-                none = [None] * len(ids)
-                columns = [part.column(0), ids, sizes, none, none]
-                yield pa.RecordBatch.from_arrays([c if c is part.column(0) else pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+                    rows.append((packed(np.append(ids, end_id)), len(ids) + 1, packed(np.concatenate([terms, tf])), len(terms), None, None))
+                columns = [part.column(0), *(pa.array(c, f.type) for c, f in zip(zip(*rows), list(schema)[1:]))]
+                yield pa.RecordBatch.from_arrays(columns, schema=schema)
         if schema is not None:
             seen = np.flatnonzero(df)
-            yield pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip([None, None, None, seen, df[seen]], schema)], schema=schema)
+            row = [*[None] * 5, seen, df[seen]]
+            yield pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(row, schema)], schema=schema)
 
-    return stored(docs.mapInArrow(run, f"id {kind}, ids binary, n long, term array<long>, df array<long>"), "packing-ids")
+    columns = "ids binary, n long, bag binary, k long, term array<long>, df array<long>"
+    return stored(docs.mapInArrow(run, f"id {kind}, {columns}"), "packing-ids")
 
 
 def statistics(rows: DataFrame) -> Statistics:
@@ -309,16 +322,21 @@ def statistics(rows: DataFrame) -> Statistics:
     return Statistics(size.docs, size.tokens - size.docs, df)
 
 
-def lexical_key(ids: np.ndarray, known: Statistics, common: np.ndarray) -> bytes:
+def bag_of(bag: bytes, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Terms and counts of a stored bag."""
+    both = unpacked(bag, 2 * k)
+    return both[:k], both[k:].astype("int64")
+
+
+def lexical_key(terms: np.ndarray, tf: np.ndarray, length: int, known: Statistics, common: np.ndarray) -> bytes:
     """A document's heaviest ``common`` terms, heaviest first, then its heaviest others; sorts as bytes."""
-    terms, tf = np.unique(ids, return_counts=True)
-    weight = known.weights(terms, tf, len(ids))
+    weight = known.weights(terms, tf, length)
     weight += common[terms] * 1e6
     if len(terms) > KEY_TERMS:  # with all that weigh as much as the last one of the key
         heavy = np.flatnonzero(weight >= np.partition(weight, -KEY_TERMS)[-KEY_TERMS])
         terms, weight = terms[heavy], weight[heavy]
     order = np.lexsort((terms, -weight))
-    return terms[order[:KEY_TERMS]].astype(">u4").tobytes().ljust(4 * KEY_TERMS, b"\0") + zlib.crc32(ids.tobytes()).to_bytes(4)
+    return terms[order[:KEY_TERMS]].astype(">u4").tobytes().ljust(4 * KEY_TERMS, b"\0")
 
 
 def placed(rows: DataFrame, known: Statistics, shard_tokens: int) -> DataFrame:
@@ -333,22 +351,18 @@ def placed(rows: DataFrame, known: Statistics, shard_tokens: int) -> DataFrame:
     kind = rows.schema["id"].dataType.simpleString()
     common = known.df * known.mean >= shard_tokens
 
-    def key_of(name, ids: bytes, n: int, task: int, row: int) -> bytes:
-        key = lexical_key(unpacked(ids, n)[:-1], known, common)
-        return key + zlib.crc32(repr(name).encode()).to_bytes(4) + task.to_bytes(4) + row.to_bytes(8)
-
     def run(batches: Iterator[pa.RecordBatch], bounds: list[bytes], whole: bool) -> Iterator[pa.RecordBatch]:
         task, row = TaskContext.get().partitionId(), 0
         for batch in batches:
             keys = []
-            for name, ids, n in zip(*(c.to_pylist() for c in batch.columns)):
-                keys.append(key_of(name, ids, n, task, row))
+            for name, ids, n, bag, k in zip(*(c.to_pylist() for c in batch.columns)):
+                key = lexical_key(*bag_of(bag, k), n - 1, known, common) + zlib.crc32(ids).to_bytes(4)
+                keys.append(key + zlib.crc32(repr(name).encode()).to_bytes(4) + task.to_bytes(4) + row.to_bytes(8))
                 row += 1
             part = [bisect.bisect_right(bounds, k) for k in keys]
             taken = [*batch.columns, pa.array(part, pa.int32())] if whole else [batch.column(2)]
-            yield pa.RecordBatch.from_arrays(
-                [*taken, pa.array(keys, pa.binary())], names=["id", "ids", "n", "part", "key"] if whole else ["n", "key"]
-            )
+            names = ["id", "ids", "n", "bag", "k", "part", "key"] if whole else ["n", "key"]
+            yield pa.RecordBatch.from_arrays([*taken, pa.array(keys, pa.binary())], names=names)
 
     size = rows.agg(F.count("n").alias("docs"), F.coalesce(F.sum("n"), F.lit(0)).alias("tokens")).first()
     parts = min(PARTS, max(1, math.ceil(size.tokens / (2 * shard_tokens))))
@@ -359,7 +373,7 @@ def placed(rows: DataFrame, known: Statistics, shard_tokens: int) -> DataFrame:
         passed = np.cumsum([n for _, n in taken])
         cuts = np.searchsorted(passed, passed[-1] * np.arange(1, parts) / parts) if len(taken) else []
         bounds = [bytes(taken[c][0]) for c in cuts]
-    keyed = rows.mapInArrow(lambda b: run(b, bounds, True), f"id {kind}, ids binary, n long, part int, key binary")
+    keyed = rows.mapInArrow(lambda b: run(b, bounds, True), f"id {kind}, ids binary, n long, bag binary, k long, part int, key binary")
     return keyed.repartitionById(parts, "part").sortWithinPartitions("key")
 
 
@@ -406,7 +420,7 @@ def pack(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = Packer(window, TaskContext.get().partitionId() << 40, known)
-        names, held, size, id_type = [], [], 0, pa.null()
+        names, held, terms, size, id_type = [], [], [], 0, pa.null()
 
         def emit() -> pa.RecordBatch:
             rows, packer.out = packer.out, []
@@ -416,18 +430,19 @@ def pack(
 
         for batch in batches:
             id_type = batch.column(0).type
-            for name, ids, n in zip(*(c.to_pylist() for c in batch.columns)):
+            for name, ids, n, bag, k in zip(*(c.to_pylist() for c in batch.columns)):
                 names.append(name)
                 held.append(unpacked(ids, n).astype("<u4").tobytes())
+                terms.append(bag_of(bag, k))
                 size += n
                 if size >= shard_tokens:
-                    packer.shard(names, held)
-                    names, held, size = [], [], 0
+                    packer.shard(names, held, terms)
+                    names, held, terms, size = [], [], [], 0
                     yield emit()
-        packer.shard(names, held)
+        packer.shard(names, held, terms)
         packer.finish()
         if packer.out:
             yield emit()
 
-    ordered = placed(rows, known, shard_tokens).select("id", "ids", "n")
+    ordered = placed(rows, known, shard_tokens).select("id", "ids", "n", "bag", "k")
     return ordered.mapInArrow(run, f"id {kind}, {PIECE}").withColumnRenamed("id", id_col)
