@@ -66,7 +66,7 @@ def test_mark_is_a_label_only(make):
         ("<article><table><tr><td class='ad'>ad<td>real text<tr class='promo'><td>ad<tr><td>more</table><p>of it</p></article>", "real text more of it"),
         ("<div><p class='ad'>ad</div><p>real text</p>", "real text"),
         ("<article><p>real text</p><div class='cookie-notice site-footer'>we use cookies</div><p>more of it</p></article>", "real text more of it"),
-        ("<article><p>real text</p><div class='promo'><p>" + "whole sentence " * 9 + "</p></div></article>", "real text " + "whole sentence " * 8 + "whole sentence"),
+        ("<article><p>real text</p><div class='promo'><p>" + "whole sentence " * 9 + "</p></div></article>", "real text"),
         ("<article><p>real text</p><p hidden>not shown<p>more of it</article>", "real text more of it"),
     ],
 )

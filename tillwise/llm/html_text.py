@@ -40,6 +40,11 @@ MARKS = set(
 WEAK = set("header top bottom side search tags widget".split())
 OWN = set("article entry post content main body story text".split())
 READERS = {"comment", "comments", "reply", "replies", "respond", "disqus"}
+#: One such part is enough for a class, unless another says that it belongs to the article or only tells a state.
+STRONG = READERS | {"review", "reviews", "ad", "ads", "advert", "adverts", "advertisement", "adsbygoogle"}
+STATES = set("no without has with open closed on off enabled disabled count allowed".split())
+#: Children of one element that go with the text beside them.
+FLOW = set("p ul ol dl table pre blockquote figure h1 h2 h3 h4 h5 h6 hr".split())
 #: Words that may stand beside a mark in one class name: ``site-footer`` is a footer, ``no-sidebar`` is not a sidebar.
 FILLING = set("area bar block box button buttons container global group inner item items left link links list outer page panel primary right row secondary section site slot top unit wrap wrapper".split())
 
@@ -60,23 +65,24 @@ BLOCKS = set(
     " main menu nav ol p pre section table ul li dt dd td th tr tbody thead tfoot".split()
 )
 
-#: The weight of one tag and of one word is kept within these limits.
-LIMITS = ((-2.0, -0.05), (-1.0, 1.0))
+#: The weight of one tag, of one word and of one word beside the article is kept within these limits.
+LIMITS = ((-2.0, -0.05), (-1.0, 1.0), (-1.0, -0.05))
 
 #: Weights of what no labelled page shows.
-UNSEEN = {"word": 1.0, "link": -0.5, "tag": -0.3, "aside": -0.3, "aside word": -1.0, "aside word long": 0.25, "aside link": -1.0}
+UNSEEN = {"word": 1.0, "link": -0.5, "tag": -0.3, "aside": -0.3, "aside word": -1.0, "aside link": -1.0}
 
 
 def beside(name: str, attrs: str, within: bool) -> str:
     """``aside`` for a menu, header, footer, sidebar, notice, advert, form or comments, ``hidden`` for what is not shown.
 
-    A class counts as a whole: each of its parts must be a mark or go with one.
+    A class counts as a whole: each of its parts must be a mark or go with one, but for
+    readers' words and adverts, which need one part.
     """
     tokens: list[set[str]] = []
     for m in ATTRIBUTE.finditer(attrs) if attrs and name not in ("body", "html") else ():
         key, value = m["key"].lower(), m["a"] or m["b"] or m["c"] or ""
         if key in ("class", "id", "role"):
-            tokens += [{p.lower() for p in PART.findall(t)} for t in value.split()]
+            tokens += [{p.lower() for p in PART.findall(t) if not p.isdigit()} for t in value.split()]
         elif key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none", value):
             return "hidden"
     if name in ASIDE and not (name == "header" and within):
@@ -85,19 +91,24 @@ def beside(name: str, attrs: str, within: bool) -> str:
         return "aside" if any(t & READERS and t <= READERS | FILLING for t in tokens) else ""
     own = any(t & OWN and t <= OWN | FILLING for t in tokens)
     marked = any(t & MARKS and t <= MARKS | WEAK | FILLING or t & WEAK and t <= WEAK | FILLING and not own for t in tokens)
-    return "aside" if marked else ""
+    strong = any(t & STRONG and not t & (OWN | STATES) for t in tokens)
+    return "aside" if marked or strong and not own else ""
 
 
-def items(page: str) -> tuple[list[tuple[str, str, bool, int]], bool]:
-    """The page as (text or tag, kind, inside the article, aside) and whether it marks an article.
+def items(page: str) -> tuple[list[tuple[str, str, bool, int]], bool, list[list]]:
+    """The page as (text or tag, kind, inside the article, aside), whether it marks an article, and its elements.
 
     Kinds are ``word``, ``link`` (words of a link) and ``tag``; an end tag has a slash.
     ``aside`` is 0, or the number of the element beside the article that an item is in.
     Text of hidden elements, of scripts, styles, comments and the like is left out.
     Elements whose end tags may be omitted end where the next one or their parent's end is.
+    An element is its name, the number of its parent (-1: none), and the first item of it
+    and the first one after it; inline elements are not among them.
     """
     out: list[tuple[str, str, bool, int]] = []
-    stack: list[tuple[str, str]] = []  # open elements: name, and what ``beside`` says where it is the outermost such one
+    # open elements: name, what ``beside`` says where it is the outermost such one, and its number
+    stack: list[tuple[str, str, int]] = []
+    elements: list[list] = []
     names: Counter = Counter()
     state, number, within, link, marked, at = "", 0, 0, False, False, 0
 
@@ -108,7 +119,8 @@ def items(page: str) -> tuple[list[tuple[str, str, bool, int]], bool]:
     def close_to(n: int) -> None:
         nonlocal state
         while len(stack) > n:
-            closed, said = stack.pop()
+            closed, said, which = stack.pop()
+            elements[which][3] = len(out)
             names[closed] -= 1
             state = "" if said else state
 
@@ -124,7 +136,9 @@ def items(page: str) -> tuple[list[tuple[str, str, bool, int]], bool]:
                 n = len(stack) - 1
                 while stack[n][0] != name:
                     n -= 1
+                which = stack[n][2]
                 close_to(n)
+                elements[which][3] += 1  # its end tag comes next
             elif name in ("body", "html"):
                 close_to(0)
         else:
@@ -144,14 +158,15 @@ def items(page: str) -> tuple[list[tuple[str, str, bool, int]], bool]:
                     close_to(found)
             if name in CONTENT and state and not within:
                 # an element that was never closed ends where the article begins
-                n = next(k for k, (_, said) in enumerate(stack) if said)
+                n = next(k for k, (_, said, _) in enumerate(stack) if said)
                 if stack[n][0] not in CONTENT:
                     close_to(n)
             said = "" if state or name in VOID else beside(name, m["attrs"] or m["attrs2"] or "", within > 0)
             if said:
                 state, number = said, number + 1
             if name not in VOID and (said or name not in INLINE):
-                stack.append((name, said))
+                elements.append([name, stack[-1][2] if stack else -1, len(out), 0])
+                stack.append((name, said, len(elements) - 1))
                 names[name] += 1
         if state == "hidden":
             continue
@@ -161,7 +176,38 @@ def items(page: str) -> tuple[list[tuple[str, str, bool, int]], bool]:
             link = not ends
         out.append((("/" if ends else "") + name, "tag", within > 0, number if state or was else 0))
     text_until(len(page))
-    return out, marked
+    close_to(0)
+    return out, marked, elements
+
+
+def widened(start: int, end: int, elements: list[list]) -> tuple[int, int]:
+    """The items ``start`` to ``end - 1``, and what belongs to them in the element that holds them all.
+
+    Where that is in an article, all of the article.  Elsewhere the children that the
+    region cuts are taken whole, and next to them paragraphs, lists, tables, headings and
+    the like, as far as nothing else stands between.
+    """
+    holder = -1
+    for n, (_, _, first, after) in enumerate(elements):  # outer elements come first
+        if first < start and end <= after:
+            holder = n
+    up = holder
+    while up >= 0:
+        name, parent, first, after = elements[up]
+        if name in CONTENT:
+            return first, after
+        up = parent
+    children = [e for e in elements if e[1] == holder]
+    for _, _, first, after in children:
+        if first < end and start < after:
+            start, end = min(start, first), max(end, after)
+    for name, _, first, after in children:
+        if first == end and name in FLOW:
+            end = after
+    for name, _, first, after in reversed(children):
+        if after == start and name in FLOW:
+            start = first
+    return start, end
 
 
 def feature(text: str, kind: str, aside: int, size: int) -> str:
@@ -215,7 +261,7 @@ def learn(pages: DataFrame, html_col: str = "html") -> dict[str, float]:
         for batch in batches:
             counts: Counter = Counter()
             for page in batch.column(0).to_pylist():
-                found, marked = items(page)
+                found, marked, _ = items(page)
                 if not marked:
                     continue
                 for (_, _, within, _), (name, n) in zip(found, described(found)):
@@ -235,7 +281,7 @@ def learn(pages: DataFrame, html_col: str = "html") -> dict[str, float]:
     weights = {}
     for r in counts.agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside")).collect():
         odds = math.log((r.inside + 0.5) / (r.outside + 0.5))
-        low, high = LIMITS[not r.feature.startswith("tag")]
+        low, high = LIMITS[2 if r.feature.startswith("aside") else not r.feature.startswith("tag")]
         weights[r.feature] = min(max(odds, low), high)
     return weights
 
@@ -252,9 +298,10 @@ def main_text(page: str, weights: dict[str, float]) -> str:
     """Text of the contiguous region with the largest sum of weights, found in one scan.
 
     An element beside the article whose own words sum to less than nothing is left out
-    and weighs as one item; another takes part by its weights.
+    and weighs as one item; another takes part by its weights.  The region is then
+    ``widened`` to whole elements.
     """
-    found, _ = items(page)
+    found, _, elements = items(page)
     scores: list[float] = []
     asides: Counter = Counter()
     known: dict[str, float] = {}
@@ -275,6 +322,8 @@ def main_text(page: str, weights: dict[str, float]) -> str:
             total, start = 0.0, n + 1
         elif total > best:
             best, best_at = total, (start, n + 1)
+    if best:
+        best_at = widened(*best_at, elements)
     parts = []
     for text, kind, _, aside in found[best_at[0] : best_at[1]]:
         if aside and asides[aside] <= 0:
@@ -294,15 +343,16 @@ def extract_text(
     Words and tags are weighed by name and context with weights that ``learn`` takes from
     the pages that mark their article, unless ``weights`` are given; ``<article>`` and
     ``<main>`` themselves weigh like any other tag.  A linear scan finds the best
-    contiguous region; within it menus, headers, footers, sidebars, notices, adverts,
+    contiguous region, which is widened to the article that holds it or else to whole
+    elements and the paragraphs and lists beside it; within it menus, headers, footers, sidebars, notices, adverts,
     forms and readers' comments are left out where their words, which weigh less, sum to
     less than nothing, and hidden elements always.  Character references are decoded, white
     space becomes one space, blocks are joined by one space.  Both passes are without a
     shuffle of pages.
 
     A NULL or empty page, and one without words outside such elements, gives the empty
-    text.  Markup that never ends is closed where the page does.  Other columns stay,
-    repeated rows are extracted each, an empty table gives an empty result.
+    text.  Markup that never ends is closed where the page does.  Other columns
+    stay, but one named ``text`` is replaced; repeated rows are extracted each, an empty table gives an empty result.
     """
     weights = learn(pages, html_col) if weights is None else weights
     rest = [f for f in pages.schema.fields if f.name not in (html_col, "text")]
