@@ -469,7 +469,7 @@ def shop_from_batches(d: Data) -> str:
     """The shop's tables after three runs: half of the orders with two thirds of the users,
     then the other orders, then the users that were missing and one third in new versions."""
     spark, base = d.spark, scratch_path(d.spark, "shop")
-    key = spark.sparkContext.applicationId, d.sf_dir
+    key = spark.sparkContext.applicationId, d.dir
     if key in FINISHED:
         return FINISHED[key]
     users = C.KeyedTable(f"{base}/bz_users", ["user_id"], ["version"], except_cols=["version"])
