@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 
@@ -6,6 +7,7 @@ from tests.conftest import rows
 from tillwise.plans import shop
 from tillwise.streaming import dedup as R
 from tillwise.streaming import ingest as I
+from tillwise.streaming import sift as Z
 
 
 def feed(spark, path, events):
@@ -129,3 +131,84 @@ def test_shop_story(spark, landing, tmp_path, products):
     assert report["U1"]["total_orders"] == 3 and report["U1"]["last_purchase_date"] == "2024-01-02"
     assert report["U4"]["total_sales"] == 45.0 and report["U4"]["age_group"] == "中年層"
     assert run(user_feeds={"users": None, "users_backfill": "operation = 'DELETE'"})["enriched"] == 5
+
+
+def sift(spark, base, delay=dt.timedelta(minutes=10), max_files=None):
+    src, out, cp = (f"{base}/{n}" for n in ("in", "out", "cp"))
+    return Z.sift_stream(I.stream_table(spark, src, max_files=max_files), out, ["order_id"], "ts", cp, delay)
+
+
+def fates(spark, base):
+    return rows(Z.read_sifted(spark, f"{base}/out").selectExpr("order_id", "date_format(ts, 'dd HH:mm') AS at", "fate"))
+
+
+def test_sifted_rows_are_all_kept_somewhere(spark, tmp_path):
+    base = str(tmp_path)
+    feed(spark, f"{base}/in", [(1, "2024-01-02 10:00:00"), (1, "2024-01-02 10:02:00"), (2, "2024-01-02 10:05:00"), (None, "2024-01-02 10:05:00")])
+    q = sift(spark, base)
+    assert q.counts == {"kept": 3, "duplicate": 1, "late": 0, "undated": 0}
+    # the watermark is 9:55: one row before it, one at it, one after it, repeats, and a row without a time
+    feed(spark, f"{base}/in", [(7, "2024-01-01 10:00:00"), (8, "2024-01-02 09:55:00"), (9, "2024-01-02 09:57:00"), (2, "2024-01-02 10:06:00"), (None, "2024-01-02 10:07:00")])
+    spark.sql("SELECT 10 AS order_id, CAST(NULL AS timestamp_ntz) AS ts").write.mode("append").parquet(f"{base}/in")
+    q = sift(spark, base)
+    assert q.counts == {"kept": 4, "duplicate": 3, "late": 2, "undated": 1}
+    assert fates(spark, base) == rows(spark.createDataFrame([
+        (1, "02 10:00", "kept"), (1, "02 10:02", "duplicate"), (2, "02 10:05", "kept"), (None, "02 10:05", "kept"),
+        (7, "01 10:00", "late"), (8, "02 09:55", "late"), (9, "02 09:57", "kept"), (2, "02 10:06", "duplicate"),
+        (None, "02 10:07", "duplicate"), (10, None, "undated"),
+    ], "a int, b string, c string"))
+    assert sift(spark, base).counts == dict.fromkeys(Z.FATES, 0)  # nothing new
+
+
+def test_sift_forgets_and_repeats(spark, tmp_path):
+    base = str(tmp_path)
+    for when in ("2024-01-01 10:00:00", "2024-01-01 10:09:00", "2024-01-01 10:30:00", "2024-01-01 10:30:00", "2024-01-01 10:31:00"):
+        feed(spark, f"{base}/in", [(1, when)])
+        sift(spark, base)
+    # 10:30 came when the watermark was 9:59, so the key was still known; 10:30 again and 10:31 came at 10:20
+    assert [f for _, _, f in fates(spark, base)] == ["kept", "duplicate", "duplicate", "kept", "duplicate"]
+    before = fates(spark, base)
+    # a batch that is done again after a failure replaces its own rows
+    again = spark.read.parquet(f"{base}/out/rows/batch=4").drop("fate", Z.AT)
+    Z._sift(again, 4, f"{base}/out", ["order_id"], "ts", 600_000_000)
+    assert fates(spark, base) == before
+
+
+def test_sift_against_brute_force(spark, tmp_path):
+    """Random batches against a plain loop over their rows."""
+    rng = random.Random(5)
+    start = dt.datetime(2024, 1, 1)
+    latest, known, expected = None, {}, []
+    delay = dt.timedelta(minutes=10)
+    for b in range(6):
+        batch = [(rng.randrange(8), start + dt.timedelta(minutes=12 * b + rng.randrange(-25, 12))) for _ in range(20)]
+        mark = None if latest is None else latest - delay
+        seen = {k: t for k, t in known.items() if mark is None or t > mark - delay}
+        for key, t in sorted(batch, key=lambda r: r[1]):
+            if mark is not None and t <= mark:
+                expected.append((key, t, "late"))
+            elif key in seen:
+                expected.append((key, t, "duplicate"))
+            else:
+                seen[key] = t
+                expected.append((key, t, "kept"))
+        known = seen
+        latest = max([t for _, t in batch] + ([latest] if latest else []))
+        feed(spark, str(tmp_path / "in"), [(k, t.isoformat()) for k, t in batch])
+        q = sift(spark, str(tmp_path))
+    assert sum(q.counts.values()) == 120 and min(q.counts[f] for f in ("kept", "duplicate", "late")) > 10
+    got = Z.read_sifted(spark, str(tmp_path / "out"))
+    assert rows(got.select("order_id", "ts", "fate")) == sorted(expected, key=lambda r: tuple((x is None, str(x)) for x in r))
+
+
+def test_every_batch_is_reported(spark, tmp_path):
+    """Quick batches, far more than Spark remembers."""
+    src = str(tmp_path / "in")
+    spark.range(500).repartition(500, "id").write.option("maxRecordsPerFile", 1).parquet(src)
+    n = len(list((tmp_path / "in").glob("*.parquet")))
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        q = I.run_batches(I.stream_table(spark, src, max_files=1), str(tmp_path / "cp"), lambda df, b: None)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert n >= 500 and len({p["batchId"] for p in q.progress}) == n

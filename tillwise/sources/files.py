@@ -5,7 +5,7 @@ from __future__ import annotations
 import csv
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -117,12 +117,11 @@ INFERRED_TYPES = {
 }
 
 
-def infer_types(df: DataFrame, cols: Sequence[str] | None = None) -> dict[str, str]:
-    """Narrowest type that every non-blank value of a text column converts to.
+def narrowest_types(df: DataFrame, cols: Sequence[str]) -> dict[str, str | None]:
+    """Narrowest type that every non-blank value of a text column converts to; None without a value.
 
     One aggregation over all columns and candidate types.
     """
-    cols = list(cols or df.columns)
     tests = []
     for c in cols:
         text = F.nullif(F.trim(F.col(c)), F.lit(""))
@@ -131,16 +130,35 @@ def infer_types(df: DataFrame, cols: Sequence[str] | None = None) -> dict[str, s
             misfit = ~text.rlike(shape) | text.try_cast(t).isNull()
             tests.append(F.count_if(text.isNotNull() & misfit).alias(f"{c}|{t}"))
     row = df.agg(*tests).first()
-    out = {}
+    out: dict[str, str | None] = {}
     for c in cols:
-        fits = [t for t in INFERRED_TYPES if row[f"{c}|n"] > 0 and row[f"{c}|{t}"] == 0]
-        out[c] = fits[0] if fits else "string"
+        fits = [t for t in INFERRED_TYPES if row[f"{c}|{t}"] == 0]
+        out[c] = None if row[f"{c}|n"] == 0 else fits[0] if fits else "string"
     return out
 
 
-def rescue(df: DataFrame, schema: T.StructType, rescued_col: str = RESCUED) -> DataFrame:
+def infer_types(df: DataFrame, cols: Sequence[str] | None = None) -> dict[str, str]:
+    """The narrowest types of text columns; a column without a value is text."""
+    return {c: t or "string" for c, t in narrowest_types(df, list(cols or df.columns)).items()}
+
+
+def fitting(text: Column, dtype: str) -> Column:
+    """The value of a text in a type, NULL unless it has the shape that types are inferred by.
+
+    A date fits a time stamp; a time stamp does not fit a date, which would lose the time.
+    """
+    shapes = [INFERRED_TYPES[t] for t in (dtype, *(["date"] if dtype == "timestamp" else [])) if t in INFERRED_TYPES]
+    if not shapes:
+        return text.try_cast(dtype)
+    return F.when(F.trim(text).rlike("|".join(shapes)), F.trim(text).try_cast(dtype))
+
+
+def rescue(df: DataFrame, schema: T.StructType, rescued_col: str = RESCUED, inferred: bool = False) -> DataFrame:
     """Cast text columns to a target schema; keep what does not fit.
 
+    Types that were ``inferred`` take only texts they would be inferred from
+    (:func:`fitting`); those the caller chose take all that Spark casts.
+
     A value that fails its cast, a column the schema does not know and the line of a
     ragged row go, as text, into one JSON object in ``rescued_col``; it is NULL when
     nothing was left over.
@@ -151,7 +169,7 @@ def rescue(df: DataFrame, schema: T.StructType, rescued_col: str = RESCUED) -> D
         if name not in df.columns:
             typed.append(F.lit(None).cast(dtype).alias(name))
             continue
-        cast = F.col(name).try_cast(dtype)
+        cast = fitting(F.col(name), dtype.simpleString()) if inferred else F.col(name).try_cast(dtype)
         typed.append(cast.alias(name))
         if not isinstance(dtype, T.StringType):
             present = F.length(F.trim(F.col(name))) > 0

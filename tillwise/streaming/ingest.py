@@ -6,15 +6,19 @@ the files already read, so a second run over the same folder adds nothing.
 
 from __future__ import annotations
 
+import threading
+from collections import defaultdict
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamWriter, StreamingQueryListener
 from pyspark.sql.streaming.query import StreamingQuery
 
 from ..sources.files import CORRUPT, RESCUED, csv_headers, csv_text, header_names, infer_types, read_csv_by_name, rescue
 from ..sources.paths import load_schema, save_schema
+from .widening import note_misfits
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
@@ -75,42 +79,55 @@ def stream_table(
 def append_flow(df: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
     """Append a stream to a Parquet directory, exactly once, and wait until it has
     caught up."""
-    query = (
-        df.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", target)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
+    return run_to_end(
+        df.sparkSession,
+        df.writeStream.format("parquet").outputMode("append").option("path", target).option("checkpointLocation", checkpoint),
     )
-    return finish(query)
 
 
 def run_batches(df: DataFrame, checkpoint: str, fn: Callable[[DataFrame, int], None]) -> StreamingQuery:
     """Hand every micro-batch to ``fn`` and wait until the stream has caught up."""
-    query = (
-        df.writeStream.foreachBatch(fn)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    return finish(query)
+    return run_to_end(df.sparkSession, df.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint))
+
+
+class ProgressLog(StreamingQueryListener):
+    """Progress of every batch of the queries that run while it listens, by run."""
+
+    def __init__(self) -> None:
+        self.batches: dict[str, list] = defaultdict(list)
+        self.ended: dict[str, threading.Event] = defaultdict(threading.Event)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self.batches[str(event.progress.runId)].append(event.progress)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended[str(event.runId)].set()
 
 
-def finish(query: StreamingQuery) -> StreamingQuery:
-    """Wait until a query ends and keep the progress of all its batches in ``progress``.
+def run_to_end(spark: SparkSession, writer: DataStreamWriter, patience: float = 120) -> StreamingQuery:
+    """Start a query on all there is now, wait for its end and keep the progress of all its batches in ``progress``.
 
-    Spark itself remembers the last ones only (100 by default).
+    Spark itself remembers the last ones only (100 by default); a listener gets each.
+    Events come in order, so the end of the query is the last one; it is awaited for at
+    most ``patience`` seconds after the query itself has ended.
     """
-    seen = {}
-    ended = False
-    while not ended:
-        ended = query.awaitTermination(0.2)
-        seen.update({(p["batchId"], p["timestamp"]): p for p in query.recentProgress})
-    batches = sorted({b for b, _ in seen})
-    if batches and len(batches) != batches[-1] - batches[0] + 1:
-        raise RuntimeError("batches went by faster than their progress could be read")
-    query.progress = [seen[k] for k in sorted(seen)]
+    log = ProgressLog()
+    spark.streams.addListener(log)
+    try:
+        query = writer.trigger(availableNow=True).start()
+        query.awaitTermination()
+        run = str(query.runId)
+        if not log.ended[run].wait(patience):
+            raise TimeoutError("the rows are written, but Spark did not report the end of the query")
+    finally:
+        spark.streams.removeListener(log)
+    query.progress = log.batches[run]
     return query
 
 
@@ -124,8 +141,9 @@ def widen(
     """The stored schema, extended by the columns it does not know yet.
 
     Types come from all files that lie in ``src`` when a column first shows, so they do
-    not depend on how the files fall into batches.  A known column keeps its type: later
-    values that do not fit are rescued.
+    not depend on how the files fall into batches.  A known column is stored in its first
+    type: later values that do not fit are rescued, and taken back in by
+    :func:`tillwise.streaming.widening.read_widened`.
     """
     stored = load_schema(spark, schema_dir)
     known = [] if stored is None else stored.fieldNames()
@@ -162,7 +180,8 @@ def ingest_files(
     as many batches as it needs, with the same rows and types.  With ``add_columns`` a new
     header column widens the schema, otherwise its values are rescued; with a ``schema``
     they always are.  Misfits and ragged lines are rescued too, so nothing is lost.
-    ``infer=False`` keeps every column as text.
+    ``infer=False`` keeps every column as text.  Where types are inferred, the types of
+    rescued values are noted, and ``read_widened`` reads the table in types that take them.
     """
     new_files = (
         spark.readStream.schema(FILE_SCHEMA)
@@ -181,16 +200,17 @@ def ingest_files(
             return
         raw = read_csv_by_name(session, files)
         to = schema or widen(session, raw, src, f"{checkpoint}/schema", infer, add_columns)
-        rows = rescue(raw, to, RESCUED)
+        rows = rescue(raw, to, RESCUED, inferred=schema is None and infer)
         rows = rows.withColumnRenamed(RESCUED, rescued_col)
         if audit:
             rows = rows.withColumn("_ingested_at", F.current_timestamp())
         else:
             rows = rows.drop("_source_file")
         seen = Observation()
-        rows.observe(seen, F.count("*").alias("n")).write.mode("overwrite").parquet(
-            f"{target}/flow={flow}/batch={batch_id}"
-        )
+        written = f"{target}/flow={flow}/batch={batch_id}"
+        rows.observe(seen, F.count("*").alias("n"), F.count(rescued_col).alias("lost")).write.mode("overwrite").parquet(written)
+        if seen.get["lost"] and schema is None and infer:
+            note_misfits(session.read.parquet(written), to, checkpoint, batch_id, rescued_col)
         added.append(seen.get["n"])
 
     run_batches(new_files, f"{checkpoint}/files", load)

@@ -19,6 +19,8 @@ from ..sources import payload
 from ..streaming import changes as C
 from ..streaming import dedup as R
 from ..streaming import ingest as I
+from ..streaming import sift as Z
+from ..streaming import widening as W
 from . import jobs, quality  # noqa: F401  (define relations used below)
 from .registry import define, query
 from .tables import Data
@@ -123,6 +125,20 @@ def _(d: Data) -> DataFrame:
     return S.read_merged(d.spark, f"{base}/table").select("user_id", "name", "balance")
 
 
+@query(
+    "s08_type_widening",
+    "SELECT c_custkey::INT AS user_id, CASE WHEN c_mktsegment = 'BUILDING' THEN c_acctbal ELSE c_nationkey::DOUBLE END AS balance, CAST(NULL AS VARCHAR) AS _rescued_data FROM customer",
+)
+def _(d: Data) -> DataFrame:
+    """Whole balances come first, fractions in a later run; no value stays rescued."""
+    base = scratch_path(d.spark, "s08w")
+    text = users_text(d)
+    for day, rows in enumerate((text.filter("segment <> 'BUILDING'").selectExpr("user_id", "place AS balance"), text.filter("segment = 'BUILDING'").select("balance", "user_id"))):
+        K.export(rows, f"{base}/in/day{day}", "csv", 200_000)
+        I.ingest_files(d.spark, f"{base}/in", f"{base}/table", f"{base}/checkpoint")
+    return W.read_widened(d.spark, f"{base}/table", f"{base}/checkpoint")
+
+
 RESCUE_SCHEMA = T.StructType([T.StructField("order_id", T.LongType()), T.StructField("amount", T.DoubleType()), T.StructField("bonus", T.LongType())])
 
 
@@ -430,6 +446,25 @@ def _(d: Data) -> DataFrame:
     return d.spark.read.parquet(f"{base}/out").agg(F.count("*").alias("kept"), F.lit(late).cast("bigint").alias("late"))
 
 
+@query(
+    "r03_sifted_rows",
+    """WITH m AS (SELECT TIMESTAMP '2024-01-15' AS mark, date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE AS edge FROM events)
+    SELECT event_id, 'kept' AS fate, 1::BIGINT AS n FROM events, m WHERE ts >= mark OR ts > edge
+    UNION ALL SELECT event_id, 'duplicate', 1 + CAST(ts > edge AS INT)::BIGINT FROM events, m WHERE ts >= mark
+    UNION ALL SELECT event_id, 'late', 1::BIGINT FROM events, m WHERE ts < mark AND ts <= edge""",
+)
+def _(d: Data) -> DataFrame:
+    """The second half of the month twice, then the first half, then once more what the watermark has not passed."""
+    base = scratch_path(d.spark, "r03s")
+    rows = d.events.select("event_id", "ts")
+    edge = F.date_trunc("millisecond", rows.agg(F.max("ts")).scalar()) - F.expr("INTERVAL 10 MINUTES")
+    second = rows.filter("ts >= TIMESTAMP_NTZ'2024-01-15'")
+    for part in (second.unionAll(second), rows.filter("ts < TIMESTAMP_NTZ'2024-01-15'"), second.filter(c("ts") > edge)):
+        K.append_merged(part, f"{base}/in")
+        Z.sift_stream(I.stream_table(d.spark, f"{base}/in", rows.schema), f"{base}/out", ["event_id"], "ts", f"{base}/checkpoint")
+    return Z.read_sifted(d.spark, f"{base}/out").groupBy("event_id", "fate").agg(F.count("*").alias("n"))
+
+
 @query("r04_run_until_caught_up", "SELECT count(*) AS n FROM orders")
 def _(d: Data) -> DataFrame:
     """Many small micro-batches in one run; a second run finds nothing to do."""
