@@ -142,6 +142,44 @@ def check_totals(header: DataFrame, header_col: str, lines: DataFrame, line_col:
     )
 
 
+def differing_totals(
+    left: DataFrame, left_col: str, right: DataFrame, right_col: str, key: str, buckets: int = 4096
+) -> DataFrame:
+    """Keys whose exact totals differ: key, left_total, right_total, difference.
+
+    Both sides are first summed by hash bucket of the key, the amounts as they are and
+    with two weights drawn from the key, so that differences of several keys do not
+    cancel out but by a chance of about 2^-60.  Sums are linear, hence a side may have
+    any number of rows per key.  Only rows of buckets whose sums differ are shuffled by
+    key; equal tables move their bucket sums alone.  NULL is a key like any other; a
+    missing key and a NULL amount count as zero.  Amounts are taken as DECIMAL(18,2).
+    """
+
+    def parted(df: DataFrame, col: str) -> DataFrame:
+        amount = F.coalesce(F.col(col).cast("decimal(18,2)"), F.lit(0).cast("decimal(18,2)"))
+        bucket = F.pmod(F.xxhash64(F.col(key)), F.lit(buckets))
+        return df.select(F.col(key), amount.alias("__x"), bucket.alias("__bucket"))
+
+    def sums(df: DataFrame, sign: int) -> DataFrame:
+        weights = [F.pmod(F.xxhash64(F.lit(salt), F.col(key)), F.lit(1 << 30)).cast("decimal(10,0)") for salt in (1, 2)]
+        terms = [F.col("__x"), *[F.col("__x") * w for w in weights]]
+        return df.groupBy("__bucket").agg(*[(F.sum(t).cast("decimal(38,2)") * sign).cast("decimal(38,2)").alias(f"s{i}") for i, t in enumerate(terms)])
+
+    a, b = parted(left, left_col), parted(right, right_col)
+    both = sums(a, 1).unionByName(sums(b, -1)).groupBy("__bucket").agg(*[F.sum(f"s{i}").alias(f"s{i}") for i in range(3)])
+    odd = F.broadcast(both.filter("s0 <> 0 OR s1 <> 0 OR s2 <> 0").select("__bucket"))  # at most ``buckets`` rows
+
+    def totals(df: DataFrame, is_left: bool) -> DataFrame:
+        rows = df.join(odd, "__bucket", "left_semi").groupBy(key).agg(F.sum("__x").alias("__x"))
+        zero = F.lit(0).cast("decimal(28,2)")
+        pair = (F.col("__x"), zero) if is_left else (zero, F.col("__x"))
+        return rows.select(key, *[c.alias(n) for c, n in zip(pair, ("left_total", "right_total"))])
+
+    found = totals(a, True).unionByName(totals(b, False)).groupBy(key)
+    found = found.agg(F.sum("left_total").alias("left_total"), F.sum("right_total").alias("right_total"))
+    return found.withColumn("difference", F.col("left_total") - F.col("right_total")).filter("difference <> 0")
+
+
 def run_checks(checks: Sequence[DataFrame]) -> DataFrame:
     """(check_name, passed) of every check and a last row with the overall verdict."""
     rows = [c.select("check_name", "passed") for c in checks]

@@ -60,12 +60,39 @@ def dedup_report(before: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+UNITS = ("month", "day", "hour", "minute")
+
+#: Most parts a crowded bucket is split into, and sampled rows per part.
+PARTS, DRAWN = 256, 32
+
+
 def _bucket_unit(df: DataFrame, entity: str, ts: str, most: int) -> str:
-    for unit in ("month", "day", "hour"):
-        sizes = df.groupBy(entity, F.date_trunc(unit, F.col(ts))).agg(F.count("*").alias("__n"))
-        if (sizes.agg(F.max("__n")).first()[0] or 0) <= most:
-            return unit
-    return "minute"
+    """The coarsest unit in which no entity has more than ``most`` rows, else the minute; one job counts them all."""
+    fine = df.groupBy(F.col(entity).alias("e"), F.date_trunc("minute", F.col(ts)).alias("t")).agg(F.count("*").alias("n"))
+    grains = F.explode(F.array(*[F.struct(F.lit(u).alias("unit"), F.date_trunc(u, F.col("t")).alias("at")) for u in UNITS]))
+    sizes = fine.select("e", "n", grains.alias("g")).groupBy("e", "g").agg(F.sum("n").alias("n"))
+    largest = {r["unit"]: r["n"] for r in sizes.groupBy("g.unit").agg(F.max("n").alias("n")).collect()}
+    return next((u for u in UNITS if largest.get(u, 0) <= most), "minute")
+
+
+def split_crowded(df: DataFrame, entity: str, bucket: str, order: Sequence[str], most: int, out: str) -> DataFrame:
+    """Number the parts that crowded (entity, bucket) pairs are cut into, 0 for all others.
+
+    A pair with more than ``most`` rows is cut by splitters, values of ``order`` drawn
+    from its rows by hash; a part has about half of ``most`` rows, or a 256th of the pair
+    where that is more.  Rows equal in all of ``order`` share a part.  Parts follow the
+    order, so positions within them add up.
+    """
+    at = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)])
+    pair = [F.col(entity).alias("__ce"), F.col(bucket).alias("__cb")]
+    crowded = df.groupBy(*pair).agg(F.count("*").alias("__cn")).filter(F.col("__cn") > most)
+    parts = F.least(F.ceil(F.col("__cn") * 2 / most), F.lit(PARTS))
+    same = F.col(entity).eqNullSafe(F.col("__ce")) & F.col(bucket).eqNullSafe(F.col("__cb"))
+    drawn = df.join(crowded, same).filter(F.pmod(F.xxhash64(entity, *order), F.col("__cn")) < DRAWN * parts)
+    cuts = drawn.groupBy("__ce", "__cb").agg(F.array_sort(F.collect_list(at)).alias("__cuts"))
+    cuts = cuts.select("__ce", "__cb", F.filter("__cuts", lambda x, i: i % DRAWN == DRAWN - 1).alias("__cuts"))
+    part = F.coalesce(F.size(F.filter("__cuts", lambda x: x < at)), F.lit(0))
+    return df.join(cuts, same, "left").withColumn(out, F.when(F.col("__cuts").isNull(), 0).otherwise(part)).drop("__ce", "__cb", "__cuts")
 
 
 def event_sequence(
@@ -75,29 +102,40 @@ def event_sequence(
     """Position 1, 2, 3 … of every event of an entity.
 
     The rows of one entity are never gathered in one task: they are numbered within
-    (entity, time bucket) and shifted by the count of the earlier buckets.  ``bucket``
+    (entity, time bucket, part) and shifted by the count of the earlier ones.  ``bucket``
     must grow with ``ts``; by default it is the coarsest calendar unit in which no entity
-    has more than ``bucket_rows`` rows, the minute at the finest.
+    has more than ``bucket_rows`` rows, the minute at the finest.  A minute with more rows
+    is cut into parts by time and ``tie``; a bucket the caller chose is taken as it is.
     """
-    if bucket is None:
-        bucket = F.date_trunc(_bucket_unit(df, entity, ts, bucket_rows), F.col(ts))
-    bucketed = df.withColumn("__b", bucket)
-    sizes = bucketed.groupBy(entity, "__b").agg(F.count("*").alias("__n"))
-    earlier = W.partitionBy(entity).orderBy("__b").rowsBetween(W.unboundedPreceding, -1)
+    order = [ts, *tie]
+    if bucket is not None:
+        bucketed = df.withColumns({"__b": bucket, "__s": F.lit(0)})
+    else:
+        unit = _bucket_unit(df, entity, ts, bucket_rows)
+        bucketed = df.withColumn("__b", F.date_trunc(unit, F.col(ts)))
+        if unit == "minute":
+            bucketed = split_crowded(bucketed, entity, "__b", order, bucket_rows, "__s")
+        else:
+            bucketed = bucketed.withColumn("__s", F.lit(0))
+    sizes = bucketed.groupBy(entity, "__b", "__s").agg(F.count("*").alias("__n"))
+    earlier = W.partitionBy(entity).orderBy("__b", "__s").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select(
         F.col(entity).alias("__e"),
         F.col("__b").alias("__ob"),
+        F.col("__s").alias("__os"),
         F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"),
     )
-    within = W.partitionBy(entity, "__b").orderBy(F.col(ts), *[F.col(c) for c in tie])
+    within = W.partitionBy(entity, "__b", "__s").orderBy(*[F.col(c) for c in order])
     numbered = bucketed.withColumn("__pos", F.row_number().over(within))
     return (
         numbered.join(
             offsets,
-            F.col(entity).eqNullSafe(F.col("__e")) & F.col("__b").eqNullSafe(F.col("__ob")),
+            F.col(entity).eqNullSafe(F.col("__e"))
+            & F.col("__b").eqNullSafe(F.col("__ob"))
+            & (F.col("__s") == F.col("__os")),
         )
         .withColumn(out, F.col("__before") + F.col("__pos"))
-        .drop("__b", "__ob", "__e", "__n", "__pos", "__before")
+        .drop("__b", "__ob", "__s", "__os", "__e", "__n", "__pos", "__before")
     )
 
 

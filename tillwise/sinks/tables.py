@@ -5,6 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from ..session import scratch_path
+from ..sources.paths import remove
 
 
 def overwrite(df: DataFrame, target: str, partition_by: Sequence[str] = ()) -> None:
@@ -104,6 +109,32 @@ def export(df: DataFrame, path: str, fmt: str, rows_per_file: int) -> None:
         writer.option("ignoreNullFields", False).json(path)
 
 
+def export_exact(df: DataFrame, path: str, fmt: str, rows_per_file: int, most_tasks: int = 10_000) -> int:
+    """Write CSV or JSON lines in files of exactly ``rows_per_file`` rows, the last one excepted; returns their number.
+
+    The rows are stored once.  A row's number is its place in its stored file plus the
+    rows of the files before it, so no task sees more than its share; one row per stored
+    file is summed up in order.  Rows are dealt by number, whole output files to a task.
+    An empty table gives no file of rows.
+    """
+    spark = df.sparkSession
+    kept = scratch_path(spark, "export")
+    df.write.parquet(kept)
+    rows = spark.read.schema(df.schema).parquet(kept)
+    rows = rows.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__at"))
+    sizes = rows.groupBy("__file").agg(F.count("*").alias("n"))
+    before = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("__file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__start"))
+    files = -(-sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] // rows_per_file)
+    tasks = max(1, min(files, most_tasks))
+    per_task = rows_per_file * max(1, -(-files // tasks))
+    numbered = rows.join(starts, "__file").withColumn("__no", F.col("__start") + F.col("__at"))
+    dealt = numbered.repartitionById(tasks, F.floor(F.col("__no") / per_task).cast("int"))
+    export(dealt.sortWithinPartitions("__no").select(*df.columns), path, fmt, rows_per_file)
+    remove(spark, kept)
+    return files
+
+
 def as_view(df: DataFrame, name: str) -> DataFrame:
     """Give an intermediate result a session-wide name for SQL."""
     df.createOrReplaceTempView(name)

@@ -13,6 +13,7 @@ from ..operators import sets as U
 from ..operators import topk as T
 from ..operators import windows as W
 from ..plans import campaign, retail, shop, store
+from ..session import scratch_path
 from .registry import define, query
 from .tables import AS_OF, YEAR, Data
 
@@ -146,6 +147,27 @@ def _(d: Data) -> DataFrame:
     return d.lineitem.groupBy("l_suppkey").agg(F.count_distinct("l_orderkey").alias("orders"), F.count_distinct("l_partkey").alias("parts"))
 
 
+@query(
+    "a02_distinct_sketches",
+    """SELECT 'quarter' AS grain, date_trunc('quarter', o_orderdate)::DATE AS start, count(DISTINCT o_custkey) AS customers, true AS estimate_within_5_percent FROM orders GROUP BY 2
+    UNION ALL SELECT 'year', date_trunc('year', o_orderdate)::DATE, count(DISTINCT o_custkey), true FROM orders GROUP BY 2""",
+)
+def _(d: Data) -> DataFrame:
+    """Three standard errors are 4.9 %; the estimates come from the stored sketches of months."""
+    path = scratch_path(d.spark, "a02")
+    orders = d.orders.select("o_custkey", F.to_date("o_orderdate").alias("day"))
+    A.distinct_sketches(orders, [F.trunc("day", "month").alias("month")], "o_custkey").write.parquet(path)
+    months = d.spark.read.parquet(path)
+    out = None
+    for grain in ("quarter", "year"):
+        exact = orders.groupBy(F.trunc("day", grain).alias("start")).agg(F.count_distinct("o_custkey").alias("customers"))
+        near = A.unite_sketches(months, [F.trunc("month", grain).alias("start")], "estimate")
+        close = F.abs(c("estimate") - c("customers")) <= 0.05 * c("customers")
+        part = exact.join(near, "start").select(F.lit(grain).alias("grain"), "start", "customers", close.alias("estimate_within_5_percent"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query("a03_rfm_base", "SELECT user_id, last_purchase_date, frequency, monetary, recency FROM r_rfm")
 def _(d: Data) -> DataFrame:
     return retail.rfm_base(d.order_times, AS_OF).withColumn("monetary", c("monetary").cast("double"))
@@ -290,6 +312,13 @@ def _(d: Data) -> DataFrame:
     return W.event_sequence(events, "user_id", "ts", ["event_id"], bucket=F.to_date("ts")).drop("ts")
 
 
+@query("w02_crowded_minutes", "SELECT o_orderkey, o_orderstatus, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderdate, o_orderkey) AS seq FROM orders")
+def _(d: Data) -> DataFrame:
+    """Orders of one status and day share a time; buckets of over 20 rows are cut into parts."""
+    orders = d.orders.select("o_orderkey", "o_orderstatus", "o_orderdate")
+    return W.event_sequence(orders, "o_orderstatus", "o_orderdate", ["o_orderkey"], bucket_rows=20).drop("o_orderdate")
+
+
 @query("w03_first_order_flag", "SELECT order_id, is_first_order FROM r_first")
 def _(d: Data) -> DataFrame:
     return retail.first_order_flags(d.order_times, d.r_users)

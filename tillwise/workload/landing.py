@@ -364,6 +364,17 @@ def _(d: Data) -> DataFrame:
     return S.read_csv_raw(d.spark, landed(d, "k08", d.part.select("p_partkey", "p_name")))
 
 
+@query(
+    "k08_exact_files",
+    """SELECT n_rows, count(*) AS files FROM (SELECT count(*) AS n_rows FROM (SELECT (row_number() OVER (ORDER BY o_orderkey) - 1) // 700 AS f FROM orders) GROUP BY f) GROUP BY 1""",
+)
+def _(d: Data) -> DataFrame:
+    path = scratch_path(d.spark, "k08x")
+    K.export_exact(d.orders.select("o_orderkey", "o_custkey").repartition(7), path, "csv", 700)
+    sizes = S.read_csv_raw(d.spark, path).groupBy(F.input_file_name().alias("f")).agg(F.count("*").alias("n_rows"))
+    return sizes.groupBy("n_rows").agg(F.count("*").alias("files"))
+
+
 @query("k10_named_view", "SELECT c_mktsegment, count(*) AS n FROM customer GROUP BY 1")
 def _(d: Data) -> DataFrame:
     K.as_view(d.customer, "tillwise_customers")

@@ -166,6 +166,20 @@ def _(d: Data) -> DataFrame:
     return Q.check_totals(heads, "x", d.lineitem.select(S.money("l_extendedprice").alias("y")), "y", "orders=lines")
 
 
+@query(
+    "q09_where_totals_differ",
+    """SELECT l_orderkey, (t + d)::DOUBLE AS left_total, t::DOUBLE AS right_total, d::DOUBLE AS difference FROM (
+    SELECT l_orderkey, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS t, CASE l_orderkey % 50 WHEN 7 THEN 1.00 WHEN 8 THEN -1.00 ELSE 0.00 END AS d FROM lineitem GROUP BY 1) WHERE d <> 0""",
+)
+def _(d: Data) -> DataFrame:
+    """Order totals, two in fifty of them off by 1.00 up or down, against the lines."""
+    lines = d.lineitem.select("l_orderkey", S.money("l_extendedprice").alias("y"))
+    off = F.expr("CASE l_orderkey % 50 WHEN 7 THEN 1.00BD WHEN 8 THEN -1.00BD ELSE 0.00BD END")
+    heads = lines.groupBy("l_orderkey").agg((F.sum("y") + F.first(off)).alias("x"))
+    found = Q.differing_totals(heads, "x", lines, "y", "l_orderkey")
+    return found.select("l_orderkey", *[F.col(n).cast("double").alias(n) for n in ("left_total", "right_total", "difference")])
+
+
 define(
     q_suite=f"""
 SELECT check_name, passed FROM ({key_sql("orders", "o_orderkey", "orders")})
