@@ -134,12 +134,12 @@ def _(d: Data) -> DataFrame:
 
 @query(
     "p10_filter_by_aggregate",
-    """SELECT store_id, month, CAST(sales_amount AS DOUBLE) AS sales_amount FROM s_monthly WHERE year(month) = 2000 AND store_id IN (
-    SELECT store_id FROM s_yearly WHERE yoy >= 0)""",
+    """SELECT store_id, month, CAST(sales_amount AS DOUBLE) AS sales_amount FROM s_monthly WHERE year(month) = 1997 AND store_id IN (
+    SELECT store_id FROM s_monthly WHERE year(month) = 1997 GROUP BY 1 HAVING sum(yoy_change)::DOUBLE / count(yoy_change) >= -0.10 AND sum(yoy_change)::DOUBLE / count(yoy_change) < 0)""",
 )
 def _(d: Data) -> DataFrame:
-    sales = d.s_monthly.filter(S.in_year("month", 2000))
-    chosen = P.having_entity(sales, "store_id", L.health_class("yoy") == "healthy", {"yoy": A.mean("yoy_change")})
+    sales = d.s_monthly.filter(S.in_year("month", 1997))
+    chosen = P.having_entity(sales, "store_id", L.health_class("yoy") == "caution", {"yoy": A.mean("yoy_change")})
     return chosen.select("store_id", "month", F.col("sales_amount").cast("double").alias("sales_amount"))
 
 

@@ -257,10 +257,10 @@ def _(d: Data) -> DataFrame:
     return joined.groupBy(F.coalesce("primary_channel", F.lit("直接")).alias("channel")).agg(F.count("*").alias("n"))
 
 
-@query("a14_having", "SELECT store_id, yoy FROM s_yearly WHERE yoy > 0.02")
+@query("a14_having", "SELECT store_id, sum(yoy_change)::DOUBLE / count(yoy_change) AS yoy FROM s_monthly WHERE year(month) = 1997 GROUP BY 1 HAVING yoy < -0.02")
 def _(d: Data) -> DataFrame:
-    sales = d.s_monthly.filter(S.in_year("month", YEAR))
-    return sales.groupBy("store_id").agg(A.mean("yoy_change").alias("yoy")).filter(c("yoy") > 0.02)
+    sales = d.s_monthly.filter(S.in_year("month", 1997))
+    return sales.groupBy("store_id").agg(A.mean("yoy_change").alias("yoy")).filter(c("yoy") < -0.02)
 
 
 @query(
