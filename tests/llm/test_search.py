@@ -264,6 +264,48 @@ def test_top_k(spark, big):
     assert topk.top_k(df.filter("vec_id = 500 or vec_id = 550")).count() == 2
 
 
+def test_top_k_prunes_by_length_before_the_shuffle(spark, monkeypatch):
+    """With spread lengths a query meets few chunks; results stay those of brute force."""
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(np.float32(x)) for x in rng.normal(size=4) * 1.02 ** (i % 400)]) for i in range(1200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    plain = topk.reach
+    copies = {}
+
+    def counted(known):
+        def stored(frame, label):
+            kept = keep(frame, label)
+            if label == "topk-asked":
+                copies[known] = sum(r.band + 1 for r in kept.select("band").collect()), kept.count()
+            return kept
+
+        return stored
+
+    keep = topk.stored
+    results = []
+    for name, fn in (("pruned", plain), ("all", lambda cuts: F.lit(len(cuts)))):
+        monkeypatch.setattr(topk, "reach", fn)
+        monkeypatch.setattr(topk, "stored", counted(name))
+        results.append([tuple(r) for r in topk.top_k(df, k=5, every=10, chunk=30).orderBy("query_id", "rank").collect()])
+    assert results[0] == results[1] == brute_top(rows, 5, 10)
+    assert copies["all"][0] == 120 * 40 and copies["pruned"][0] < copies["all"][0] / 2
+
+
+def test_query_parts():
+    rng = np.random.default_rng(2)
+    for _ in range(200):
+        bands, chunk = int(rng.integers(1, 30)), int(rng.integers(1, 50))
+        sizes = {int(b): int(rng.integers(1, 90)) for b in rng.integers(0, bands, size=bands)}
+        firsts, own = topk.query_parts(sizes, bands, chunk)
+        assert len(firsts) == bands + 1 and firsts == sorted(firsts)
+        for band, n in sizes.items():
+            start, parts = own[band]
+            assert start + parts <= firsts[-1] and n <= parts * chunk
+            # every query that reaches a band lies in a part that the band's vectors go to
+            assert all(firsts[b] <= start for b in range(band + 1))
+        assert firsts[-1] <= 2 * sum(sizes.values()) / chunk + 2
+
+
 def shingle_sets(rows, size):
     sets = defaultdict(set)
     for i, t in rows:

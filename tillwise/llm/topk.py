@@ -79,6 +79,40 @@ def scan(queries, ids, vectors, query_ids, floor, rotation, k: int, block: int =
     return rows[0], order[rows[1]], rows[2]
 
 
+def reach(cuts: list[float]) -> Column:
+    """Last band in which a vector can score a query's ``floor``: none of the later ones is long enough.
+
+    ``cuts`` are the largest lengths of bands 1, 2, ...; by Cauchy-Schwarz a score is at
+    most the product of the lengths.  The slack is far above the rounding of both.
+    """
+    may = lambda c: F.col("length") * c * (1 + 1e-9) + 1 >= F.col("floor")
+    return F.size(F.filter(F.array(*map(F.lit, cuts)), may)) if cuts else F.lit(0)
+
+
+def query_parts(sizes: dict[int, int], bands: int, chunk: int) -> tuple[list[int], list[tuple[int, int]]]:
+    """Parts of queries by the last band they reach, those that reach least first.
+
+    Neighbouring bands share parts until they have ``chunk`` queries; more are split by a
+    hash of the id.  Returns for each band the first part that holds a query reaching it,
+    after these the number of parts, and for each band the first part of its own queries
+    and how many there are.
+    """
+    groups, rows = [[]], 0
+    for band in range(bands):
+        if rows and rows + sizes.get(band, 0) > chunk:
+            groups.append([])
+            rows = 0
+        groups[-1].append(band)
+        rows += sizes.get(band, 0)
+    firsts, own, at = [], [], 0
+    for group in groups:
+        n = max(1, math.ceil(sum(sizes.get(b, 0) for b in group) / chunk))
+        firsts += [at] * len(group)
+        own += [(at, n)] * len(group)
+        at += n
+    return [*firsts, at], own
+
+
 def top_k(
     vectors: DataFrame,
     k: int = 5,
@@ -96,8 +130,10 @@ def top_k(
 
     Vectors are cut by descending length into bands, large bands by a hash of the id, so
     a chunk has about ``chunk`` rows even where many vectors are equal.  The longest
-    chunk gives every query a first threshold; then each chunk meets each chunk of
-    queries once, as a pair of groups, and returns at most k rows a query.  The rotation
+    chunk gives every query a first threshold.  With it a query goes only to the leading
+    bands whose longest vector times its own length reaches the threshold
+    (:func:`reach`), and a vector only to the groups of queries that come to its band;
+    each chunk meets each group of queries once and returns at most k rows a query.  The rotation
     comes from the singular vectors of at most ``sample`` rows, chosen by a hash of the
     id; it only decides how early a pair is discarded.
 
@@ -128,9 +164,10 @@ def top_k(
     bases = [sum(splits[:b]) for b in range(len(splits))]
     pick = lambda values: F.element_at(F.array(*map(F.lit, values)), F.col("band") + 1)
     ints = ints.withColumn("chunk", (pick(bases) + F.pmod(F.xxhash64("id"), pick(splits))).cast("int"))
-    asked = stored(ints.filter(F.col("id") % every == 0).groupBy("id").agg(F.min("v").alias("v")), "topk-queries")
-    parts = max(1, math.ceil(asked.count() / chunk))
-    asked = asked.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int"))
+    asked = ints.filter(F.col("id") % every == 0).groupBy("id").agg(F.min("v").alias("v"))
+    asked = stored(asked.withColumn("length", length), "topk-queries")
+    first_parts = max(1, math.ceil(asked.count() / chunk))
+    asked = asked.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(first_parts)).cast("int"))
 
     drawn = ints.select("id", "v").orderBy(F.xxhash64("id"), "id").limit(sample).select("v").collect()
     matrix = _matrix(pa.array([r.v for r in drawn], pa.list_(pa.int64())), dims).astype("float64")
@@ -146,17 +183,22 @@ def top_k(
         a, b, score = scan(queries, ids, vecs, query_ids, np.array(left["floor"], "float64"), rotation.value, k)
         return pa.table({"query_id": query_ids[a], "vec_id": ids[b], "score": score})
 
-    def meet(queries: DataFrame, rows: DataFrame, chunks: list[int]) -> DataFrame:
-        q = queries.withColumn("chunk", F.explode(F.sequence(F.lit(chunks[0]), F.lit(chunks[-1]))))
-        v = rows.select("id", "v", "chunk", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
+    def meet(queries: DataFrame, rows: DataFrame, last_chunk: Column, from_part: Column, parts: int) -> DataFrame:
+        """Queries in the chunks up to their last one, vectors in the parts from their first one."""
+        q = queries.select("id", "v", "floor", "part", F.explode(F.sequence(F.lit(0), last_chunk)).alias("chunk"))
+        v = rows.filter(from_part < parts).select("id", "v", "chunk", F.explode(F.sequence(from_part, F.lit(parts - 1))).alias("part"))
         return q.groupBy("chunk", "part").cogroup(v.groupBy("chunk", "part")).applyInArrow(search, HITS)
 
-    lowest = F.lit(float("-inf"))
-    first = meet(asked.withColumn("floor", lowest), ints.filter("chunk = 0"), [0])
+    zero, lowest = F.lit(0), F.lit(float("-inf"))
+    first = meet(asked.withColumn("floor", lowest), ints.filter("chunk = 0"), zero, zero, first_parts)
     known = first.groupBy("query_id").agg(F.min("score").alias("floor"), F.count("*").alias("n")).filter(F.col("n") >= k)
     known = asked.join(known.withColumnRenamed("query_id", "id"), "id", "left")
-    known = known.select("id", "v", "part", F.coalesce(F.col("floor").cast("double"), lowest).alias("floor"))
-    hits = meet(known, ints, [0, sum(splits) - 1])
+    known = known.select("id", "v", "length", F.coalesce(F.col("floor").cast("double"), lowest).alias("floor"))
+    known = stored(known.withColumn("band", reach(cuts)), "topk-asked")
+    firsts, per_group = query_parts(dict(known.groupBy("band").count().collect()), len(cuts) + 1, chunk)  # BANDS rows at most
+    known = known.withColumn("part", (pick([a for a, _ in per_group]) + F.pmod(F.xxhash64("id"), pick([n for _, n in per_group]))).cast("int"))
+    last = [b + n - 1 for b, n in zip(bases, splits)]
+    hits = meet(known, ints, pick(last), pick(firsts[:-1]), firsts[-1])
     place = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     out = hits.withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= k)
     return out.select("query_id", "rank", "vec_id", "score")
