@@ -230,6 +230,47 @@ def test_shards(make, block, monkeypatch):
     assert sharding.shard_by_curve(make([]).drop("size")).collect() == []
 
 
+def test_clashing_columns_of_shards(make, spark, tmp_path):
+    """Columns named size, shard and slot change neither the dimensions nor the files."""
+    rows = [(i, "x" * (i * 37 % 500), f"s{i % 5}", "en") for i in range(200)]
+    plain = make(rows).drop("size", "shard", "slot")
+    clash = plain.withColumns({"size": F.lit("x"), "shard": F.lit("y"), "slot": F.lit(3)})
+    placed = sharding.shard_by_curve(clash, shards=3)
+    key = lambda r: (r.doc_id, r.slot)
+    assert sorted(placed.collect(), key=key) == sorted(sharding.shard_by_curve(plain, shards=3).collect(), key=key)
+    sharding.write_shards(clash, placed, str(tmp_path / "out"))
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(back.columns) == sorted([*plain.columns, "size", "shard", "slot"])
+    want = sorted((r.doc_id, r.shard, r.slot) for r in placed.collect())
+    assert sorted((r.doc_id, r.shard, r.slot) for r in back.collect()) == want
+    with pytest.raises(ValueError):
+        sharding.shard_by_curve(plain.drop("source"))
+
+
+@pytest.mark.parametrize("names", [10_000, 3])
+def test_long_names_get_levels_of_their_own(make, names, monkeypatch):
+    """Names that begin alike are told apart, and their levels keep their order."""
+    monkeypatch.setattr(sharding, "NAMES", names)
+    sites = sorted(f"https://www.{c * 3}.example/path" for c in "abcdefgh")
+    rows = [(i, "same size", sites[i % 8], "en") for i in range(400)] + [(1000, "same size", None, "en")]
+    base = make(rows).select(sharding.dimension_value(make(rows), "source").alias("d0"), "source")
+    (level,) = sharding.quantised(base, ["d0"], [i / 16 for i in range(1, 16)])
+    got = base.select("source", level.alias("level")).distinct().orderBy("source").collect()
+    levels = [r.level for r in got]
+    if names > 8:
+        assert len(got) == 9 and levels == sorted(levels) and len(set(levels)) >= 8
+    assert levels == sorted(levels)
+    without = make(rows[:-1]).select(sharding.dimension_value(make(rows), "source").alias("d0"))
+    (level,) = sharding.quantised(without, ["d0"], [i / 16 for i in range(1, 16)])
+    assert without.select(level.alias("level")).distinct().count() == 8
+
+
+def test_levels_by_frequency():
+    assert sharding._weighted_cuts([("a", 1), ("b", 8), ("c", 1)], [0.25, 0.5, 0.75]) == ["b", "b", "b"]
+    assert sharding._weighted_cuts([("a", 2), ("b", 2), ("c", 2), ("d", 2)], [0.25, 0.5, 0.75]) == ["a", "b", "c"]
+    assert sharding._weighted_cuts([], [0.5]) == []
+
+
 def test_written_shards(make, spark, tmp_path):
     docs = make([(i, "t" * i) for i in range(50)]).drop("shard", "size")
     sharding.write_shards(docs, sharding.shard_by_curve(docs, shards=3), str(tmp_path / "out"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -19,6 +21,10 @@ SUB_BITS = 10
 #: Rows that one task numbers.
 BLOCK_ROWS = 50_000
 
+#: Most distinct values of a text dimension whose frequencies the driver sees, and how
+#: many characters of a value count for its order.
+NAMES, PREFIX = 10_000, 256
+
 
 def curve_index(levels: np.ndarray, bits: int) -> np.ndarray:
     """Index along the Hilbert curve of points with ``levels`` (dimensions, points) below 2^bits.
@@ -52,12 +58,55 @@ def curve_index(levels: np.ndarray, bits: int) -> np.ndarray:
     return index
 
 
-def ordered_number(df: DataFrame, name: str) -> Column:
-    """A number that keeps the order: itself, or the first seven bytes of a text."""
+def dimension_value(df: DataFrame, name: str) -> Column:
+    """What a dimension is ordered by: a number, else the first characters of the value as text.
+
+    ``size`` is the size computed here, also where the caller has a column of that name.
+    """
+    if name == "size":
+        return F.col("__size").cast("double")
+    if name not in df.columns:
+        raise ValueError(f"there is no column {name} to order by")
     if isinstance(df.schema[name].dataType, NumericType):
         return F.coalesce(F.col(name).cast("double"), F.lit(float("-inf")))
-    start = F.hex(F.substring(F.col(name).cast("string").cast("binary"), F.lit(1), F.lit(7)))
-    return F.coalesce(F.conv(F.rpad(start, 14, "0"), 16, 10).cast("double"), F.lit(-1.0))
+    return F.left(F.coalesce(F.col(name).cast("string"), F.lit("")), F.lit(PREFIX))
+
+
+def quantised(base: DataFrame, names: list[str], shares: list[float]) -> list[Column]:
+    """For each column the number of its quantiles that a value lies above.
+
+    A text column with at most ``NAMES`` distinct values has exact quantiles, from their
+    frequencies.  One with more is ordered by the seven bytes that follow what its
+    smallest and its largest value begin with alike.  Other quantiles are approximate.
+    """
+    cuts: dict[str, list] = {}
+    values = {n: F.col(n) for n in names}
+    for n in names:
+        if isinstance(base.schema[n].dataType, NumericType):
+            continue
+        counts = base.groupBy(n).count()
+        found = sorted(((r[0].encode(), r["count"], r[0]) for r in counts.limit(NAMES + 1).collect()))
+        if len(found) <= NAMES:
+            cuts[n] = _weighted_cuts([(text, count) for _, count, text in found], shares)
+            continue
+        ends = [x.encode() for x in base.agg(F.min(n), F.max(n)).first()]
+        alike = len(os.path.commonprefix(ends))
+        start = F.hex(F.substring(F.col(n).cast("binary"), F.lit(alike + 1), F.lit(7)))
+        values[n] = F.conv(F.rpad(start, 14, "0"), 16, 10).cast("double")
+    asked = [n for n in names if n not in cuts]
+    if asked:
+        cuts.update(base.agg(*(F.percentile_approx(values[n], shares, 10000).alias(n) for n in asked)).first().asDict())
+    return [_below(list(dict.fromkeys(cuts[n] or ())), values[n]) for n in names]
+
+
+def _weighted_cuts(counted: list[tuple[str, int]], shares: list[float]) -> list[str]:
+    """The values at which these shares of all rows are reached, from (value, rows) in order."""
+    total, seen, out = sum(n for _, n in counted), 0, []
+    for value, n in counted:
+        seen += n
+        while len(out) < len(shares) and seen >= shares[len(out)] * total:
+            out.append(value)
+    return out
 
 
 def _below(cuts: list, value: Column) -> Column:
@@ -114,11 +163,11 @@ def shard_by_curve(
 ) -> DataFrame:
     """One row per row of ``docs``: id, size, text_crc32, curve, law, shard, slot, grown_shard.
 
-    Every dimension (a column, or ``size``, the bytes of the text plus 1) is quantised
-    into 2^bits levels of about equal frequency that keep its order; the levels' place on
-    a Hilbert curve is the row's cell, of copies of a text the first of theirs.  Rows are
-    ordered by cell, then by hashes of the
-    text and of the id, and cut into ``shards`` runs of equal bytes (law ``bytes``).  A cut
+    Every dimension (a column, or ``size``, always the bytes of the text plus 1) is quantised
+    into 2^bits levels of about equal frequency that keep its order; a dimension that
+    ``docs`` lacks raises ValueError.  The levels' place on a Hilbert curve is the row's
+    cell, of copies of a text the first of theirs.  Rows are ordered by cell, then by
+    hashes of the text and of the id, and cut into ``shards`` runs of equal bytes (law ``bytes``).  A cut
     lies at the border of a cell or between texts, so equal texts stay together, unless
     that is more than ``slack`` of a shard off; then it lies between ids.  A run covers
     few levels of every dimension, so files written by shard and slot can be pruned.
@@ -134,7 +183,7 @@ def shard_by_curve(
     """
     text = text_or_empty(text_col)
     sized = docs.withColumn("__size", (F.octet_length(text) + 1).cast("long"))
-    numbers = [F.col("__size").cast("double") if d == "size" and d not in docs.columns else ordered_number(docs, d) for d in dimensions]
+    numbers = [dimension_value(docs, d) for d in dimensions]
     low = 1 << SUB_BITS
     base = sized.select(
         F.col(id_col).alias("id"),
@@ -145,8 +194,7 @@ def shard_by_curve(
     )
     base = stored(base, "shard-rows")
     shares = [i / (1 << bits) for i in range(1, 1 << bits)]
-    quantiles = base.agg(*(F.percentile_approx(f"d{i}", shares, 10000).alias(f"d{i}") for i in range(len(numbers)))).first()
-    levels = [_below(sorted(set(cuts or ())), F.col(f"d{i}")) for i, cuts in enumerate(quantiles)]
+    levels = quantised(base, [f"d{i}" for i in range(len(numbers))], shares)
 
     @F.pandas_udf("long")
     def curve(*series: pd.Series) -> pd.Series:
@@ -184,6 +232,9 @@ def shard_by_curve(
 
 
 def write_shards(docs: DataFrame, placed: DataFrame, path: str, id_col: str = "doc_id") -> None:
-    """Write each shard as files ordered by slot; ids are unique."""
-    rows = docs.join(placed.select(id_col, "shard", "slot"), id_col)
+    """Write each shard as files ordered by slot; ids are unique.
+
+    Columns ``shard`` and ``slot`` of ``docs`` give way to those of ``placed``.
+    """
+    rows = docs.drop("shard", "slot").join(placed.select(id_col, "shard", "slot"), id_col)
     rows.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
