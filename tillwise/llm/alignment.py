@@ -5,9 +5,9 @@ from __future__ import annotations
 import functools
 import hashlib
 import os
-from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -88,10 +88,12 @@ def links(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Aligner:
-    """Texts to the ids and ends of both tokenizers, with the ids of frequent chunks kept.
+    """Texts to the codes of both tokenizers' tokens, with those of frequent chunks kept.
 
     Both begin a token at a single space between two characters that are no white space,
-    so a text is cut there and the libraries see each chunk once.
+    so a text has a common end before it.  It is cut there first, and the libraries and
+    :func:`groups` see each chunk once.  A code is twice the id, plus one where the token
+    is the last of its side in a group.
     """
 
     def __init__(self, vocabulary_a: str, vocabulary_b: str, remembered: int):
@@ -118,13 +120,36 @@ class Aligner:
         self.known = bpe.Recent(lambda chunk: self.encode([chunk])[0], limit=remembered // 8)
 
     def encode(self, chunks: list[str]) -> list[tuple[bytes, bytes]]:
-        """Ids of chunks that each begin with a space, which the library of B adds itself."""
-        left = self.a.encode_batch_fast(chunks, add_special_tokens=False)
+        """Codes of chunks that each begin with a space, which the library of B adds itself.
+
+        Where the sides of a chunk have different lengths, all tokens of A and none of B are
+        marked, so a text has as many marks of A as of B only if no such chunk is in it.
+        """
+        left = [e.ids for e in self.a.encode_batch_fast(chunks, add_special_tokens=False)]
         right = self.b.encode([c[1:] for c in chunks], num_threads=1)
-        return [(array("I", e.ids).tobytes(), array("I", ids).tobytes()) for e, ids in zip(left, right)]
+        flat, upto, spans = [], [], []
+        for ids, size in ((left, self.size_a), (right, self.size_b)):
+            upto.append(np.concatenate([[0], np.cumsum([len(x) for x in ids], dtype="int64")]))
+            flat.append(np.fromiter(chain.from_iterable(ids), "int64", int(upto[-1][-1])))
+            spans.append(np.diff(np.concatenate([[0], np.cumsum(size[flat[-1]])])[upto[-1]]))
+        even = spans[0] == spans[1]
+        # chunks one after another are cut like one text, as each ends where both sides end
+        kept = [np.repeat(even, np.diff(u)) for u in upto]
+        ends = [np.cumsum(size[x[k]]).tolist() for size, x, k in zip((self.size_a, self.size_b), flat, kept)]
+        packed = []
+        for side, (x, k, last) in enumerate(zip(flat, kept, groups(*ends))):
+            inside = np.zeros(int(k.sum()), "int64")
+            inside[last] = 1
+            marks = np.full(len(x), 1 - side)
+            marks[k] = inside
+            packed.append((2 * x + marks).astype("<u4").tobytes())
+        cuts = [(4 * u).tolist() for u in upto]
+        return [
+            (packed[0][a:b], packed[1][c:d]) for a, b, c, d in zip(cuts[0], cuts[0][1:], cuts[1], cuts[1][1:])
+        ]
 
     def __call__(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """A ids and B ids of every text."""
+        """Codes of A and of B of every text."""
         cut = [t.split(" ") if t else [] for t in texts]
         every, bound, new = list(set().union(*cut)), set(), []
         found = list(map(self.lone.get, every))
@@ -162,6 +187,13 @@ class Aligner:
         a, b, size = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b]), 1 + len(text.encode())
         return (a, b) if a[-1] == b[-1] == size else None
 
+    def grouped(self, codes: np.ndarray, other: np.ndarray, ends: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Last A token and last B token of every group of a text."""
+        last = np.flatnonzero(codes & 1), np.flatnonzero(other & 1)
+        if len(last[0]) == len(last[1]):
+            return last
+        return tuple(map(np.array, groups(ends[0].tolist(), ends[1].tolist())))
+
     def spelled(self, a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> bytes:
         """Groups as text: ids of a side by ``,``, the sides by ``|``, groups by ``;``."""
         ends_a, ends_b = np.zeros(len(a), "int64"), np.zeros(len(b), "int64")
@@ -270,13 +302,14 @@ def align(
                 kinds = pa.schema([pa.field(c.split()[0], t) for c, t in zip(schema.split(", "), wide)])
             for part in bpe.some(batch):
                 texts = part.column(1).to_pylist()
-                for name, text, (a, b) in zip(part.column(0).to_pylist(), texts, of(texts)):
+                for name, text, codes in zip(part.column(0).to_pylist(), texts, of(texts)):
+                    a, b = codes[0] >> 1, codes[1] >> 1
                     ends = of.ends(text, a, b)
                     if ends is None:
                         none = np.empty(0, "int64")
                         block.add((name, 0, 0, 0, 0, ""), none, none)
                     else:
-                        last_a, last_b = map(np.array, groups(ends[0].tolist(), ends[1].tolist()))
+                        last_a, last_b = of.grouped(*codes, ends)
                         left, right = links(*ends)
                         sha = hashlib.sha256(of.spelled(a, b, last_a, last_b)).hexdigest()
                         keys, times = np.unique(a[left] << 32 | b[right], return_counts=True)
