@@ -31,12 +31,16 @@ class TextModel:
     n: int
 
 
-def word_grams(text: Column, n: int, buckets: int) -> Column:
-    """Distinct buckets of the runs of 1 to ``n`` words of a whole text, NULL counting as empty.
+def words_of(text: Column) -> Column:
+    """Runs of letters and digits of a whole text, lower-cased; NULL counts as empty."""
+    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
-    Words are runs of letters and digits, lower-cased.
+
+def word_grams(words: Column, n: int, buckets: int) -> Column:
+    """Distinct buckets of the runs of 1 to ``n`` words.
+
+    ``words`` must be a column, not an expression, which would be computed for each run.
     """
-    words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
     def runs(k: int) -> Column:
         starts = F.when(F.size(words) >= k, F.sequence(F.lit(1), F.size(words) - (k - 1))).otherwise(F.array().cast("array<int>"))
@@ -61,7 +65,8 @@ def train(df: DataFrame, text: str, label: str, n: int = 2, buckets: int = 1 <<
     labels = tuple(sorted(r["label"] for r in sizes))
     prior = {r["label"]: r["count"] for r in sizes}
     place = {v: i for i, v in enumerate(labels)}
-    grams = rows.select(F.col(label).alias("label"), F.explode(word_grams(F.col(text), n, buckets)).alias("bucket"))
+    split = rows.select(F.col(label).alias("label"), words_of(F.col(text)).alias("__words"))
+    grams = split.select("label", F.explode(word_grams(F.col("__words"), n, buckets)).alias("bucket"))
     found = grams.groupBy("label", "bucket").agg(F.count("*").alias("n")).toArrow()
     counts = np.zeros((len(labels), buckets))
     at = np.array([place[v] for v in found["label"].to_pylist()], dtype="int64")
@@ -93,7 +98,8 @@ def classify(df: DataFrame, key: Sequence[str], text: str, model: TextModel, lab
         chosen["probability"] = likely[best, np.arange(len(batch))] / likely.sum(0)
         return chosen
 
-    hashed = df.select(*key, word_grams(F.col(text), model.n, model.weights.shape[1]).alias("__grams"))
+    split = df.select(*key, words_of(F.col(text)).alias("__words"))
+    hashed = split.select(*key, word_grams(F.col("__words"), model.n, model.weights.shape[1]).alias("__grams"))
     types = dict(df.dtypes)
     schema = ", ".join([*(f"`{k}` {types[k]}" for k in key), f"`{out}` {label_type}", "probability double"])
     return infer_batches(hashed, score, schema, [*key, "__grams"])
