@@ -13,6 +13,15 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p))
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder, in order; none where it does not exist."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not exists(spark, path):
+        return []
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)
+    return sorted(f.getPath().getName() for f in found if f.isDirectory())
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder and what it holds."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
