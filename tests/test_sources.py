@@ -1,4 +1,5 @@
 import datetime as dt
+import gzip
 import json
 import os
 
@@ -39,6 +40,43 @@ def test_csv_by_name_with_other_order(spark, landing):
     assert rows(df) == [("1", "10.5", None), ("2", "20", "0.1")]
 
 
+def bytes_read(spark):
+    every = spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics()
+    return sum(s.getBytesRead() for s in every if s.getScheme() == "file")
+
+
+def test_headers_cost_first_blocks_and_rows_one_read(spark, landing):
+    line = "12345,some words of a longer line to fill the file with,9\n"
+    path = landing("in/large.csv", "id,words,n")
+    with open(path, "a") as f:
+        f.write(line * 800_000)
+    landing("in/other.csv", "", "   ", "n,id", "1,2")
+    size = os.path.getsize(path)
+    before = bytes_read(spark)
+    assert set(S.csv_headers(spark, f"{landing.base}/in")) == {"id,words,n", "n,id"}
+    assert bytes_read(spark) - before < size / 10
+    before = bytes_read(spark)
+    n = I.ingest_files(spark, f"{landing.base}/in", f"{landing.base}/table", f"{landing.base}/cp", infer=False)
+    assert n == 800_001
+    # rows once, headers of the batch and of the folder
+    assert bytes_read(spark) - before < 1.3 * size
+
+
+def test_headers_of_odd_files(spark, landing):
+    landing("in/bom.csv", "\ufeffid,n", "1,2")
+    landing("in/empty.csv")
+    with open(f"{landing.base}/in/latin.csv", "wb") as f:
+        f.write("id,größe\n1,2\n".encode("latin-1"))
+    with gzip.open(f"{landing.base}/in/packed.csv.gz", "wt") as f:
+        f.write("n,id\n" + "2,1\n" * 10)
+    landing("in/has space.csv", "n", "1")
+    heads = S.csv_headers(spark, f"{landing.base}/in")
+    got = {file.split("/")[-1]: header for header, files in heads.items() for file in files}
+    assert got.pop("empty.csv", None) is None
+    assert S.read_csv_by_name(spark, f"{landing.base}/in").count() == 13
+    assert got == {"bom.csv": "id,n", "latin.csv": "id,gr\ufffd\ufffde", "packed.csv.gz": "n,id", "has space.csv": "n"}
+
+
 def test_inferred_types(spark, landing):
     landing("in/a.csv", "store_id,location,latitude,opened,at,ok,big", '1,"Montreal, QC",45.5,2020-01-02,2020-01-02 10:00:00,true,3000000000')
     landing("in/b.csv", "store_id,location,latitude,opened,at,ok,big", "2,Laval,,2021-01-02,2021-01-02 10:00:00,false,4")

@@ -1,10 +1,16 @@
 import math
+import os
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from tillwise.operators import text_model as M
 
+SF = os.environ.get("TEST_MODEL_DIR", "/root/testdata/sf0.01")
+#: share of held-out labels that is to be met
+LEAST = 0.8
+
 TEXTS = [
     ("refund please, the lamp is broken", "return"), ("broken lamp: refund!", "return"), ("send it back, refund", "return"),
     ("when does the shop open", "hours"), ("open on sunday? when", "hours"), (None, "hours"), ("the the the", None),
@@ -45,3 +51,20 @@ def test_model_against_brute_force(spark, n):
 def test_model_needs_labels(spark):
     with pytest.raises(ValueError):
         M.train(spark.createDataFrame([("x", None)], "text string, label string"), "text", "label")
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_held_out_labels(spark):
+    """Each fifth of the labels is foretold by a model of the other four."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id")
+    fold = F.pmod(F.xxhash64("doc_id"), F.lit(5))
+    found = {}
+    for k in range(5):
+        model = M.train(docs.filter(fold != k), "text", "quality")
+        told = M.classify(docs.filter(fold == k), ["doc_id"], "text", model, "int", "told")
+        found.update({r["doc_id"]: r["told"] for r in told.collect()})
+    true = {r["doc_id"]: r["quality"] for r in docs.select("doc_id", "quality").collect()}
+    assert found.keys() == true.keys()
+    right = sum(found[i] == v for i, v in true.items()) / len(true)
+    usual = max(Counter(true.values()).values()) / len(true)
+    assert right > LEAST and right > usual

@@ -10,6 +10,8 @@ from tillwise import workload
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+#: tested elsewhere: hashed n-grams (tests/test_text_model.py)
+NO_SQL = {"e05_text_model"}
 QUERIES, SQL = workload.all_queries(), workload.all_sql()
 
 
@@ -25,6 +27,9 @@ def test_query(spark, con, name):
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
     assert "BatchEvalPython" not in plan
+    if name in NO_SQL:
+        assert df.count() > 0
+        return
     msg = compare(df, con, SQL[name])
     assert msg is None, msg
 
@@ -33,7 +38,7 @@ def test_names():
     assert set(SQL) <= set(QUERIES)
     assert set(QUERIES) <= set(entry.queries())
     assert set(SQL) <= set(entry.oracle_sql())
-    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) - set(SQL) == NO_SQL
 
 
 def test_entry(spark):

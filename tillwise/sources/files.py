@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .paths import first_line
+
 RESCUED = "_rescued_data"
 CORRUPT = "_corrupt_record"
 
@@ -46,18 +49,21 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).option("multiLine", False).json(path)
 
 
-def csv_headers(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Rows (file, header): the first line that is not blank of every file below ``path``.
+def csv_headers(spark: SparkSession, path: str | Sequence[str], threads: int = 32) -> dict[str, list[str]]:
+    """Files below ``path`` by their first line that is not blank; a file without one is left out.
 
-    Spark reads the files, compressed ones too; a file gives one row per task.
+    Each file is opened once, compressed ones too, and read to that line, so it costs a
+    block and not its length.  A Spark task would read its whole split.  The names are
+    those that Spark's own listing of the folder holds on the driver.
     """
-    lines = spark.read.option("recursiveFileLookup", True).text(path)
-    lines = lines.select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
-        F.monotonically_increasing_id().alias("n"), F.ltrim(F.col("value"), F.lit("\ufeff")).alias("line"),
-    )
-    first = lines.filter((F.col("at") == 0) & (F.trim("line") != "")).groupBy("file")
-    return first.agg(F.min_by("line", "n").alias("header"))
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
+    files = [r["path"] for r in listed.collect()]
+    groups: dict[str, list[str]] = {}
+    with ThreadPoolExecutor(threads) as pool:
+        for file, header in zip(files, pool.map(lambda f: first_line(spark, f), files)):
+            if header is not None:
+                groups.setdefault(header, []).append(file)
+    return groups
 
 
 def header_names(header: str) -> tuple[str, ...]:
@@ -70,21 +76,17 @@ def read_csv_by_name(
     """CSV files with differing headers, matched by column name, all text.
 
     Each group of files with one header is read with that header; a column a group
-    lacks is NULL for it.  ``_source_file`` holds each row's file and ``_corrupt_record``
+    lacks is NULL for it.  Headers come from the first lines, so the rows are read once,
+    when the result is used.  ``_source_file`` holds each row's file and ``_corrupt_record``
     the whole line where it has more or fewer fields than the header.  ``columns`` fixes
-    the result's columns and their order, those two after them.  The distinct headers
-    come to the driver, file names only where there are several.
+    the result's columns and their order, those two after them.
     """
-    heads = csv_headers(spark, path)
-    headers = [r["header"] for r in heads.select("header").distinct().collect()]
     groups: dict[tuple[str, ...], list[str]] = {}
-    for header in headers:
-        groups.setdefault(header_names(header), []).append(header)
+    for header, found in csv_headers(spark, path).items():
+        groups.setdefault(header_names(header), []).extend(found)
     out: DataFrame | None = None
-    for names, same in sorted(groups.items()):
-        files = path
-        if len(groups) > 1:
-            files = [r["file"] for r in heads.filter(F.col("header").isin(same)).select("file").collect()]
+    for names, found in sorted(groups.items()):
+        files = found if len(groups) > 1 else path
         part = csv_text(spark.read, names).option("recursiveFileLookup", True).csv(files)
         part = part.withColumn("_source_file", F.col("_metadata.file_path"))
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)

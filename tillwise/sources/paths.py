@@ -22,6 +22,25 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(f.getPath().getName() for f in found if f.isDirectory())
 
 
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line of a text file, compressed or not, that holds more than blanks; no byte order mark."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    stream = p.getFileSystem(conf).open(p)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(p)
+    if codec is not None:
+        stream = codec.createInputStream(stream)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+    try:
+        while (line := reader.readLine()) is not None:
+            line = line.lstrip("\ufeff")
+            if line.strip(" "):
+                return line
+        return None
+    finally:
+        reader.close()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder and what it holds."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)

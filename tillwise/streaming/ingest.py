@@ -56,8 +56,7 @@ def stream_csv(spark: SparkSession, path: str, schema_dir: str, max_files: int |
     """
     schema = load_schema(spark, schema_dir)
     if schema is None:
-        layouts = csv_headers(spark, path).select("header").distinct().limit(2).collect()
-        if len({header_names(r["header"]) for r in layouts}) != 1:
+        if len({header_names(h) for h in csv_headers(spark, path)}) != 1:
             raise ValueError(f"{path} holds files of more than one layout")
         raw = read_csv_by_name(spark, path).drop("_source_file", CORRUPT)
         schema = _ddl_schema(infer_types(raw))

@@ -10,6 +10,7 @@ from ..functions import scalar as S
 from ..operators import cdc as C
 from ..operators import quality as Q
 from ..operators import text as X
+from ..operators import text_model
 from ..operators.skew import skew_safe_join
 from ..plans import retail, shop
 from .registry import define, query
@@ -323,6 +324,14 @@ def _(d: Data) -> DataFrame:
     return X.infer_batches(d.documents, toy, "doc_id bigint, n_chars bigint, is_long boolean", ["doc_id", "text"])
 
 
+@query("e05_text_model")
+def _(d: Data) -> DataFrame:
+    """Every document's quality by a model of all labels; hashed n-grams have no SQL, tests hold labels out."""
+    labelled = d.documents.join(d.labels, "doc_id")
+    model = text_model.train(labelled, "text", "quality", n=2, buckets=1 << 18)
+    return text_model.classify(d.documents, ["doc_id"], "text", model, "int", "quality")
+
+
 @query(
     "e06_side_by_side",
     "SELECT call_id, inquiry_type, purpose, trouble_type, urgency_level, left(transcript, 150) AS transcript_preview FROM c_calls",
