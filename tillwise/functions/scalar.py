@@ -116,6 +116,11 @@ def percent(col: Col, digits: int = 2) -> Column:
     return F.round(_c(col).cast("double") * F.lit(100.0), digits)
 
 
+def percent_exact(col: Col, digits: int = 2) -> Column:
+    """Percentage rounded half up in the type of ``col``, so that a decimal 0.33995 is 34.00 %."""
+    return F.round(_c(col) * F.lit(100), digits).cast("double")
+
+
 def money(col: Col, scale: int = 2) -> Column:
     """Exact type for summing amounts: the result does not depend on row order."""
     return _c(col).cast(f"decimal(18,{scale})")

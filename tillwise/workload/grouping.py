@@ -121,7 +121,7 @@ def _(d: Data) -> DataFrame:
     return J.vs_group(per.select("l_suppkey", "p_type", c("exact").cast("double").alias("sales")), ["p_type"], "sales", mean, "mean_sales")
 
 
-@query("j12_similar_entities", "SELECT store_id, similar_store_id, store_name, prefecture, similarity_rank, similarity_score, yoy_pct, sales_man FROM s_peers")
+@query("j12_similar_entities", "SELECT store_id, similar_store_id, store_name, prefecture, city, similarity_rank, similarity_score, yoy_pct, sales_man FROM s_peers")
 def _(d: Data) -> DataFrame:
     return store.similar_kpis(d.s_similar, d.s_stores, d.s_monthly, YEAR)
 
@@ -416,7 +416,7 @@ def _(d: Data) -> DataFrame:
 
 define(
     s_ranked="""
-SELECT s.store_id, s.store_name, s.prefecture, round(y.yoy * 100, 1) AS yoy_pct, round(y.sales / 10000, 0) AS sales_man
+SELECT s.store_id, s.store_name, s.prefecture, s.city, y.yoy_pct1 AS yoy_pct, round(y.sales / 10000, 0) AS sales_man, s.latitude, s.longitude
 FROM s_stores s JOIN s_yearly y ON s.store_id = y.store_id""",
     s_ranking="""
 SELECT * FROM (

@@ -338,17 +338,17 @@ def _(d: Data) -> DataFrame:
 
 @query(
     "b24_store_kpis",
-    """SELECT s.store_id, s.store_name, s.prefecture, round(y.yoy * 100, 2) AS avg_yoy_pct, round(y.sales / 10000, 0) AS annual_sales_man, round(y.customers, 0) AS avg_monthly_customers, round(y.basket, 0) AS avg_basket
+    """SELECT s.store_id, s.store_name, s.prefecture, s.city, s.size_sqm, s.store_type, s.parking_capacity, y.yoy_pct2 AS avg_yoy_pct, round(y.sales / 10000, 0) AS annual_sales_man, round(y.customers, 0) AS avg_monthly_customers, round(y.basket, 0) AS avg_basket
     FROM s_stores s JOIN s_yearly y ON s.store_id = y.store_id""",
 )
 def _(d: Data) -> DataFrame:
-    return store.store_kpis(d.s_stores, d.s_monthly, YEAR)
+    return store.store_kpis(d.s_stores, d.s_monthly, YEAR, [*store.STORE_COLS, "size_sqm", "store_type", "parking_capacity"])
 
 
 @query(
     "b24_store_list",
-    """SELECT s.store_id, s.store_name, s.prefecture, round(y.yoy, 3) AS yoy_change, round(y.sales / 10000, 0) AS sales_amount,
-    CASE WHEN round(y.yoy, 3) >= 0 THEN 'good' WHEN round(y.yoy, 3) > -0.10 THEN 'normal' WHEN round(y.yoy, 3) > -0.15 THEN 'warning' ELSE 'critical' END AS alert_level
+    """SELECT s.store_id, s.store_name, s.prefecture, s.city, y.yoy3 AS yoy_change, round(y.sales / 10000, 0) AS sales_amount,
+    CASE WHEN coalesce(y.yoy3, 0) >= 0 THEN 'good' WHEN y.yoy3 > -0.10::DOUBLE THEN 'normal' WHEN y.yoy3 > -0.15::DOUBLE THEN 'warning' ELSE 'critical' END AS alert_level
     FROM s_stores s JOIN s_yearly y ON s.store_id = y.store_id""",
 )
 def _(d: Data) -> DataFrame:
@@ -394,10 +394,26 @@ def _(d: Data) -> DataFrame:
 @query(
     "b27_demographics",
     """SELECT c_custkey AS store_id, CAST(50000 + c_custkey % 1000 * 100 AS BIGINT) AS population_5km, CAST(20000 + c_custkey % 700 * 30 AS BIGINT) AS households, c_acctbal AS avg_income,
-    (c_custkey % 40) / 100.0::DOUBLE AS elderly_rate, (c_custkey % 30) / 100.0::DOUBLE AS young_adult_rate FROM customer""",
+    (c_custkey % 40) / 100.0::DOUBLE AS elderly_rate, (c_custkey % 30) / 100.0::DOUBLE AS young_adult_rate,
+    (c_custkey % 80) / 100.0::DOUBLE AS detached_house_rate, (c_custkey % 150) / 100.0::DOUBLE AS day_night_ratio, c_custkey % 5000 AS num_businesses FROM customer""",
 )
 def _(d: Data) -> DataFrame:
-    return d.s_trade_area
+    return store.demographics_of(d.s_trade_area)
+
+
+define(
+    s_spending="SELECT c_custkey AS store_id, "
+    + ", ".join(f"CAST(floor(abs(c_acctbal)) AS BIGINT) * 1000 // {k} AS {name}" for k, name in enumerate(store.SPENDING, 1))
+    + " FROM customer",
+    s_spending_groups="""
+SELECT *, expenditure_total // 10000 AS total_man, (garden_plants + garden_supplies) // 10000 AS garden_man, (pet_food + pet_supplies) // 10000 AS pet_man,
+  housing_repair_total // 10000 AS repair_man, construction_services // 10000 AS construction_man FROM s_spending""",
+)
+
+
+@query("b27_expenditure", "SELECT * FROM s_spending_groups")
+def _(d: Data) -> DataFrame:
+    return store.spending_of(d.s_spending)
 
 
 @query("b27_competitors", "SELECT store_id, competitor_name, distance_km, size_sqm, open_year, is_new_entry FROM s_competitors")
@@ -408,14 +424,14 @@ def _(d: Data) -> DataFrame:
 FACILITY_SQL = "CASE facility_type WHEN '駅' THEN 'station' WHEN '学校' THEN 'school' WHEN '公園' THEN 'park' WHEN 'コンビニ' THEN 'convenience' ELSE 'other' END"
 
 
-@query("b27_facilities", f"SELECT store_id, {FACILITY_SQL} AS facility_type, facility_type AS type_label, facility_name, distance_km, traffic_impact FROM s_facilities")
+@query("b27_facilities", f"SELECT store_id, {FACILITY_SQL} AS facility_type, facility_type AS type_label, facility_name, distance_km, traffic_impact, opening_hours FROM s_facilities")
 def _(d: Data) -> DataFrame:
     return store.facilities_of(d.s_facilities)
 
 
 @query(
     "b27_nearest_facilities",
-    f"""SELECT store_id, {FACILITY_SQL} AS facility_type, facility_type AS type_label, facility_name, distance_km, traffic_impact, CAST(rn AS INT) AS rank FROM (
+    f"""SELECT store_id, {FACILITY_SQL} AS facility_type, facility_type AS type_label, facility_name, distance_km, traffic_impact, opening_hours, CAST(rn AS INT) AS rank FROM (
     SELECT *, row_number() OVER (PARTITION BY store_id ORDER BY distance_km, facility_name) AS rn FROM s_facilities) WHERE rn <= 10""",
 )
 def _(d: Data) -> DataFrame:
@@ -424,7 +440,7 @@ def _(d: Data) -> DataFrame:
 
 @query(
     "b27_measures",
-    "SELECT store_id, measure_id, measure_type, status, start_date, coalesce(replace(related_categories, ',', '|'), '') AS related_categories FROM s_measures",
+    "SELECT store_id, measure_id, measure_type, status, start_date, coalesce(replace(related_categories, ',', '|'), '') AS related_categories, description, expected_effect, actual_effect, end_date, investment_amount FROM s_measures",
 )
 def _(d: Data) -> DataFrame:
     return store.measures_of(d.s_measures).withColumn("related_categories", F.array_join("related_categories", "|"))
@@ -480,6 +496,11 @@ def _(d: Data) -> DataFrame:
     return store.health_distribution(d.s_monthly, YEAR)
 
 
+@query("b31_all_stores", "SELECT s.store_id, s.store_name, s.prefecture, s.city, y.yoy_pct1 AS yoy_pct, round(y.sales / 10000, 0) AS sales_man, s.latitude, s.longitude FROM s_stores s JOIN s_yearly y ON s.store_id = y.store_id")
+def _(d: Data) -> DataFrame:
+    return store.all_stores(d.s_stores, d.s_monthly, YEAR)
+
+
 @query("b31_store_ranking", "SELECT * FROM s_ranking")
 def _(d: Data) -> DataFrame:
     return store.store_ranking(d.s_stores, d.s_monthly, YEAR)
@@ -519,19 +540,34 @@ FROM (SELECT *, row_number() OVER (PARTITION BY store_id ORDER BY similarity_ran
     s_sheet_bench="""
 SELECT store_id, string_agg(category_name, '|' ORDER BY rn) AS bench
 FROM (SELECT *, row_number() OVER (PARTITION BY store_id ORDER BY gap DESC, category_name) AS rn FROM s_benchmark) WHERE rn <= 5 GROUP BY store_id""",
+    s_sheet_share="""
+SELECT store_id, round(own / total * 100, 1) AS own_share FROM (
+  SELECT store_id, sum(attr) AS total, sum(attr) FILTER (WHERE own) AS own FROM (
+    SELECT store_id, true AS own, size_sqm::DOUBLE AS attr FROM s_stores UNION ALL
+    SELECT store_id, false, CASE WHEN distance_km = 0 THEN size_sqm::DOUBLE ELSE size_sqm::DOUBLE / power(distance_km, 2) END FROM s_competitors) GROUP BY store_id)""",
+    s_sheet_facilities="""
+SELECT store_id, string_agg(facility_name, '|' ORDER BY rn) AS facilities
+FROM (SELECT *, row_number() OVER (PARTITION BY store_id ORDER BY traffic_impact DESC NULLS LAST, facility_name) AS rn FROM s_facilities) WHERE rn <= 5 GROUP BY store_id""",
+    s_sheet_measures="""
+SELECT store_id, string_agg(description, '|' ORDER BY rn) AS measures, count(actual_effect) AS measured
+FROM (SELECT *, row_number() OVER (PARTITION BY store_id ORDER BY start_date DESC NULLS LAST, measure_type, description) AS rn FROM s_measures) WHERE rn <= 5 GROUP BY store_id""",
 )
 
 
 @query(
     "b33_fact_sheet",
-    """SELECT s.store_id, round(y.yoy * 100, 2) AS avg_yoy_pct, coalesce(g.worst, '') AS worst, coalesce(g.best, '') AS best, coalesce(n.near, '') AS near, coalesce(n.competitors, 0) AS competitors,
+    """SELECT s.store_id, y.yoy_pct2 AS avg_yoy_pct, h.garden_man, h.construction_man, w.own_share, coalesce(f.facilities, '') AS facilities, coalesce(t.measures, '') AS measures, coalesce(t.measured, 0) AS measured, coalesce(g.worst, '') AS worst, coalesce(g.best, '') AS best, coalesce(n.near, '') AS near, coalesce(n.competitors, 0) AS competitors,
     coalesce(n.new_competitors, 0) AS new_competitors, coalesce(p.growing, '') AS growing, coalesce(b.bench, '') AS bench FROM s_stores s JOIN s_yearly y ON s.store_id = y.store_id
-    LEFT JOIN s_sheet_gaps g ON s.store_id = g.store_id LEFT JOIN s_sheet_near n ON s.store_id = n.store_id LEFT JOIN s_sheet_peers p ON s.store_id = p.store_id LEFT JOIN s_sheet_bench b ON s.store_id = b.store_id""",
+    LEFT JOIN s_sheet_gaps g ON s.store_id = g.store_id LEFT JOIN s_sheet_near n ON s.store_id = n.store_id LEFT JOIN s_sheet_peers p ON s.store_id = p.store_id LEFT JOIN s_sheet_bench b ON s.store_id = b.store_id
+    LEFT JOIN s_spending_groups h ON s.store_id = h.store_id LEFT JOIN s_sheet_share w ON s.store_id = w.store_id LEFT JOIN s_sheet_facilities f ON s.store_id = f.store_id LEFT JOIN s_sheet_measures t ON s.store_id = t.store_id""",
 )
 def _(d: Data) -> DataFrame:
     per_store, near = yearly_categories(d), peers(d)
     kpis = store.store_kpis(d.s_stores, d.s_monthly, YEAR).select("store_id", "avg_yoy_pct")
-    sheet = store.fact_sheet(kpis, store.category_gaps(per_store), d.s_competitors, near, store.benchmark_gaps(per_store, near))
+    sheet = store.fact_sheet(
+        kpis, store.category_gaps(per_store), d.s_competitors, near, store.benchmark_gaps(per_store, near),
+        store.spending_of(d.s_spending), store.huff_share(d.s_stores, d.s_competitors), store.facilities_of(d.s_facilities), store.measures_of(d.s_measures),
+    )
 
     def names(col: str, field: str):
         return F.coalesce(F.array_join(c(f"{col}.{field}").cast("array<string>"), "|"), F.lit(""))
@@ -540,6 +576,9 @@ def _(d: Data) -> DataFrame:
         "store_id", "avg_yoy_pct", names("worst_categories", "category_name").alias("worst"), names("best_categories", "category_name").alias("best"),
         names("near_competitors", "competitor_name").alias("near"), "competitors", "new_competitors",
         names("growing_peers", "similar_store_id").alias("growing"), names("benchmark_gaps", "category_name").alias("bench"),
+        "household_spending.garden_man", "household_spending.construction_man", "own_share", names("facilities", "facility_name").alias("facilities"),
+        names("measures", "description").alias("measures"),
+        F.coalesce(F.size(F.filter("measures.actual_effect", lambda x: x.isNotNull())), F.lit(0)).cast("bigint").alias("measured"),
     )
 
 

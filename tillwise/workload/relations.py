@@ -202,7 +202,9 @@ LEFT JOIN (
   JOIN (SELECT customer_id, next_intent AS v, row_number() OVER (PARTITION BY customer_id ORDER BY call_date DESC, call_id DESC) AS rn FROM c_calls) l ON y.customer_id = l.customer_id AND l.rn = 1
 ) k ON c.customer_id = k.customer_id""",
     s_stores="""
-SELECT s_suppkey AS store_id, s_name AS store_name, n_name AS prefecture, CAST(500 + (s_suppkey % 40) * 50 AS INT) AS size_sqm
+SELECT s_suppkey AS store_id, s_name AS store_name, n_name AS prefecture, n_name || '-' || (s_suppkey % 12) AS city, CAST(500 + (s_suppkey % 40) * 50 AS INT) AS size_sqm,
+  CASE WHEN s_suppkey % 3 = 0 THEN 'large' ELSE 'standard' END AS store_type, CAST(s_suppkey % 90 * 10 AS INT) AS parking_capacity,
+  24 + s_suppkey % 2000 / 100.0::DOUBLE AS latitude, 123 + s_suppkey % 2200 / 100.0::DOUBLE AS longitude
 FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
     s_monthly="""
 SELECT store_id, month, sales_amount, customer_count,
@@ -215,14 +217,17 @@ FROM (
       CAST(year(date_trunc('month', l_shipdate)) * 12 + month(date_trunc('month', l_shipdate)) AS INT) AS mi
     FROM lineitem GROUP BY ALL))""",
     s_yearly="""
+SELECT *, sign(s) * ((2 * abs(s) + n) // (2 * n)) / 100.0::DOUBLE AS yoy_pct2, sign(s) * ((2 * abs(s) + 10 * n) // (20 * n)) / 10.0::DOUBLE AS yoy_pct1,
+  sign(s) * ((2 * abs(s) + 10 * n) // (20 * n)) / 1000.0::DOUBLE AS yoy3 FROM (
 SELECT store_id, CAST(sum(yoy_change) AS DOUBLE) / count(yoy_change) AS yoy, CAST(sum(sales_amount) AS DOUBLE) AS sales,
-  CAST(sum(customer_count) AS DOUBLE) / count(*) AS customers, CAST(sum(avg_basket) AS DOUBLE) / count(avg_basket) AS basket, count(*) AS months
-FROM s_monthly WHERE year(month) = 2000 GROUP BY store_id""",
+  CAST(sum(customer_count) AS DOUBLE) / count(*) AS customers, CAST(sum(avg_basket) AS DOUBLE) / count(avg_basket) AS basket, count(*) AS months,
+  sum(CAST(yoy_change * 10000 AS BIGINT)) AS s, nullif(count(yoy_change), 0) AS n
+FROM s_monthly WHERE year(month) = 2000 GROUP BY store_id)""",
     s_category_sales="""
-SELECT l_suppkey AS store_id, p_type AS category_id, lower(p_type) AS category_name, sum(CAST(floor(l_extendedprice) AS BIGINT)) AS sales
+SELECT l_suppkey AS store_id, p_type AS category_id, lower(p_type) AS category_name, 'spend_' || (length(p_type) % 4) AS expenditure_mapping, sum(CAST(floor(l_extendedprice) AS BIGINT)) AS sales
 FROM lineitem JOIN part ON l_partkey = p_partkey WHERE year(l_shipdate) = 2000 GROUP BY ALL""",
     s_gaps="""
-SELECT a.store_id, a.category_name, round(a.sales::DOUBLE / 10000, 0) AS store_sales, round(b.avg_sales / 10000, 0) AS avg_sales_man,
+SELECT a.store_id, a.category_name, a.expenditure_mapping, round(a.sales::DOUBLE / 10000, 0) AS store_sales, round(b.avg_sales / 10000, 0) AS avg_sales_man,
   round((a.sales::DOUBLE - b.avg_sales) / 10000, 0) AS gap, round((a.sales::DOUBLE - b.avg_sales) / b.avg_sales * 100, 1) AS gap_pct
 FROM s_category_sales a JOIN (SELECT category_id, sum(sales)::DOUBLE / count(DISTINCT store_id) AS avg_sales FROM s_category_sales GROUP BY category_id) b
   ON a.category_id = b.category_id""",
@@ -234,8 +239,8 @@ FROM lineitem JOIN part ON l_partkey = p_partkey""",
 SELECT s_suppkey AS store_id, CAST(r AS INT) AS similarity_rank, s_suppkey + r AS similar_store_id, (10 - r) / 10.0::DOUBLE AS similarity_score
 FROM supplier, range(1, 6) t(r)""",
     s_peers="""
-SELECT m.store_id, m.similar_store_id, s.store_name, s.prefecture, m.similarity_rank, m.similarity_score,
-  round(y.yoy * 100, 1) AS yoy_pct, round(y.sales / 10000, 0) AS sales_man
+SELECT m.store_id, m.similar_store_id, s.store_name, s.prefecture, s.city, m.similarity_rank, m.similarity_score,
+  y.yoy_pct1 AS yoy_pct, round(y.sales / 10000, 0) AS sales_man
 FROM s_similar m JOIN s_stores s ON m.similar_store_id = s.store_id JOIN s_yearly y ON m.similar_store_id = y.store_id""",
     s_best_peer="""
 SELECT store_id, similar_store_id FROM (SELECT *, row_number() OVER (PARTITION BY store_id ORDER BY similarity_rank, similar_store_id) AS rn
@@ -247,10 +252,13 @@ FROM s_category_sales a JOIN s_best_peer p ON a.store_id = p.store_id
   JOIN s_category_sales b ON b.store_id = p.similar_store_id AND a.category_name = b.category_name""",
     s_facilities="""
 SELECT user_id AS store_id, CASE event_type WHEN 'view' THEN '駅' WHEN 'click' THEN '学校' WHEN 'purchase' THEN '公園' WHEN 'signup' THEN 'コンビニ' ELSE '倉庫' END AS facility_type,
-  'F' || event_id AS facility_name, value AS distance_km, value * 2 AS traffic_impact
+  'F' || event_id AS facility_name, value AS distance_km, value * 2 AS traffic_impact,
+  (event_id % 6 + 6) || '-' || (event_id % 6 + 18) AS opening_hours
 FROM events""",
     s_measures="""
 SELECT o_custkey AS store_id, o_orderkey AS measure_id, o_orderpriority AS measure_type, o_orderstatus AS status, CAST(o_orderdate AS DATE) AS start_date,
-  CASE WHEN o_orderstatus = 'P' THEN NULL ELSE replace(o_orderpriority, '-', ',') END AS related_categories
+  CASE WHEN o_orderstatus = 'P' THEN NULL ELSE replace(o_orderpriority, '-', ',') END AS related_categories,
+  'measure ' || o_orderkey AS description, o_orderkey % 30 / 100.0::DOUBLE AS expected_effect, CASE WHEN o_orderstatus = 'F' THEN o_orderkey % 25 / 100.0::DOUBLE END AS actual_effect,
+  CAST(o_orderdate AS DATE) + 30 AS end_date, CAST(floor(o_totalprice) AS BIGINT) AS investment_amount
 FROM orders""",
 )

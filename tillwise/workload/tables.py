@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.ladders import RfmLimits
 from ..functions.scalar import month_start
 from ..operators.windows import same_period_last_year
+from ..plans.store import SPENDING
 from ..sources.constants import geo_dim
 
 #: "today" of every recency measure: the day after the last order
@@ -265,7 +266,9 @@ class Data:
     def s_stores(self) -> DataFrame:
         return self.supplier.join(self.nation, F.col("s_nationkey") == F.col("n_nationkey")).selectExpr(
             "s_suppkey AS store_id", "s_name AS store_name", "n_name AS prefecture",
-            "CAST(500 + (s_suppkey % 40) * 50 AS INT) AS size_sqm",
+            "concat(n_name, '-', s_suppkey % 12) AS city", "CAST(500 + (s_suppkey % 40) * 50 AS INT) AS size_sqm",
+            "IF(s_suppkey % 3 = 0, 'large', 'standard') AS store_type", "CAST(s_suppkey % 90 * 10 AS INT) AS parking_capacity",
+            "24 + s_suppkey % 2000 / 100D AS latitude", "123 + s_suppkey % 2200 / 100D AS longitude",
         )
 
     @cached_property
@@ -298,7 +301,9 @@ class Data:
 
     @cached_property
     def s_categories(self) -> DataFrame:
-        return self.part.selectExpr("p_type AS category_id", "lower(p_type) AS category_name").distinct()
+        return self.part.selectExpr(
+            "p_type AS category_id", "lower(p_type) AS category_name", "concat('spend_', length(p_type) % 4) AS expenditure_mapping"
+        ).distinct()
 
     @cached_property
     def s_competitors(self) -> DataFrame:
@@ -325,6 +330,7 @@ class Data:
             "CASE event_type WHEN 'view' THEN '駅' WHEN 'click' THEN '学校' WHEN 'purchase' THEN '公園' "
             "WHEN 'signup' THEN 'コンビニ' ELSE '倉庫' END AS facility_type",
             "concat('F', event_id) AS facility_name", "value AS distance_km", "value * 2 AS traffic_impact",
+            "concat(event_id % 6 + 6, '-', event_id % 6 + 18) AS opening_hours",
         )
 
     @cached_property
@@ -333,6 +339,9 @@ class Data:
             "o_custkey AS store_id", "o_orderkey AS measure_id", "o_orderpriority AS measure_type",
             "o_orderstatus AS status", "CAST(o_orderdate AS DATE) AS start_date",
             "IF(o_orderstatus = 'P', NULL, replace(o_orderpriority, '-', ',')) AS related_categories",
+            "concat('measure ', o_orderkey) AS description", "o_orderkey % 30 / 100D AS expected_effect",
+            "IF(o_orderstatus = 'F', o_orderkey % 25 / 100D, NULL) AS actual_effect",
+            "date_add(CAST(o_orderdate AS DATE), 30) AS end_date", "CAST(floor(o_totalprice) AS BIGINT) AS investment_amount",
         )
 
     @cached_property
@@ -341,4 +350,12 @@ class Data:
             "c_custkey AS store_id", "CAST(50000 + c_custkey % 1000 * 100 AS BIGINT) AS population_5km",
             "CAST(20000 + c_custkey % 700 * 30 AS BIGINT) AS households", "c_acctbal AS avg_income",
             "c_custkey % 40 / 100D AS elderly_rate", "c_custkey % 30 / 100D AS young_adult_rate",
+            "c_custkey % 80 / 100D AS detached_house_rate", "c_custkey % 150 / 100D AS day_night_ratio", "c_custkey % 5000 AS num_businesses",
         )
+
+    @cached_property
+    def s_spending(self) -> DataFrame:
+        """Spending of the households around a store, from its customers' stand-in."""
+        base = "CAST(floor(abs(c_acctbal)) AS BIGINT) * 1000"
+        kinds = [f"{base} DIV {k} AS {name}" for k, name in enumerate(SPENDING, 1)]
+        return self.customer.selectExpr("c_custkey AS store_id", *kinds)
