@@ -140,14 +140,18 @@ def hot_joins(spark, fact):
         ),
         "similar_kpis": store.similar_kpis(
             fact.selectExpr("x AS store_id", "k AS similar_store_id", "1 AS similarity_rank", "pad AS similarity_score"),
-            spark.range(5000).selectExpr("id AS store_id", "'s' AS store_name", "'p' AS prefecture"),
+            spark.range(5000).selectExpr("id AS store_id", "'s' AS store_name", "'p' AS prefecture", "'c' AS city"),
             spark.range(5000).selectExpr("id AS store_id", "DATE'2024-01-01' AS month", "1.0D AS sales_amount", "0.1D AS yoy_change", "1 AS customer_count", "1.0D AS avg_basket"),
             2024,
         ),
+        "benchmark_gaps": store.benchmark_gaps(
+            fact.selectExpr("x AS store_id", "concat('c', pad = '') AS category_name", "x AS sales"),
+            fact.selectExpr("x AS store_id", "k AS similar_store_id", "1 AS similarity_rank", "1.0D AS yoy_pct"),
+        ),
     }
 
 
-@pytest.mark.parametrize("name", ["enrich", "join_first", "share", "having", "vs_group", "category_gaps", "similar_kpis"])
+@pytest.mark.parametrize("name", ["enrich", "join_first", "share", "having", "vs_group", "category_gaps", "similar_kpis", "benchmark_gaps"])
 def test_hot_key_is_split(spark, tiny_skew_limits, tmp_path, name):
     spark.range(0, 60_000, 1, 6).selectExpr(
         "IF(id % 3 = 0, 1, id % 5000) AS k", "id AS x", "CAST(xxhash64(id) AS STRING) AS pad"
