@@ -164,3 +164,16 @@ def test_hot_key_is_split(spark, tiny_skew_limits, tmp_path, name):
 def test_share_keeps_rows_without_group(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 2.0)], "g string, x double")
     assert rows(W.share_within(df, ["g"], "x", "s")) == [("a", 2.0, 1.0), (None, 1.0, 0.25), (None, 3.0, 0.75)]
+
+
+def test_cleaned_lines_are_computed_once(spark):
+    from tillwise.plans import retail
+
+    texts = [c for c in retail.LINE_TYPES if c != "order_datetime"]
+    raw = spark.range(40).select(*[F.lit("1").alias(c) for c in texts if c != "order_item_id"], (F.col("id") % 30).cast("string").alias("order_item_id"),
+        F.lit("u").alias("user_id"), F.lit("2024-01-01 00:00:00").alias("order_datetime"), F.col("id").alias("_ingested_at"))
+    items = spark.createDataFrame([(1, "a", "b", True, True, True, True)], "item_id long, " + ", ".join(
+        f"{c} {'string' if c.endswith('name') else 'boolean'}" for c in retail.ITEM_REF))
+    stores = spark.createDataFrame([(1, "s", "t")], "store_id long, store_name string, store_area string")
+    out = retail.silver_order_items(raw, items, stores)
+    assert out.count() == 30 and plan(out).count("Range") == 1

@@ -21,7 +21,7 @@ from ..functions.scalar import (
 from ..operators.filters import flag
 from ..operators.joins import enrich
 from ..operators.skew import skew_safe_join
-from ..operators.windows import dedup_repeated, first_event_flag, first_last_growth
+from ..operators.windows import dedup_latest, first_event_flag, first_last_growth
 from ..operators.aggregates import index_to_mean
 
 # fixed values: columns of the cleaned tables, and the types that are not text
@@ -96,10 +96,10 @@ def silver_order_items(
 ) -> DataFrame:
     """Typed order lines, one per id (the latest), with item and store attributes.
 
-    Lines are cast first, and only ids that occur twice are ranked, so no wide text rows
-    are sorted.
+    Lines are cast first and ranked in one window, so they are computed and shuffled once
+    for it, as typed rows instead of text.
     """
-    once = dedup_repeated(cast_columns(raw, types), ["order_item_id"], latest)
+    once = dedup_latest(cast_columns(raw, types), ["order_item_id"], latest)
     wide = enrich(enrich(once, items, "item_id", ITEM_REF), stores, "store_id", STORE_REF)
     return wide.select(
         "order_item_id", "user_id", "order_id", "store_id", *STORE_REF, "item_id", "category_id", *ITEM_REF,
