@@ -177,3 +177,11 @@ def test_cleaned_lines_are_computed_once(spark):
     stores = spark.createDataFrame([(1, "s", "t")], "store_id long, store_name string, store_area string")
     out = retail.silver_order_items(raw, items, stores)
     assert out.count() == 30 and plan(out).count("Range") == 1
+
+
+def test_order_lines_are_joined_to_orders_last(spark):
+    from tillwise.workload.tables import Data
+
+    lines = Data(spark, "/root/testdata/sf0.001").r_lines
+    last = next(n for n in lines._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in n)
+    assert "l_orderkey" in last or "order_id" in last

@@ -100,14 +100,19 @@ class Data:
 
     @cached_property
     def r_lines(self) -> DataFrame:
-        """Order lines with user, item and store attributes."""
+        """Order lines with user, item and store attributes.
+
+        Orders come last, so that the rows lie by order for what joins them by order next.
+        """
         lines = self.lineitem.selectExpr(
             "l_orderkey * 10 + l_linenumber AS order_item_id", "l_orderkey AS order_id", "l_suppkey AS store_id",
             "l_partkey AS item_id", "CAST(l_quantity AS INT) AS quantity",
             "floor(l_extendedprice) AS subtotal", "l_returnflag = 'R' AS cancel_flg",
         )
         heads = self.order_times.select("order_id", "user_id", "order_datetime")
-        return lines.join(heads, "order_id").join(self.r_items, "item_id", "left").join(self.r_stores, "store_id", "left")
+        named = lines.join(self.r_stores, "store_id", "left").join(self.r_items, "item_id", "left")
+        cols = dict.fromkeys(["store_id", "item_id", "order_id", *lines.columns, *heads.columns, *self.r_items.columns, *self.r_stores.columns])
+        return named.join(heads, "order_id").select(*cols)
 
     # --- raw landing tables: all text, as delivered --------------------------------
 
