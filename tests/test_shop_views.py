@@ -147,3 +147,29 @@ def test_old_facts_are_not_read_for_revenue(spark, tmp_path, products, monkeypat
     monkeypatch.setattr(shop_views, "_merged", lambda *a: pytest.fail("facts are read"))
     s.add([order(50, "U3")])
     assert s.run()["rows"] == 21
+
+
+def test_first_run_rewrites_no_facts_and_joins_once(spark, tmp_path, products, monkeypatch):
+    s = Shop(spark, tmp_path, products)
+    s.add([order(i, f"U{i % 12}") for i in range(48)], [user(f"U{i}") for i in range(11)])
+    replaced, joined = [], []
+    replace, enrich = shop_views._replace, shop_views.enrich
+    monkeypatch.setattr(shop_views, "_replace", lambda df, path, by: (replaced.append(path.split("/")[-1]), replace(df, path, by)))
+    monkeypatch.setattr(shop_views, "enrich", lambda *a, **k: (joined.append(a[2]), enrich(*a, **k))[1])
+    s.run()
+    # the batch was joined to the present users, so nothing is healed
+    assert replaced == ["ag_sales"] and joined == ["product_id", "user_id"]
+    s.check()
+    s.add(users=[user("U11"), user("U1", 2, label="new")])
+    s.run()
+    assert replaced == ["ag_sales", "sl_transactions_enriched"]
+    s.check()
+
+
+def test_heal_leaves_the_number_of_rows(spark, tmp_path, products):
+    s = Shop(spark, tmp_path, products.unionAll(products))
+    s.add([order(i, f"U{i % 4}") for i in range(12)], [user("U0")])
+    s.run()
+    s.add(users=[user("U1"), user("U0", 2)])
+    s.run()
+    s.check()
