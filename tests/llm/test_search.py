@@ -6,6 +6,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -202,6 +203,42 @@ def test_library_ids_of_chunks():
         assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
+@pytest.mark.parametrize("chunks", [7, 1 << 20])
+def test_library_ids_of_many_texts(chunks, monkeypatch):
+    monkeypatch.setattr(packing, "CHUNKS", chunks)
+    library, of = Tokenizer.from_file(WORDS), packing.LibraryEncoder(WORDS, 50)
+    rng = random.Random(4)
+    signs = list("aäBJ1 .,;:!?\"()'\n") + ["é ", "Sol", "don't ", "\u030c", "<|endoftext|>", "<|ENDOFTEXT|>", "İ", "ǅ", "漢 "]
+    texts = ["", " ", *("".join(rng.choices(signs, k=rng.randint(0, 40))) for _ in range(300)), ""]
+    got = of.every(pa.array(["skipped", *texts]).slice(1))
+    assert [g.tolist() for g in got] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert of.every(pa.array([], pa.string())) == []
+    with pytest.raises(ValueError):
+        packing.LibraryEncoder("/opt/tokenizers/byte_bpe_50k.json")
+
+
+class Asked:
+    """A model that keeps what it is asked for."""
+
+    def __init__(self, model):
+        self.model, self.words = model, []
+
+    def tokenize(self, word):
+        self.words.append(word)
+        return self.model.tokenize(word)
+
+
+def test_library_sees_a_word_once():
+    of, asked = packing.LibraryEncoder(WORDS), []
+    of.model = Asked(of.library.model)
+    of.known.compute = lambda word: asked.append(word) or of.word(word)
+    texts = ["Marina marina, (marina MARINA. marina!\nmarina", "Ñu ñu, marina. Marina ÑU; ñu"]
+    ids = of.every(pa.array(texts))
+    library = Tokenizer.from_file(WORDS)
+    assert [i.tolist() for i in ids] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sorted(of.model.words) == sorted(["marina", "Ã±u", "(", ",", ".", ";", "!"]) and len(asked) == len(set(asked))
+
+
 def test_curve_steps_to_a_neighbour():
     for dims, bits in ((1, 3), (2, 3), (3, 3), (4, 2)):
         grid = np.array(list(itertools.product(range(1 << bits), repeat=dims))).T

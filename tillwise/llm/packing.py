@@ -13,11 +13,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import Recent, byte_letters, some
+from .bpe import LOWER_WORDS, Lists, Recent, byte_letters, some
 from .common import stored, text_or_empty
 
 #: BM25's usual constants.
@@ -27,6 +28,9 @@ K1, B = 1.2, 0.75
 #: at most 524,288 keys of 52 bytes reach the driver, whatever the corpus.
 KEY_TERMS, SAMPLED, PARTS = 8, 32, 1 << 14
 
+#: Chunks between spaces that are looked up together, and whose ids are joined together.
+CHUNKS, JOINED = 1 << 20, 1 << 16
+
 #: Signs that end a word and begin the next one.
 SIGNS = ".,;:!?\"()"
 
@@ -38,8 +42,13 @@ LETTERS = byte_letters()
 PIECE = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+def plain(word: str) -> str:
+    """NFC in lower case."""
+    return word.lower() if word.isascii() else unicodedata.normalize("NFC", word).lower()
+
+
 class LibraryEncoder:
-    """Texts to packed ids by the ``tokenizers`` library, which sees every chunk once.
+    """Texts to ids by the ``tokenizers`` library, which sees every word once.
 
     For vocabularies that drop white space: chunks between spaces are independent.
     """
@@ -57,28 +66,58 @@ class LibraryEncoder:
             t for c in "abc" for t in self.library.encode(c, add_special_tokens=False).tokens
         ]:
             raise ValueError(f"{path} keeps white space")
-        self.library.model._resize_cache(0)  # chunks are kept here
-        self.known = Recent(self.chunk, limit=remembered)
+        probe = "don't 'll 120ab,;'s!?a (x)"
+        if [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(probe)] != LOWER_WORDS.findall(probe):
+            raise ValueError(f"{path} has other word patterns")
+        self.model = self.library.model
+        self.model._resize_cache(0)  # words are kept here
+        self.known = Recent(self.word, limit=remembered)
+
+    def word(self, word: str) -> bytes:
+        """Packed ids of a word of the library's patterns, or of a chunk they must be applied to."""
+        if word.isascii() and word.isalpha() and word.islower():
+            letters = word
+        elif word and "<|" not in word and max(word) < LATIN and plain(word) == word and (word.isalpha() or LOWER_WORDS.fullmatch(word)):
+            letters = "".join(map(LETTERS.__getitem__, word.encode()))
+        else:
+            return array("I", self.library.encode(word, add_special_tokens=False).ids).tobytes()
+        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
 
     def chunk(self, chunk: str) -> bytes:
-        """Ids of what stands between two spaces.
+        """Packed ids of what stands between two spaces.
 
-        A word of Latin letters goes to the library's model at once, as its patterns would
-        leave it whole; signs after its letters are a word of their own.
+        Latin letters, digits and signs are cut into words here as the library's patterns do,
+        so only words in lower case are kept, each of which goes to its model once.
         """
-        word = chunk.rstrip(SIGNS)
-        low = word.lower() if word.isascii() else unicodedata.normalize("NFC", word).lower()
-        if not (low.isalpha() and max(low) < LATIN):
-            return array("I", self.library.encode(chunk, add_special_tokens=False).ids).tobytes()
-        letters = low if low.isascii() else "".join(map(LETTERS.__getitem__, low.encode()))
-        ids = array("I", [t.id for t in self.library.model.tokenize(letters)]).tobytes()
-        return ids if word == chunk else ids + self.known[chunk[len(word) :]]
+        if not (chunk.isascii() and chunk.isalpha() and chunk.islower()):
+            word = chunk.rstrip(SIGNS)
+            low = plain(word)
+            if low.isalpha() and (low.isascii() or max(low) < LATIN):
+                return self.known[low] + self.known[chunk[len(word) :]] if word != chunk else self.known[low]
+            low = plain(chunk)
+            if chunk and max(low) < LATIN and "<|" not in chunk:
+                return b"".join(map(self.known.__getitem__, LOWER_WORDS.findall(low)))
+        return self.known[chunk]
+
+    def every(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text; of ``CHUNKS`` chunks, those that are equal are looked up once."""
+        simple = pc.and_(pc.string_is_ascii(texts), pc.invert(pc.match_substring(texts, "<|")))
+        texts = pc.if_else(simple, pc.ascii_lower(texts), texts)
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        chunks, ids, sizes, known = split.flatten(), [], [[0]], self.known.get
+        for at in range(0, len(chunks), CHUNKS):
+            some = chunks.slice(at, CHUNKS).dictionary_encode()
+            lists = Lists([known(c) or self.chunk(c) for c in some.dictionary.to_numpy(zero_copy_only=False)])
+            rows = some.indices.to_numpy()
+            sizes.append(lists.sizes[rows])
+            ids += [lists.joined(rows[at : at + JOINED]).astype("<u4") for at in range(0, len(rows), JOINED)]
+        passed = np.cumsum(np.concatenate(sizes))  # ids before each chunk
+        first = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())])
+        return np.split(np.concatenate(ids), passed[first[1:-1]]) if len(texts) else []
 
     def __call__(self, text: str) -> np.ndarray:
         """Ids of a text."""
-        text = text.replace("\n", " ")
-        chunks = (text.lower() if text.isascii() and "<|" not in text else text).split(" ")
-        return np.frombuffer(b"".join(map(self.known.__getitem__, chunks)), "<u4")
+        return self.every(pa.array([text]))[0]
 
 
 @functools.lru_cache(maxsize=2)
@@ -288,10 +327,9 @@ def encoded(docs: DataFrame, vocabulary: str, end_id: int, remembered: int) -> D
             if schema is None:
                 kinds = [batch.column(0).type, pa.binary(), pa.int64(), pa.binary(), pa.int64(), *[pa.list_(pa.int64())] * 2]
                 schema = pa.schema(list(zip(["id", "ids", "n", "bag", "k", "term", "df"], kinds)))
-            for part in some(batch):
+            for part in some(batch, 2048):
                 rows = []
-                for text in part.column(1).to_pylist():
-                    ids = encode(text)
+                for ids in encode.every(part.column(1)):
                     ids = ids.astype("<u2") if ids.max(initial=0) < 1 << 16 else ids
                     terms, tf = counted(ids)
                     if len(terms) and terms[-1] >= len(df):
