@@ -1,5 +1,6 @@
 """Shop tables kept up to date: what is rewritten, and that any order of batches gives the full result."""
 
+import dataclasses
 import datetime as dt
 import glob
 import random
@@ -173,3 +174,32 @@ def test_heal_leaves_the_number_of_rows(spark, tmp_path, products):
     s.add(users=[user("U1"), user("U0", 2)])
     s.run()
     s.check()
+
+
+def test_buckets_are_done_in_passes(spark, tmp_path, products, monkeypatch):
+    """A pass stages the rows of a few buckets only; together they give all rows."""
+    s = Shop(spark, tmp_path, products)
+    s.views = dataclasses.replace(s.views, pass_rows=40)
+    staged = []
+    replace = shop_views._replace
+    monkeypatch.setattr(shop_views, "_replace", lambda df, path, by: (staged.append((path.split("/")[-1], df.count())), replace(df, path, by)))
+    s.add([order(i, f"U{i % 12}") for i in range(60)], [user(f"U{i}") for i in range(9)])
+    s.run()
+    s.add(users=[user(f"U{i}", 2, label="new") for i in range(12)])
+    s.run()
+    s.check()
+    largest = max(r["count"] for r in spark.read.parquet(s.views.facts).groupBy("user_bucket").count().collect())
+    facts = [n for name, n in staged if name == "sl_transactions_enriched"]
+    assert len(facts) > 1 and max(facts) <= max(40, largest)
+    changed = spark.read.parquet(s.views.facts).filter("user_name = 'new'").select("user_bucket", "batch").distinct()
+    assert sum(facts) == spark.read.parquet(s.views.facts).join(changed, ["user_bucket", "batch"], "left_semi").count()
+
+
+def test_refresh_leaves_no_shuffle_files(spark, tmp_path, products):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    kept = lambda: {f for f in disk.getAllFiles().mkString("|").split("|") if "/shuffle_" in f}
+    s = Shop(spark, tmp_path, products)
+    s.add([order(i, f"U{i % 5}") for i in range(20)], [user("U1")])
+    before = kept()
+    s.run()
+    assert not kept() - before
