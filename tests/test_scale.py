@@ -185,3 +185,45 @@ def test_order_lines_are_joined_to_orders_last(spark):
     lines = Data(spark, "/root/testdata/sf0.001").r_lines
     last = next(n for n in lines._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in n)
     assert "l_orderkey" in last or "order_id" in last
+
+
+def test_order_lines_are_not_moved_for_their_users(spark):
+    """Their orders bring the segments."""
+    from tillwise.workload import all_queries
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = all_queries()["b05_gold_order_items"](spark, "/root/testdata/sf0.001")
+        above, moved = [], []
+        for line in plan(out).splitlines():
+            depth = len(line) - len(line.lstrip(" :+-"))
+            above = [(at, name) for at, name in above if at < depth] + [(depth, line.lstrip(" :+-"))]
+            if "l_linenumber" in line and "FileScan" in line:
+                moved.append([name for _, name in above if name.startswith("Exchange hashpartitioning")])
+        assert any(not any("user_id" in name for name in path) for path in moved)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_lines_of_another_user_or_no_order_have_their_users_segments(spark):
+    """As joined line by line: by user for the segments and by order for the flag, with repeated and NULL keys."""
+    from tillwise.plans import retail
+
+    lines = spark.createDataFrame(
+        [(1, 10, "a"), (2, 10, "b"), (3, 10, None), (4, 99, "a"), (5, None, "b"), (6, 11, "b"), (7, 12, "c"), (8, 12, "d")],
+        "order_item_id long, order_id long, user_id string",
+    ).withColumns({c: F.lit(1).cast("long") for c in ("store_id", "item_id", "category_id", "quantity", "subtotal", "unit_price")})
+    lines = lines.withColumns({c: F.lit(None).cast("string") for c in (*retail.STORE_REF, *retail.ITEM_REF, "cancel_flg")})
+    lines = lines.withColumn("order_datetime", F.lit(dt.datetime(2024, 1, 2, 3)))
+    orders = spark.createDataFrame([(10, "a"), (11, "b"), (11, "b"), (12, "c"), (12, "d"), (13, None)], "order_id long, user_id string")
+    users = spark.createDataFrame([("a", dt.date(2024, 1, 1)), ("b", dt.date(2020, 1, 1)), ("c", dt.date(2024, 1, 1))], "user_id string, registration_date date")
+    seg = spark.createDataFrame(
+        [("a", "1", 5, 5, 5, "x", 10, dt.date(2024, 1, 2)), ("b", "2", 4, 4, 4, "y", 11, dt.date(2024, 1, 2)), ("c", "3", 3, 3, 3, "z", 12, dt.date(2024, 1, 2))],
+        "user_id string, behavior_cluster string, r_score int, f_score int, m_score int, rfm_segment string, first_order_id long, first_order_date date",
+    )
+    out = retail.gold_order_items(lines, orders, users, seg).select("order_item_id", "user_id", "r_score", "is_first_order")
+    assert rows(out) == sorted(
+        [(1, "a", 5, True), (2, "b", 4, True), (3, None, None, True), (4, "a", 5, None), (5, "b", 4, None)] + [(6, "b", 4, False)] * 2
+        + [(7, "c", 3, True)] * 2 + [(8, "d", None, True)] * 2,
+        key=lambda r: tuple((x is None, str(x)) for x in r),
+    )

@@ -290,22 +290,38 @@ def gold_orders(orders: DataFrame, users: DataFrame, segments: DataFrame, days:
 
 
 def gold_order_items(
-    lines: DataFrame, orders: DataFrame, users: DataFrame, segments: DataFrame, days: int = 30
+    lines: DataFrame,
+    orders: DataFrame,
+    users: DataFrame,
+    segments: DataFrame,
+    days: int = 30,
+    dims: Sequence[tuple[DataFrame, str, Sequence[str]]] = (),
+    derived: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Every order line with calendar columns, its user's segments and the flag of its
     order; a line without an order has no flag.
 
-    Orders are read for their ids only; which of them are first is in the segments.
+    Orders, few beside their lines, get the segments of their user and say whether they are
+    first, so a line needs one join for both.  Only lines whose user is not that of their
+    order are joined to the segments themselves.  ``dims`` are tables of attributes that
+    lines do not hold yet (table, key, columns) and ``derived`` columns computed from
+    theirs; they come last, so that narrow rows are moved.
     """
     new_user = F.datediff("first_order_date", "registration_date") <= days
     firsts = segments.join(users.select("user_id", "registration_date"), "user_id").filter(new_user)
     firsts = firsts.select(F.col("first_order_id").alias("order_id"), F.lit(True).alias("__first"))
-    flags = orders.select("order_id").join(firsts, "order_id", "left")
-    flags = flags.select("order_id", F.coalesce("__first", F.lit(False)).alias("is_first_order"))
     profile = segments.select("user_id", "behavior_cluster", *SCORE_COLS)
+    heads = skew_safe_join(orders.select("order_id", "user_id"), profile, ["user_id"], "left")
+    heads = heads.withColumnRenamed("user_id", "__user").join(firsts, "order_id", "left")
+    heads = heads.withColumn("is_first_order", F.coalesce("__first", F.lit(False))).drop("__first")
+    found = lines.join(heads, "order_id", "left")
+    own = F.col("user_id").eqNullSafe(F.col("__user"))
+    others = found.filter(~own).drop("behavior_cluster", *SCORE_COLS)
+    joined = found.filter(own).unionByName(skew_safe_join(others, profile, ["user_id"], "left"))
+    for table, key, cols in dims:
+        joined = enrich(joined, table, key, cols)
     return (
-        skew_safe_join(lines.join(flags, "order_id", "left"), profile, ["user_id"], "left")
-        .withColumns(order_calendar())
+        joined.withColumns({**(derived or {}), **order_calendar()})
         .select(
             "order_item_id", "order_id", "user_id", "store_id", *STORE_REF, "item_id", "item_name",
             "category_id", "category_name", "is_organic", "is_discount_target", "is_ready_to_eat",

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans import campaign, retail, shop, store
+from ..session import scratch_path, shuffles_freed
+from ..sinks import tables as K
 from . import grouping  # noqa: F401  (defines relations used below)
 from .registry import define, query
 from .tables import AS_OF, LIMITS, YEAR, Data
@@ -139,8 +141,18 @@ def _(d: Data) -> DataFrame:
     LEFT JOIN r_segmented s ON l.user_id = s.user_id LEFT JOIN r_cluster_names n ON k.behavior_cluster = n.code LEFT JOIN r_first f ON l.order_id = f.order_id""",
 )
 def _(d: Data) -> DataFrame:
-    lines = d.r_lines.withColumn("unit_price", c("subtotal").cast("double") / c("quantity"))
-    return as_double(retail.gold_order_items(lines, d.order_times, d.r_users, segments(d)), "subtotal")
+    """The segments are stored, as orders and their flags both ask for them."""
+    path = scratch_path(d.spark, "b05")
+    with shuffles_freed(d.spark):
+        K.overwrite(segments(d), path)
+    lines = d.r_bare_lines.join(d.order_times.select("order_id", "user_id", "order_datetime"), "order_id")
+    dims = (
+        (d.r_store_names, "store_id", ("store_name", "nation_id")), (d.r_store_areas, "nation_id", ("store_area",)),
+        (d.r_items, "item_id", ("category_id", *retail.ITEM_REF)),
+    )
+    derived = {"order_item_id": c("order_id") * 10 + c("line_number"), "unit_price": c("subtotal").cast("double") / c("quantity")}
+    gold = retail.gold_order_items(lines, d.order_times, d.r_users, d.spark.read.parquet(path), dims=dims, derived=derived)
+    return as_double(gold, "subtotal")
 
 
 # --- shop -----------------------------------------------------------------------------------

@@ -83,6 +83,16 @@ class Data:
             .selectExpr("s_suppkey AS store_id", "s_name AS store_name", "n_name AS store_area")
         )
 
+    @cached_property
+    def r_store_names(self) -> DataFrame:
+        """The stores of a known area; a semi join keeps Spark's estimate of their size, which a join multiplies."""
+        areas = self.nation.selectExpr("n_nationkey AS nation_id")
+        return self.supplier.selectExpr("s_suppkey AS store_id", "s_name AS store_name", "s_nationkey AS nation_id").join(areas, "nation_id", "left_semi")
+
+    @cached_property
+    def r_store_areas(self) -> DataFrame:
+        return self.nation.selectExpr("n_nationkey AS nation_id", "n_name AS store_area")
+
     @cached_property
     def order_times(self) -> DataFrame:
         """Orders with a time of day that follows the customer."""
@@ -98,19 +108,24 @@ class Data:
     def r_orders(self) -> DataFrame:
         return self.order_times.join(self.r_stores, "store_id", "left")
 
+    @cached_property
+    def r_bare_lines(self) -> DataFrame:
+        """Order lines as they are; the id of one is ten times the order's and its number."""
+        return self.lineitem.selectExpr(
+            "l_linenumber AS line_number", "l_orderkey AS order_id", "l_suppkey AS store_id", "l_partkey AS item_id",
+            "CAST(l_quantity AS INT) AS quantity", "floor(l_extendedprice) AS subtotal", "l_returnflag = 'R' AS cancel_flg",
+        )
+
     @cached_property
     def r_lines(self) -> DataFrame:
         """Order lines with user, item and store attributes.
 
         Orders come last, so that the rows lie by order for what joins them by order next.
         """
-        lines = self.lineitem.selectExpr(
-            "l_orderkey * 10 + l_linenumber AS order_item_id", "l_orderkey AS order_id", "l_suppkey AS store_id",
-            "l_partkey AS item_id", "CAST(l_quantity AS INT) AS quantity",
-            "floor(l_extendedprice) AS subtotal", "l_returnflag = 'R' AS cancel_flg",
-        )
+        lines = self.r_bare_lines.withColumn("order_item_id", F.expr("order_id * 10 + line_number")).drop("line_number")
         heads = self.order_times.select("order_id", "user_id", "order_datetime")
-        named = lines.join(self.r_stores, "store_id", "left").join(self.r_items, "item_id", "left")
+        named = lines.join(self.r_store_names, "store_id", "left").join(self.r_store_areas, "nation_id", "left")
+        named = named.join(self.r_items, "item_id", "left")
         cols = dict.fromkeys(["store_id", "item_id", "order_id", *lines.columns, *heads.columns, *self.r_items.columns, *self.r_stores.columns])
         return named.join(heads, "order_id").select(*cols)
 
